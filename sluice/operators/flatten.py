@@ -128,14 +128,14 @@ def flatten_json(
         own = around | _scalars(c, t, path)
         parts = []
         for list_path, list_col, element in _lists(c, t, path):
-            inner = F.flatten(
-                F.transform(list_col, lambda e, p=list_path, et=element: records(e, et, p, own))
-            )
-            parts.append(F.coalesce(inner, nothing))
+            parts.append(F.coalesce(F.flatten(F.transform(list_col, each(element, list_path, own))), nothing))
         if not isinstance(t, T.ArrayType):
             parts.append(record(own))
         return F.concat(*parts) if len(parts) > 1 else parts[0]
 
+    def each(element: T.DataType, path: str, around: dict[str, Column]):
+        return lambda item: records(item, element, path, around)
+
     docs = split_json(df, col).good.select(*keep, F.from_json(col, shape).alias("_doc"))
     rows = docs.select(*keep, F.explode(records(F.col("_doc"), shape, ROOT, {})).alias("_row"))
     flat = rows.select(*keep, *[F.col("_row").getField(c).alias(c) for c in columns])

@@ -104,7 +104,7 @@ def compact(cells: DataFrame, levels: int) -> DataFrame:
     full = (
         up.groupBy("level", "cell")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") == F.shiftleft(F.lit(1).cast("long"), F.col("level") * 2))
+        .where(F.col("n") == F.expr("shiftleft(1L, level * 2)"))
         .select("level", "cell")
     )
     above = full.select((F.col("level") - 1).alias("level"), F.col("cell").alias("parent"))

@@ -27,17 +27,17 @@ NULL_BIN = "NullValue"
 class Metric:
     """What to compute.
 
-    ``scalar`` is an aggregate over the rows. ``grouped`` gets the frequency table of
-    ``columns`` (its ``_n`` holds the counts, null groups included) and returns an
-    aggregate over it. ``frame`` computes the single value from the frequency table in
-    its own way. Exactly one of the three is set.
+    ``scalar`` is an aggregate over the rows, as SQL text or a Column. ``grouped`` is
+    SQL text of an aggregate over the frequency table of ``columns``, whose ``_n`` holds
+    the counts (null groups included). ``frame`` computes the single value from the
+    frequency table in its own way. Exactly one of the three is set.
     """
 
     name: str
     entity: str
     columns: tuple[str, ...]
-    scalar: Column | None = None
-    grouped: Column | None = None
+    scalar: Column | str | None = None
+    grouped: str | None = None
     frame: Callable[[DataFrame], DataFrame] | None = None
 
     @property
@@ -49,137 +49,136 @@ def _cols(columns: str | Sequence[str]) -> tuple[str, ...]:
     return (columns,) if isinstance(columns, str) else tuple(columns)
 
 
-def _scalar(name: str, column: str | tuple[str, ...], value: Column) -> Metric:
-    cols = _cols(column)
-    entity = "Dataset" if not cols else "Column" if len(cols) == 1 else "Multicolumn"
-    return Metric(name, entity, cols, scalar=value.cast("double"))
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def size() -> Metric:
-    return _scalar("Size", (), F.count(F.lit(1)))
+def text_literal(value: str) -> str:
+    """SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def completeness(column: str) -> Metric:
-    return _scalar("Completeness", column, F.count(column) / F.count(F.lit(1)))
+def _entity(cols: tuple[str, ...]) -> str:
+    return "Dataset" if not cols else "Column" if len(cols) == 1 else "Multicolumn"
+
+
+def _scalar(name: str, columns: str | Sequence[str], value: str) -> Metric:
+    cols = _cols(columns)
+    return Metric(name, _entity(cols), cols, scalar=value)
+
+
+def size() -> Metric:
+    return _scalar("Size", (), "count(1)")
 
 
-def share(condition: Column) -> Column:
-    """Share of the rows where the condition is true; unknown counts as false."""
-    return F.avg(F.coalesce(condition.cast("int"), F.lit(0)))
+def completeness(column: str) -> Metric:
+    return _scalar("Completeness", column, f"count({quote(column)}) / count(1)")
 
 
 def compliance(instance: str, predicate: str | Column) -> Metric:
-    cond = F.expr(predicate) if isinstance(predicate, str) else predicate
-    return Metric("Compliance", "Column", (instance,), scalar=share(cond).cast("double"))
+    """Share of the rows where the predicate is true; unknown counts as false."""
+    if isinstance(predicate, str):
+        return _scalar("Compliance", instance, f"count_if({predicate}) / count(1)")
+    return Metric("Compliance", "Column", (instance,), scalar=F.count_if(predicate) / F.count(F.lit(1)))
 
 
 def approx_count_distinct(column: str) -> Metric:
-    return _scalar("ApproxCountDistinct", column, F.approx_count_distinct(column))
+    return _scalar("ApproxCountDistinct", column, f"approx_count_distinct({quote(column)})")
 
 
 def approx_quantile(column: str, q: float, relative_error: float = 0.01) -> Metric:
-    value = F.percentile_approx(F.col(column).cast("double"), q, int(round(1 / relative_error)))
+    value = f"percentile_approx(double({quote(column)}), {q}, {round(1 / relative_error)})"
     return _scalar(f"ApproxQuantile-{q}", column, value)
 
 
 def correlation(a: str, b: str) -> Metric:
-    return _scalar("Correlation", (a, b), F.corr(a, b))
+    return _scalar("Correlation", (a, b), f"corr({quote(a)}, {quote(b)})")
 
 
 def maximum(column: str) -> Metric:
-    return _scalar("Maximum", column, F.max(column))
+    return _scalar("Maximum", column, f"max({quote(column)})")
 
 
 def minimum(column: str) -> Metric:
-    return _scalar("Minimum", column, F.min(column))
+    return _scalar("Minimum", column, f"min({quote(column)})")
 
 
 def max_length(column: str) -> Metric:
-    return _scalar("MaxLength", column, F.max(F.length(column)))
+    return _scalar("MaxLength", column, f"max(length({quote(column)}))")
 
 
 def min_length(column: str) -> Metric:
-    return _scalar("MinLength", column, F.min(F.length(column)))
+    return _scalar("MinLength", column, f"min(length({quote(column)}))")
 
 
 def mean(column: str) -> Metric:
-    return _scalar("Mean", column, F.avg(column))
+    return _scalar("Mean", column, f"avg({quote(column)})")
 
 
 def total(column: str) -> Metric:
-    return _scalar("Sum", column, F.sum(column))
+    return _scalar("Sum", column, f"sum({quote(column)})")
 
 
 def standard_deviation(column: str) -> Metric:
-    return _scalar("StandardDeviation", column, F.stddev_pop(column))
+    return _scalar("StandardDeviation", column, f"stddev_pop({quote(column)})")
 
 
-def value_class(c: Column) -> Column:
-    """Type class of a value, judged by its text."""
-    t = c.cast("string")
+def value_class(expression: str) -> str:
+    """SQL text: type class of a value, judged by its text."""
+    t = f"string({expression})"
     return (
-        F.when(t.isNull(), "null")
-        .when(t.rlike(FRACTIONAL), "fractional")
-        .when(t.rlike(INTEGRAL), "integral")
-        .when(t.rlike(BOOLEAN), "boolean")
-        .otherwise("string")
+        f"CASE WHEN {t} IS NULL THEN 'null' WHEN {t} RLIKE {text_literal(FRACTIONAL)} THEN 'fractional' "
+        f"WHEN {t} RLIKE {text_literal(INTEGRAL)} THEN 'integral' "
+        f"WHEN {t} RLIKE {text_literal(BOOLEAN)} THEN 'boolean' ELSE 'string' END"
     )
 
 
 def data_type(column: str) -> list[Metric]:
     """One ratio per type class."""
-    return [
-        Metric(f"DataType.{k}", "Column", (column,), scalar=share(value_class(F.col(column)) == k).cast("double"))
-        for k in CLASSES
-    ]
+    kind = value_class(quote(column))
+    return [_scalar(f"DataType.{k}", column, f"count_if({kind} = '{k}') / count(1)") for k in CLASSES]
 
 
 def type_share(column: str, kinds: Sequence[str], of_filled: bool = True) -> Metric:
     """Share of values of the given classes, among the non-null ones unless told otherwise."""
-    hit = F.count_if(value_class(F.col(column)).isin(list(kinds)))
-    base = F.count(column) if of_filled else F.count(F.lit(1))
-    label = "|".join(kinds)
-    return _scalar(f"DataTypeShare.{label}", column, F.try_divide(hit, base))
+    listed = ", ".join(f"'{k}'" for k in kinds)
+    base = f"count({quote(column)})" if of_filled else "count(1)"
+    value = f"try_divide(count_if({value_class(quote(column))} IN ({listed})), {base})"
+    return _scalar(f"DataTypeShare.{'|'.join(kinds)}", column, value)
 
 
-def _present(cols: Sequence[str]) -> Column:
+def _present(cols: Sequence[str]) -> str:
     """Groups that count as values: at least one column is not null."""
-    return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in cols])
+    return "(" + " OR ".join(f"{quote(c)} IS NOT NULL" for c in cols) + ")"
 
 
-def _frequency(name: str, columns, value: Column) -> Metric:
+def _frequency(name: str, columns: str | Sequence[str], value: str) -> Metric:
     cols = _cols(columns)
-    entity = "Column" if len(cols) == 1 else "Multicolumn"
-    return Metric(name, entity, cols, grouped=value.cast("double"))
+    return Metric(name, _entity(cols), cols, grouped=value)
 
 
-def _distinct(cols) -> Column:
-    return F.count_if(_present(cols))
+def _distinct(columns: str | Sequence[str]) -> str:
+    return f"count_if({_present(_cols(columns))})"
 
 
-def _once(cols) -> Column:
-    return F.count_if(_present(cols) & (F.col("_n") == 1))
+def _once(columns: str | Sequence[str]) -> str:
+    return f"count_if({_present(_cols(columns))} AND _n = 1)"
 
 
 def count_distinct(columns: str | Sequence[str]) -> Metric:
-    return _frequency("CountDistinct", columns, _distinct(_cols(columns)))
+    return _frequency("CountDistinct", columns, _distinct(columns))
 
 
 def distinctness(columns: str | Sequence[str]) -> Metric:
-    return _frequency("Distinctness", columns, F.try_divide(_distinct(_cols(columns)), F.sum("_n")))
+    return _frequency("Distinctness", columns, f"try_divide({_distinct(columns)}, sum(_n))")
 
 
 def uniqueness(columns: str | Sequence[str]) -> Metric:
-    return _frequency("Uniqueness", columns, F.try_divide(_once(_cols(columns)), F.sum("_n")))
+    return _frequency("Uniqueness", columns, f"try_divide({_once(columns)}, sum(_n))")
 
 
 def unique_value_ratio(columns: str | Sequence[str]) -> Metric:
-    cols = _cols(columns)
-    return _frequency("UniqueValueRatio", columns, F.try_divide(_once(cols), _distinct(cols)))
-
-
-def _sum_n_log_n(cond: Column) -> Column:
-    return F.sum(F.when(cond, F.col("_n") * F.ln(F.col("_n"))).otherwise(0.0))
+    return _frequency("UniqueValueRatio", columns, f"try_divide({_once(columns)}, {_distinct(columns)})")
 
 
 def entropy(column: str, base: float | None = None) -> Metric:
@@ -188,22 +187,21 @@ def entropy(column: str, base: float | None = None) -> Metric:
     With N rows this is (ln N * sum n - sum n ln n) / N, a single aggregate.
     """
     there = _present([column])
-    n = F.sum("_n")
-    value = (F.ln(n) * F.sum(F.when(there, F.col("_n")).otherwise(0)) - _sum_n_log_n(there)) / n
-    return _frequency("Entropy", column, value / F.ln(F.lit(float(base))) if base else value)
+    value = f"(ln(sum(_n)) * sum(if({there}, _n, 0)) - sum(if({there}, _n * ln(_n), 0D))) / sum(_n)"
+    name = "Entropy" if base is None else f"Entropy-{base}"
+    return _frequency(name, column, value if base is None else f"({value}) / ln({float(base)}D)")
 
 
 def number_of_bins(column: str) -> Metric:
     """Histogram bins: distinct values, the nulls being one of them."""
-    return _frequency("Histogram.bins", column, F.count(F.lit(1)))
+    return _frequency("Histogram.bins", column, "count(1)")
 
 
 def bin_value(column: str, value: str, what: str = "ratio") -> Metric:
     """Count (``abs``) or ratio of one histogram bin."""
-    hit = F.coalesce(F.col(column).cast("string"), F.lit(NULL_BIN)) == value
-    n = F.sum(F.when(hit, F.col("_n")).otherwise(0))
-    out = n if what == "abs" else F.try_divide(n, F.sum("_n"))
-    return _frequency(f"Histogram.{what}.{value}", column, out)
+    hit = f"coalesce(string({quote(column)}), '{NULL_BIN}') = {text_literal(value)}"
+    n = f"sum(if({hit}, _n, 0))"
+    return _frequency(f"Histogram.{what}.{value}", column, n if what == "abs" else f"try_divide({n}, sum(_n))")
 
 
 def mutual_information(a: str, b: str) -> Metric:
@@ -212,25 +210,21 @@ def mutual_information(a: str, b: str) -> Metric:
     The logarithm is split, so the marginals are two more aggregates of the joint
     frequency table and nothing is joined back to it.
     """
-    pair = F.col(a).isNotNull() & F.col(b).isNotNull()
+    pair = f"({quote(a)} IS NOT NULL AND {quote(b)} IS NOT NULL)"
 
     def compute(joint: DataFrame) -> DataFrame:
-        own = joint.agg(
-            _sum_n_log_n(pair).alias("s"),
-            F.sum(F.when(pair, F.col("_n")).otherwise(0)).alias("w"),
-            F.sum("_n").alias("n"),
+        own = joint.selectExpr(
+            f"sum(if({pair}, _n * ln(_n), 0D)) AS s", f"sum(if({pair}, _n, 0)) AS w", "sum(_n) AS n"
         )
 
         def side(col: str) -> DataFrame:
-            m = joint.groupBy(col).agg(
-                F.sum("_n").alias("m"), F.sum(F.when(pair, F.col("_n")).otherwise(0)).alias("w")
+            marginal = joint.groupBy(quote(col)).agg(
+                F.expr("sum(_n) AS m"), F.expr(f"sum(if({pair}, _n, 0)) AS w")
             )
-            part = m.where(F.col(col).isNotNull()).agg(F.sum(F.col("w") * F.ln("m")).alias("s"))
-            return part.select((-F.col("s")).alias("s"), F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("n"))
+            return marginal.where(f"{quote(col)} IS NOT NULL").selectExpr("-sum(w * ln(m)) AS s", "0L AS w", "0L AS n")
 
         parts = own.unionByName(side(a)).unionByName(side(b))
-        s, w, n = F.sum("s"), F.sum("w"), F.sum("n")
-        return parts.agg(((s + w * F.ln(n)) / n).alias("value"))
+        return parts.selectExpr("(sum(s) + sum(w) * ln(sum(n))) / sum(n) AS value")
 
     return Metric("MutualInformation", "Multicolumn", (a, b), frame=compute)
 
@@ -256,11 +250,20 @@ def _flatten(metrics: Sequence[Metric | list[Metric]]) -> list[Metric]:
     return out
 
 
-def _rows(df: DataFrame, named: Sequence[tuple[int, Column]]) -> DataFrame:
+def _rows(df: DataFrame, named: Sequence[tuple[int, Column | str]]) -> DataFrame:
     """Aggregate, then turn the single row into rows (id, value)."""
-    one = df.agg(*[c.alias(f"_m{i}") for i, c in named])
-    cells = F.array(*[F.struct(F.lit(i).alias("id"), F.col(f"_m{i}").alias("value")) for i, _ in named])
-    return one.select(F.inline(cells))
+    one = df.agg(
+        *[F.expr(f"double({c}) AS _m{i}") if isinstance(c, str) else c.cast("double").alias(f"_m{i}") for i, c in named]
+    )
+    cells = ", ".join(f"{i}, _m{i}" for i, _ in named)
+    return one.selectExpr(f"stack({len(named)}, {cells}) AS (id, value)")
+
+
+def small_table(df: DataFrame, names: str, rows: Sequence[tuple[int | str, ...]]) -> DataFrame:
+    """A few literal rows as a table of Spark's own, so joining them is a broadcast."""
+    cell = lambda v: text_literal(v) if isinstance(v, str) else str(v)
+    values = ", ".join("(" + ", ".join(map(cell, row)) + ")" for row in rows)
+    return df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
@@ -279,7 +282,7 @@ def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
         if grouped:
             parts.append(_rows(freq, grouped))
         parts += [
-            metrics[i].frame(freq).select(F.lit(i).alias("id"), F.col("value").cast("double").alias("value"))
+            metrics[i].frame(freq).selectExpr(f"{i} AS id", "double(value) AS value")
             for i in ids
             if metrics[i].frame is not None
         ]
@@ -289,10 +292,5 @@ def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
 def analyze(df: DataFrame, metrics: Sequence[Metric | list[Metric]]) -> DataFrame:
     """Rows (entity, instance, name, value), one per metric."""
     flat = _flatten(metrics)
-    label = lambda get: F.element_at(F.array(*[F.lit(get(m)) for m in flat]), F.col("id") + 1)
-    return measure(df, flat).select(
-        label(lambda m: m.entity).alias("entity"),
-        label(lambda m: m.instance).alias("instance"),
-        label(lambda m: m.name).alias("name"),
-        "value",
-    )
+    labels = small_table(df, "id, entity, instance, name", [(i, m.entity, m.instance, m.name) for i, m in enumerate(flat)])
+    return measure(df, flat).join(labels, "id").select("entity", "instance", "name", "value")

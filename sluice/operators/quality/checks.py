@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as A
@@ -60,7 +60,7 @@ class Check:
         self.constraints.append(Constraint(f"{label}({metric.instance})", metric, holds))
         return self
 
-    def _share(self, label: str, condition: Column, holds: Assertion) -> Check:
+    def _share(self, label: str, condition: Column | str, holds: Assertion) -> Check:
         return self._add("Compliance", A.compliance(label, condition), holds)
 
     def has_size(self, holds: Assertion) -> Check:
@@ -130,7 +130,7 @@ class Check:
         return self._add("Correlation", A.correlation(a, b), holds)
 
     def satisfies(self, predicate: str, name: str, holds: Assertion = is_one) -> Check:
-        return self._share(name, F.expr(predicate), holds)
+        return self._share(name, predicate, holds)
 
     def has_pattern(self, column: str, pattern: str, holds: Assertion = is_one) -> Check:
         return self._share(f"{column} like {pattern}", F.col(column).cast("string").rlike(pattern), holds)
@@ -148,22 +148,22 @@ class Check:
         return self._add(f"DataType.{kind}", A.type_share(column, classes, kind != "null"), holds)
 
     def is_positive(self, column: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{column} > 0", F.coalesce(F.col(column), F.lit(1)) > 0, holds)
+        return self._share(f"{column} > 0", f"coalesce({A.quote(column)}, 1) > 0", holds)
 
     def is_non_negative(self, column: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{column} >= 0", F.coalesce(F.col(column), F.lit(0)) >= 0, holds)
+        return self._share(f"{column} >= 0", f"coalesce({A.quote(column)}, 0) >= 0", holds)
 
     def is_less_than(self, a: str, b: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{a} < {b}", F.col(a) < F.col(b), holds)
+        return self._share(f"{a} < {b}", f"{A.quote(a)} < {A.quote(b)}", holds)
 
     def is_less_than_or_equal_to(self, a: str, b: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{a} <= {b}", F.col(a) <= F.col(b), holds)
+        return self._share(f"{a} <= {b}", f"{A.quote(a)} <= {A.quote(b)}", holds)
 
     def is_greater_than(self, a: str, b: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{a} > {b}", F.col(a) > F.col(b), holds)
+        return self._share(f"{a} > {b}", f"{A.quote(a)} > {A.quote(b)}", holds)
 
     def is_greater_than_or_equal_to(self, a: str, b: str, holds: Assertion = is_one) -> Check:
-        return self._share(f"{a} >= {b}", F.col(a) >= F.col(b), holds)
+        return self._share(f"{a} >= {b}", f"{A.quote(a)} >= {A.quote(b)}", holds)
 
     def is_contained_in(self, column: str, values: Sequence, holds: Assertion = is_one) -> Check:
         c = F.col(column)
@@ -226,31 +226,23 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
             metrics.append(k.metric)
         use.append(position[key])
     values = A.measure(df, metrics)
-
-    def of(i: int) -> Column:
-        check, k = listed[i]
-        ok = F.coalesce(k.holds(F.col("value")), F.lit(False))
-        message = F.when(F.col("value").isNull(), NO_VALUE).when(
-            ~ok, F.concat(F.lit("Value: "), F.col("value").cast("string"), F.lit(f" {MISSED}"))
-        )
-        return F.struct(
-            F.lit(check.name).alias("check"),
-            F.lit(LEVELS[check.level]).alias("check_level"),
-            F.lit(k.name).alias("constraint"),
-            F.when(ok, SUCCESS).otherwise(FAILURE).alias("constraint_status"),
-            F.coalesce(message, F.lit("")).alias("constraint_message"),
-            F.col("value"),
-        )
-
-    # Each metric row expands to the constraints that use it.
-    per_metric = F.lit(None)
-    for m in range(len(metrics)):
-        mine = F.array(*[of(i) for i in range(len(listed)) if use[i] == m])
-        per_metric = F.when(F.col("id") == m, mine).otherwise(per_metric)
-    rows = values.select(F.inline(per_metric))
-    failed = F.max((F.col("constraint_status") == FAILURE).cast("int")).over(Window.partitionBy("check"))
-    out = rows.withColumn("check_status", F.when(failed == 1, F.col("check_level")).otherwise(SUCCESS))
-    out = out.select(
-        "check", "check_level", "check_status", "constraint", "constraint_status", "constraint_message", "value"
+    names = A.small_table(
+        df, "id, nr, `check`, check_level, `constraint`",
+        [(use[i], i, c.name, LEVELS[c.level], k.name) for i, (c, k) in enumerate(listed)],
+    )
+    value, holds = F.col("value"), None
+    for i, (_, k) in enumerate(listed):
+        mine = F.expr(f"nr = {i}")
+        holds = F.when(mine, k.holds(value)) if holds is None else holds.when(mine, k.holds(value))
+    rows = values.join(names, "id").withColumn("ok", F.coalesce(holds, F.lit(False)))
+    out = rows.selectExpr(
+        "`check`",
+        "check_level",
+        f"if(bool_and(ok) OVER (PARTITION BY `check`), '{SUCCESS}', check_level) AS check_status",
+        "`constraint`",
+        f"if(ok, '{SUCCESS}', '{FAILURE}') AS constraint_status",
+        f"CASE WHEN value IS NULL THEN '{NO_VALUE}' WHEN NOT ok THEN 'Value: ' || value || ' {MISSED}' ELSE '' END "
+        "AS constraint_message",
+        "value",
     )
     return out if timestamp is None else out.withColumn("timestamp", timestamp)

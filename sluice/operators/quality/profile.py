@@ -15,6 +15,11 @@ from sluice.operators.quality import analyzers as A
 LOW_CARDINALITY = 120
 
 
+# Numeric figures of a profile: short name -> aggregate, and -> result column.
+FIGURES = {"avg": "avg", "max": "max", "min": "min", "sum": "sum", "std": "stddev_pop"}
+FIGURE_NAMES = {"avg": "mean_col", "max": "maximum", "min": "minimum", "sum": "sum_col", "std": "stdDev_col"}
+
+
 def _is_text(f: T.StructField) -> bool:
     return isinstance(f.dataType, T.StringType)
 
@@ -23,11 +28,11 @@ def _is_plain(f: T.StructField) -> bool:
     return isinstance(f.dataType, (T.StringType, T.BooleanType, T.NumericType))
 
 
-def _number(f: T.StructField) -> Column:
-    c = F.col(f"`{f.name}`")
+def _number(f: T.StructField) -> str:
+    """SQL text: the value as a number, null for types that have none."""
     if _is_text(f):
-        return c.try_cast("double")
-    return c.cast("double") if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")
+        return f"try_cast({A.quote(f.name)} AS DOUBLE)"
+    return f"double({A.quote(f.name)})" if isinstance(f.dataType, T.NumericType) else "CAST(NULL AS DOUBLE)"
 
 
 def _native(f: T.StructField) -> str:
@@ -47,63 +52,38 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, percent
     filled for numeric columns and for text columns that turn out numeric.
     """
     fields = [f for f in df.schema if columns is None or f.name in columns]
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, f in enumerate(fields):
-        c, x = F.col(f"`{f.name}`"), _number(f)
-        plain = _is_plain(f)
-        points = [k / 100 for k in range(1, 101)] if percentiles else [0.25, 0.5, 0.75]
-        kind = A.value_class(c) if _is_text(f) else F.lit(None).cast("string")
-        aggs += [
-            F.count(c).alias(f"n{i}"),
-            (F.approx_count_distinct(c) if plain else F.lit(None).cast("long")).alias(f"d{i}"),
-            F.count_if(kind == "string").alias(f"ks{i}"),
-            F.count_if(kind == "fractional").alias(f"kf{i}"),
-            F.count_if(kind == "integral").alias(f"ki{i}"),
-            F.count_if(kind == "boolean").alias(f"kb{i}"),
-            F.avg(x).alias(f"avg{i}"),
-            F.max(x).alias(f"max{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.sum(x).alias(f"sum{i}"),
-            F.stddev_pop(x).alias(f"std{i}"),
-            F.percentile_approx(x, points, 1000).alias(f"p{i}"),
-        ]
-    one = df.agg(*aggs)
-    cells = []
+    points = [k / 100 for k in range(1, 101)] if percentiles else [0.25, 0.5, 0.75]
+    quartiles = (24, 49, 74) if percentiles else (0, 1, 2)
+    listed = ", ".join(f"{p}D" for p in points)
+    inputs, aggs, cells = [], ["count(1) AS rows"], []
     for i, f in enumerate(fields):
-        g = lambda a: F.col(f"{a}{i}")  # noqa: B023, E731
+        c, x, k = f"c{i}", f"x{i}", f"k{i}"
+        inputs += [f"{A.quote(f.name)} AS {c}", f"{_number(f)} AS {x}"]
+        aggs += [f"count({c}) AS n{i}"]
+        aggs += [f"{fn}({x}) AS {name}{i}" for name, fn in FIGURES.items()]
+        aggs += [f"percentile_approx({x}, array({listed}), 1000) AS p{i}"]
+        aggs += [f"approx_count_distinct({c}) AS d{i}" if _is_plain(f) else f"CAST(NULL AS BIGINT) AS d{i}"]
         if _is_text(f):
-            filled = g("ks") + g("kf") + g("ki") + g("kb")
+            inputs += [f"{A.value_class(A.quote(f.name))} AS {k}"]
+            aggs += [f"count_if({k} = '{kind}') AS {kind}{i}" for kind in A.CLASSES]
             kind = (
-                F.when(filled == 0, "Unknown")
-                .when((g("ks") > 0) | ((g("kb") > 0) & (g("kf") + g("ki") > 0)), "String")
-                .when(g("kb") > 0, "Boolean")
-                .when(g("kf") > 0, "Fractional")
-                .otherwise("Integral")
+                f"CASE WHEN n{i} = 0 THEN 'Unknown' "
+                f"WHEN string{i} > 0 OR (boolean{i} > 0 AND fractional{i} + integral{i} > 0) THEN 'String' "
+                f"WHEN boolean{i} > 0 THEN 'Boolean' WHEN fractional{i} > 0 THEN 'Fractional' ELSE 'Integral' END"
             )
         else:
-            kind = F.lit(_native(f))
-        numeric = kind.isin("Integral", "Fractional")
-        num = lambda a: F.when(numeric, g(a))  # noqa: B023, E731
-        pct = num("p")
-        q = (24, 49, 74) if percentiles else (0, 1, 2)
+            kind = f"'{_native(f)}'"
+        numeric = f"{kind} IN ('Integral', 'Fractional')"
         cells.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                kind.alias("dataType"),
-                F.lit(_is_text(f)).alias("isDataTypeInferred"),
-                (g("n") / F.col("rows")).alias("completeness"),
-                g("d").alias("approximateNumDistinctValues"),
-                num("avg").alias("mean_col"),
-                num("max").alias("maximum"),
-                num("min").alias("minimum"),
-                num("sum").alias("sum_col"),
-                num("std").alias("stdDev_col"),
-                *[F.get(pct, F.lit(k)).alias(f"approxQ{j + 1}") for j, k in enumerate(q)],
-                F.col("rows").alias("rows"),
-                (pct if percentiles else F.lit(None).cast("array<double>")).alias("percentiles"),
-            )
+            f"named_struct('column', {A.text_literal(f.name)}, 'dataType', {kind}, "
+            f"'isDataTypeInferred', {str(_is_text(f)).lower()}, 'completeness', n{i} / rows, "
+            f"'approximateNumDistinctValues', d{i}, "
+            + "".join(f"'{out}', if({numeric}, {name}{i}, NULL), " for name, out in FIGURE_NAMES.items())
+            + "".join(f"'approxQ{j + 1}', if({numeric}, get(p{i}, {q}), NULL), " for j, q in enumerate(quartiles))
+            + f"'rows', rows, 'percentiles', if({numeric}, p{i}, NULL))"
         )
-    return one.select(F.inline(F.array(*cells)))
+    one = df.selectExpr(*inputs).selectExpr(*aggs)
+    return one.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def _labels(df: DataFrame, database: str, table: str, timestamp: Column | None) -> DataFrame:
@@ -141,15 +121,13 @@ def percentile_table(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None, limit: int = LOW_CARDINALITY) -> list[str]:
     """Names of the columns worth a histogram, from one aggregate with one result row."""
     fields = [f for f in df.schema if _is_plain(f) and (columns is None or f.name in columns)]
-    row = df.agg(*[F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f.name) for f in fields]).first()
-    return [f.name for f in fields if row[f.name] <= limit]
+    row = df.selectExpr(*[f"approx_count_distinct({A.quote(f.name)})" for f in fields]).first()
+    return [f.name for f, n in zip(fields, row) if n <= limit]
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (column_name, value, n) of all listed columns, from one scan."""
-    text = df.select(
-        *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(A.NULL_BIN)).alias(c) for c in columns]
-    )
+    text = df.selectExpr(*[f"coalesce(string({A.quote(c)}), '{A.NULL_BIN}') AS {A.quote(c)}" for c in columns])
     return text.unpivot([], list(columns), "column_name", "value").groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
