@@ -122,7 +122,7 @@ def flatten_json(
         cells = [
             (F.coalesce(*by_name[n]) if n in by_name else F.lit(None).cast("string")).alias(n) for n in columns
         ]
-        return F.array(F.struct(*cells)).cast(row_type)
+        return F.array(F.struct(*cells))
 
     def records(c: Column, t: T.DataType, path: str, around: dict[str, Column]) -> Column:
         own = around | _scalars(c, t, path)

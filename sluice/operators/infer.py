@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 from sluice.types import Split
 
-# Date and time patterns in order of preference: pattern -> (shape, parse pattern) (fixed values).
+# Date and time patterns in order of preference: pattern -> shape (fixed values).
 DATES = {
-    "yyyy-MM-dd": (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    "yyyy/MM/dd": (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    "dd-MM-yyyy": (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    "dd/MM/yyyy": (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    "MM/dd/yyyy": (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    "yyyyMMdd": (r"^\d{8}$", "yyyyMMdd"),
+    "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "dd-MM-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "dd/MM/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "MM/dd/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
 }
 TIMES = {
-    "yyyy-MM-ddTHH:mm:ss": (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
-    "ddMMMyyyy:HH:mm:ss": (r"^\d{2}[A-Za-z]{3}\d{4}:\d{1,2}:\d{1,2}:\d{1,2}$", "ddMMMyyyy:H:m:s"),
-    "yyyy-MM-dd HH:mm:ss": (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+    "yyyy-MM-ddTHH:mm:ss": r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$",
+    "ddMMMyyyy:HH:mm:ss": r"^\d{2}[A-Za-z]{3}\d{4}:\d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
 }
+MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 INTEGER = r"^(-?[1-9][0-9]*|0)$"
 DOUBLE = r"^-?\d+\.\d+$"
 # Shortest text tried as a date, and the share of it that must be digits (fixed values).
@@ -31,36 +32,50 @@ MIN_DATE_LENGTH, MIN_DIGIT_SHARE = 8, 0.6
 DELIMITERS = {"comma": ",", "pipe": r"\|", "tab": r"\t", "tabs": r"\t+", "spaces": " +"}
 
 
-def _month_case(c: Column) -> Column:
-    """01JAN2020:... -> 01Jan2020:..., the spelling Spark's month pattern reads."""
-    return F.concat(F.substring(c, 1, 2), F.initcap(F.substring(c, 3, 3)), F.substring(c, 6, 100))
+def _iso_text(t: Column, pattern: str) -> Column:
+    """Text of the pattern's shape, rewritten year first: Spark's casts read that without a formatter."""
+    if pattern == "yyyyMMdd":
+        return F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))
+    if pattern == "ddMMMyyyy:HH:mm:ss":
+        month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.upper(F.substring(t, 3, 3)))
+        day = F.concat_ws("-", F.substring(t, 6, 4), month.cast("string"), F.substring(t, 1, 2))
+        return F.concat_ws(" ", day, F.substring(t, 11, 8))
+    if pattern.startswith("yyyy"):
+        return F.translate(t, "/", "-")
+    part = lambda i: F.split_part(F.translate(t, "/", "-"), F.lit("-"), F.lit(i))
+    month, day = (1, 2) if pattern.startswith("MM") else (2, 1)
+    return F.concat_ws("-", part(3), part(month), part(day))
 
 
-def _parse_time(c: Column, pattern: str) -> Column:
-    text = _month_case(c) if "MMM" in pattern else c
-    return F.try_to_timestamp(text, F.lit(TIMES[pattern][1])).cast("timestamp_ntz")
+def _parsed(t: Column, pattern: str) -> Column:
+    """Date or time of text that fits the pattern, else null."""
+    kind, shape = ("date", DATES[pattern]) if pattern in DATES else ("timestamp_ntz", TIMES[pattern])
+    return F.when(t.rlike(shape), _iso_text(t, pattern).try_cast(kind))
 
 
 def classify(c: Column) -> Column:
     """Class of a cell: '', a date or time pattern, bigint, double or string."""
     t = F.trim(c)
-    digits = F.length(F.regexp_replace(t, "[^0-9]", ""))
-    dated = (F.length(t) >= MIN_DATE_LENGTH) & (digits > F.length(t) * MIN_DIGIT_SHARE)
-    out = F.when(F.coalesce(t, F.lit("")) == "", "")
-    for pattern, (shape, parse) in DATES.items():
-        out = out.when(dated & t.rlike(shape) & F.try_to_date(t, parse).isNotNull(), pattern)
-    for pattern, (shape, _) in TIMES.items():
-        out = out.when(dated & t.rlike(shape) & _parse_time(t, pattern).isNotNull(), pattern)
-    return out.when(t.rlike(INTEGER), "bigint").when(t.rlike(DOUBLE), "double").otherwise("string")
+    digits = F.length(t) - F.length(F.translate(t, "0123456789", ""))
+    number = F.when(t.rlike(INTEGER), "bigint").when(t.rlike(DOUBLE), "double").otherwise("string")
+    checks = [(p, _parsed(t, p).isNotNull()) for p in (*DATES, *TIMES)]
+    (first, test), *others = checks
+    dated = F.when(test, first)
+    for pattern, test in others:
+        dated = dated.when(test, pattern)
+    looks_dated = (F.length(t) >= MIN_DATE_LENGTH) & (digits > F.length(t) * MIN_DIGIT_SHARE)
+    return (
+        F.when(F.coalesce(t, F.lit("")) == "", "")
+        .when(looks_dated, dated.otherwise(number))
+        .otherwise(number)
+    )
 
 
 def class_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows (column, class, n): at most a dozen per column, counted in one scan."""
     cols = list(columns or df.columns)
-    classes = df.select(*[classify(F.col(f"`{c}`").cast("string")).alias(c) for c in cols])
-    return classes.unpivot([], cols, "column", "class").groupBy("column", "class").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    cells = df.selectExpr(*[f"string(`{c}`) AS `{c}`" for c in cols]).unpivot([], cols, "column", "cell")
+    return cells.groupBy("column", classify(F.col("cell")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -105,10 +120,8 @@ def cast_inferred(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     out = {}
     for name, kind in types.items():
         c = F.trim(F.col(f"`{name}`").cast("string"))
-        if kind in DATES:
-            out[name] = F.try_to_date(c, DATES[kind][1])
-        elif kind in TIMES:
-            out[name] = _parse_time(c, kind)
+        if kind in DATES or kind in TIMES:
+            out[name] = _parsed(c, kind)
         else:
             out[name] = F.col(f"`{name}`").cast("string") if kind == "string" else c.try_cast(kind)
     return df.withColumns(out)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # Text classes for type detection (fixed patterns).
 FRACTIONAL = r"^[-+]? ?(\d+\.\d*|\.\d+)$"
 INTEGRAL = r"^[-+]? ?\d+$"
-BOOLEAN = r"^(true|false)$"
+BOOLEANS = ("true", "false")
 CLASSES = ("null", "fractional", "integral", "boolean", "string")
 # Histogram bin that holds the nulls (fixed value).
 NULL_BIN = "NullValue"
@@ -124,12 +124,16 @@ def standard_deviation(column: str) -> Metric:
 
 
 def value_class(expression: str) -> str:
-    """SQL text: type class of a value, judged by its text."""
+    """SQL text: type class of a value, judged by its text.
+
+    Text with a character no number has is sorted out before the patterns are tried.
+    """
     t = f"string({expression})"
     return (
-        f"CASE WHEN {t} IS NULL THEN 'null' WHEN {t} RLIKE {text_literal(FRACTIONAL)} THEN 'fractional' "
+        f"CASE WHEN {t} IS NULL THEN 'null' WHEN {t} IN {BOOLEANS} THEN 'boolean' "
+        f"WHEN translate({t}, '0123456789+-. ', '') <> '' THEN 'string' "
         f"WHEN {t} RLIKE {text_literal(INTEGRAL)} THEN 'integral' "
-        f"WHEN {t} RLIKE {text_literal(BOOLEAN)} THEN 'boolean' ELSE 'string' END"
+        f"WHEN {t} RLIKE {text_literal(FRACTIONAL)} THEN 'fractional' ELSE 'string' END"
     )
 
 
