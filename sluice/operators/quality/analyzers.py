@@ -263,13 +263,6 @@ def _rows(df: DataFrame, named: Sequence[tuple[int, Column | str]]) -> DataFrame
     return one.selectExpr(f"stack({len(named)}, {cells}) AS (id, value)")
 
 
-def small_table(df: DataFrame, names: str, rows: Sequence[tuple[int | str, ...]]) -> DataFrame:
-    """A few literal rows as a table of Spark's own, so joining them is a broadcast."""
-    cell = lambda v: text_literal(v) if isinstance(v, str) else str(v)
-    values = ", ".join("(" + ", ".join(map(cell, row)) + ")" for row in rows)
-    return df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({names})")
-
-
 def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     """Rows (id, value), ``id`` being the position in ``metrics``."""
     parts: list[DataFrame] = []
@@ -296,5 +289,10 @@ def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
 def analyze(df: DataFrame, metrics: Sequence[Metric | list[Metric]]) -> DataFrame:
     """Rows (entity, instance, name, value), one per metric."""
     flat = _flatten(metrics)
-    labels = small_table(df, "id, entity, instance, name", [(i, m.entity, m.instance, m.name) for i, m in enumerate(flat)])
-    return measure(df, flat).join(labels, "id").select("entity", "instance", "name", "value")
+    label = lambda values: f"element_at(array({', '.join(map(text_literal, values))}), id + 1)"
+    return measure(df, flat).selectExpr(
+        f"{label([m.entity for m in flat])} AS entity",
+        f"{label([m.instance for m in flat])} AS instance",
+        f"{label([m.name for m in flat])} AS name",
+        "value",
+    )

@@ -226,15 +226,25 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
             metrics.append(k.metric)
         use.append(position[key])
     values = A.measure(df, metrics)
-    names = A.small_table(
-        df, "id, nr, `check`, check_level, `constraint`",
-        [(use[i], i, c.name, LEVELS[c.level], k.name) for i, (c, k) in enumerate(listed)],
-    )
+    text = A.text_literal
+    # Per metric, the constraints that use it.
+    users = [
+        "array("
+        + ", ".join(
+            f"named_struct('nr', {i}, 'check', {text(c.name)}, 'check_level', '{LEVELS[c.level]}', "
+            f"'constraint', {text(k.name)})"
+            for i, (c, k) in enumerate(listed)
+            if use[i] == m
+        )
+        + ")"
+        for m in range(len(metrics))
+    ]
     value, holds = F.col("value"), None
     for i, (_, k) in enumerate(listed):
         mine = F.expr(f"nr = {i}")
         holds = F.when(mine, k.holds(value)) if holds is None else holds.when(mine, k.holds(value))
-    rows = values.join(names, "id").withColumn("ok", F.coalesce(holds, F.lit(False)))
+    rows = values.selectExpr("value", f"inline(element_at(array({', '.join(users)}), id + 1))")
+    rows = rows.withColumn("ok", F.coalesce(holds, F.lit(False)))
     out = rows.selectExpr(
         "`check`",
         "check_level",

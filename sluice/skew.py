@@ -11,18 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A key above 1/HOT_KEYS of the rows is frequent, so there are at most HOT_KEYS of them.
 HOT_KEYS = 1000
 # Below this many rows one task copes with the key, whatever its share.
 HOT_ROWS = 200_000
 
-_UNHASHABLE = (T.MapType, T.VariantType)
-
-
 def frequent_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """At most HOT_KEYS rows ``(_h, _parts)``: key hash, number of sub-keys to use."""
     sketch = df.select(F.xxhash64(*keys).alias("_h")).agg(
@@ -38,12 +34,6 @@ def frequent_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS)
     )
 
 
-def _row_spread(df: DataFrame) -> Column:
-    """Repeatable per task and different for equal rows of different tasks."""
-    cols = [f.name for f in df.schema if not isinstance(f.dataType, _UNHASHABLE)]
-    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in cols])
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -84,9 +74,12 @@ def spread_join(
         .drop("_h", "_parts", "_rh")
     )
     lcols = left.columns
-    le = left.withColumns({"_lh": F.xxhash64(*lkeys), "_lr": _row_spread(left)})
+    # The sub-key depends on the input partition and the key alone. A key with many rows
+    # has them in many partitions; no further column is read for it, and a task that is
+    # run again sends every row where it went before, in whatever order rows arrive.
+    le = left.withColumns({"_lh": F.xxhash64(*lkeys), "_lp": F.xxhash64(F.spark_partition_id(), *lkeys)})
     le = le.join(F.broadcast(hot), le["_lh"] == hot["_h"], "left").withColumn(
-        "_ls", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod("_lr", "_parts")).cast("int")
+        "_ls", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod("_lp", "_parts")).cast("int")
     )
     cond = F.col("_ls") == F.col("_rs")
     for lk, rk in pairs:
