@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import plain_unions
 from sluice.skew import spread_join
 
 On = Sequence[str | tuple[str, str]]
@@ -60,6 +61,7 @@ def join_distinct(left: DataFrame, right: DataFrame, on: On, cols: Sequence[str]
 
 def union_by_name(*frames: DataFrame, fill_missing: bool = False) -> DataFrame:
     out = frames[0]
+    plain_unions(out.sparkSession)
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=fill_missing)
     return out
@@ -75,6 +77,7 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     Copies are counted, not carried, through the shuffle. Rows with very many copies
     left are written out by several tasks.
     """
+    plain_unions(left.sparkSession)
     cols = left.columns
     signed = left.withColumn("_n", F.lit(1)).union(right.select(*cols).withColumn("_n", F.lit(-1)))
     rest = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n > 0")

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import durable
+from sluice.session import durable, scratch_path
 from sluice.skew import spread_join
 
 # Class that stands for missing values when labels are encoded (fixed value).
@@ -94,6 +95,17 @@ def assemble(df: DataFrame, features: Sequence[str] | str, out: str = "features"
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def detached(model: Model, df: DataFrame) -> Model:
+    """The model without its training summary, by way of the shared folder.
+
+    A summary holds the session. Once the session has observed a metric it cannot be
+    sent to executors any more (Spark 4.1), and with it no model that has a summary.
+    """
+    path = scratch_path(df.sparkSession, "model")
+    model.save(path)
+    return type(model).load(path)
+
+
 def fit_logistic(
     df: DataFrame, features: Sequence[str] | str, label: str,
     c: float = 1.0, l1_ratio: float = 0.0, max_iter: int = 100,
@@ -103,7 +115,7 @@ def fit_logistic(
     estimator = LogisticRegression(
         labelCol=label, maxIter=max_iter, elasticNetParam=l1_ratio, regParam=1.0 / (c * max(1, df.count()))
     )
-    return estimator.fit(data)
+    return detached(estimator.fit(data), data)
 
 
 def fit_forest(
@@ -114,7 +126,8 @@ def fit_forest(
         labelCol=label, numTrees=n_estimators, minInstancesPerNode=min_samples_leaf, maxDepth=max_depth,
         featureSubsetStrategy=max_features, seed=seed,
     )
-    return estimator.fit(assemble(df, features))
+    data = assemble(df, features)
+    return detached(estimator.fit(data), data)
 
 
 def sample_grid(estimator, ranges: Mapping[str, tuple], n: int, seed: int = 0) -> list[dict]:
@@ -135,16 +148,29 @@ def sample_grid(estimator, ranges: Mapping[str, tuple], n: int, seed: int = 0) -
     return out
 
 
+class Tuned(NamedTuple):
+    """Best model, fitted on all rows, its setting, and the score of every setting tried."""
+
+    model: Model
+    setting: dict
+    scores: list[float]
+
+
 def tune(
     df: DataFrame, estimator, ranges: Mapping[str, tuple], evaluator: Evaluator,
     n: int = 40, parallelism: int = 4, seed: int = 0, train_ratio: float = 0.7,
-):
-    """Random search; fits run ``parallelism`` at a time. The result holds all scores and the best model."""
-    search = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=sample_grid(estimator, ranges, n, seed), evaluator=evaluator,
-        trainRatio=train_ratio, parallelism=parallelism, seed=seed,
-    )
-    return search.fit(df)
+) -> Tuned:
+    """Random search: fit on one part of the rows, score on the other, ``parallelism`` fits at a time."""
+    settings = sample_grid(estimator, ranges, n, seed)
+    train, valid = df.randomSplit([train_ratio, 1 - train_ratio], seed)
+
+    def trial(setting: dict) -> float:
+        return evaluator.evaluate(detached(estimator.fit(train, setting), df).transform(valid))
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(trial, settings)
+    best = settings[scores.index(max(scores) if evaluator.isLargerBetter() else min(scores))]
+    return Tuned(detached(estimator.fit(df, best), df), best, scores)
 
 
 def score(df: DataFrame, model: Model, features: Sequence[str] | str, keep: Sequence[str], out: str = "prediction") -> DataFrame:

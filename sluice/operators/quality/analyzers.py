@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import plain_unions
+
 # Text classes for type detection (fixed patterns).
 FRACTIONAL = r"^[-+]? ?(\d+\.\d*|\.\d+)$"
 INTEGRAL = r"^[-+]? ?\d+$"
@@ -265,6 +267,7 @@ def _rows(df: DataFrame, named: Sequence[tuple[int, Column | str]]) -> DataFrame
 
 def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     """Rows (id, value), ``id`` being the position in ``metrics``."""
+    plain_unions(df.sparkSession)
     parts: list[DataFrame] = []
     scalars = [(i, m.scalar) for i, m in enumerate(metrics) if m.scalar is not None]
     if scalars:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import plain_unions
+
 
 @dataclass(frozen=True)
 class Labels:
@@ -48,6 +50,7 @@ def reconcile_counts(
     ts: Column | None = None,
 ) -> DataFrame:
     """One row: row counts of both sides and whether they match."""
+    plain_unions(src.sparkSession)
     zero = F.lit(0).cast("long")
     s = _filtered(src, src_filter).agg(F.count(F.lit(1)).alias("s")).withColumn("t", zero)
     t = _filtered(tgt, tgt_filter).agg(F.count(F.lit(1)).alias("t")).withColumn("s", zero)
@@ -84,6 +87,7 @@ def reconcile_measures(
         vals = {"s": none, "t": none, keep: F.col("v")}
         return one.select(F.inline(cells)).select("i", vals["s"].alias("s"), vals["t"].alias("t"))
 
+    plain_unions(src.sparkSession)
     s = side(_filtered(src, src_filter), [a for a, _ in pairs], "s")
     t = side(_filtered(tgt, tgt_filter), [b for _, b in pairs], "t")
     both = s.unionByName(t).groupBy("i").agg(F.max("s").alias("s"), F.max("t").alias("t"))

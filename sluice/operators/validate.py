@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import text
 from sluice.functions.errors import ERRORS, add_error, with_errors
+from sluice.session import plain_unions
 from sluice.skew import spread_join
 from sluice.types import is_blank
 
@@ -307,6 +308,7 @@ def route(
     For branches with different plans; where a condition column does, prefer ``when``.
     """
     rest = ~F.col(col).isin(list(branches)) | F.col(col).isNull()
+    plain_unions(df.sparkSession)
     out = df.where(rest)
     for value, fn in branches.items():
         out = out.unionByName(fn(df.where(F.col(col) == value)), allowMissingColumns=True)

@@ -283,8 +283,7 @@ def hyper_parameter_search(t: Tables):
                        "impurity": ("categorical", ["gini", "entropy"])},
         MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"), n=4, parallelism=2, seed=3,
     )
-    best = found.bestModel
-    return ml.score(_vectors(t), best, "embedding", ["vec_id"]).withColumn("trees", F.lit(best.getNumTrees))
+    return ml.score(_vectors(t), found.model, "embedding", ["vec_id"]).withColumn("best_score", F.lit(max(found.scores)))
 
 
 @plan("m08_batch_scoring")

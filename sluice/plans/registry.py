@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.session import scratch_path
+from sluice.session import plain_unions, scratch_path
 from sluice.sources.files import read_files
 
 Plan = Callable[["Tables"], DataFrame]
@@ -20,6 +20,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        plain_unions(spark)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

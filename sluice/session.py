@@ -23,6 +23,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def plain_unions(spark: SparkSession) -> None:
+    """Keep unions from relying on the partitioning of their inputs.
+
+    Spark 4.1 pairs up the partitions of inputs it takes for equally partitioned, and
+    fails ("Can't zip RDDs") when adaptive execution has changed one of them since.
+    """
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call returns."""
     app = spark.sparkContext.applicationId

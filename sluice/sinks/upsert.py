@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.session import plain_unions
+
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | str) -> DataFrame:
     """The row with the largest ``order_by`` per key; ties fall to a hash of the row.
@@ -26,25 +28,34 @@ def upsert(
 ) -> DataFrame:
     """Merge ``delta`` into ``base`` (one row per key); the larger ``order_by`` wins.
 
-    The delta is reduced to one row per key first. Base rows whose key is not in the
-    delta only pass an anti join, which Spark runs without shuffling the base when the
-    measured size of the delta keys allows a broadcast.
+    On equal ``order_by`` the delta wins. The delta is reduced to one row per key, so
+    the base passes a single left join that replaces rows in place, and its keys a semi
+    join that tells which delta rows are new. Spark runs both without shuffling the
+    base when the measured size of the delta allows a broadcast.
     """
-    keys = list(keys)
-    news = latest(delta, keys, order_by)
-    touched = news.select(*keys)
-    untouched = base.join(touched, keys, "left_anti")
-    rivals = base.join(touched, keys, "left_semi").unionByName(news)
-    return untouched.select(*base.columns).unionByName(latest(rivals, keys, order_by))
+    plain_unions(base.sparkSession)
+    keys, columns = list(keys), base.columns
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    news = latest(delta, keys, order).select(*columns)
+    met = base.join(news.select(*keys, F.struct(*columns).alias("_new")), keys, "left")
+    rank = lambda prefix: F.struct(*[F.col(prefix + c) for c in order])
+    newer = F.col("_new").isNotNull() & ~(rank("") > rank("_new."))
+    merged = met.select(
+        *[F.col(c) if c in keys else F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+    )
+    seen = base.select(*keys).join(news.select(*keys), keys, "left_semi")
+    return merged.unionByName(news.join(seen, keys, "left_anti"))
 
 
 def insert_new(
     base: DataFrame, delta: DataFrame, keys: Sequence[str], order_by: Sequence[str] | str | None = None
 ) -> DataFrame:
     """Append delta rows with unseen keys, one per key; existing rows stay as they are."""
+    plain_unions(base.sparkSession)
     keys = list(keys)
     news = delta.dropDuplicates(keys) if order_by is None else latest(delta, keys, order_by)
-    fresh = news.join(base.select(*keys), keys, "left_anti")
+    seen = base.select(*keys).join(news.select(*keys), keys, "left_semi")
+    fresh = news.join(seen, keys, "left_anti")
     return base.unionByName(fresh.select(*base.columns))
 
 

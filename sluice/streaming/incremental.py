@@ -80,6 +80,9 @@ def upsert_new(
         point_table_at(spark_, table, version)
 
     run_available(new_files(spark, path, schema, fmt, **options), checkpoint, merge)
+    # Batches run in a session of their own; this one may remember the old location.
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
 
 
 def log_quality(
