@@ -29,9 +29,7 @@ def _is_plain(f: T.StructField) -> bool:
 
 
 def _number(f: T.StructField) -> str:
-    """SQL text: the value as a number, null for types that have none."""
-    if _is_text(f):
-        return f"try_cast({A.quote(f.name)} AS DOUBLE)"
+    """SQL text: the value of a column that is not text as a number, null for types that have none."""
     return f"double({A.quote(f.name)})" if isinstance(f.dataType, T.NumericType) else "CAST(NULL AS DOUBLE)"
 
 
@@ -55,16 +53,18 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, percent
     points = [k / 100 for k in range(1, 101)] if percentiles else [0.25, 0.5, 0.75]
     quartiles = (24, 49, 74) if percentiles else (0, 1, 2)
     listed = ", ".join(f"{p}D" for p in points)
-    inputs, aggs, cells = [], ["count(1) AS rows"], []
+    inputs, numbers, aggs, cells = [], ["*"], ["count(1) AS rows"], []
     for i, f in enumerate(fields):
         c, x, k = f"c{i}", f"x{i}", f"k{i}"
-        inputs += [f"{A.quote(f.name)} AS {c}", f"{_number(f)} AS {x}"]
+        inputs += [f"{A.quote(f.name)} AS {c}"]
         aggs += [f"count({c}) AS n{i}"]
         aggs += [f"{fn}({x}) AS {name}{i}" for name, fn in FIGURES.items()]
         aggs += [f"percentile_approx({x}, array({listed}), 1000) AS p{i}"]
         aggs += [f"approx_count_distinct({c}) AS d{i}" if _is_plain(f) else f"CAST(NULL AS BIGINT) AS d{i}"]
         if _is_text(f):
             inputs += [f"{A.value_class(A.quote(f.name))} AS {k}"]
+            # A failed cast costs far more than a good one, so only numbers are cast.
+            numbers += [f"if({k} IN ('integral', 'fractional'), try_cast({c} AS DOUBLE), NULL) AS {x}"]
             aggs += [f"count_if({k} = '{kind}') AS {kind}{i}" for kind in A.CLASSES]
             kind = (
                 f"CASE WHEN n{i} = 0 THEN 'Unknown' "
@@ -72,6 +72,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, percent
                 f"WHEN boolean{i} > 0 THEN 'Boolean' WHEN fractional{i} > 0 THEN 'Fractional' ELSE 'Integral' END"
             )
         else:
+            inputs += [f"{_number(f)} AS {x}"]
             kind = f"'{_native(f)}'"
         numeric = f"{kind} IN ('Integral', 'Fractional')"
         cells.append(
@@ -82,7 +83,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, percent
             + "".join(f"'approxQ{j + 1}', if({numeric}, get(p{i}, {q}), NULL), " for j, q in enumerate(quartiles))
             + f"'rows', rows, 'percentiles', if({numeric}, p{i}, NULL))"
         )
-    one = df.selectExpr(*inputs).selectExpr(*aggs)
+    one = df.selectExpr(*inputs).selectExpr(*numbers).selectExpr(*aggs)
     return one.selectExpr(f"inline(array({', '.join(cells)}))")
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as A
 from sluice.operators.quality.profile import low_cardinality, profile_columns, value_counts
+from sluice.session import plain_unions
 
 # Defaults published with the method (Schelter et al., VLDB 2018, and its open-source code).
 Z = 1.96
@@ -28,89 +29,116 @@ RULES = (
 )
 
 
-def _lower_bound(p, n):
-    """Lower end of the confidence interval of a share, cut to two decimals."""
-    return F.floor((p - Z * F.sqrt(p * (1 - p) / n)) * 100) / 100
+def _bound(p: str, n: str) -> str:
+    """SQL text: lower end of the confidence interval of a share, cut to two decimals, as text."""
+    return f"format_number(floor(({p} - {Z} * sqrt({p} * (1 - {p}) / {n})) * 100) / 100, 2)"
 
 
-def _row(df: DataFrame, rule: str, constraint, code) -> DataFrame:
-    return df.select(
-        F.col("column"), F.lit(rule).alias("rule"), constraint.alias("constraint"), code.alias("code")
-    )
+def _rule(name: str, applies: str, constraint: str, code: str) -> str:
+    """SQL text: the suggestion as a struct, or null where the rule does not apply."""
+    return f"if({applies}, named_struct('rule', '{name}', 'constraint', {constraint}, 'code', {code}), NULL)"
+
+
+def _expand(df: DataFrame, rules: Sequence[str]) -> DataFrame:
+    """One row per column and rule that applies."""
+    found = f"filter(array({', '.join(rules)}), r -> r IS NOT NULL)"
+    return df.selectExpr("column", f"inline({found})").select("column", "rule", "constraint", "code")
+
+
+def _profile_rules() -> dict[str, str]:
+    name, low = "column", _bound("completeness", "rows")
+    kind = "if(dataType = 'Integral', 'integer', lower(dataType))"
+    return {
+        "CompleteIfComplete": _rule(
+            "CompleteIfComplete", "completeness = 1",
+            f"format_string('\\'%s\\' is not null', {name})", f"format_string('.is_complete(\"%s\")', {name})",
+        ),
+        "RetainCompleteness": _rule(
+            "RetainCompleteness", f"completeness > {MIN_COMPLETENESS} AND completeness < 1",
+            f"format_string('completeness of \\'%s\\' is at least %s', {name}, {low})",
+            f"format_string('.has_completeness(\"%s\", lambda x: x >= %s)', {name}, {low})",
+        ),
+        "RetainType": _rule(
+            "RetainType", "isDataTypeInferred AND dataType IN ('Integral', 'Fractional', 'Boolean')",
+            f"format_string('\\'%s\\' has type %s', {name}, dataType)",
+            f"format_string('.has_data_type(\"%s\", \"%s\")', {name}, {kind})",
+        ),
+        "NonNegativeNumbers": _rule(
+            "NonNegativeNumbers", "dataType IN ('Integral', 'Fractional') AND minimum >= 0",
+            f"format_string('\\'%s\\' has no negative values', {name})",
+            f"format_string('.is_non_negative(\"%s\")', {name})",
+        ),
+    }
+
+
+def _category_rules() -> dict[str, str]:
+    low = _bound("covered", "rows")
+    return {
+        "CategoricalRange": _rule(
+            "CategoricalRange", f"once <= {MAX_UNIQUE_CATEGORICAL}",
+            "format_string('\\'%s\\' has value range %s', column, all_values)",
+            "format_string('.is_contained_in(\"%s\", [%s])', column, all_values)",
+        ),
+        "FractionalCategoricalRange": _rule(
+            "FractionalCategoricalRange", f"once <= {MAX_UNIQUE_FRACTIONAL} AND covered < 1",
+            f"format_string('\\'%s\\' has value range %s for at least %s of the rows', column, top_values, {low})",
+            f"format_string('.is_contained_in(\"%s\", [%s], lambda x: x >= %s)', column, top_values, {low})",
+        ),
+    }
+
+
+# Values in order of frequency, quoted and joined; ``{}`` is the list of (n, value) structs.
+_LISTED = (
+    "array_join(transform(array_sort({}, (a, b) -> CASE WHEN a.n <> b.n THEN if(a.n > b.n, -1, 1) "
+    "WHEN a.value < b.value THEN -1 WHEN a.value > b.value THEN 1 ELSE 0 END), "
+    "s -> '\\'' || s.value || '\\''), ', ')"
+)
 
 
 def _categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per text column with few values: share of values seen once, value lists, coverage.
 
     Works on the value counts of low-cardinality columns, so each column has at most
-    as many rows here as the cardinality limit allows.
+    as many rows here as the cardinality limit allows. Columns whose values are all
+    numbers or all booleans are left out.
     """
-    by_count = Window.partitionBy("column_name").orderBy(F.col("n").desc(), "value")
-    counts = value_counts(df, columns).where(F.col("value") != A.NULL_BIN)
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
-    ranked = counts.withColumns(
-        {
-            "rows": total.scalar(),
-            "before": F.coalesce(F.sum("n").over(by_count.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        }
+    counts = value_counts(df, columns)
+    rows = counts.groupBy("column_name").agg(F.sum("n").alias("rows"))
+    ranked = counts.where(F.col("value") != A.NULL_BIN).join(rows, "column_name").selectExpr(
+        "column_name", "value", "n", "rows", f"{A.value_class('value')} AS kind",
+        "coalesce(sum(n) OVER (PARTITION BY column_name ORDER BY n DESC, value "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
     )
-    pair = F.struct(F.col("n"), F.col("value"))
-    top = F.col("before") < F.col("rows") * COVERAGE
-    quoted = lambda arr: F.array_join(
-        F.transform(F.array_sort(arr, lambda a, b: F.when(a["n"] != b["n"], b["n"] - a["n"]).when(a["value"] < b["value"], -1).otherwise(1).cast("int")),
-                    lambda s: F.concat(F.lit("'"), s["value"], F.lit("'"))), ", ")
-    return ranked.groupBy(F.col("column_name").alias("column")).agg(
-        (F.count_if(F.col("n") == 1) / F.count(F.lit(1))).alias("once"),
-        quoted(F.collect_list(pair)).alias("all_values"),
-        quoted(F.collect_list(F.when(top, pair))).alias("top_values"),
-        (F.sum(F.when(top, F.col("n")).otherwise(0)) / F.max("rows")).alias("covered"),
-        F.max("rows").alias("rows"),
+    top = f"before < rows * {COVERAGE}"
+    pair = "named_struct('n', n, 'value', value)"
+    out = ranked.groupBy(F.col("column_name").alias("column")).agg(
+        F.expr("count_if(n = 1) / count(1) AS once"),
+        F.expr(_LISTED.format(f"collect_list({pair})") + " AS all_values"),
+        F.expr(_LISTED.format(f"collect_list(if({top}, {pair}, NULL))") + " AS top_values"),
+        F.expr(f"sum(if({top}, n, 0)) / max(rows) AS covered"),
+        F.expr("max(rows) AS rows"),
+        F.expr("bool_or(kind = 'string') OR (bool_or(kind = 'boolean') AND bool_or(kind <> 'boolean')) AS is_text"),
     )
+    return out.where("is_text")
 
 
 def suggest(df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows (column, rule, constraint, code) for every rule that applies."""
-    prof = profile_columns(df, columns).withColumn("nulls", 1 - F.col("completeness"))
-    name = F.col("column")
-    out: list[DataFrame] = []
-    if "CompleteIfComplete" in rules:
-        out.append(_row(prof.where("completeness = 1"), "CompleteIfComplete",
-                        F.format_string("'%s' is not null", name), F.format_string('.is_complete("%s")', name)))
-    if "RetainCompleteness" in rules:
-        part = prof.where((F.col("completeness") > MIN_COMPLETENESS) & (F.col("completeness") < 1))
-        low = F.format_number(_lower_bound(F.col("completeness"), F.col("rows")), 2)
-        out.append(_row(part, "RetainCompleteness",
-                        F.format_string("completeness of '%s' is at least %s", name, low),
-                        F.format_string('.has_completeness("%s", lambda x: x >= %s)', name, low)))
-    if "RetainType" in rules:
-        kind = F.lower("dataType")
-        part = prof.where("isDataTypeInferred AND dataType IN ('Integral', 'Fractional', 'Boolean')")
-        word = F.when(kind == "integral", "integer").otherwise(kind)
-        out.append(_row(part, "RetainType",
-                        F.format_string("'%s' has type %s", name, F.col("dataType")),
-                        F.format_string('.has_data_type("%s", "%s")', name, word)))
-    if "NonNegativeNumbers" in rules:
-        part = prof.where("dataType IN ('Integral', 'Fractional') AND minimum >= 0")
-        out.append(_row(part, "NonNegativeNumbers",
-                        F.format_string("'%s' has no negative values", name),
-                        F.format_string('.is_non_negative("%s")', name)))
-    if {"CategoricalRange", "FractionalCategoricalRange"} & set(rules):
+    """Rows (column, rule, constraint, code) for every rule that applies.
+
+    The profile is computed once for all rules that read it, the value counts once for
+    the other two.
+    """
+    plain_unions(df.sparkSession)
+    parts: list[DataFrame] = []
+    chosen = [r for name, r in _profile_rules().items() if name in rules]
+    if chosen:
+        parts.append(_expand(profile_columns(df, columns), chosen))
+    chosen = [r for name, r in _category_rules().items() if name in rules]
+    if chosen:
         text = [c for c, t in df.dtypes if t == "string" and (columns is None or c in columns)]
         few = low_cardinality(df, text) if text else []
         if few:
-            # Only columns whose values are really text, not numbers or booleans in text form.
-            kinds = prof.where("dataType = 'String'").select("column")
-            cats = _categories(df, few).join(kinds, "column", "left_semi")
-            if "CategoricalRange" in rules:
-                out.append(_row(cats.where(F.col("once") <= MAX_UNIQUE_CATEGORICAL), "CategoricalRange",
-                                F.format_string("'%s' has value range %s", name, F.col("all_values")),
-                                F.format_string('.is_contained_in("%s", [%s])', name, F.col("all_values"))))
-            if "FractionalCategoricalRange" in rules:
-                part = cats.where((F.col("once") <= MAX_UNIQUE_FRACTIONAL) & (F.col("covered") < 1))
-                low = F.format_number(_lower_bound(F.col("covered"), F.col("rows")), 2)
-                out.append(_row(part, "FractionalCategoricalRange",
-                                F.format_string("'%s' has value range %s for at least %s of the rows",
-                                                name, F.col("top_values"), low),
-                                F.format_string('.is_contained_in("%s", [%s], lambda x: x >= %s)',
-                                                name, F.col("top_values"), low)))
-    return reduce(lambda a, b: a.unionByName(b), out)
+            parts.append(_expand(_categories(df, few), chosen))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, rule string, constraint string, code string")
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -9,6 +9,7 @@ from sluice.operators.clean import drop_duplicates, rename_columns, split_blank
 from sluice.operators.sql import run_sql
 from sluice.operators.validate import lookup, require
 from sluice.plans.registry import Tables, plan
+from sluice.session import staged
 from sluice.sinks.tables import quarantine, save_table
 from sluice.sources.files import require_rows
 
@@ -24,7 +25,8 @@ def load_and_report(t: Tables) -> DataFrame:
     orders = rename_columns(orders, {"o_totalprice": "total_price"})
     checked = lookup(require(orders, ["o_orderpriority"]), "o_custkey", t.customer, "c_custkey")
     checked = errors_text(drop_duplicates(checked, ["o_orderkey"], "o_orderdate"), name="system_error_message")
-    passed = quarantine(checked, "system_error_message", "o_orderstatus", t.scratch("rejected"))
+    # The gate and the save both read the checked rows: compute them once.
+    passed = quarantine(staged(checked, "checked"), "system_error_message", "o_orderstatus", t.scratch("rejected"))
     save_table(passed, "sluice_checked_orders", t.scratch("checked-orders"))
     return run_sql(
         t.spark,

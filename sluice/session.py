@@ -38,6 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sluice/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write the rows to the shared folder once and go on from there.
+
+    For frames that several actions read, and that take longer to compute than to read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder, so a lost executor does not recompute the lineage."""
     sc = df.sparkSession.sparkContext

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import scratch_path
+from sluice.session import staged
 from sluice.types import Quarantined, Split
 
 
@@ -25,6 +25,8 @@ def save_table(
 ) -> bool:
     """Save as a catalog table; an empty frame is skipped and False returned.
 
+    Looking for a first row starts the plan once more; where it shuffles a lot before
+    that row, pass ``staged(df)``.
     ``reads_target`` says that ``df`` reads the table being replaced: the rows then go
     to the shared scratch folder first, because Spark refuses to overwrite its input.
     """
@@ -32,9 +34,7 @@ def save_table(
     if df.isEmpty():
         return False
     if reads_target:
-        staging = scratch_path(spark, "staging")
-        df.write.parquet(staging)
-        df = spark.read.schema(df.schema).parquet(staging)
+        df = staged(df)
     if num_files is not None:
         df = df.coalesce(num_files)
     elif partition_by:
@@ -92,7 +92,8 @@ def quarantine(df: DataFrame, error_col: str, file_col: str, path: str, sep: str
     """Gate before the load: rows without errors pass, without the error column.
 
     If any row has an error, all rows are written as CSV below ``path``, one folder per
-    source file, and Quarantined is raised.
+    source file, and Quarantined is raised. The gate has to see all rows before the
+    first may pass: give it ``staged(df)`` unless reading ``df`` twice is cheap.
     """
     if df.where(F.coalesce(F.col(error_col), F.lit("")) != "").isEmpty():
         return df.drop(error_col)
