@@ -18,12 +18,21 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 # Below this many rows one task copes with the key, whatever its share.
 HOT_ROWS = 200_000
+# Keys a sketch follows: enough to tell a share of 1/HOT_KEYS from the rest.
+TRACKED = 8192
+# Tasks that merge the sketches of all tasks before the last one does.
+MERGERS = 256
 
 def frequent_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """At most HOT_KEYS rows ``(_h, _parts)``: key hash, number of sub-keys to use."""
-    sketch = df.select(F.xxhash64(*keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {HOT_KEYS * 20})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    parts = df.select(F.xxhash64(*keys).alias("_h"), (F.spark_partition_id() % MERGERS).alias("_b"))
+    # Merged in two steps: a single task would have to take in the sketch of every task.
+    sketches = parts.groupBy("_b").agg(
+        F.expr(f"approx_top_k_accumulate(_h, {TRACKED}) AS s"), F.count(F.lit(1)).alias("n")
+    )
+    # Grouped by a constant: combining nothing, as an empty task would, is an error in Spark 4.1.
+    sketch = sketches.groupBy((F.col("_b") < 0).alias("_all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {HOT_KEYS}) AS top"), F.sum("n").alias("n")
     )
     limit = F.greatest(F.col("n") / HOT_KEYS, F.lit(float(min_rows)))
     return sketch.select(F.explode("top").alias("t"), limit.alias("limit")).where(

@@ -117,3 +117,24 @@ def test_suggested_code_runs_and_holds(spark):
     for r in found:
         eval("check" + r["code"], {"check": check})
     assert x.verify(df, [check]).where("constraint_status = 'Failure'").count() == 0
+
+
+def test_profile_of_nothing_and_of_empty_tasks(spark):
+    schema = "a int, t string, d date"
+    got = {r["column"]: r for r in pr.profile_columns(spark.createDataFrame([], schema)).collect()}
+    assert got["a"]["dataType"] == "Integral" and got["a"]["mean_col"] is None and got["t"]["dataType"] == "Unknown"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = {r["column"]: r for r in pr.profile_columns(spark.createDataFrame([(4, "7", None)], schema)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (row["a"]["mean_col"], row["a"]["stdDev_col"], row["a"]["approxQ2"]) == (4.0, 0.0, 4.0)
+    assert row["t"]["dataType"] == "Integral" and row["t"]["maximum"] == 7.0 and row["d"]["completeness"] == 0.0
+
+
+def test_figures_do_not_depend_on_the_partitions(spark):
+    df = spark.range(1000).selectExpr("double(id * id) AS x")
+    one, many = (pr.profile_columns(df.repartition(n)).first() for n in (1, 40))
+    for k in ("mean_col", "stdDev_col", "sum_col", "minimum", "maximum"):
+        assert one[k] == pytest.approx(many[k], rel=1e-12)
+    assert one["stdDev_col"] == pytest.approx(df.selectExpr("stddev_pop(x)").first()[0], rel=1e-12)

@@ -98,3 +98,13 @@ def test_duplicates_flagged_with_a_hot_null_key(spark, skewed):
     counts = Counter(r["k"] for r in skewed.collect())
     for r in out.collect():
         assert (r["errors"] == [v.DUPLICATE]) == (counts[r["k"]] > 1)
+
+
+def test_empty_left_side_and_empty_tasks(spark, skewed, right):
+    assert spread_join(skewed.where("id < 0"), right, ["k"], "left", min_rows=1).count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one = skewed.where("id = 3")
+        assert spread_join(one, right, ["k"], "left", min_rows=0).count() == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
