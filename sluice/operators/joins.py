@@ -17,8 +17,23 @@ def inner(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     return spread_join(left, right, on, "inner")
 
 
-def left_outer(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
-    return spread_join(left, right, on, "left")
+def left_outer(left: DataFrame, right: DataFrame, on: On, many: str = "left") -> DataFrame:
+    """Left join. ``many`` names the side that may hold very frequent keys.
+
+    An outer join cannot spread the rows of its right side. With ``many="right"`` the
+    matches come from an inner join that starts at the right side, and the left rows
+    without a match are added.
+    """
+    if many == "left":
+        return spread_join(left, right, on, "left")
+    plain_unions(left.sparkSession)
+    pairs = [(c, c) if isinstance(c, str) else c for c in on]
+    lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
+    others = [c for c in right.columns if c not in rkeys]
+    keyed = left.withColumns({f"_k{i}": F.col(k) for i, k in enumerate(lkeys)})
+    matched = spread_join(right, keyed, [(r, f"_k{i}") for i, r in enumerate(rkeys)], "inner")
+    single = anti(left, right, on)
+    return matched.select(*left.columns, *others).unionByName(single, allowMissingColumns=True)
 
 
 def semi(left: DataFrame, right: DataFrame, on: On) -> DataFrame:

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.skew import spread_join
 from sluice.types import RuleViolation
 
 
@@ -33,8 +34,8 @@ def run_sql_file(spark: SparkSession, path: str, args: Mapping[str, Any] | None
 
 
 def enrich(left: DataFrame, right: DataFrame, on: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Left join that adds ``cols`` of ``right``; Spark picks the strategy."""
-    return left.join(right.select(*on, *cols), list(on), "left")
+    """Left join that adds ``cols`` of ``right``."""
+    return spread_join(left, right.select(*on, *cols), on, "left")
 
 
 _AGGREGATES: dict[str, Callable[[str], str]] = {

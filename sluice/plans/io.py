@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators import sql as q
+from sluice.operators.joins import inner
 from sluice.plans.registry import Tables, plan
 from sluice.sinks import tables as k
 from sluice.sinks import upsert as u
@@ -72,6 +73,17 @@ def multi_prefix(t: Tables):
     return out
 
 
+@plan("s03_prefixes_in_one_scan", """
+SELECT CASE WHEN c_acctbal < 0 THEN 'debt2024' ELSE 'credit' END AS prefix, count(*) AS n, round(sum(c_acctbal), 2) AS total
+FROM customer GROUP BY 1""")
+def prefixes_in_one_scan(t: Tables):
+    parent = t.scratch("prefixes")
+    t.customer.where("c_acctbal < 0").write.parquet(f"{parent}/debt-2024")
+    t.customer.where("NOT c_acctbal < 0").write.parquet(f"{parent}/credit")
+    df = s.read_prefixes(t.spark, parent, "parquet", t.customer.schema)
+    return df.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+
+
 @plan("s04_empty_guard", """
 SELECT 'orders' AS input, false AS stopped, count(*) AS n FROM orders
 UNION ALL SELECT 'negative orders' AS input, true AS stopped, count(*) AS n FROM orders WHERE o_totalprice < 0""")
@@ -384,7 +396,7 @@ def create_table_as(t: Tables):
 SELECT p_type, count(*) AS n, round(sum(l_extendedprice), 2) AS price
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type LIKE '%O%' GROUP BY p_type""")
 def join_with_like(t: Tables):
-    df = t.lineitem.join(t.part.where(F.col("p_type").like("%O%")), F.col("l_partkey") == F.col("p_partkey"))
+    df = inner(t.lineitem, t.part.where(F.col("p_type").like("%O%")), [("l_partkey", "p_partkey")])
     return df.groupBy("p_type").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price")
     )

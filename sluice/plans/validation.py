@@ -216,7 +216,8 @@ def inner(t: Tables):
 
 @plan("j02_left", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey")
 def left(t: Tables):
-    out = j.left_outer(t.customer.select("c_custkey"), t.orders.select("o_custkey", "o_orderkey"), [("c_custkey", "o_custkey")])
+    orders = t.orders.select("o_custkey", "o_orderkey")
+    out = j.left_outer(t.customer.select("c_custkey"), orders, [("c_custkey", "o_custkey")], many="right")
     return out.select("c_custkey", "o_orderkey")
 
 

@@ -42,6 +42,13 @@ def read_many(
     return {frame_name(k): read_files(spark, p, fmt, schema, **options) for k, p in paths.items()}
 
 
+def read_prefixes(spark: SparkSession, parent: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
+    """All folders below ``parent`` as one scan; the column ``prefix`` holds the cleaned folder name."""
+    df = read_files(spark, parent, fmt, schema, recursiveFileLookup=True, **options)
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return df.withColumn("prefix", F.regexp_replace(folder, "[^A-Za-z0-9_]", ""))
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     """Pass the frame on, or raise EmptyInput. Reads no further than the first row."""
     if df.isEmpty():

@@ -108,3 +108,11 @@ def test_empty_left_side_and_empty_tasks(spark, skewed, right):
         assert spread_join(one, right, ["k"], "left", min_rows=0).count() == 2
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_left_outer_with_a_frequent_key_on_the_right(spark, skewed):
+    left = spark.createDataFrame([(7, "seven"), (8, "eight"), (99, "none"), (None, "null"), (7, "again")], "c int, name string")
+    got = j.left_outer(left, skewed, [("c", "k")], many="right")
+    want = left.join(skewed, left["c"] == skewed["k"], "left").drop("k")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(map(tuple, want.collect()))
