@@ -413,7 +413,7 @@ def enrich(t: Tables):
 @plan("q08_dimension", """
 SELECT DISTINCT
   lower(user_id::VARCHAR || '-' || event_type || '-' || strftime(ts, '%Y%m%d') || '-'
-        || CASE WHEN value > 50 THEN strftime(ts, '%Y%m%d%H%M%S') ELSE '' END) AS hudi_key,
+        || CASE WHEN value > 50 THEN strftime(ts, '%Y%m%d%H%M%S') ELSE '' END) AS business_key,
   user_id::VARCHAR AS employee_id, 'full_time' AS employee_type,
   strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS start_date,
   CASE WHEN value > 50 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS end_date,
@@ -427,7 +427,7 @@ def dimension(t: Tables):
     return q.build_dimension(
         e,
         {
-            "hudi_key": composite_key(
+            "business_key": composite_key(
                 F.col("user_id"), F.col("event_type"), F.date_format("ts", "yyyyMMdd"), F.col("approved")
             ),
             "employee_id": F.col("user_id").cast("string"),

@@ -19,7 +19,7 @@ class Tables:
     """The tables of one data folder, as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self._frames = spark, folder, {}
         plain_unions(spark)
 
     def path(self, name: str) -> str:
@@ -28,7 +28,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_files(self.spark, self.path(name))
+        if name not in self._frames:
+            self._frames[name] = read_files(self.spark, self.path(name))
+        return self._frames[name]
 
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
