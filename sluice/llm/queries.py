@@ -4,15 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+from sluice.llm.ann import nearest
+from sluice.llm.chat import format_chats
+from sluice.llm.language import identify_language, train
+from sluice.llm.mixing import mix_plan
+from sluice.llm.packing import pack
+from sluice.llm.paragraphs import paragraph_groups
+from sluice.llm.range_join import near_duplicates
 from sluice.llm.simhash import simhash_near_dedup
+from sluice.llm.token_count import count_tokens
+from sluice.llm.url_filter import UrlRule, judge_urls
 from sluice.session import plain_unions
 from sluice.sources.files import read_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+URL_RULES = (
+    UrlRule("allow", "com"), UrlRule("block", "example.com", "/en/"), UrlRule("allow", "www.example.com", "/en/"),
+    UrlRule("block", "net", "/es/"), UrlRule("block", "net", "/fr/"),
+)
+
 
 def query(name: str, table: str, sql: str | None = None):
     def keep(fn: Callable[[DataFrame], DataFrame]):
@@ -28,6 +45,88 @@ def query(name: str, table: str, sql: str | None = None):
     return keep
 
 
+@query("op1_url_filters", "pages", r"""
+    WITH cut AS (
+      SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), hosts AS (
+      SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut
+    ), parts AS (
+      SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+      FROM hosts
+    ), rules(verdict, rhost, rpath) AS (
+      VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+             ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+    ), best AS (
+      SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+      FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+      GROUP BY page_id
+    )
+    SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+    FROM parts LEFT JOIN best USING (page_id)
+""")
+def op1(pages: DataFrame) -> DataFrame:
+    return judge_urls(pages, URL_RULES)
+
+
+@query("op2_nearest_neighbours", "embeddings")
+def op2(vectors: DataFrame) -> DataFrame:
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op3_chat_formatting", "conversations")
+def op3(turns: DataFrame) -> DataFrame:
+    return format_chats(turns)
+
+
+@query("op4_substring_dedup", "documents")
+def op4(docs: DataFrame) -> DataFrame:
+    return paragraph_groups(docs)
+
+
+@query("op5_embedding_near_dedup", "embeddings", """
+    WITH RECURSIVE links AS (
+      SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.98
+    ), reach(x, y) AS (
+      SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+    ), classes AS (
+      SELECT x, min(y) AS component_id FROM reach GROUP BY x
+    ), counts AS (
+      SELECT x, count(*) AS n FROM links GROUP BY x
+    )
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN classes ON vec_id = classes.x LEFT JOIN counts ON vec_id = counts.x
+""")
+def op5(vectors: DataFrame) -> DataFrame:
+    return near_duplicates(vectors)
+
+
 @query("op6_simhash_near_dedup", "documents")
 def op6(docs: DataFrame) -> DataFrame:
     return simhash_near_dedup(docs)
+
+
+@query("op7_packing", "documents")
+def op7(docs: DataFrame) -> DataFrame:
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_mixing", "documents")
+def op8(docs: DataFrame) -> DataFrame:
+    return mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_token_counts", "documents")
+def op9(docs: DataFrame) -> DataFrame:
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_language_id", "documents")
+def op10(docs: DataFrame) -> DataFrame:
+    return identify_language(docs, train(docs))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
