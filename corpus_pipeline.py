@@ -15,15 +15,21 @@ from sluice.session import scratch_path
 from sluice.sources.files import read_files
 
 # Documents go whose language is unknown or whose best score is lower than this.
-MIN_SCORE = 0.3
+MIN_SCORE = 0.2
 
 # SQL cannot train, hash or pack; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter go, too."""
-    judged = docs.withColumn("_lang", predicted(F.col("text"), train(docs)))
+    """Documents in a language that the labelled ones teach; those without a letter go, too.
+
+    Where no document has a label, all with a letter stay.
+    """
+    model = train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = docs.withColumn("_lang", predicted(F.col("text"), model))
     return judged.where((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= MIN_SCORE)).drop("_lang")
 
 

@@ -145,13 +145,14 @@ def train(
     sample is drawn by a hash threshold per language, so it is the same on every run and
     its size, on the driver, depends on the number of languages alone. Of a sampled text
     the stretches up to ``SAMPLE_STRETCHES`` are learned, spread over its whole length.
+    Without such rows the model knows no language and predicts none.
     """
     usable = docs.where(
         ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
     ).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        raise ValueError("no labelled rows to learn from")
+        return LanguageModel((), np.zeros((1 << BITS, 0), np.float32))
     spark = docs.sparkSession
     # Twice the share that is needed, so that enough rows pass; the smallest hashes stay.
     limits = [(k, float(min(1.0, (2 * sample + 20) / n))) for k, n in counts.items()]
@@ -181,7 +182,7 @@ def predicted(text: Column, model: LanguageModel) -> Column:
     def run(texts: pd.Series) -> pd.DataFrame:
         known = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
         names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-        if known:
+        if known and model.languages:
             found = model.scores([texts.iloc[i] for i in known])
             best = found.argmax(axis=1)
             names[known] = np.array(model.languages, object)[best]

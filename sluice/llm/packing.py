@@ -12,57 +12,102 @@ task, and look their place up by rank.
 from __future__ import annotations
 
 import heapq
+import os
+import re
 import zlib
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.llm.merges import Merges
 from sluice.session import durable
 
 SEQUENCE = 2048
 END_ID = 1
-# Cached ids of words; a worker clears them beyond this number.
-CACHE = 1 << 18
+# Cached words; a worker clears them beyond this number.
+CACHE = 1 << 20
+# Words that are looked at together.
+TOGETHER = 1 << 17
 # Pieces of one length that one task ranks, on average.
 SLICE = 2048
 
-PIECES = "array<struct<start:long,length:int,ids_crc32:long,ids:binary>>"
+# The pattern of the vocabulary file, plain texts, and what it comes to on them in lower case.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = "[\t\n\r -~¡-©«-¬®-±´-´¶-¸»-»¿-ÿ‐-‧‰-⁞€]*"
+PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\s]+"
 
+_LAST = object()
 
-class WordIds(dict):
-    """Little-endian ids of a word, filled in by the library."""
+PIECES = "array<struct<start:long,length:int,ids_crc32:long,ids:binary>>"
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        super().__init__()
-        self.library = Tokenizer.from_file(path)
+class WordIds:
+    """The ids of texts, word by word, for vocabularies that drop white space: no token reaches over it.
 
-    def of(self, text: str) -> bytes:
-        """The ids of a text: those of its words, one after the other.
+    Texts of plain letters, digits and punctuation are cut as the vocabulary file says; new
+    words are merged in batches and cached. Any other text, and one that may hold a special
+    string, is encoded by the library.
+    """
 
-        For vocabularies that drop white space, so no token reaches over it. Words are
-        cut at ASCII white space only; the library sees to any other.
-        """
-        words = text.encode().split()
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) > CACHE:
-                self.clear()
-                new = list(set(words))
-            for word, encoded in zip(new, self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-                self[word] = np.array(encoded.ids, "<u4").tobytes()
-        return b"".join([self[w] for w in words])
+    def __init__(self, path: str):
+        self._merges = Merges(path)
+        self._library = self._merges.library
+        steps = self._merges.spec["pre_tokenizer"]["pretokenizers"]
+        if steps[0]["pattern"]["Regex"] != PATTERN or steps[1]["type"] != "ByteLevel" or steps[1]["add_prefix_space"]:
+            raise ValueError("a file for lower-cased words without white space is needed")
+        self._words: dict[str, bytes] = {}
+        self._plain, self._cut = re.compile(PLAIN), re.compile(PLAIN_WORDS)
+        # A full stop or comma that ends more than a letter or digit belongs to what is before it.
+        self._run = re.compile(r"[^a-zß-öø-ÿ0-9\s][.,]")
+
+    def _split(self, text: str) -> list[str]:
+        """A plain text in lower case at white space, a single full stop or comma at a word's end apart."""
+        if self._run.search(text):
+            return text.split()
+        return text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ").split()
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self._words) > CACHE:
+            self._words = {}
+        new = list(words.difference(self._words))
+        pieces = list(map(self._cut.findall, new))
+        whole = [w for w, p in zip(new, pieces) if len(p) == 1]
+        self._words.update(zip(whole, self._merges.encode([w.encode() for w in whole])))
+        rest = set(chain.from_iterable(p for p in pieces if len(p) > 1)).difference(self._words)
+        self._words.update(zip(rest, self._merges.encode([w.encode() for w in rest])))
+        get = self._words.__getitem__
+        self._words.update((w, b"".join(map(get, p))) for w, p in zip(new, pieces) if len(p) > 1)
+
+    def of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Little-endian ids of each text; none for a null text."""
+        waiting: list[list[str] | bytes] = []
+        together = 0
+        for text in chain(texts, [_LAST]):
+            if text is _LAST or together > TOGETHER:
+                self._learn(set().union(*(w for w in waiting if isinstance(w, list))))
+                get = self._words.__getitem__
+                yield from (b"".join(map(get, w)) if isinstance(w, list) else w for w in waiting)
+                waiting, together = [], 0
+            if text is _LAST:
+                return
+            if not text:
+                waiting.append(b"")
+            elif self._plain.fullmatch(text) and "<|" not in text:
+                waiting.append(self._split(text.lower()))
+                together += len(waiting[-1])
+            else:
+                ids = self._library.encode(text, add_special_tokens=False).ids
+                waiting.append(np.array(ids, "<u4").tobytes())
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(path)
 
@@ -137,9 +182,9 @@ def pack(
 
     @F.pandas_udf(PIECES)
     def pieces(texts: pd.Series) -> pd.Series:
-        of, out = word_ids(path).of, []
-        for text in texts:
-            ids = of(text or "") + tail
+        out = []
+        for ids in word_ids(path).of(texts):
+            ids += tail
             out.append([
                 {"start": s, "length": n, "ids_crc32": c, "ids": ids[4 * s : 4 * (s + n)] if with_ids else None}
                 for s, n, c in cut(ids, sequence)

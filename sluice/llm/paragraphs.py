@@ -14,7 +14,8 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,8 @@ CHUNK = 1 << 15
 # Paragraphs of one bucket that a task compares with as many others.
 BLOCK = 512
 
-FOUND = "array<struct<paragraph:int,start:int,end:int,words:int,digest:binary,bands:array<long>>>"
+FOUND = "paragraph int, start int, end int, words int, digest binary, bands array<long>"
+MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
@@ -45,82 +47,93 @@ def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: in
     return int(np.ceil(np.log(1 - recall) / np.log(1 - similarity**rows)))
 
 
-def shingle_hashes(words: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:
-    """A hash per run of ``size`` words; of all words together where there are fewer."""
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    last = max(len(words) - size, 0)
-    digest = xxhash.xxh3_64_digest
-    ends = ends[len(words) - 1 - last :]
-    return np.frombuffer(b"".join([digest(line[s:e]) for s, e in zip(starts[: last + 1].tolist(), ends.tolist())]), np.uint64)
+def shingle_hashes(paragraphs: list[list[bytes]], size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per run of ``size`` words within each paragraph, and where each paragraph's begin.
+
+    A paragraph of fewer words has one, of all its words together.
+    """
+    filled = [p + [b""] * (size - len(p)) if len(p) < size else p for p in paragraphs]
+    sizes = np.array([len(p) for p in filled])
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(filled)), np.uint64, int(sizes.sum()))
+    runs = words[: len(words) - size + 1].copy()
+    for i in range(1, size):
+        runs *= MIX
+        runs ^= runs >> np.uint64(29)
+        runs += words[i : len(words) - size + 1 + i]
+    ends = np.cumsum(sizes)
+    inside = np.ones(len(words), bool)
+    for i in range(1, size):
+        inside[ends - i] = False
+    starts = np.cumsum(sizes - size + 1) - (sizes - size + 1)
+    return runs[inside[: len(runs)]], starts
 
 
 def _signature_seeds(count: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(b"minhash %d" % i) | 1 for i in range(count)], np.uint64)
 
 
-def signatures(shingles: list[np.ndarray], seeds: np.ndarray) -> np.ndarray:
-    """MinHash signatures, a row per set of shingles; no more than a chunk of shingles is expanded at a time."""
-    out = np.empty((len(shingles), len(seeds)), np.uint64)
-    first = 0
-    while first < len(shingles):
-        last, n = first + 1, len(shingles[first])
-        while last < len(shingles) and n + len(shingles[last]) <= CHUNK:
-            n += len(shingles[last])
-            last += 1
-        flat = np.concatenate(shingles[first:last])
-        if last == first + 1 and n > CHUNK:
-            parts = [_mixed(flat[i : i + CHUNK], seeds).min(axis=0) for i in range(0, n, CHUNK)]
-            out[first] = np.min(parts, axis=0)
-        else:
-            at = np.cumsum([0] + [len(s) for s in shingles[first : last - 1]])
-            out[first:last] = np.minimum.reduceat(_mixed(flat, seeds), at, axis=0)
-        first = last
-    return out
-
-
 def _mixed(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     x = hashes[:, None] * seeds[None, :]
     x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
+    x *= SPREAD
     return x
 
 
+def band_keys(hashes: np.ndarray, starts: np.ndarray, bands: int) -> np.ndarray:
+    """One signed key per paragraph and band of the MinHash signature; shingles are expanded in chunks."""
+    seeds = _signature_seeds(bands * BAND_ROWS)
+    least = np.full((len(starts), len(seeds)), np.uint64(2**64 - 1))
+    for at in range(0, len(hashes), CHUNK):
+        part = hashes[at : at + CHUNK]
+        first = int(np.searchsorted(starts, at, side="right")) - 1
+        last = int(np.searchsorted(starts, at + len(part), side="left"))
+        cuts = np.maximum(starts[first:last] - at, 0)
+        least[first:last] = np.minimum(least[first:last], np.minimum.reduceat(_mixed(part, seeds), cuts, axis=0))
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * MIX, (len(starts), 1))
+    for i in range(BAND_ROWS):
+        keys = (keys ^ least[:, i::BAND_ROWS]) * SPREAD
+        keys ^= keys >> np.uint64(31)
+    return keys.view(np.int64)
+
+
 def paragraphs_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, list[bytes]]]:
     """``(number, start, end, words)`` of each long enough line, in characters; words lower-cased in A-Z."""
-    out = []
-    for number, match in enumerate(re.finditer(r"[^\n]+", text or "")):
-        words = match[0].encode().lower().split()
-        if len(words) >= min_words:
-            out.append((number, match.start(), match.end(), words))
+    out, at = [], 0
+    for number, line in enumerate((text or "").split("\n")):
+        words = line.encode().lower().split()
+        if len(words) >= max(1, min_words):
+            out.append((number, at, at + len(line), words))
+        at += len(line) + 1
     return out
 
 
-def _scan(text: Column, min_words: int, bands: int) -> Column:
-    seeds = _signature_seeds(bands * BAND_ROWS)
-
-    @F.pandas_udf(FOUND)
-    def run(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            found = paragraphs_of(t, min_words)
-            if not found:
-                out.append([])
-                continue
-            marks = signatures([shingle_hashes(w) for *_, w in found], seeds).reshape(len(found), bands, -1)
-            rows = []
-            for (number, start, end, words), mark in zip(found, marks):
-                keys = [
-                    int.from_bytes(xxhash.xxh3_64_digest(b"%d:" % b + row.tobytes()), "big", signed=True)
-                    for b, row in enumerate(mark)
-                ]
-                digest = xxhash.xxh3_128_digest(b" ".join(words))
-                rows.append({"paragraph": number, "start": start, "end": end, "words": len(words), "digest": digest, "bands": keys})
-            out.append(rows)
-        return pd.Series(out, dtype=object)
-
-    return run(text)
+def _scan(min_words: int, bands: int):
+    def flush(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+        keys = band_keys(*shingle_hashes([r[4] for r in rows]), bands)
+        offsets = np.arange(len(rows) + 1, dtype=np.int32) * bands
+        columns = {
+            "id": ids.take(pa.array([r[0] for r in rows])),
+            **{c: pa.array([r[i] for r in rows], pa.int32()) for c, i in (("paragraph", 1), ("start", 2), ("end", 3))},
+            "words": pa.array([len(r[4]) for r in rows], pa.int32()),
+            "digest": pa.array([xxhash.xxh3_128_digest(b" ".join(r[4])) for r in rows], pa.binary()),
+            "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
+        }
+        return pa.record_batch(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows, waiting = batch.column(0), [], 0
+            for i, text in enumerate(batch.column(1)):
+                for found in paragraphs_of(text.as_py(), min_words):
+                    rows.append((i, *found))
+                    waiting += len(found[3])
+                if waiting > CHUNK:
+                    yield flush(rows, ids)
+                    rows, waiting = [], 0
+            if rows:
+                yield flush(rows, ids)
+
+    return run
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -133,7 +146,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             words = (part or "").encode().lower().split()
             # Rows of one id may hold different texts; only the one that has the paragraph counts.
             same = xxhash.xxh3_128_digest(b" ".join(words)) == bytes(digest)
-            out.append(np.unique(shingle_hashes(words)).view(np.int64) if same else None)
+            out.append(np.unique(shingle_hashes([words])[0]).view(np.int64) if same else None)
         return pd.Series(out, dtype=object)
 
     part = F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start"))
@@ -142,32 +155,46 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.dropDuplicates(["digest"])
 
 
+def _linked_pairs(sets: list[np.ndarray], classes: np.ndarray, side: np.ndarray, own: bool, similarity: float) -> list[tuple[int, int]]:
+    """Pairs that connect all classes that similar sets connect; with ``own`` unset only pairs across sides count."""
+    sizes = np.array([len(s) for s in sets])
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(sets)), sizes)
+    # Shingles of one paragraph alone cannot be shared.
+    shared = np.bincount(column) > 1
+    place, keep = np.cumsum(shared) - 1, shared[column]
+    held = np.zeros((len(sets), max(1, int(shared.sum()))), np.float32)
+    held[row[keep], place[column[keep]]] = 1
+    common = held @ held.T
+    linked = common >= similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-6
+    linked &= own | (side[:, None] != side[None, :])
+    linked &= classes[:, None] != classes[None, :]
+    out, classes = [], classes.copy()
+    for i, j in zip(*np.nonzero(linked)):
+        # One link to each class that is not connected yet is enough.
+        if classes[i] != classes[j]:
+            out.append((i, j))
+            classes[classes == classes[j]] = classes[i]
+    return out
+
+
 def _block_links(similarity: float):
     def links(table: pa.Table) -> pa.Table:
-        digests = np.array(table.column("digest").to_pylist(), object)
-        sets = [np.asarray(s) for s in table.column("shingles").to_pylist()]
-        classes = np.unique(table.column("class").to_pylist(), return_inverse=True)[1]
+        tasks = list(zip(*(table.column(c).to_pylist() for c in ("key", "x", "y"))))
+        order = sorted(range(len(tasks)), key=tasks.__getitem__)
+        digests = table.column("digest").to_pylist()
+        sets = [s.values.to_numpy() for s in table.column("shingles")]
+        classes = np.unique(np.array(table.column("class").to_pylist(), object), return_inverse=True)[1]
         side = table.column("side").to_numpy(zero_copy_only=False)
-        sizes = np.array([len(s) for s in sets])
-        column = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        row = np.repeat(np.arange(len(sets)), sizes)
-        # Shingles of one paragraph alone cannot be shared.
-        shared = np.bincount(column) > 1
-        place = np.cumsum(shared) - 1
-        held = np.zeros((len(sets), max(1, int(shared.sum()))), np.float32)
-        keep = shared[column]
-        held[row[keep], place[column[keep]]] = 1
-        common = held @ held.T
-        linked = common >= similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-6
-        linked &= (side[:, None] != side[None, :]) | (table.column("own").to_numpy(zero_copy_only=False)[:, None])
-        a, b = [], []
-        for i in range(len(sets)):
-            # One link to each class that is not connected yet is enough.
-            for j in np.flatnonzero(linked[i] & (classes != classes[i])):
-                if classes[j] != classes[i]:
-                    a.append(digests[i])
-                    b.append(digests[j])
-                    classes[classes == classes[j]] = classes[i]
+        a, b, first = [], [], 0
+        for last in range(1, len(order) + 1):
+            if last == len(order) or tasks[order[last]] != tasks[order[first]]:
+                rows = order[first:last]
+                own = tasks[rows[0]][1] == tasks[rows[0]][2]
+                for i, j in _linked_pairs([sets[r] for r in rows], classes[rows], side[rows], own, similarity):
+                    a.append(digests[rows[i]])
+                    b.append(digests[rows[j]])
+                first = last
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return links
@@ -180,9 +207,13 @@ def _rest_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
     placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "digest", "class",
         F.least("own_block", "other").alias("x"), F.greatest("own_block", "other").alias("y"),
-        (F.col("own_block") <= F.col("other")).alias("side"), (F.col("own_block") == F.col("other")).alias("own"),
+        (F.col("own_block") <= F.col("other")).alias("side"),
     )
-    return placed.join(sets, "digest").groupBy("key", "x", "y").applyInArrow(_block_links(similarity), "a binary, b binary")
+    # Most tasks are a few rows, so many go together; the largest are two blocks.
+    placed = durable(placed)
+    groups = max(1, placed.count() // (2 * BLOCK))
+    grouped = placed.join(sets, "digest").withColumn("group", F.pmod(F.xxhash64("key", "x", "y"), F.lit(groups)))
+    return grouped.groupBy("group").applyInArrow(_block_links(similarity), "a binary, b binary")
 
 
 def paragraph_groups(
@@ -195,7 +226,7 @@ def paragraph_groups(
 ) -> DataFrame:
     """One row per paragraph that has a near copy, the first of each group included.
 
-    Columns: id, ``paragraph`` (number of the non-empty line), ``start``, ``end`` (characters
+    Columns: id, ``paragraph`` (number of the line, from 0), ``start``, ``end`` (characters
     of the text, end excluded), ``n_words``, ``first_id`` and ``first_paragraph`` (of the
     group's first member by id and number), ``kept`` (whether it is that first member).
 
@@ -207,8 +238,7 @@ def paragraph_groups(
     """
     bands = tuned_bands(similarity, recall)
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = texts.select("id", F.explode(_scan(F.col("text"), min_words, bands)).alias("p")).select("id", "p.*")
-    found = durable(found)
+    found = durable(texts.mapInArrow(_scan(min_words, bands), f"id {texts.dtypes[0][1]}, {FOUND}"))
     distinct = found.groupBy("digest").agg(F.min(F.struct("id", "start", "end", "bands")).alias("at"))
     keyed = distinct.select("digest", F.explode("at.bands").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -218,7 +248,8 @@ def paragraph_groups(
     degree = members.groupBy("digest").agg(F.sum("n").alias("degree"))
     ranked = members.join(degree, "digest").select("key", "digest", F.struct("degree", "digest").alias("rank"))
     leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select("key", F.col("rank.digest").alias("leader"))
-    pairs = members.join(leaders, "key").where("digest <> leader").select("digest", "leader").distinct()
+    led = members.join(leaders, "key").where("digest <> leader").select("key", "digest", "leader")
+    pairs = led.select("digest", "leader").distinct()
 
     wanted = distinct.join(degree.select("digest"), "digest", "left_semi").select("digest", "at.id", "at.start", "at.end")
     sets = durable(_shingle_sets(texts, wanted))
@@ -231,7 +262,8 @@ def paragraph_groups(
     )
 
     first = components(starred)
-    classed = members.join(first, F.col("digest") == F.col("node"), "left").select(
+    # With its leader every member has been compared; the others are compared with each other now.
+    classed = led.join(first, F.col("digest") == F.col("node"), "left").select(
         "key", "digest", F.coalesce("component", "digest").alias("class")
     )
     open_keys = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")

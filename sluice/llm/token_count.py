@@ -11,7 +11,7 @@ library itself, so counts equal the library's on every text.
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -19,8 +19,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.merges import Merges
+
 # Cached counts of pre-tokens that are not whole tokens.
 CACHE = 1 << 18
+# Pre-tokens that are looked at together.
+TOGETHER = 1 << 17
 
 # Fixed value: the public pre-token pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -29,82 +33,76 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN = r"[\t\n\r -~¡-¬®-ɏΑ-ΡΣ-ώЀ-џ‐-‧‰-›€ぁ-ゖァ-ヺ一-龥]*"
 
 
-def byte_letters() -> dict[int, str]:
-    """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free code from 256."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class TokenCounter:
     """Counts tokens as the library does for a byte-level vocabulary file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, letters = spec["model"], byte_letters()
+        self._merges = Merges(path)
+        self.library, spec = self._merges.library, self._merges.spec
         level = spec["pre_tokenizer"] or {}
-        if model["type"] != "BPE" or level.get("type") != "ByteLevel" or level.get("add_prefix_space") or spec["normalizer"]:
-            raise ValueError("a byte-level BPE file without normalizer or prefix space is needed")
-        merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self._rank = {tuple(m): i for i, m in enumerate(merges)}
-        self._letters, self._model = letters, self.library.model
-        back = {c: b for b, c in letters.items()}
-        self._special = [t["content"] for t in spec["added_tokens"]]
-        self._split = regex.compile("|".join(map(regex.escape, self._special))) if self._special else None
+        if level.get("type") != "ByteLevel" or level.get("add_prefix_space") or spec["normalizer"]:
+            raise ValueError("a byte-level file without normalizer or prefix space is needed")
+        special = [t["content"] for t in spec["added_tokens"]]
+        self._split = regex.compile("|".join(map(regex.escape, special))) if special else None
         self._pretokens = regex.compile(PATTERN)
         self._plain = regex.compile(PLAIN)
-        self._counts: dict[str, int] = {}
-        for token in model["vocab"]:
-            if self._merged(list(token)) == 1:
-                try:
-                    self._counts[bytes(back[c] for c in token).decode()] = 1
-                except (KeyError, UnicodeDecodeError):
-                    continue  # part of a character: never a pre-token
-        self.whole_tokens = frozenset(self._counts)
-
-    def _merged(self, parts: list[str]) -> int:
-        """How many parts stay when the best-ranked neighbours are merged until none has a rank."""
-        rank = self._rank
-        while len(parts) > 1:
-            pairs = [rank.get(p, len(rank)) for p in zip(parts, parts[1:])]
-            best = min(pairs)
-            if best == len(rank):
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i < len(pairs) and pairs[i] == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return len(parts)
-
-    def _rest(self, pretoken: str) -> int:
-        n = len(self._model.tokenize(pretoken.encode().decode("latin-1").translate(self._letters)))
-        if len(pretoken) > 64:
-            return n
+        self.whole_tokens = self._proved()
+        self._counts = dict.fromkeys(self.whole_tokens, 1)
+
+    def _proved(self) -> frozenset[str]:
+        """Strings of the vocabulary that merging alone leaves as one token; parts of a character apart."""
+        back = {c: b for b, c in self._merges.letters.items()}
+        strings = []
+        for token in self._merges.vocab:
+            if all(c in back for c in token):
+                strings.append(bytes(back[c] for c in token))
+        alone = [s for s, ids in zip(strings, self._merges.encode(strings)) if len(ids) == 4]
+        out = set()
+        for s in alone:
+            try:
+                out.add(s.decode())
+            except UnicodeDecodeError:
+                continue
+        return frozenset(out)
+
+    def _learn(self, pretokens: set[str]) -> None:
+        """Merge the pre-tokens that are not known yet."""
         if len(self._counts) > len(self.whole_tokens) + CACHE:
             self._counts = dict.fromkeys(self.whole_tokens, 1)
-        self._counts[pretoken] = n
-        return n
-
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if not self._plain.fullmatch(text):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        parts = self._split.split(text) if self._split else [text]
-        total = len(parts) - 1
-        for part in parts:
-            for pretoken in self._pretokens.findall(part):
-                total += self._counts.get(pretoken) or self._rest(pretoken)
-        return total
+        new = list(pretokens.difference(self._counts))
+        merged = self._merges.encode([p.encode() for p in new])
+        self._counts.update((p, len(ids) // 4) for p, ids in zip(new, merged))
+
+    def counts(self, texts: Iterator[str | None]) -> list[int]:
+        """Tokens of each text; none of a null text."""
+        out: list[int] = []
+        waiting: list[tuple[int, list[str]]] = []
+
+        def flush() -> None:
+            self._learn(set().union(*(p for _, p in waiting)))
+            for i, pretokens in waiting:
+                out[i] += sum(map(self._counts.__getitem__, pretokens))
+            waiting.clear()
+
+        together = 0
+        for i, text in enumerate(texts):
+            out.append(0)
+            if not text:
+                continue
+            if not self._plain.fullmatch(text):
+                out[i] = len(self.library.encode(text, add_special_tokens=False).ids)
+                continue
+            parts = self._split.split(text) if self._split else [text]
+            out[i] = len(parts) - 1
+            for part in parts:
+                pretokens = self._pretokens.findall(part)
+                waiting.append((i, pretokens))
+                together += len(pretokens)
+            if together > TOGETHER:
+                flush()
+                together = 0
+        flush()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -118,8 +116,7 @@ def token_counts(text: Column, path: str) -> Column:
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
-        count = counter(path).count
-        return pd.Series([count(t) for t in texts], dtype="int64")
+        return pd.Series(counter(path).counts(texts), dtype="int64")
 
     return run(text)
 
