@@ -86,7 +86,7 @@ class Merges:
             text = "".join(self.letters[b] for b in words[i])
             out[i] = np.array([t.id for t in self.library.model.tokenize(text)], "<i4").tobytes()
         low = 0
-        for high in (8, 12, 16, 24, 48, LONGEST):
+        for high in (4, 6, 8, 10, 12, 16, 24, 40, 64, LONGEST):
             group = np.flatnonzero((lengths > low) & (lengths <= high))
             for at in range(0, len(group), BATCH):
                 places = group[at : at + BATCH]

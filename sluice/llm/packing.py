@@ -18,7 +18,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -31,9 +31,9 @@ from sluice.session import durable
 SEQUENCE = 2048
 END_ID = 1
 # Cached words; a worker clears them beyond this number.
-CACHE = 1 << 20
+CACHE = 1 << 19
 # Words that are looked at together.
-TOGETHER = 1 << 17
+TOGETHER = 1 << 18
 # Pieces of one length that one task ranks, on average.
 SLICE = 2048
 
@@ -72,10 +72,10 @@ class WordIds:
             return text.split()
         return text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ").split()
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, texts: Iterable[list[str]]) -> None:
         if len(self._words) > CACHE:
             self._words = {}
-        new = list(words.difference(self._words))
+        new = list(set(filterfalse(self._words.__contains__, chain.from_iterable(texts))))
         pieces = list(map(self._cut.findall, new))
         whole = [w for w, p in zip(new, pieces) if len(p) == 1]
         self._words.update(zip(whole, self._merges.encode([w.encode() for w in whole])))
@@ -90,7 +90,7 @@ class WordIds:
         together = 0
         for text in chain(texts, [_LAST]):
             if text is _LAST or together > TOGETHER:
-                self._learn(set().union(*(w for w in waiting if isinstance(w, list))))
+                self._learn(w for w in waiting if isinstance(w, list))
                 get = self._words.__getitem__
                 yield from (b"".join(map(get, w)) if isinstance(w, list) else w for w in waiting)
                 waiting, together = [], 0

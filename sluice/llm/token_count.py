@@ -11,8 +11,9 @@ library itself, so counts equal the library's on every text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import pandas as pd
 import regex
@@ -65,21 +66,21 @@ class TokenCounter:
                 continue
         return frozenset(out)
 
-    def _learn(self, pretokens: set[str]) -> None:
+    def _learn(self, pretokens: Iterable[str]) -> None:
         """Merge the pre-tokens that are not known yet."""
         if len(self._counts) > len(self.whole_tokens) + CACHE:
             self._counts = dict.fromkeys(self.whole_tokens, 1)
-        new = list(pretokens.difference(self._counts))
+        new = list(set(filterfalse(self._counts.__contains__, pretokens)))
         merged = self._merges.encode([p.encode() for p in new])
         self._counts.update((p, len(ids) // 4) for p, ids in zip(new, merged))
 
-    def counts(self, texts: Iterator[str | None]) -> list[int]:
+    def counts(self, texts: Iterable[str | None]) -> list[int]:
         """Tokens of each text; none of a null text."""
         out: list[int] = []
         waiting: list[tuple[int, list[str]]] = []
 
         def flush() -> None:
-            self._learn(set().union(*(p for _, p in waiting)))
+            self._learn(chain.from_iterable(p for _, p in waiting))
             for i, pretokens in waiting:
                 out[i] += sum(map(self._counts.__getitem__, pretokens))
             waiting.clear()
