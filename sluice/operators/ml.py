@@ -58,11 +58,7 @@ def label_table(df: DataFrame, col: str) -> DataFrame:
 def label_encode(df: DataFrame, col: str, out: str, table: DataFrame | None = None) -> DataFrame:
     table = label_table(df, col) if table is None else table
     work = df.withColumn("_value", _label(F.col(col)))
-    joined = spread_join(
-        work, table.withColumnRenamed("code", out), [("_value", "value")],
-        profile=df.select(_label(F.col(col)).alias("_value")),
-    )
-    return joined.drop("_value")
+    return spread_join(work, table.withColumnRenamed("code", out), [("_value", "value")]).drop("_value")
 
 
 def unit_interval(key: Column, seed: int = 0) -> Column:
@@ -158,11 +154,15 @@ class Tuned(NamedTuple):
 
 def tune(
     df: DataFrame, estimator, ranges: Mapping[str, tuple], evaluator: Evaluator,
-    n: int = 40, parallelism: int = 4, seed: int = 0, train_ratio: float = 0.7,
+    n: int = 40, parallelism: int = 4, seed: int = 0, train_ratio: float = 0.7, *, key: str,
 ) -> Tuned:
-    """Random search: fit on one part of the rows, score on the other, ``parallelism`` fits at a time."""
+    """Random search: fit on one part of the rows, score on the other, ``parallelism`` fits at a time.
+
+    ``key`` decides the part of a row, so a row never is in both, whoever reads it again.
+    """
     settings = sample_grid(estimator, ranges, n, seed)
-    train, valid = df.randomSplit([train_ratio, 1 - train_ratio], seed)
+    parts = split(df, key, {"train": train_ratio, "valid": 1 - train_ratio}, seed)
+    train, valid = parts["train"], parts["valid"]
 
     def trial(setting: dict) -> float:
         return evaluator.evaluate(detached(estimator.fit(train, setting), df).transform(valid))

@@ -23,6 +23,9 @@ DUPLICATE = "This row has duplicate"
 NO_AREA = "functional area cannot be derived"
 NO_CENTRE = "Profit Centre cannot be derived"
 
+# Years a date can have: the list of those in the data stays small.
+CALENDAR = (0, 9999)
+
 
 def require(df: DataFrame, cols: Sequence[str], errors: str = ERRORS) -> DataFrame:
     for c in cols:
@@ -48,7 +51,7 @@ def require_if(
     merged = wanted.groupBy(*on).agg(
         *[F.max(F.col("_c") == c).alias(f"_need_{i}") for i, c in enumerate(candidates)]
     )
-    out = spread_join(df, merged, on, profile=df)
+    out = spread_join(df, merged, on)
     for i, c in enumerate(candidates):
         empty = F.col(c).isNull() | (F.col(c).cast("string") == "")
         out = add_error(out, F.col(f"_need_{i}") & empty, f"{c} {MANDATORY_IF}", errors)
@@ -74,9 +77,7 @@ def lookup(
         .withColumn("_known", F.lit(True))
     )
     probe = df.withColumn("_f", F.col(field).cast("string"))
-    out = spread_join(
-        probe, known, [("_f", "_k")], profile=df.select(F.col(field).cast("string").alias("_f"))
-    )
+    out = spread_join(probe, known, [("_f", "_k")])
     failed = ~is_blank(field) & F.col("_known").isNull()
     if when is not None:
         failed = failed & when
@@ -145,7 +146,7 @@ def check_matches(
     if prefix or dict(ref.dtypes)[ref_attr] == "string":
         value = F.nullif(value, F.lit(""))
     owners = ref.groupBy(ref_key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    out = spread_join(df, owners, [(key, ref_key)], profile=df)
+    out = spread_join(df, owners, [(key, ref_key)])
     failed = (F.col(attr) != F.col("_lo")) | (F.col(attr) != F.col("_hi"))
     if where is not None:
         failed = failed & where
@@ -162,7 +163,8 @@ def validity_periods(
 ) -> DataFrame:
     """Cut validity intervals into one row per key and year, as a short candidate list.
 
-    ``years`` is the one-row frame (lo, hi) of the years that occur in the data.
+    ``years`` is the one-row frame of the distinct years that occur in the data: a
+    reference row is repeated for those of them that it covers, never for other years.
     Within a year an interval is only its first and last period, where 0 stands for
     "began earlier" and 99 for "ends later". That leaves at most 13 x 13 different
     intervals per key and year, whatever the number of reference rows, and for each of
@@ -179,14 +181,8 @@ def validity_periods(
             F.substring(F.col(valid_from), 1, 10).alias("_start"),
         )
         .where((F.coalesce(F.col("_v"), F.lit("")) != "") & (F.col("_f") <= F.col("_t")))
-        .withColumns(
-            {
-                "_y1": F.greatest(y1, years.select("lo").scalar()),
-                "_y2": F.least(y2, years.select("hi").scalar()),
-            }
-        )
-        .where("_y1 <= _y2")
-        .withColumn("_year", F.explode(F.sequence("_y1", "_y2")))
+        .withColumn("_years", years.scalar())
+        .withColumn("_year", F.explode(F.filter("_years", lambda y: (y >= y1) & (y <= y2))))
     )
     cut = spans.select(
         "_key",
@@ -220,21 +216,21 @@ def effective_lookup(
     out: str,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    profile: DataFrame | None = None,
+    years_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: the value of the reference row whose validity covers the row's periods.
 
     One equi-join on key and year against a side with one row per key and year: rows
     neither multiply nor vanish, and no pair outside the year is ever formed. Of
-    several covering intervals the latest start wins.
+    several covering intervals the latest start wins. ``years_of`` is a frame with the
+    same years that is cheaper to read than ``df``.
     """
-    base = df if profile is None else profile
+    base = df if years_of is None else years_of
     int_year = lambda d: d.withColumn("_year", text.to_int(F.col(year).cast("string")))
-    years = int_year(base).agg(F.min("_year").alias("lo"), F.max("_year").alias("hi"))
+    valid = F.when(F.col("_year").between(*CALENDAR), F.col("_year"))
+    years = int_year(base).agg(F.array_sort(F.collect_set(valid)).alias("years"))
     periods = validity_periods(ref, ref_key, valid_from, valid_to, value, years)
-    joined = spread_join(
-        int_year(df), periods, [(key, "_key"), ("_year", "_year")], profile=int_year(base)
-    )
+    joined = spread_join(int_year(df), periods, [(key, "_key"), ("_year", "_year")])
     pf = text.to_int(F.col(period_from).cast("string"))
     pt = text.to_int(F.col(period_to).cast("string"))
     joined = joined.withColumns({"_pf": pf, "_pt": pt})
@@ -283,13 +279,13 @@ def derive_cascade(
         if rule.year is not None:
             res = effective_lookup(
                 res, rule.ref, rule.key, rule.ref_key, rule.year, rule.period_from, rule.period_to,
-                rule.value, name, profile=df,
+                rule.value, name, years_of=df,
             )
         else:
             value = F.nullif(F.trim(rule.value), F.lit(""))
             pick = F.max(value) if rule.order_by is None else F.max_by(value, F.col(rule.order_by))
             side = rule.ref.where(value.isNotNull()).groupBy(rule.ref_key).agg(pick.alias(name))
-            res = spread_join(res, side, [(rule.key, rule.ref_key)], profile=df)
+            res = spread_join(res, side, [(rule.key, rule.ref_key)])
         found.append(F.when(F.coalesce(rule.when, F.lit(False)), F.nullif(F.trim(F.col(name)), F.lit(""))))
     given = F.nullif(F.trim(F.col(out)), F.lit(""))
     res = res.withColumn("_found", F.coalesce(given, *found))

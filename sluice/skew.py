@@ -1,10 +1,11 @@
-"""Equi-joins whose left side may hold very frequent keys.
-
-A shuffled join sends all rows of one key to one task. Here the frequent keys are
-found with a mergeable heavy-hitter sketch over the key columns alone, their left
-rows are spread over several sub-keys, and the matching right rows are repeated once
-per sub-key. All other keys join as usual. The sketch only decides where rows go;
-it never changes the result.
+"""Equi-joins by column names, for sides that may hold very frequent keys.
+
+A shuffled join sends all rows of one key to one partition. Spark's adaptive execution
+measures the partitions after the shuffle and splits the large ones over several tasks,
+at the borders of map outputs, so it copes with any number of frequent keys, on both
+sides of an inner join and on the left side of the others. It also broadcasts a side
+that turns out small. So nothing is sampled, salted or broadcast here; the join only
+has to stay one that Spark can split: an equi-join with the many rows on the left.
 """
 
 from __future__ import annotations
@@ -14,34 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key above 1/HOT_KEYS of the rows is frequent, so there are at most HOT_KEYS of them.
-HOT_KEYS = 1000
-# Below this many rows one task copes with the key, whatever its share.
-HOT_ROWS = 200_000
-# Keys a sketch follows: enough to tell a share of 1/HOT_KEYS from the rest.
-TRACKED = 8192
-# Tasks that merge the sketches of all tasks before the last one does.
-MERGERS = 256
-
-def frequent_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """At most HOT_KEYS rows ``(_h, _parts)``: key hash, number of sub-keys to use."""
-    parts = df.select(F.xxhash64(*keys).alias("_h"), (F.spark_partition_id() % MERGERS).alias("_b"))
-    # Merged in two steps: a single task would have to take in the sketch of every task.
-    sketches = parts.groupBy("_b").agg(
-        F.expr(f"approx_top_k_accumulate(_h, {TRACKED}) AS s"), F.count(F.lit(1)).alias("n")
-    )
-    # Grouped by a constant: combining nothing, as an empty task would, is an error in Spark 4.1.
-    sketch = sketches.groupBy((F.col("_b") < 0).alias("_all")).agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {HOT_KEYS}) AS top"), F.sum("n").alias("n")
-    )
-    limit = F.greatest(F.col("n") / HOT_KEYS, F.lit(float(min_rows)))
-    return sketch.select(F.explode("top").alias("t"), limit.alias("limit")).where(
-        F.col("t.count") > F.col("limit")
-    ).select(
-        F.col("t.item").alias("_h"),
-        (F.ceil(F.col("t.count") / F.col("limit")) + 1).cast("int").alias("_parts"),
-    )
-
 
 def spread_join(
     left: DataFrame,
@@ -50,54 +23,31 @@ def spread_join(
     how: str = "left",
     residual=None,
     null_safe: bool = False,
-    profile: DataFrame | None = None,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` with ``right``; ``how`` is inner, left, left_semi or left_anti.
 
     ``on`` lists column names or (left name, right name) pairs of equal type. The
     result has all left columns and, unless semi or anti, the right columns that are
     not keys. ``residual(right column getter)`` may add a non-equi condition.
-    ``profile`` is a cheaper frame with the same left key columns, used only to find
-    the frequent keys. Spark still turns this into a broadcast join when the measured
-    size of the right side allows it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     pairs = [(c, c) if isinstance(c, str) else tuple(c) for c in on]
-    lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
     for lk, rk in pairs:
         lt, rt = left.schema[lk].dataType, right.schema[rk].dataType
         if lt != rt:
             raise TypeError(f"join key types differ: {lk} {lt.simpleString()}, {rk} {rt.simpleString()}")
-
-    hot = frequent_keys(left if profile is None else profile, lkeys, min_rows)
     names = {c: f"_r{i}" for i, c in enumerate(right.columns)}
-    r = right.select(
-        *[F.col(f"`{c}`").alias(a) for c, a in names.items()],
-        F.xxhash64(*rkeys).alias("_rh"),
-    )
-    r = (
-        r.join(F.broadcast(hot), r["_rh"] == hot["_h"], "left")
-        .withColumn("_rs", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .drop("_h", "_parts", "_rh")
-    )
-    lcols = left.columns
-    # The sub-key depends on the input partition and the key alone. A key with many rows
-    # has them in many partitions; no further column is read for it, and a task that is
-    # run again sends every row where it went before, in whatever order rows arrive.
-    le = left.withColumns({"_lh": F.xxhash64(*lkeys), "_lp": F.xxhash64(F.spark_partition_id(), *lkeys)})
-    le = le.join(F.broadcast(hot), le["_lh"] == hot["_h"], "left").withColumn(
-        "_ls", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod("_lp", "_parts")).cast("int")
-    )
-    cond = F.col("_ls") == F.col("_rs")
+    r = right.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()])
+    cond = None
     for lk, rk in pairs:
         a, b = F.col(f"`{lk}`"), F.col(names[rk])
-        cond = cond & (a.eqNullSafe(b) if null_safe else a == b)
+        equal = a.eqNullSafe(b) if null_safe else a == b
+        cond = equal if cond is None else cond & equal
     if residual is not None:
         cond = cond & residual(lambda c: F.col(names[c]))
-    out = le.join(r, cond, how)
-    keep = [F.col(f"`{c}`") for c in lcols]
+    keys = {rk for _, rk in pairs}
+    keep = [F.col(f"`{c}`") for c in left.columns]
     if how in ("inner", "left"):
-        keep += [F.col(a).alias(c) for c, a in names.items() if c not in rkeys]
-    return out.select(*keep)
+        keep += [F.col(a).alias(c) for c, a in names.items() if c not in keys]
+    return left.join(r, cond, how).select(*keep)

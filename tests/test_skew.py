@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import joins as j
 from sluice.operators import validate as v
-from sluice.skew import frequent_keys, spread_join
+from sluice.skew import spread_join
 
 
 @pytest.fixture(scope="module")
@@ -23,16 +23,10 @@ def right(spark):
     return spark.createDataFrame(rows, "k int, v string")
 
 
-def test_frequent_keys_are_found(skewed):
-    found = frequent_keys(skewed, ["k"], min_rows=400).collect()
-    assert len(found) == 2  # key 7 and the null key
-    assert all(r["_parts"] > 1 for r in found)
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_equal_to_plain_join(skewed, right, how, null_safe):
-    got = spread_join(skewed, right, ["k"], how, null_safe=null_safe, min_rows=20)
+    got = spread_join(skewed, right, ["k"], how, null_safe=null_safe)
     r = right.withColumnRenamed("k", "rk")
     cond = F.col("k").eqNullSafe(F.col("rk")) if null_safe else F.col("k") == F.col("rk")
     want = skewed.join(r, cond, how)
@@ -41,18 +35,70 @@ def test_equal_to_plain_join(skewed, right, how, null_safe):
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
-def test_hot_rows_are_spread_over_tasks(spark, skewed, right):
-    """Without broadcast, the rows of key 7 reach several partitions."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = spread_join(skewed, right, ["k"], "left", min_rows=20)
-        tasks = out.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert tasks > 3
+# A third of the rows share key 7; the payload does not compress.
+def hot():
+    return F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")
+
+
+def noise():
+    return F.md5(F.col("id").cast("string"))
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+}
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """No broadcast, and partitions count as skewed from a few KB on."""
+    old = {k: spark.conf.get(k) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def task_sizes(df, counted="true"):
+    """(rows of the largest task, number of tasks with rows), of the rows that are counted"""
+    read = F.max(F.hash(*df.columns))  # all columns are carried through the shuffle
+    per_task = df.groupBy(F.spark_partition_id().alias("p")).agg(F.expr(f"count_if({counted})").alias("n"), read.alias("h")).where("n > 0 AND h IS NOT NULL")
+    return per_task.agg(F.max("n"), F.count(F.lit(1))).first()
+
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_a_hot_key_is_split_over_tasks(spark, small_pieces, how):
+    left = spark.range(0, 60_000, 1, 30).select(hot(), noise().alias("x"))
+    right = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("k"), noise().alias("y"))
+    most, tasks = task_sizes(spread_join(left, right, ["k"], how), "k = 7")
+    assert tasks >= 5 and most <= 20_000 / 3
+
+
+def test_a_key_hot_on_both_sides_is_split(spark, small_pieces):
+    left = spark.range(0, 30_000, 1, 20).select(hot(), noise().alias("x"))
+    right = spark.range(0, 300, 1, 20).select(hot(), noise().alias("y"))
+    out = spread_join(left, right, ["k"], "inner")
+    most, tasks = task_sizes(out, "k = 7")
+    assert tasks >= 3 and most < 10_000 * 100 / 2
+    assert out.count() == left.join(right, "k").count()
+
+
+def test_many_equally_frequent_keys_spread_by_themselves(spark, small_pieces):
+    left = spark.range(0, 101_000, 1, 20).select((F.col("id") % 1010).alias("k"), F.col("id").alias("x"))
+    right = spark.range(1010).select(F.col("id").alias("k"), F.col("id").alias("y"))
+    most, tasks = task_sizes(spread_join(left, right, ["k"]))
+    assert tasks >= 40 and most <= 3 * 101_000 / 40
+
+
+def test_joins_add_nothing_to_a_plain_join(spark):
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    plan = j.left_outer(lines, part, [("l_partkey", "p_partkey")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2 and "Aggregate" not in plan
 
 
 def test_key_types_must_match(skewed, right):
@@ -101,11 +147,11 @@ def test_duplicates_flagged_with_a_hot_null_key(spark, skewed):
 
 
 def test_empty_left_side_and_empty_tasks(spark, skewed, right):
-    assert spread_join(skewed.where("id < 0"), right, ["k"], "left", min_rows=1).count() == 0
+    assert spread_join(skewed.where("id < 0"), right, ["k"], "left").count() == 0
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         one = skewed.where("id = 3")
-        assert spread_join(one, right, ["k"], "left", min_rows=0).count() == 2
+        assert spread_join(one, right, ["k"], "left").count() == 2
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
