@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+# What names are made of (fixed values): the text of a node, and characters a column name cannot have.
+TEXT_NODE = "/$"
+CHARACTERS = {"@": "atr_", ":": "_"}
+# Segments that a name starts with.
+WIDTH = {"generic": 1, "custom": 2}
 
-def _free_name(path: str, taken: set[str], remove: Sequence[str]) -> str:
-    """Last segment, extended by the segments to its left until the name is free."""
+
+def _candidates(node: str, width: int, remove: Sequence[str]) -> Iterator[str]:
+    """Names for a node in order of preference: its last segments, ever more of them, then numbered."""
     for part in remove:
-        path = path.replace(part, "")
-    segments = path.lower().split("/")
-    name = segments.pop()
+        node = node.replace(part, "")
+    segments = node.lower().split("/")
+    for first in range(max(0, len(segments) - width), -1, -1):
+        name = "_".join(segments[first:]).strip()
+        for character, text in CHARACTERS.items():
+            name = name.replace(character, text)
+        yield name
     while True:
-        clean = name.strip().replace("@", "atr_").replace(":", "_")
-        if clean not in taken:
-            taken.add(clean)
-            return clean
-        name = f"{segments.pop()}_{clean}" if segments else f"{clean}_1"
-
-
-def _join_last(path: str) -> str:
-    """a/b/c -> a/b_c"""
-    head, _, tail = path.rpartition("/")
-    return f"{head}_{tail}"
+        name += "_1"
+        yield name
 
 
 def column_names(
@@ -30,21 +31,15 @@ def column_names(
 ) -> dict[str, str]:
     """Name per path. ``generic``: last segment; ``custom``: parent and last segment.
 
-    Paths ending in ``/$`` are the text of their parent and share its name. Paths in
-    ``update`` get one more segment.
+    With ``custom`` paths ending in ``/$`` are the text of their parent and share its
+    name. Paths in ``update`` (generic: their last segment; custom: how they end) get one
+    more segment. Nodes choose in the order of their paths, each the first free name.
     """
+    fold = naming == "custom"
+    nodes = {p: p.removesuffix(TEXT_NODE) if fold else p for p in paths}
+    wide = {p for p in nodes if (p.endswith(tuple(update)) if fold else p.rsplit("/", 1)[-1] in update)}
     names: dict[str, str] = {}
-    taken: set[str] = set()
-    for path in sorted(set(paths)):
-        if naming == "generic":
-            last = path.rsplit("/", 1)[-1]
-            names[path] = _free_name(_join_last(path) if last in update else path, taken, remove)
-            continue
-        node = path[:-2] if path.endswith("/$") else path
-        if node in names:
-            names[path] = names[node]
-            continue
-        if node == path and any(path.endswith(u) for u in update):
-            node = _join_last(node)
-        names[path] = _free_name(_join_last(node), taken, remove)
-    return names
+    for node in sorted(set(nodes.values())):
+        taken = set(names.values())
+        names[node] = next(c for c in _candidates(node, WIDTH[naming] + (node in wide), remove) if c not in taken)
+    return {p: names[node] for p, node in nodes.items()}

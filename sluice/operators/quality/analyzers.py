@@ -60,6 +60,18 @@ def text_literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def number(column: str) -> str:
+    """SQL text: the value as a double, null for one that is no number; sums of it cannot overflow."""
+    return f"try_cast({quote(column)} AS double)"
+
+
+# Names of number types in a schema.
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+# Metrics of numbers: where the column holds none, they have no value.
+NUMERIC = ("Maximum", "Minimum", "Mean", "Sum", "StandardDeviation", "Correlation", "ApproxQuantile")
+
+
 def _entity(cols: tuple[str, ...]) -> str:
     return "Dataset" if not cols else "Column" if len(cols) == 1 else "Multicolumn"
 
@@ -89,20 +101,20 @@ def approx_count_distinct(column: str) -> Metric:
 
 
 def approx_quantile(column: str, q: float, relative_error: float = 0.01) -> Metric:
-    value = f"percentile_approx(double({quote(column)}), {q}, {round(1 / relative_error)})"
+    value = f"percentile_approx({number(column)}, {q}, {round(1 / relative_error)})"
     return _scalar(f"ApproxQuantile-{q}", column, value)
 
 
 def correlation(a: str, b: str) -> Metric:
-    return _scalar("Correlation", (a, b), f"corr({quote(a)}, {quote(b)})")
+    return _scalar("Correlation", (a, b), f"corr({number(a)}, {number(b)})")
 
 
 def maximum(column: str) -> Metric:
-    return _scalar("Maximum", column, f"max({quote(column)})")
+    return _scalar("Maximum", column, f"max({number(column)})")
 
 
 def minimum(column: str) -> Metric:
-    return _scalar("Minimum", column, f"min({quote(column)})")
+    return _scalar("Minimum", column, f"min({number(column)})")
 
 
 def max_length(column: str) -> Metric:
@@ -114,15 +126,15 @@ def min_length(column: str) -> Metric:
 
 
 def mean(column: str) -> Metric:
-    return _scalar("Mean", column, f"avg({quote(column)})")
+    return _scalar("Mean", column, f"avg({number(column)})")
 
 
 def total(column: str) -> Metric:
-    return _scalar("Sum", column, f"sum({quote(column)})")
+    return _scalar("Sum", column, f"sum({number(column)})")
 
 
 def standard_deviation(column: str) -> Metric:
-    return _scalar("StandardDeviation", column, f"stddev_pop({quote(column)})")
+    return _scalar("StandardDeviation", column, f"stddev_pop({number(column)})")
 
 
 def value_class(expression: str) -> str:

@@ -17,6 +17,7 @@ SUCCESS, FAILURE = "Success", "Failure"
 LEVELS = {"error": "Error", "warning": "Warning"}
 MISSED = "does not meet the constraint requirement!"
 NO_VALUE = "Empty state, all input values were null."
+NO_NUMBER = "Empty state, column {} holds no numbers."
 
 
 def assertion(op: str = "eq", value: float = 100, lower: float = 0, upper: float = 1) -> Assertion:
@@ -209,6 +210,14 @@ class Check:
         return self
 
 
+def _no_value(metric: A.Metric, numbers: set[str]) -> str:
+    """Why a metric may have no value."""
+    other = [c for c in metric.columns if c not in numbers]
+    if metric.name.split("-")[0] in A.NUMERIC and other:
+        return NO_NUMBER.format(other[0])
+    return NO_VALUE
+
+
 def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = None) -> DataFrame:
     """Result rows, one per constraint.
 
@@ -216,11 +225,14 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
     row per constraint, so the window that gives the status of a check is tiny.
     """
     listed = [(c, k) for c in checks for k in c.constraints]
+    numbers = {c for c, kind in df.dtypes if kind.split("(")[0] in A.NUMBER_TYPES}
     metrics: list[A.Metric] = []
     position: dict[tuple, int] = {}
     use = []
     for _, k in listed:
-        key = (k.metric.name, k.metric.columns)
+        # Equal names do not make equal metrics: what is computed has to be the same.
+        own = k.metric.scalar if isinstance(k.metric.scalar, str) else id(k.metric.scalar)
+        key = (k.metric.name, k.metric.columns, own, k.metric.grouped)
         if key not in position:
             position[key] = len(metrics)
             metrics.append(k.metric)
@@ -231,8 +243,8 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
     users = [
         "array("
         + ", ".join(
-            f"named_struct('nr', {i}, 'check', {text(c.name)}, 'check_level', '{LEVELS[c.level]}', "
-            f"'constraint', {text(k.name)})"
+            f"named_struct('nr', {i}, 'check_nr', {checks.index(c)}, 'check', {text(c.name)}, "
+            f"'check_level', '{LEVELS[c.level]}', 'constraint', {text(k.name)}, 'no_value', {text(_no_value(k.metric, numbers))})"
             for i, (c, k) in enumerate(listed)
             if use[i] == m
         )
@@ -248,10 +260,10 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
     out = rows.selectExpr(
         "`check`",
         "check_level",
-        f"if(bool_and(ok) OVER (PARTITION BY `check`), '{SUCCESS}', check_level) AS check_status",
+        f"if(bool_and(ok) OVER (PARTITION BY check_nr), '{SUCCESS}', check_level) AS check_status",
         "`constraint`",
         f"if(ok, '{SUCCESS}', '{FAILURE}') AS constraint_status",
-        f"CASE WHEN value IS NULL THEN '{NO_VALUE}' WHEN NOT ok THEN 'Value: ' || value || ' {MISSED}' ELSE '' END "
+        f"CASE WHEN value IS NULL THEN no_value WHEN NOT ok THEN 'Value: ' || value || ' {MISSED}' ELSE '' END "
         "AS constraint_message",
         "value",
     )

@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.quality import analyzers as A
-from sluice.skew import MERGERS
-
-# Histograms are listed for columns with at most this many distinct values.
-LOW_CARDINALITY = 120
-
+from sluice.session import plain_unions
 
+# Tasks that merge the sketches of all tasks before the last one does.
+MERGERS = 256
 # Accuracy of quantile sketches: ranks are off by about 0.3 percent.
 QUANTILE_SIZE = 800
 
@@ -142,13 +140,6 @@ def percentile_table(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None, limit: int = LOW_CARDINALITY) -> list[str]:
-    """Names of the columns worth a histogram, from one aggregate with one result row."""
-    fields = [f for f in df.schema if _is_plain(f) and (columns is None or f.name in columns)]
-    row = df.selectExpr(*[f"approx_count_distinct({A.quote(f.name)})" for f in fields]).first()
-    return [f.name for f, n in zip(fields, row) if n <= limit]
-
-
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (column_name, value, n) of all listed columns, from one scan."""
     text = df.selectExpr(*[f"coalesce(string({A.quote(c)}), '{A.NULL_BIN}') AS {A.quote(c)}" for c in columns])
@@ -158,19 +149,31 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram_table(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = LOW_CARDINALITY
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Value counts of the low-cardinality columns: ``histogram`` rows for numeric columns, else ``category``.
+    """Value counts of all text, boolean and number columns: ``histogram`` rows for numbers, else ``category``.
 
     Numeric values stand in ``value_float``; text values and the null bin in ``value_str``.
+    With ``limit`` a column with more distinct values has one row instead, of the type
+    ``leftOut``, whose ``count_col`` is their exact number.
     """
-    chosen = low_cardinality(df, columns, limit)
+    plain_unions(df.sparkSession)
+    chosen = [f.name for f in df.schema if _is_plain(f) and (columns is None or f.name in columns)]
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     counts = value_counts(df, chosen)
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
     is_num = F.col("column_name").isin(numeric) if numeric else F.lit(False)
     is_null = F.col("value") == A.NULL_BIN
-    return counts.select(
+    many = None
+    if limit is not None:
+        sizes = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+        many = sizes.where(F.col("n") > limit).select(
+            "column_name", F.lit("leftOut").alias("metric_type"), F.lit("").alias("value_str"),
+            F.lit(None).cast("double").alias("value_float"), F.col("n").cast("double").alias("count_col"),
+            F.lit(None).cast("double").alias("ratio"),
+        )
+        counts = counts.join(sizes.where(F.col("n") <= limit), "column_name", "left_semi")
+    listed = counts.select(
         "column_name",
         F.when(is_num, "histogram").otherwise("category").alias("metric_type"),
         F.when(is_num & ~is_null, "").otherwise(F.col("value")).alias("value_str"),
@@ -178,6 +181,7 @@ def histogram_table(
         F.col("n").cast("double").alias("count_col"),
         (F.col("n") / rows.scalar()).alias("ratio"),
     )
+    return listed if many is None else listed.unionByName(many)
 
 
 def bucket_table(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as A
-from sluice.operators.quality.profile import low_cardinality, profile_columns, value_counts
+from sluice.operators.quality.profile import profile_columns, value_counts
 from sluice.session import plain_unions
 
 # Defaults published with the method (Schelter et al., VLDB 2018, and its open-source code).
@@ -18,6 +18,8 @@ MIN_COMPLETENESS = 0.2
 MAX_UNIQUE_CATEGORICAL = 0.1
 MAX_UNIQUE_FRACTIONAL = 0.4
 COVERAGE = 0.9
+# A value range of more values is suggested with their number instead of the values themselves.
+MOST_LISTED = 10_000
 
 RULES = (
     "CompleteIfComplete",
@@ -95,34 +97,46 @@ _LISTED = (
 )
 
 
-def _categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per text column with few values: share of values seen once, value lists, coverage.
+def _categories(df: DataFrame, columns: Sequence[str], most: int) -> DataFrame:
+    """Per text column whose values mostly repeat: share of values seen once, value lists, coverage.
 
-    Works on the value counts of low-cardinality columns, so each column has at most
-    as many rows here as the cardinality limit allows. Columns whose values are all
-    numbers or all booleans are left out.
+    Columns are chosen by exact figures of their value counts. Only the values of chosen
+    columns with at most ``most`` values are ranked and listed; of others the number of
+    values stands in the place of the list, and all of them count as covering the column.
+    Columns whose values are all numbers or all booleans are left out.
     """
     counts = value_counts(df, columns)
-    rows = counts.groupBy("column_name").agg(F.sum("n").alias("rows"))
-    ranked = counts.where(F.col("value") != A.NULL_BIN).join(rows, "column_name").selectExpr(
-        "column_name", "value", "n", "rows", f"{A.value_class('value')} AS kind",
+    there = f"value <> {A.text_literal(A.NULL_BIN)}"
+    kind = f"if({there}, {A.value_class('value')}, NULL)"
+    columns_ = counts.selectExpr("column_name", "n", f"{there} AS there", f"{kind} AS kind").groupBy("column_name").agg(
+        F.expr("sum(n) AS rows"), F.expr("sum(if(there, n, 0)) AS filled"), F.expr("count_if(there) AS values"),
+        F.expr("count_if(there AND n = 1) / nullif(count_if(there), 0) AS once"),
+        F.expr("bool_or(kind = 'string') OR (bool_or(kind = 'boolean') AND bool_or(kind <> 'boolean')) AS is_text"),
+    ).where(f"is_text AND once <= {max(MAX_UNIQUE_CATEGORICAL, MAX_UNIQUE_FRACTIONAL)}")
+    ranked = counts.where(there).join(columns_.where(F.col("values") <= most), "column_name").selectExpr(
+        "column_name", "value", "n", "rows", "once",
         "coalesce(sum(n) OVER (PARTITION BY column_name ORDER BY n DESC, value "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
     )
     top = f"before < rows * {COVERAGE}"
     pair = "named_struct('n', n, 'value', value)"
-    out = ranked.groupBy(F.col("column_name").alias("column")).agg(
-        F.expr("count_if(n = 1) / count(1) AS once"),
+    listed = ranked.groupBy(F.col("column_name").alias("column")).agg(
+        F.expr("max(once) AS once"),
         F.expr(_LISTED.format(f"collect_list({pair})") + " AS all_values"),
         F.expr(_LISTED.format(f"collect_list(if({top}, {pair}, NULL))") + " AS top_values"),
         F.expr(f"sum(if({top}, n, 0)) / max(rows) AS covered"),
         F.expr("max(rows) AS rows"),
-        F.expr("bool_or(kind = 'string') OR (bool_or(kind = 'boolean') AND bool_or(kind <> 'boolean')) AS is_text"),
     )
-    return out.where("is_text")
+    counted = columns_.where(F.col("values") > most).selectExpr(
+        "column_name AS column", "once", "format_string('%d values', values) AS all_values",
+        "format_string('%d values', values) AS top_values", "filled / rows AS covered", "rows",
+    )
+    return listed.unionByName(counted)
 
 
-def suggest(df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str] | None = None) -> DataFrame:
+def suggest(
+    df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str] | None = None, most_listed: int = MOST_LISTED
+) -> DataFrame:
     """Rows (column, rule, constraint, code) for every rule that applies.
 
     The profile is computed once for all rules that read it, the value counts once for
@@ -136,9 +150,8 @@ def suggest(df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str]
     chosen = [r for name, r in _category_rules().items() if name in rules]
     if chosen:
         text = [c for c, t in df.dtypes if t == "string" and (columns is None or c in columns)]
-        few = low_cardinality(df, text) if text else []
-        if few:
-            parts.append(_expand(_categories(df, few), chosen))
+        if text:
+            parts.append(_expand(_categories(df, text, most_listed), chosen))
     if not parts:
         return df.sparkSession.createDataFrame([], "column string, rule string, constraint string, code string")
     return reduce(lambda a, b: a.unionByName(b), parts)

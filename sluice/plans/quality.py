@@ -99,14 +99,39 @@ for _id, (_entity, _instance, _name, _metric, _value) in ANALYZERS.items():
     plan(_id, _metric_sql(_entity, _instance, _name, _value))(_one_metric(_metric))
 
 
-@plan("a04_approx_count_distinct")
+def _is_near(value, exact, share: float):
+    return F.abs(value - exact) <= share * exact
+
+
+def _ranks_near(got, df, column: str, ranks: dict[str, float], off: float = 0.02):
+    """Rows (name, exact, is_near): whether each value lies between exact quantiles a little to either side."""
+    points = [p for q in ranks.values() for p in (max(0.0, q - off), q, min(1.0, q + off))]
+    exact = df.agg(F.percentile(column, F.array(*[F.lit(p) for p in points]))).scalar()
+    place = (F.array_position(F.array(*[F.lit(n) for n in ranks]), F.col("name")).cast("int") - 1) * 3
+    at = lambda i: F.get(exact, place + i)
+    return got.select("name", F.round(at(1), 4).alias("exact"), F.col("value").between(at(0), at(2)).alias("is_near"))
+
+
+@plan("a04_approx_count_distinct", " UNION ALL ".join(
+    f"SELECT '{c}' AS instance, 'ApproxCountDistinct' AS name, (SELECT count(DISTINCT {c}) FROM {MIXED}) AS exact, true AS is_near"
+    for c in ("l_orderkey", "flag")))
 def approx_distinct(t: Tables):
-    return a.analyze(_mixed(t), [a.approx_count_distinct("l_orderkey"), a.approx_count_distinct("flag")])
+    df = _mixed(t)
+    one = lambda c: df.agg(F.countDistinct(c)).scalar()
+    got = a.analyze(df, [a.approx_count_distinct("l_orderkey"), a.approx_count_distinct("flag")])
+    got = got.withColumn("exact", F.when(F.col("instance") == "flag", one("flag")).otherwise(one("l_orderkey")))
+    return got.select("instance", "name", "exact", _is_near(F.col("value"), F.col("exact"), 0.1).alias("is_near"))
+
+
+QUANTILES = (0.1, 0.5, 0.9)
 
 
-@plan("a06_approx_quantile")
+@plan("a06_approx_quantile", " UNION ALL ".join(
+    f"SELECT 'ApproxQuantile-{q}' AS name, round(quantile_cont(l_extendedprice, {q}), 4) AS exact, true AS is_near FROM {MIXED}" for q in QUANTILES))
 def approx_quantile(t: Tables):
-    return a.analyze(_mixed(t), [a.approx_quantile("l_extendedprice", q) for q in (0.1, 0.5, 0.9)])
+    df = _mixed(t)
+    got = a.analyze(df, [a.approx_quantile("l_extendedprice", q) for q in QUANTILES])
+    return _ranks_near(got.select("name", "value"), df, "l_extendedprice", {f"ApproxQuantile-{q}": q for q in QUANTILES})
 
 
 @plan("a08_data_type", " UNION ALL ".join(
@@ -200,14 +225,40 @@ for _id, (_build, _name, _value, _cond) in CHECKS.items():
     plan(_id, _check_sql("single", "Warning", [(_name, _value, _cond)]))(_one_check(_build))
 
 
-@plan("x11_has_approx_quantile")
+def _judged(df):
+    return df.drop("constraint_message", "value")
+
+
+def _judged_sql(name: str, constraint: str, value: str, cond: str) -> str:
+    return f"SELECT * EXCLUDE (value) FROM ({_check_sql(name, 'Error', [(constraint, value, cond)])})"
+
+
+@plan("x11_has_approx_quantile", _judged_sql("quantile", "ApproxQuantile-0.5(qty)", _from("quantile_disc(qty, 0.5)"), "v > 5"))
 def has_approx_quantile(t: Tables):
-    return x.verify(_mixed(t), [x.Check("error", "quantile").has_approx_quantile("qty", 0.5, lambda v: v > 5)])
+    return _judged(x.verify(_mixed(t), [x.Check("error", "quantile").has_approx_quantile("qty", 0.5, lambda v: v > 5)]))
 
 
-@plan("x19_has_approx_count_distinct")
+@plan("x19_has_approx_count_distinct", _judged_sql("distinct", "ApproxCountDistinct(l_orderkey)", _from("count(DISTINCT l_orderkey)"), "v > 10"))
 def has_approx_count_distinct(t: Tables):
-    return x.verify(_mixed(t), [x.Check("error", "distinct").has_approx_count_distinct("l_orderkey", lambda v: v > 10)])
+    return _judged(x.verify(_mixed(t), [x.Check("error", "distinct").has_approx_count_distinct("l_orderkey", lambda v: v > 10)]))
+
+
+@plan("x37_equal_labels_and_names", f"""
+WITH s AS (SELECT avg((l_quantity >= 1)::INT) AS a, avg((l_quantity < 25)::INT) AS b, sum(9000000000000000000::DOUBLE) AS total FROM {MIXED}),
+v AS (SELECT 'Compliance(rule)' AS c, 'Error' AS level, a = 1 AS ok, a AS v FROM s
+  UNION ALL SELECT 'Compliance(rule)', 'Error', b = 1, b FROM s
+  UNION ALL SELECT 'Maximum(l_linestatus)', 'Warning', false, NULL FROM s
+  UNION ALL SELECT 'Sum(big)', 'Warning', total > 9.3e18, NULL FROM s)
+SELECT c AS "constraint", level AS check_level, CASE WHEN ok AND level = 'Error' THEN 'Success' ELSE level END AS check_status,
+  CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status, round(v, 6) AS value FROM v""")
+def equal_labels_and_names(t: Tables):
+    df = _mixed(t).withColumn("big", F.lit(9 * 10**18).cast("long"))
+    good = x.Check("error", "same").satisfies("l_quantity >= 1", "rule")
+    bad = x.Check("error", "same").satisfies("l_quantity < 25", "rule")
+    odd = x.Check("warning", "same").has_max("l_linestatus", lambda v: v > 0).has_sum("big", lambda v: v > 9.3e18)
+    out = x.verify(df, [good, bad, odd])
+    value = F.when(F.col("constraint") != "Sum(big)", F.round("value", 6))
+    return out.select("constraint", "check_level", "check_status", "constraint_status", value.alias("value"))
 
 
 @plan("x32_all_between", _check_sql("fan", "Error", [
@@ -280,30 +331,59 @@ def column_profile(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("completeness", "mean_col", "stdDev_col")})
 
 
-@plan("p01_column_profile_full")
+FULL = {"o_orderkey": "Integral", "o_custkey": "Integral", "o_orderstatus": "String", "o_totalprice": "Fractional", "o_orderpriority": "String"}
+
+
+@plan("p01_column_profile_full", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{kind}' AS \"dataType\", count({c}) / count(*) AS completeness, count(DISTINCT {c}) AS exact, true AS is_near FROM orders"
+    for c, kind in FULL.items()))
 def column_profile_full(t: Tables):
-    return pr.profile(t.orders, "db", "orders")
+    exact = t.orders.agg(*[F.countDistinct(c).alias(c) for c in FULL]).unpivot([], list(FULL), "column", "exact")
+    got = pr.profile(t.orders, "db", "orders").join(exact, "column")
+    near = _is_near(F.col("approximateNumDistinctValues"), F.col("exact"), 0.1)
+    return got.select("column", "dataType", "completeness", "exact", near.alias("is_near"))
 
 
-@plan("p02_percentiles")
+@plan("p02_percentiles", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, 100 AS percentiles, true AS is_near FROM (SELECT count({c}) AS n FROM (SELECT *, l_quantity::INT::VARCHAR AS num FROM {MIXED})) WHERE n > 0"
+    for c in ("qty", "l_extendedprice", "num")))
 def percentiles(t: Tables):
-    return pr.percentile_table(_profiled(t), ["qty", "l_extendedprice", "num"])
+    out, df = None, _profiled(t)
+    got = pr.percentile_table(df, ["qty", "l_extendedprice", "num"])
+    for c in ("qty", "l_extendedprice", "num"):
+        own = got.where(F.col("column_name") == c).select(F.col("value_float").cast("int").cast("string").alias("name"), F.col("count_col").alias("value"))
+        near = _ranks_near(own, df.withColumn(c, F.col(c).cast("double")), c, {str(i): i / 100 for i in range(1, 101)})
+        one = near.agg(F.lit(c).alias("column_name"), F.count(F.lit(1)).cast("int").alias("percentiles"), F.bool_and("is_near").alias("is_near"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @plan("p03_histograms", f"""
 SELECT 'flag' AS column_name, 'category' AS metric_type, coalesce(flag, 'NullValue') AS value_str, NULL::DOUBLE AS value_float,
   count(*)::DOUBLE AS count_col, round(count(*) / (SELECT count(*) FROM lineitem), 8) AS ratio FROM {MIXED} GROUP BY flag
 UNION ALL SELECT 'qty', 'histogram', CASE WHEN qty IS NULL THEN 'NullValue' ELSE '' END, qty, count(*)::DOUBLE,
-  round(count(*) / (SELECT count(*) FROM lineitem), 8) FROM {MIXED} GROUP BY qty""")
+  round(count(*) / (SELECT count(*) FROM lineitem), 8) FROM {MIXED} GROUP BY qty
+UNION ALL SELECT 'l_orderkey', 'histogram', '', l_orderkey::DOUBLE, count(*)::DOUBLE,
+  round(count(*) / (SELECT count(*) FROM lineitem), 8) FROM {MIXED} GROUP BY l_orderkey
+UNION ALL SELECT 'l_extendedprice', 'histogram', '', l_extendedprice, count(*)::DOUBLE,
+  round(count(*) / (SELECT count(*) FROM lineitem), 8) FROM {MIXED} GROUP BY l_extendedprice""")
 def histograms(t: Tables):
     out = pr.histogram_table(_mixed(t), ["flag", "qty", "l_orderkey", "l_extendedprice"])
     return out.withColumn("ratio", F.round("ratio", 8))
 
 
-@plan("p04_mergeable_sketches")
+@plan("p04_mergeable_sketches", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{q}' AS name, round(quantile_cont({c}, {q}), 4) AS exact, true AS is_near FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice") for q in (0.25, 0.5, 0.75)))
 def mergeable_sketches(t: Tables):
     sketches = pr.sketch(t.lineitem, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"])
-    return pr.merge_sketches(sketches, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75])
+    got = pr.merge_sketches(sketches, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75])
+    out = None
+    for c in ("l_quantity", "l_extendedprice"):
+        own = got.where(F.col("column_name") == c).select(F.col("quantile").cast("string").alias("name"), "value")
+        near = _ranks_near(own, t.lineitem, c, {str(q): q for q in (0.25, 0.5, 0.75)}).withColumn("column_name", F.lit(c))
+        out = near if out is None else out.unionByName(near)
+    return out
 
 
 G_SOURCE = """(SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, o_orderstatus AS status,
@@ -330,12 +410,14 @@ def _list_sql(col: str, having: str = "") -> str:
     return f"(SELECT string_agg('''' || v || '''', ', ' ORDER BY n DESC, v) FROM (SELECT {col} AS v, count(*) AS n FROM {G_SOURCE} WHERE {col} IS NOT NULL GROUP BY 1) {having})"
 
 
-COMPLETE_SQL = "SELECT c AS \"column\", 'CompleteIfComplete' AS rule, '''' || c || ''' is not null' AS \"constraint\", '.is_complete(\"' || c || '\")' AS code FROM (VALUES ('o_orderkey'), ('o_totalprice'), ('status'), ('pace'), ('y')) s(c)"
+G_COLUMNS = ("o_orderkey", "o_totalprice", "priority", "status", "pace", "y")
+SHARES = " UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) / count(*) AS share, min(TRY_CAST({c} AS DOUBLE)) AS low, count(TRY_CAST({c} AS DOUBLE)) / count({c}) AS numeric FROM {G_SOURCE}" for c in G_COLUMNS)
+COMPLETE_SQL = "SELECT c AS \"column\", 'CompleteIfComplete' AS rule, '''' || c || ''' is not null' AS \"constraint\", '.is_complete(\"' || c || '\")' AS code FROM (" + SHARES + ") WHERE share = 1"
 RETAIN_SQL = f"""SELECT 'priority' AS "column", 'RetainCompleteness' AS rule, 'completeness of ''priority'' is at least ' || b AS "constraint",
  '.has_completeness("priority", lambda x: x >= ' || b || ')' AS code
 FROM (SELECT printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / n)) * 100) / 100) AS b FROM (SELECT count(priority) / count(*) AS p, count(*) AS n FROM {G_SOURCE}))"""
 TYPE_SQL = "SELECT 'y' AS \"column\", 'RetainType' AS rule, '''y'' has type Integral' AS \"constraint\", '.has_data_type(\"y\", \"integer\")' AS code FROM (SELECT count(*) FROM orders)"
-NONNEG_SQL = "SELECT c AS \"column\", 'NonNegativeNumbers' AS rule, '''' || c || ''' has no negative values' AS \"constraint\", '.is_non_negative(\"' || c || '\")' AS code FROM (VALUES ('o_orderkey'), ('o_totalprice'), ('y')) s(c)"
+NONNEG_SQL = "SELECT c AS \"column\", 'NonNegativeNumbers' AS rule, '''' || c || ''' has no negative values' AS \"constraint\", '.is_non_negative(\"' || c || '\")' AS code FROM (" + SHARES + ") WHERE numeric = 1 AND low >= 0"
 RANGE_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", 'CategoricalRange' AS rule, '''{c}'' has value range ' || l AS \"constraint\", '.is_contained_in(\"{c}\", [' || l || '])' AS code FROM (SELECT {_list_sql(c)} AS l)"
     for c in ("priority", "status")

@@ -1,6 +1,9 @@
 import math
+from collections import Counter
 
 import pytest
+from conftest import CRATES
+from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as a
 from sluice.operators.quality import checks as x
@@ -8,50 +11,77 @@ from sluice.operators.quality import profile as pr
 from sluice.operators.quality import suggest as g
 
 
-def test_stated_metric_values(shipments):
-    metrics = [
-        a.size(), a.completeness("_2"), a.uniqueness("_1"), a.distinctness("_1"), a.unique_value_ratio("_2"),
-        a.number_of_bins("_2"), a.entropy("_3"), a.approx_quantile("_2", 0.5), a.min_length("_1"), a.max_length("_3"),
-        a.minimum("_2"), a.maximum("_2"), a.mean("_2"), a.total("_2"), a.standard_deviation("_2"),
-        a.approx_count_distinct("_2"), a.compliance("big", "_2 > 15"), a.compliance("lt", "_5 < _2"),
-        a.compliance("gt", "_5 > _2"), a.correlation("_2", "_5"),
+def figures():
+    """The metrics of the rows of the fixture, computed plainly."""
+    n, weights = len(CRATES), [r[1] for r in CRATES if r[1] is not None]
+    crates, places, values = (Counter(c) for c in ([r[0] for r in CRATES], [r[2] for r in CRATES], weights))
+    once = lambda c: sum(v == 1 for v in c.values())
+    mean = sum(weights) / len(weights)
+    pairs = [(r[1], r[4]) for r in CRATES if r[1] is not None and r[4] is not None]
+    mx, my = (sum(p[i] for p in pairs) / len(pairs) for i in (0, 1))
+    cov = sum((x - mx) * (y - my) for x, y in pairs)
+    spread = math.sqrt(sum((x - mx) ** 2 for x, _ in pairs) * sum((y - my) ** 2 for _, y in pairs))
+    return [
+        (a.size(), n), (a.completeness("weight"), len(weights) / n), (a.uniqueness("crate"), once(crates) / n),
+        (a.distinctness("crate"), len(crates) / n), (a.unique_value_ratio("weight"), once(values) / len(values)),
+        (a.number_of_bins("weight"), len(values) + 1), (a.entropy("place"), -sum(c / n * math.log(c / n) for c in places.values())),
+        (a.approx_quantile("weight", 0.5), sorted(weights)[(len(weights) - 1) // 2]), (a.min_length("crate"), 2), (a.max_length("place"), 4),
+        (a.minimum("weight"), min(weights)), (a.maximum("weight"), max(weights)), (a.mean("weight"), mean), (a.total("weight"), sum(weights)),
+        (a.standard_deviation("weight"), math.sqrt(sum((w - mean) ** 2 for w in weights) / len(weights))),
+        (a.approx_count_distinct("weight"), len(values)), (a.compliance("big", "weight > 8"), sum(w > 8 for w in weights) / n),
+        (a.compliance("cheap", "price < weight"), sum(y < x for x, y in pairs) / n), (a.correlation("weight", "price"), cov / spread),
     ]
-    want = [8, 0.75, 3 / 8, 5 / 8, 0.8, 6, 1.0397, 7, 6, 10, 1, 20, 11, 66, 7.2801, 5, 0.25, 0.375, 0.125, -0.8311]
-    got = {(r["name"], r["instance"]): r["value"] for r in a.analyze(shipments, metrics).collect()}
-    for m, value in zip(metrics, want):
-        assert got[(m.name, m.instance)] == pytest.approx(value, abs=1e-4)
 
 
-def test_entropy_base_and_mutual_information(shipments):
-    got = {r["name"]: r["value"] for r in a.analyze(shipments, [a.entropy("_3", 2), a.mutual_information("_1", "_1")]).collect()}
-    assert got["Entropy-2"] == pytest.approx(1.5)
-    n = {"thingA": 2, "thingB": 1, "thingC": 3, "thingD": 1, "thingE": 1}
-    assert got["MutualInformation"] == pytest.approx(-sum(c / 8 * math.log(c / 8) for c in n.values()))
+def test_metric_values(crates):
+    want = figures()
+    got = {(r["name"], r["instance"]): r["value"] for r in a.analyze(crates, [m for m, _ in want]).collect()}
+    for m, value in want:
+        assert got[(m.name, m.instance)] == pytest.approx(value, abs=1e-9), m.name
 
 
-def test_scalars_share_one_scan_and_one_exchange(shipments):
-    plan = a.measure(shipments.limit(100), [a.size(), a.mean("_2"), a.total("_5"), a.max_length("_1")])
+def test_entropy_base_and_mutual_information(crates):
+    got = {r["name"]: r["value"] for r in a.analyze(crates, [a.entropy("place", 2), a.mutual_information("crate", "crate")]).collect()}
+    entropy = lambda i, base: -sum(c / len(CRATES) * math.log(c / len(CRATES), base) for c in Counter(r[i] for r in CRATES).values())
+    assert got["Entropy-2"] == pytest.approx(entropy(2, 2))
+    assert got["MutualInformation"] == pytest.approx(entropy(0, math.e))
+
+
+def test_scalars_share_one_scan_and_one_exchange(crates):
+    plan = a.measure(crates.limit(100), [a.size(), a.mean("weight"), a.total("price"), a.max_length("crate")])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Aggregate(keys=[], functions=[") == 2  # partial and final of a single aggregate
 
 
-def test_stated_checks(shipments):
+def test_checks(crates):
     check = (
-        x.Check("error", "examples").has_size(lambda v: v == 8).is_unique("_2")
-        .has_completeness("_2", lambda v: v >= 0.75).has_entropy("_3", lambda v: v > 1)
-        .has_approx_quantile("_2", 0.5, lambda v: v == 7).has_correlation("_2", "_5", lambda v: v == 1)
-        .is_positive("_2").is_non_negative("_2").is_less_than("_5", "_2", lambda v: v == 0.375)
-        .is_in_interval("_5", 1.0, 50.0).has_pattern("_1", "thing([A-Z])").has_data_type("_4", "boolean")
-        .has_data_type("_1", "string").is_contained_in("_3", ["DELAYED", "IN_TRANSIT"], lambda v: v == 0.75)
-        .has_histogram_value("_3", "DELAYED", lambda v: v == 4, "abs").has_approx_count_distinct("_2", lambda v: v == 5)
+        x.Check("error", "crates").has_size(lambda v: v == 10).is_unique("weight")
+        .has_completeness("weight", lambda v: v >= 0.8).has_entropy("place", lambda v: v > 1)
+        .has_approx_quantile("weight", 0.5, lambda v: v == 7).has_correlation("weight", "price", lambda v: v == 1)
+        .is_positive("weight").is_non_negative("weight").is_less_than("price", "weight", lambda v: v == 0.2)
+        .is_in_interval("price", 2.5, 31.0).has_pattern("crate", "K[1-7]").has_data_type("sealed", "boolean")
+        .has_data_type("crate", "string").is_contained_in("place", ["dock", "yard"], lambda v: v == 0.8)
+        .has_histogram_value("place", "dock", lambda v: v == 5, "abs").has_approx_count_distinct("weight", lambda v: v == 6)
     )
-    got = x.verify(shipments, [check, x.Check("warning", "fine").has_size(lambda v: v > 0)]).collect()
+    got = x.verify(crates, [check, x.Check("warning", "fine").has_size(lambda v: v > 0)]).collect()
     failed = {r["constraint"] for r in got if r["constraint_status"] == "Failure"}
-    assert failed == {"Uniqueness(_2)", "Correlation(_2,_5)"}
-    assert {(r["check"], r["check_level"], r["check_status"]) for r in got} == {("examples", "Error", "Error"), ("fine", "Warning", "Success")}
+    assert failed == {"Uniqueness(weight)", "Correlation(weight,price)"}
+    assert {(r["check"], r["check_level"], r["check_status"]) for r in got} == {("crates", "Error", "Error"), ("fine", "Warning", "Success")}
     assert all(("does not meet" in r["constraint_message"]) == (r["constraint_status"] == "Failure") for r in got)
 
 
+def test_equal_labels_are_judged_apart(spark):
+    df = spark.range(1, 11).selectExpr("id", "'a' AS s", "9000000000000000000L AS big")
+    two = x.Check("error", "same").satisfies("id >= 0", "rule"), x.Check("error", "same").satisfies("id < 0", "rule")
+    one = x.Check("error", "lists").is_contained_in("s", ["a", "b"]).is_contained_in("s", ["a,b"])
+    got = x.verify(df, [*two, one]).collect()
+    assert sorted(r["check_status"] for r in got if r["check"] == "same") == ["Error", "Success"]
+    assert sorted(r["value"] for r in got if r["check"] == "lists") == [0.0, 1.0]
+    odd = {r["constraint"]: r for r in x.verify(df, [x.Check("error", "o").has_max("s", lambda v: v > 0).has_sum("big", lambda v: v == 9e19)]).collect()}
+    assert odd["Sum(big)"]["constraint_status"] == "Success"
+    assert odd["Maximum(s)"]["value"] is None and "holds no numbers" in odd["Maximum(s)"]["constraint_message"]
+
+
 def test_empty_input_fails_checks(spark):
     df = spark.createDataFrame([], "v double")
     got = {r["constraint"]: r for r in x.verify(df, [x.Check("error", "e").has_mean("v", lambda v: v > 0).has_size(lambda v: v == 0)]).collect()}
@@ -100,13 +130,28 @@ def test_inferred_types(spark):
     assert got == {"i": "Integral", "f": "Fractional", "b": "Boolean", "s": "String", "n": "Unknown", "m": "String"}
 
 
-def test_histogram_only_for_few_values(spark):
-    df = spark.range(1000).selectExpr("id", "id % 3 AS m", "if(id = 0, NULL, 'x') AS t")
-    got = pr.histogram_table(df)
-    assert {r["column_name"] for r in got.collect()} == {"m", "t"}
+def test_histograms_of_all_columns_and_with_a_limit(spark):
+    df = spark.range(1000).selectExpr("id", "id % 119 AS m", "id % 120 AS n", "if(id = 0, NULL, 'x') AS t")
+    everything = {r["column_name"]: r["n"] for r in pr.histogram_table(df).groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert everything == {"id": 1000, "m": 119, "n": 120, "t": 2}
+    got = pr.histogram_table(df, limit=119)
+    assert {r["column_name"]: r["count_col"] for r in got.where("metric_type = 'leftOut'").collect()} == {"id": 1000, "n": 120}
     assert got.where("column_name = 'm'").agg({"count_col": "sum"}).first()[0] == 1000
 
 
+def test_buckets(spark):
+    df = spark.range(50).selectExpr("id % 5 AS m", "if(id < 10, 'a', 'b') AS t")
+    got = pr.bucket_table(df, "db", "tab").collect()
+    assert {(r["column_name"], r["metric_type"]) for r in got} == {("m", "histogram"), ("m", "approxPercentile"), ("t", "category")}
+    assert len(got) == 5 + 100 + 2 and all((r["database"], r["table"]) == ("db", "tab") for r in got)
+
+
+def test_long_value_ranges_are_counted(spark):
+    df = spark.range(400).selectExpr("concat('v', id % 100) AS many", "concat('w', id % 3) AS few")
+    got = {r["column"]: r["code"] for r in g.suggest(df, ["CategoricalRange"], most_listed=50).collect()}
+    assert "100 values" in got["many"] and "'w0', 'w1', 'w2'" in got["few"]
+
+
 def test_suggested_code_runs_and_holds(spark):
     """Each suggested check is run on the data it was made from."""
     df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").selectExpr(
