@@ -34,7 +34,8 @@ def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
-def first_columns(df: DataFrame, n: int = 29) -> DataFrame:
+def first_columns(df: DataFrame, n: int | None = None) -> DataFrame:
+    """The first ``n`` columns; all without ``n``."""
     return df.select(*[F.col(f"`{c}`") for c in df.columns[:n]])
 
 
@@ -166,7 +167,7 @@ class CleanSpec:
     keys: Sequence[str] = ()
     order_by: Sequence[str] | str | None = None
     ints: Sequence[str] = ()
-    max_columns: int = 29
+    max_columns: int | None = None
     not_blank: Sequence[str] = ()
 
 

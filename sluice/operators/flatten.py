@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.naming import column_names
-from sluice.types import Split
+from sluice.session import durable, plain_unions
+from sluice.types import RuleViolation, Split
 
 ROOT = "/root"
+# Fields of the largest merged document type that is worked with.
+MOST_FIELDS = 10_000
 
 
 def split_json(df: DataFrame, col: str) -> Split:
@@ -29,13 +32,24 @@ def _text_leaves(t: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def document_schema(df: DataFrame, col: str) -> T.DataType:
+def _fields(t: T.DataType) -> int:
+    if isinstance(t, T.StructType):
+        return sum(1 + _fields(f.dataType) for f in t)
+    return _fields(t.elementType) if isinstance(t, T.ArrayType) else 0
+
+
+def document_schema(df: DataFrame, col: str, most_fields: int = MOST_FIELDS) -> T.DataType:
     """Merged type of all documents: one distributed aggregate, one result row.
 
-    Where documents disagree about a path, its value is kept as JSON text.
+    Where documents disagree about a path, its value is kept as JSON text. Documents
+    with ids or dates as keys have as many fields as those: beyond ``most_fields`` such
+    a type is refused, and a schema has to be given.
     """
     ddl = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
-    return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
+    found = T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
+    if _fields(found) > most_fields:
+        raise RuleViolation(f"documents of column {col} have {_fields(found)} fields; give a schema")
+    return found
 
 
 def _paths(t: T.DataType, path: str = ROOT) -> list[tuple[str, str]]:
@@ -52,9 +66,26 @@ def _paths(t: T.DataType, path: str = ROOT) -> list[tuple[str, str]]:
 
 
 def json_paths(df: DataFrame, col: str) -> DataFrame:
-    """Rows (path, type): every field path that occurs in any document."""
-    rows = sorted(set(_paths(document_schema(df, col))))
-    return df.sparkSession.createDataFrame(rows, "path string, type string")
+    """Rows (path, type): every field path that occurs in any document, with each of its types.
+
+    Types are object, array or the name of a scalar type. Documents are taken apart one
+    level at a time, so paths are found below a key that is a scalar elsewhere; elements
+    of a list share the path of the list.
+    """
+    spark, kind = df.sparkSession, F.split(F.lower(F.schema_of_variant("v")), "<")[0]
+    plain_unions(spark)
+    level = df.select(F.lit(ROOT).alias("path"), F.try_parse_json(F.col(col)).alias("v")).where("v IS NOT NULL")
+    found = None
+    while True:
+        inside = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        named = F.when(F.col("key").isNotNull(), F.concat_ws("/", "path", "key")).otherwise(F.col("path"))
+        children = inside.select(named.alias("path"), F.col("key").isNotNull().alias("own"), F.col("value").alias("v"))
+        children = durable(children.withColumn("type", kind))
+        here = children.where("own").select("path", "type").distinct()
+        found = here if found is None else found.union(here)
+        level = children.where("type IN ('object', 'array')").select("path", "v")
+        if level.isEmpty():
+            return found.distinct()
 
 
 def _scalars(c: Column, t: T.DataType, path: str) -> dict[str, Column]:

@@ -57,7 +57,9 @@ def classify(c: Column) -> Column:
     """Class of a cell: '', a date or time pattern, bigint, double or string."""
     t = F.trim(c)
     digits = F.length(t) - F.length(F.translate(t, "0123456789", ""))
-    number = F.when(t.rlike(INTEGER), "bigint").when(t.rlike(DOUBLE), "double").otherwise("string")
+    # Longer integers, such as some ids, have no number type that keeps them.
+    whole = t.rlike(INTEGER) & t.try_cast("bigint").isNotNull()
+    number = F.when(whole, "bigint").when(t.rlike(DOUBLE), "double").otherwise("string")
     checks = [(p, _parsed(t, p).isNotNull()) for p in (*DATES, *TIMES)]
     (first, test), *others = checks
     dated = F.when(test, first)
@@ -146,10 +148,14 @@ def _spread(lines: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
 
 
 def detect_delimiter(lines: DataFrame) -> DataFrame:
-    """One row (candidate, mode, deviation): the delimiter whose count per line varies least."""
+    """One row (candidate, mode, deviation): the delimiter whose count per line varies least.
+
+    What stands between quotes does not count.
+    """
+    plain = lines.select(F.regexp_replace("value", '"[^"]*"', "").alias("value"))
     order = F.array_position(F.array(*[F.lit(d) for d in DELIMITERS]), F.col("candidate"))
     return (
-        _spread(lines, DELIMITERS)
+        _spread(plain, DELIMITERS)
         .where("mode <> 0")
         .orderBy("deviation", order)
         .limit(1)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # column -> (type, pattern or None); type is date, datetime, int, decimal or string
 Spec = Mapping[str, tuple[str, str | None]]
@@ -23,18 +24,33 @@ def obfuscate(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.md5(F.col(c).cast("string")) for c in cols})
 
 
-def _keep_null(c: Column, value: Column) -> Column:
-    return F.when(c.isNotNull(), value)
+def _integral(df: DataFrame, name: str) -> T.DataType:
+    """The type of an integer column; long for one that holds integers as anything else."""
+    kind = df.schema[name].dataType
+    return kind if isinstance(kind, T.IntegralType) else T.LongType()
 
 
-def _mask_int(c: Column, seed: int) -> Column:
-    digits = F.length(c.cast("string"))
-    low = F.pow(F.lit(10), digits - 1).cast("long")
-    return (low + F.pmod(F.xxhash64(c, F.lit(seed)), low * 9)).cast("int")
+def _mask_int(c: Column, kind: T.DataType, seed: int) -> Column:
+    """Other digits, as many, with the same sign; at most the largest number of the type."""
+    number = c.try_cast("decimal(20,0)")
+    low = F.rpad(F.lit("1"), F.length(F.abs(number).cast("string")), "0").cast("decimal(20,0)")
+    digits = low + F.pmod(F.xxhash64(c, F.lit(seed)).cast("decimal(20,0)"), low * 9)
+    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(kind.simpleString(), 64)
+    most = F.least(digits, F.lit(2 ** (bits - 1) - 1).cast("decimal(20,0)"))
+    return F.when(number < 0, -most).when(number >= 0, most).cast(kind)
+
+
+def _plain_number(c: Column) -> Column:
+    """Text of a number without an exponent, as short as it can be."""
+    text = c.cast("string")
+    exact = F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1")
+    exact = F.when(exact.endswith("."), F.concat(exact, F.lit("0"))).otherwise(exact)
+    whole = F.concat(c.try_cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    return F.when(text.contains("E"), F.coalesce(exact, whole)).otherwise(text)
 
 
 def mask(df: DataFrame, spec: Spec, seed: int = 0) -> DataFrame:
-    """Hide values, keep their shape. Integers get other digits of the same number, repeatably."""
+    """Hide values, keep their shape. Integers keep type, sign and number of digits, repeatably."""
     out = {}
     for name, (kind, pattern) in spec.items():
         c = F.col(name)
@@ -46,9 +62,9 @@ def mask(df: DataFrame, spec: Spec, seed: int = 0) -> DataFrame:
             time = F.lit(MASK_TIME).cast("timestamp_ntz")
             out[name] = time if pattern is None else F.date_format(time, pattern)
         elif kind == "int":
-            out[name] = _mask_int(c, seed)
+            out[name] = _mask_int(c, _integral(df, name), seed)
         elif kind == "decimal":
-            out[name] = F.regexp_replace(text, "[0-9a-zA-Z]", "1").try_cast("double")
+            out[name] = F.regexp_replace(_plain_number(c), "[0-9a-zA-Z]", "1").try_cast("double")
         else:
             out[name] = F.regexp_replace(text, "[0-9a-zA-Z]", "x")
     return df.withColumns(out)
@@ -82,9 +98,9 @@ def anonymize(df: DataFrame, spec: Spec) -> DataFrame:
             moved = time + F.make_dt_interval(_shift(F.to_date(time)))
             out[name] = moved if pattern is None else F.date_format(moved, pattern)
         elif kind == "int":
-            out[name] = substitute(c).try_cast("int")
+            out[name] = substitute(c).try_cast(_integral(df, name))
         elif kind == "decimal":
-            out[name] = substitute(c).try_cast("double")
+            out[name] = substitute(_plain_number(c)).try_cast("double")
         else:
             out[name] = substitute(c)
     return df.withColumns(out)

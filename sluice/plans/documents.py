@@ -45,10 +45,38 @@ def _nested(t: Tables):
 
 
 @plan("f02_path_inventory", """
-SELECT * FROM (VALUES ('/root/Id'), ('/root/Items'), ('/root/Items/@nr'), ('/root/Items/lvl:x'), ('/root/Meta'),
-  ('/root/Meta/Kind'), ('/root/Meta/User'), ('/root/Meta/User/Id'), ('/root/Tags')) s(path) WHERE (SELECT count(*) FROM events) > 0""")
+WITH e AS (SELECT event_id, event_type, user_id, value, (props ->> '$.k')::INT AS k FROM events)
+SELECT DISTINCT unnest(['/root/Id', '/root/Meta', '/root/Meta/User', '/root/Tags']) AS path FROM e
+UNION SELECT '/root/Meta/Kind' FROM e WHERE event_type IS NOT NULL UNION SELECT '/root/Meta/User/Id' FROM e WHERE user_id IS NOT NULL
+UNION SELECT unnest(['/root/Items', '/root/Items/@nr']) FROM e WHERE value > 20 AND k IS NOT NULL
+UNION SELECT '/root/Items/lvl:x' FROM e WHERE value > 20 AND k + 1 > 50""")
 def path_inventory(t: Tables):
-    return fl.json_paths(_nested(t), "doc").select("path")
+    return fl.json_paths(_nested(t), "doc").select("path").distinct()
+
+
+@plan("f02_paths_with_conflicts", """
+SELECT '/root/' || k AS path, t AS type, count(*) > 0 AS found FROM (
+  SELECT 'role' AS k, 'string' AS t FROM conversations UNION ALL SELECT 'body', 'string' FROM conversations WHERE turn % 2 = 0
+  UNION ALL SELECT 'body', 'object' FROM conversations WHERE turn % 2 = 1
+  UNION ALL SELECT 'body/text', 'string' FROM conversations WHERE turn % 2 = 1) GROUP BY ALL""")
+def paths_with_conflicts(t: Tables):
+    # Every second turn wraps its text in an object.
+    plain = F.to_json(F.struct("role", F.col("text").alias("body")))
+    wrapped = F.to_json(F.struct("role", F.struct("text").alias("body")))
+    docs = t.conversations.select(F.when(F.col("turn") % 2 == 0, plain).otherwise(wrapped).alias("doc"))
+    return fl.json_paths(docs, "doc").withColumn("found", F.lit(True))
+
+
+@plan("f04_flatten_conversations", """
+SELECT conv_id::VARCHAR AS root_conv, NULL::VARCHAR AS turns_role, NULL::VARCHAR AS turns_text FROM conversations
+UNION SELECT conv_id::VARCHAR, role, text FROM conversations""")
+def flatten_conversations(t: Tables):
+    # One document per conversation, its turns a list.
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    bare = F.transform(turns, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
+    docs = t.conversations.groupBy("conv_id").agg(bare.alias("turns"))
+    docs = docs.select(F.to_json(F.struct(F.col("conv_id").alias("conv"), "turns")).alias("doc"))
+    return fl.flatten_json(docs, "doc")
 
 
 @plan("f04_flatten_custom", """
@@ -140,9 +168,11 @@ def _lines(t: Tables):
     )
 
 
-@plan("t04_delimiter", "SELECT 'comma' AS candidate, 1 AS mode FROM (SELECT count(*) AS n FROM nation)")
+@plan("t04_delimiter", f"""
+WITH n AS (SELECT length(plain) - length(replace(plain, '|', '')) AS pipes FROM (SELECT regexp_replace(value, '"[^"]*"', '', 'g') AS plain FROM {LINES}))
+SELECT 'pipe' AS candidate, pipes::INT AS mode FROM n GROUP BY pipes ORDER BY count(*) DESC, pipes DESC LIMIT 1""")
 def delimiter(t: Tables):
-    # The comma inside the quotes occurs once in every line, the pipe two or three times.
+    # Each line has one comma, but in quotes; it has two or three pipes.
     return inf.detect_delimiter(_lines(t)).select("candidate", "mode")
 
 
@@ -260,36 +290,47 @@ def _vectors(t: Tables):
     return t.embeddings.withColumn("target", (F.col("label") % 2).cast("double"))
 
 
-@plan("m05_logistic_regression")
+LEARNED = "SELECT count(*) AS scored, true AS learned FROM embeddings"
+
+
+def _learned(t: Tables, scored):
+    """How many rows were scored, and whether the predictions are as good as the most frequent class at least."""
+    pairs = scored.join(_vectors(t).select("vec_id", F.col("target").alias("_truth")), "vec_id")
+    right = F.avg((F.col("prediction") == F.col("_truth")).cast("int"))
+    usual = F.greatest(F.avg("_truth"), 1 - F.avg("_truth"))
+    return pairs.agg(F.count(F.lit(1)).alias("scored"), (right >= usual).alias("learned"))
+
+
+@plan("m05_logistic_regression", LEARNED)
 def logistic_regression(t: Tables):
     model = ml.fit_logistic(_vectors(t), "embedding", "target", c=1.0, l1_ratio=0.1, max_iter=20)
     scored = model.transform(ml.assemble(_vectors(t), "embedding"))
-    value = ml.auc(scored, "target")
-    return scored.select("vec_id", "prediction").withColumn("auc", F.lit(value))
+    better = F.lit(ml.auc(scored, "target") > 0.5)
+    return _learned(t, scored.select("vec_id", "prediction")).withColumn("learned", F.col("learned") & better)
 
 
-@plan("m06_random_forest")
+@plan("m06_random_forest", LEARNED)
 def random_forest(t: Tables):
     model = ml.fit_forest(_vectors(t), "embedding", "target", n_estimators=10, max_depth=4, seed=1)
-    return ml.score(_vectors(t), model, "embedding", ["vec_id", "target"])
+    return _learned(t, ml.score(_vectors(t), model, "embedding", ["vec_id"]))
 
 
-@plan("m07_hyper_parameter_search")
+@plan("m07_hyper_parameter_search", LEARNED)
 def hyper_parameter_search(t: Tables):
     data = ml.assemble(_vectors(t), "embedding")
     forest = RandomForestClassifier(labelCol="target", seed=3)
     found = ml.tune(
         data, forest, {"numTrees": ("integer", 3, 8), "maxDepth": ("integer", 2, 4), "subsamplingRate": ("continuous", 0.5, 1.0),
                        "impurity": ("categorical", ["gini", "entropy"])},
-        MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"), n=4, parallelism=2, seed=3,
+        MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"), n=4, parallelism=2, seed=3, key="vec_id",
     )
-    return ml.score(_vectors(t), found.model, "embedding", ["vec_id"]).withColumn("best_score", F.lit(max(found.scores)))
+    return _learned(t, ml.score(_vectors(t), found.model, "embedding", ["vec_id"]))
 
 
-@plan("m08_batch_scoring")
+@plan("m08_batch_scoring", LEARNED)
 def batch_scoring(t: Tables):
     model = ml.fit_logistic(_vectors(t), "embedding", "target", max_iter=10)
-    return ml.score(_vectors(t), model, "embedding", ["vec_id"])
+    return _learned(t, ml.score(_vectors(t), model, "embedding", ["vec_id"]))
 
 
 METRICS_SQL = """

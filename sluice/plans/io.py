@@ -113,11 +113,12 @@ def catalog_table(t: Tables):
     return _orders_sum(s.read_table(t.spark, "sluice_scan_orders"))
 
 
-@plan("s09_source_files")
+@plan("s09_source_files", "SELECT true AS has_files, count(*) AS rows FROM lineitem")
 def source_files(t: Tables):
     df = t.lineitem
     per_file = s.with_source_file(df).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-    return per_file.join(s.source_files(df), "source_file")
+    known = per_file.join(s.source_files(df), "source_file")
+    return known.agg((F.count(F.lit(1)) > 0).alias("has_files"), F.sum("rows").alias("rows"))
 
 
 @plan("s10_freshness", """
@@ -130,9 +131,14 @@ def freshness(t: Tables):
     return s.freshness(t.events, "event_type", "ts", "event_id", today)
 
 
-@plan("s10_file_freshness")
+@plan("s10_file_freshness", "SELECT DISTINCT 'lineitem' AS prefix, true AS is_there, false AS late FROM lineitem")
 def file_freshness(t: Tables):
-    return s.file_freshness(t.lineitem, F.lit("lineitem"), F.current_date())
+    day = t.lineitem.agg(F.max(F.to_date("_metadata.file_modification_time"))).scalar()
+    fresh = s.file_freshness(t.lineitem, F.lit("lineitem"), day)
+    late = s.late_groups(fresh, "prefix").withColumn("late", F.lit(True))
+    return fresh.join(late, "prefix", "left").select(
+        "prefix", F.col("newest_key").contains("lineitem").alias("is_there"), F.coalesce("late", F.lit(False)).alias("late")
+    )
 
 
 # ---- sinks
@@ -240,6 +246,22 @@ def upsert(t: Tables):
     return u.upsert(base, _customer_changes(t), ["c_custkey"], "version")
 
 
+NULL_KEYS = "SELECT nullif(c_nationkey, 3) AS nation, c_mktsegment AS segment, max(c_custkey) AS newest FROM customer GROUP BY ALL"
+
+
+@plan("k07_upsert_null_keys", f"""
+SELECT nation, segment, newest + (segment = 'BUILDING')::INT AS newest FROM ({NULL_KEYS})
+UNION ALL SELECT NULL, 'none', 1 FROM (SELECT count(*) FROM customer)""")
+def upsert_null_keys(t: Tables):
+    # The key of nation 3 is unknown; the same changes are merged twice.
+    nation = F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("nation")
+    base = t.customer.groupBy(nation, F.col("c_mktsegment").alias("segment")).agg(F.max("c_custkey").alias("newest"))
+    added = t.customer.agg(F.lit(None).cast("int").alias("nation"), F.lit("none").alias("segment"), F.lit(1).cast("long").alias("newest"))
+    changes = base.where("segment = 'BUILDING'").withColumn("newest", F.col("newest") + 1).unionByName(added)
+    once = u.upsert(base, changes, ["nation", "segment"], "newest")
+    return u.upsert(once, changes, ["nation", "segment"], "newest")
+
+
 @plan("k08_insert_new", """
 SELECT c_custkey, c_name, c_acctbal, 1 AS version FROM customer
 UNION ALL SELECT -s_suppkey - 1, s_name, s_acctbal, 3 FROM supplier""")
@@ -265,11 +287,19 @@ def history(t: Tables):
 
 @plan("k10_partition_values", """
 SELECT DISTINCT 'o_orderstatus' AS column_name, o_orderstatus AS value FROM orders
-UNION ALL SELECT DISTINCT 'o_orderpriority', o_orderpriority FROM orders""")
+UNION ALL SELECT DISTINCT 'o_orderpriority', o_orderpriority FROM orders
+UNION ALL SELECT DISTINCT 'o_orderkey', o_orderkey::VARCHAR FROM orders""")
 def partition_values(t: Tables):
     return k.partition_values(t.orders, ["o_orderstatus", "o_orderpriority", "o_orderkey"])
 
 
+@plan("k10_partition_values_limited", """
+SELECT DISTINCT 'o_orderstatus' AS column_name, o_orderstatus AS value, NULL::BIGINT AS left_out FROM orders
+UNION ALL SELECT 'o_orderkey', NULL, count(DISTINCT o_orderkey) FROM orders""")
+def partition_values_limited(t: Tables):
+    return k.partition_values(t.orders, ["o_orderstatus", "o_orderkey"], limit=1000)
+
+
 @plan("k11_retention", """
 SELECT CASE WHEN o_orderdate < DATE '1997-07-01' THEN 'archive' ELSE 'keep' END AS side,
        count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
@@ -292,13 +322,27 @@ def archive_and_rewrite(t: Tables):
     k.save_table(t.orders, "sluice_retained", path)
     k.archive_old(
         t.spark.table("sluice_retained"), "sluice_retained", "o_orderdate", None,
-        F.lit("1997-07-01").cast("date"), archive, path,
+        F.lit("1997-07-01").cast("date"), archive, path, run="first",
+    )
+    # Nothing is old any more: the second run leaves both sides alone.
+    k.archive_old(
+        t.spark.table("sluice_retained"), "sluice_retained", "o_orderdate", None,
+        F.lit("1997-07-01").cast("date"), archive, path, run="second",
     )
     kept = t.spark.table("sluice_retained").agg(F.lit("table").alias("place"), F.count(F.lit(1)).alias("n"))
     old = t.spark.read.schema(t.orders.schema).csv(archive, header=True)
     return kept.unionByName(old.agg(F.lit("archive").alias("place"), F.count(F.lit(1)).alias("n")))
 
 
+@plan("k03_replace_partitions", """
+SELECT o_orderstatus, count(*) AS n, sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_custkey END) AS keys FROM orders GROUP BY 1""")
+def replace_partitions(t: Tables):
+    k.save_table(t.orders, "sluice_replaced", t.scratch("replaced"), partition_by=["o_orderstatus"])
+    k.replace_partitions(t.orders.where("o_orderstatus = 'P'").withColumn("o_custkey", F.lit(0).cast("long")), "sluice_replaced")
+    out = t.spark.table("sluice_replaced").groupBy("o_orderstatus")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("keys"))
+
+
 @plan("k13_drop_table", "SELECT true AS before, false AS after, count(*) AS n FROM region")
 def drop_table(t: Tables):
     name = "sluice_to_drop"

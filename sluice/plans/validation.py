@@ -312,6 +312,30 @@ def mask_int(t: Tables):
     return masked.select("p_partkey", F.length(F.col("p_size").cast("string")).cast("long").alias("digits"))
 
 
+# Numbers with 1 to 15 digits of either sign, and nulls, as SQL.
+WIDE = """(SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey * 3000000019 * (1 - 2 * (o_orderkey % 2)) END AS big,
+  CASE WHEN o_orderkey % 3 = 0 THEN -o_custkey ELSE o_custkey END::INT AS small, o_totalprice * 1000 AS amount FROM orders)"""
+
+
+def _wide(t: Tables):
+    key = F.col("o_orderkey")
+    return t.orders.select(
+        "o_orderkey", F.when(key % 7 != 0, key * 3000000019 * (1 - 2 * (key % 2))).alias("big"),
+        F.when(key % 3 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")).cast("int").alias("small"),
+        (F.col("o_totalprice") * 1000).alias("amount"),
+    )
+
+
+@plan("pr03_mask_wide_int", f"""
+SELECT o_orderkey, length(abs(big)::VARCHAR) AS big_digits, sign(big)::INT AS big_sign, length(abs(small)::VARCHAR) AS small_digits,
+  CASE WHEN small < 0 THEN -1 ELSE 1 END AS small_sign FROM {WIDE}""")
+def mask_wide_int(t: Tables):
+    masked = p.mask(_wide(t), {"big": ("int", None), "small": ("int", None)}, seed=5)
+    digits = lambda c: F.length(F.abs(c).cast("string")).cast("long").alias(f"{c}_digits")
+    sign = lambda c: F.when(F.col(c) < 0, -1).when(F.col(c) > 0, 1).alias(f"{c}_sign")
+    return masked.select("o_orderkey", digits("big"), sign("big"), digits("small"), sign("small"))
+
+
 @plan("pr04_mask_text", """
 SELECT c_custkey, regexp_replace(c_name, '[0-9a-zA-Z]', 'x', 'g') AS c_name,
        regexp_replace(c_acctbal::VARCHAR, '[0-9a-zA-Z]', '1', 'g')::DOUBLE AS c_acctbal FROM customer""")
@@ -330,6 +354,13 @@ def anonymize_values(t: Tables):
     return p.anonymize(df, {"p_name": ("string", None), "p_size": ("int", None), "p_retailprice": ("decimal", None)})
 
 
+@plan("pr05_anonymize_wide", f"""
+SELECT o_orderkey, {CIPHER_SQL.format('big::VARCHAR')}::BIGINT AS big, {CIPHER_SQL.format('small::VARCHAR')}::INT AS small,
+  {CIPHER_SQL.format('amount::VARCHAR')}::DOUBLE AS amount FROM {WIDE}""")
+def anonymize_wide(t: Tables):
+    return p.anonymize(_wide(t), {"big": ("int", None), "small": ("int", None), "amount": ("decimal", None)})
+
+
 @plan("pr06_anonymize_date", """
 SELECT o_orderkey, d + (year(d) + month(d) + day(d))::INT AS d, strftime(d + (year(d) + month(d) + day(d))::INT, '%d/%m/%Y') AS d2
 FROM (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders)""")

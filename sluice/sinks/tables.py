@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import staged
+from sluice.session import plain_unions, staged
 from sluice.types import Quarantined, Split
 
 
@@ -21,17 +21,19 @@ def save_table(
     num_files: int | None = None,
     comment: str | None = None,
     reads_target: bool = False,
+    skip_empty: bool = True,
     **options,
 ) -> bool:
     """Save as a catalog table; an empty frame is skipped and False returned.
 
+    ``skip_empty=False`` writes it like any other, so an overwritten table ends up empty.
     Looking for a first row starts the plan once more; where it shuffles a lot before
     that row, pass ``staged(df)``.
     ``reads_target`` says that ``df`` reads the table being replaced: the rows then go
     to the shared scratch folder first, because Spark refuses to overwrite its input.
     """
     spark = df.sparkSession
-    if df.isEmpty():
+    if skip_empty and df.isEmpty():
         return False
     if reads_target:
         df = staged(df)
@@ -133,26 +135,50 @@ def months_before(today: Column, months: int) -> Column:
 
 
 def archive_old(
-    df: DataFrame, table: str, date_col: str, fmt: str | None, cutoff: Column, archive_path: str, path: str
-) -> None:
-    """Write old rows as gzip CSV and keep the rest in the table."""
+    df: DataFrame, table: str, date_col: str, fmt: str | None, cutoff: Column, archive_path: str, path: str, run: str
+) -> bool:
+    """Move old rows of an external table to gzip CSV below ``archive_path/run=<run>``; False if there are none.
+
+    The rest is written beside the table, to ``path`` with the run's name, and the table
+    then points there. A run that failed in between can be repeated: its archive
+    folder and its new files replace those of the first attempt. ``df`` reads the table.
+    """
+    spark = df.sparkSession
     keep, old = retention_split(df, date_col, fmt, cutoff)
-    write_csv(old, archive_path, mode="append", compression="gzip")
-    save_table(keep, table, path, reads_target=True)
+    if old.isEmpty():
+        return False
+    beside = f"{path.rstrip('/')}-{run}"
+    write_csv(old, f"{archive_path}/run={run}", compression="gzip")
+    keep.write.mode("overwrite").parquet(beside)
+    point_table_at(spark, table, beside)
+    return True
+
+
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Overwrite the partitions that ``df`` has rows of; all others stay."""
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
-def partition_values(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> DataFrame:
-    """Rows (column, value) for the columns with fewer than ``limit`` distinct values.
+def partition_values(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Rows (column_name, value) of all distinct values.
 
-    Only the first aggregate runs over the data. ``limit`` decides which columns are
-    listed; a listed column is always listed whole.
+    With ``limit`` the columns with that many distinct values or more are not listed; each
+    has one row instead whose value is null and ``left_out`` their exact number.
     """
     counts = df.select(*cols).unpivot([], [F.col(c).cast("string").alias(c) for c in cols], "column_name", "value")
     values = counts.groupBy("column_name", "value").agg(F.lit(1).alias("one"))
-    few = (
-        values.groupBy("column_name")
-        .agg(F.count("value").alias("n"))
-        .where(F.col("n") < limit)
-        .select("column_name")
+    if limit is None:
+        return values.select("column_name", "value")
+    plain_unions(df.sparkSession)
+    sizes = values.groupBy("column_name").agg(F.count("value").alias("n"))
+    few = values.join(sizes.where(F.col("n") < limit), "column_name", "left_semi")
+    many = sizes.where(F.col("n") >= limit)
+    return few.select("column_name", "value", F.lit(None).cast("long").alias("left_out")).unionByName(
+        many.select("column_name", F.lit(None).cast("string").alias("value"), F.col("n").alias("left_out"))
     )
-    return values.join(few, "column_name", "left_semi").select("column_name", "value")

@@ -43,9 +43,18 @@ def read_many(
 
 
 def read_prefixes(spark: SparkSession, parent: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
-    """All folders below ``parent`` as one scan; the column ``prefix`` holds the cleaned folder name."""
+    """All folders below ``parent`` as one scan, however deep their files lie.
+
+    The column ``prefix`` holds the cleaned name of the folder right below ``parent``; it
+    is empty for files in ``parent`` itself.
+    """
     df = read_files(spark, parent, fmt, schema, recursiveFileLookup=True, **options)
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    place = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    place = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().getRawPath()
+    # Schemes and hosts may be written in several ways; the paths behind them are equal.
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.split(F.substring(path, len(place.rstrip("/")) + 2, 1 << 20), "/")
+    folder = F.when(F.size(below) > 1, F.url_decode(below[0])).otherwise("")
     return df.withColumn("prefix", F.regexp_replace(folder, "[^A-Za-z0-9_]", ""))
 
 

@@ -45,6 +45,17 @@ def read_new(spark: SparkSession, path: str, schema, target: str, checkpoint: st
     )
 
 
+def _drop_versions(spark: SparkSession, root: str, keep: set[str]) -> None:
+    """Remove version folders; the last two stay, for those who still read the one before."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in store.listStatus(path):
+        name = entry.getPath().getName()
+        if name.startswith("version=") and name.removeprefix("version=") not in keep:
+            store.delete(entry.getPath(), True)
+
+
 def upsert_new(
     spark: SparkSession,
     path: str,
@@ -78,6 +89,7 @@ def upsert_new(
             return
         upsert(spark_.table(table), good, keys, order_by).write.mode("overwrite").parquet(version)
         point_table_at(spark_, table, version)
+        _drop_versions(spark_, root, {place.rstrip("/").rpartition("=")[2], str(batch)})
 
     run_available(new_files(spark, path, schema, fmt, **options), checkpoint, merge)
     # Batches run in a session of their own; this one may remember the old location.

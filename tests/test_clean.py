@@ -154,3 +154,20 @@ def test_mask(pii, spark):
     assert first["emp_deci"] == 11.1
     nums = spark.range(1, 3000).select(F.col("id").cast("int").alias("n"), F.length(F.col("id").cast("string")).alias("d"))
     assert p.mask(nums, {"n": ("int", None)}, seed=3).where("length(n) <> d").count() == 0
+
+
+def test_wide_numbers_are_masked_and_anonymized(spark):
+    df = spark.createDataFrame(
+        [(1234567890, 123456789012, 12345678.9), (-12, -(2**63), 0.0001), (None, None, None), (2147483647, 9223372036854775807, -1e30), (0, 5, 10.0)],
+        "i int, l long, d double",
+    )
+    spec = {"i": ("int", None), "l": ("int", None), "d": ("decimal", None)}
+    masked = p.mask(df, spec, seed=1)
+    assert [masked.schema[c].dataType for c in "il"] == [df.schema[c].dataType for c in "il"]
+    for a, b in zip(df.collect(), masked.collect()):
+        for x, y in zip(a[:2], b[:2]):
+            assert (x is None) == (y is None) and (x is None or ((x < 0) == (y < 0) and len(str(abs(x))) == len(str(abs(y)))))
+        assert (a[2] is None) == (b[2] is None)
+    hidden = p.anonymize(df, spec).collect()
+    assert tuple(hidden[2]) == (None, None, None) and hidden[1]["i"] == -45
+    assert all(v is not None for i in (0, 3) for v in (hidden[i]["l"], hidden[i]["d"])) and hidden[1]["d"] is not None

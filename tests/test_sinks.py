@@ -75,7 +75,54 @@ def test_retention_keeps_unreadable_dates(spark):
 def test_partition_values_limit(spark):
     df = spark.range(50).selectExpr("id", "id % 3 AS m")
     got = k.partition_values(df, ["id", "m"], limit=10)
-    assert rows(got) == [("m", "0"), ("m", "1"), ("m", "2")]
+    assert rows(got) == sorted([("id", None, 50), ("m", "0", None), ("m", "1", None), ("m", "2", None)], key=repr)
+    assert rows(k.partition_values(df, ["m"])) == [("m", "0"), ("m", "1"), ("m", "2")]
+    assert k.partition_values(df, ["id"]).count() == 50
+
+
+@pytest.mark.parametrize("days", [[1, 2], [1, 9], [8, 9]])
+def test_archive_twice(spark, tmp_path, days):
+    spark.sql("DROP TABLE IF EXISTS sluice_test_archive")
+    path, archive = str(tmp_path / "t"), str(tmp_path / "a")
+    df = spark.createDataFrame([(d, dt.date(2024, 1, d)) for d in days], "id int, d date")
+    k.save_table(df, "sluice_test_archive", path)
+    cutoff, old = F.lit("2024-01-05").cast("date"), [d for d in days if d < 5]
+    for run in ("one", "two"):
+        k.archive_old(spark.table("sluice_test_archive"), "sluice_test_archive", "d", None, cutoff, archive, path, run)
+        assert sorted(r[0] for r in spark.table("sluice_test_archive").collect()) == [d for d in days if d >= 5]
+        if old:
+            assert sorted(int(r["id"]) for r in spark.read.csv(archive, header=True).collect()) == old
+    spark.sql("DROP TABLE sluice_test_archive")
+
+
+def test_empty_overwrite_is_possible(spark, tmp_path, base):
+    k.save_table(base, "sluice_test_empty", str(tmp_path / "e"))
+    k.save_table(base.where("id > 99"), "sluice_test_empty", str(tmp_path / "e"), skip_empty=False)
+    assert spark.table("sluice_test_empty").count() == 0
+    k.drop_table(spark, "sluice_test_empty")
+
+
+def test_null_keys_and_map_columns(spark):
+    base = spark.createDataFrame([(None, "a", 1), (1, "b", 1)], "id int, v string, ver int")
+    delta = spark.createDataFrame([(None, "n", 2), (None, "m", 1), (2, "c", 1)], "id int, v string, ver int")
+    once = u.upsert(base, delta, ["id"], "ver")
+    assert rows(once) == rows(u.upsert(once, delta, ["id"], "ver")) == sorted([(None, "n", 2), (1, "b", 1), (2, "c", 1)], key=repr)
+    new = u.insert_new(base, delta, ["id"], "ver")
+    assert rows(new) == rows(u.insert_new(new, delta, ["id"], "ver")) == sorted([(None, "a", 1), (1, "b", 1), (2, "c", 1)], key=repr)
+    maps = spark.sql(
+        "SELECT id, map('x', id, 'y', 2L) AS m, array(map('z', id)) AS l, 1 AS ver FROM range(3) "
+        "UNION ALL SELECT 0, map('y', 2L, 'x', 0L), array(map('z', 0L)), 1"
+    )
+    assert u.latest(maps, ["id"], "ver").count() == 3
+
+
+def test_prefixes_are_the_folders_below_the_parent(spark, tmp_path):
+    from sluice.sources.files import read_prefixes
+
+    for place in ("alpha/day=1", "beta-2/day=1/hour=3"):
+        spark.range(2).write.parquet(str(tmp_path / place))
+    got = read_prefixes(spark, str(tmp_path)).groupBy("prefix").count()
+    assert rows(got) == [("alpha", 2), ("beta2", 2)]
 
 
 def test_reconciliation(spark):
