@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,23 @@ from sluice.skew import spread_join
 from sluice.types import RuleViolation
 
 
+@contextmanager
+def _views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[None]:
+    """The frames as temporary views; views of the same names are there again afterwards."""
+    known = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    before = {name: spark.table(name) for name in frames if name in known}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in frames:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
 def run_sql(
     spark: SparkSession, sql: str, args: Mapping[str, Any] | Sequence[Any] | None = None, **frames: DataFrame
 ) -> DataFrame:
@@ -21,9 +39,8 @@ def run_sql(
     Python's format fields cannot be combined with positional values.
     """
     if args is not None and not isinstance(args, Mapping) and frames:
-        for name, df in frames.items():
-            df.createOrReplaceTempView(name)
-        return spark.sql(sql, args=list(args))
+        with _views(spark, frames):
+            return spark.sql(sql, args=list(args))
     return spark.sql(sql, args=args if args is None or isinstance(args, Mapping) else list(args), **frames)
 
 

@@ -102,11 +102,11 @@ def blank_filter(t: Tables):
 
 
 @plan("c11_clean_all", f"""
-SELECT c_custkey, name, segment, balance FROM (
+SELECT c_custkey, name, segment, balance,
+  CASE WHEN coalesce(trim(name), '') <> '' AND coalesce(trim(segment), '') <> '' THEN 'good' ELSE 'bad' END AS side FROM (
   SELECT segment, c_custkey, name, trunc(c_acctbal)::INT AS balance FROM (
     SELECT c_custkey, c_name AS name, c_mktsegment AS segment, c_acctbal FROM {GAPS}
-    QUALIFY row_number() OVER (PARTITION BY c_mktsegment, c_acctbal ORDER BY c_custkey DESC) = 1))
-WHERE coalesce(trim(name), '') <> '' AND coalesce(trim(segment), '') <> ''""")
+    QUALIFY row_number() OVER (PARTITION BY c_mktsegment, c_acctbal ORDER BY c_custkey DESC) = 1))""")
 def clean_all(t: Tables):
     spec = c.CleanSpec(
         mapping={"c_name": "name", "c_mktsegment": "segment", "c_acctbal": "balance"},
@@ -114,7 +114,7 @@ def clean_all(t: Tables):
         keys=["segment", "balance"], order_by="c_custkey", ints=["balance"], max_columns=4,
         not_blank=["name", "segment"],
     )
-    return c.clean_all(_gaps(t), spec).good
+    return _sides(c.clean_all(_gaps(t), spec), "good", "bad")
 
 
 @plan("c12_truncate_values", "SELECT p_partkey::VARCHAR AS p_partkey, left(p_name, 5) AS p_name, left(p_type, 5) AS p_type FROM part")

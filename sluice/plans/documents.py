@@ -197,9 +197,13 @@ def ragged_lines(t: Tables):
     return s.good.withColumn("side", F.lit("good")).unionByName(s.bad.withColumn("side", F.lit("bad")))
 
 
-@plan("t05_split_fields", "SELECT n_nationkey::VARCHAR AS id, n_name || ', north' AS label, n_regionkey::VARCHAR AS region FROM nation WHERE n_regionkey <> 2")
+@plan("t05_split_fields", """
+SELECT n_nationkey::VARCHAR AS id, n_name || ', north' AS label, n_regionkey::VARCHAR AS region,
+  CASE WHEN n_regionkey = 2 THEN 'bad' ELSE 'good' END AS side FROM nation""")
 def split_fields(t: Tables):
-    return inf.split_fields(inf.split_ragged(_lines(t), r"\|").good, r"\|", ["id", "label", "region"])
+    s = inf.split_ragged(_lines(t), r"\|")
+    fields = lambda df, side: inf.split_fields(df, r"\|", ["id", "label", "region"]).withColumn("side", F.lit(side))
+    return fields(s.good, "good").unionByName(fields(s.bad, "bad"))
 
 
 # ---- incremental loads
@@ -394,14 +398,14 @@ def neighbourhood(t: Tables):
 
 
 @plan("geo04_compact", """
-WITH g AS (SELECT DISTINCT o_orderkey // 64 AS r, o_orderkey % 64 AS c FROM orders WHERE o_orderkey % 64 < 40),
+WITH g AS (SELECT DISTINCT o_orderkey // 64 AS r, o_orderkey % 64 AS c FROM orders),
 l(level) AS (VALUES (0), (1), (2), (3)),
 f AS (SELECT level, r >> level AS r, c >> level AS c FROM g, l GROUP BY ALL HAVING count(*) = 1 << (2 * level)),
 k AS (SELECT f.level, f.r, f.c FROM f LEFT JOIN f p ON p.level = f.level + 1 AND p.r = f.r >> 1 AND p.c = f.c >> 1 WHERE p.level IS NULL)
 SELECT level, count(*) AS cells, sum(r * 4294967296 + c)::BIGINT AS cell_sum FROM k GROUP BY level""")
 def compact(t: Tables):
     k = F.col("o_orderkey")
-    cells = t.orders.select(F.floor(k / 64).alias("r"), (k % 64).alias("c")).where("c < 40").select(geo._cell(F.col("r"), F.col("c")).alias("cell"))
+    cells = t.orders.select(F.floor(k / 64).alias("r"), (k % 64).alias("c")).select(geo._cell(F.col("r"), F.col("c")).alias("cell"))
     return geo.compact(cells, 3).groupBy("level").agg(F.count(F.lit(1)).alias("cells"), F.sum("cell").alias("cell_sum"))
 
 

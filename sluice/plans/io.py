@@ -195,7 +195,8 @@ def file_count(t: Tables):
 @plan("k05_size_based_partitions", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
 def size_based_partitions(t: Tables):
     path = t.scratch("sized")
-    k.repartition_by_size(t.lineitem).write.parquet(path)
+    with k.partition_size(t.spark, 64_000_000):
+        k.repartition_by_size(t.lineitem).write.parquet(path)
     return s.read_files(t.spark, path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +71,20 @@ def save_tables(
     return saved
 
 
-def repartition_by_size(df: DataFrame, target_bytes: int = 128_000_000) -> DataFrame:
-    """Output partitions of about ``target_bytes``, measured at run time by adaptive execution."""
-    df.sparkSession.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+@contextmanager
+def partition_size(spark: SparkSession, target_bytes: int = 128_000_000) -> Iterator[None]:
+    """Partitions that adaptive execution sizes are about that large in jobs that run inside."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(target_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def repartition_by_size(df: DataFrame) -> DataFrame:
+    """Output partitions of about equal size, measured at run time; write inside ``partition_size`` to choose it."""
     return df.hint("rebalance")
 
 

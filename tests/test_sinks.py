@@ -139,6 +139,17 @@ def test_reconciliation(spark):
     assert r.pending(r.mark_sent(log, "other"), "p").count() == 1
 
 
+def test_sums_of_small_large_and_whole_numbers(spark):
+    labels, pair = r.Labels("p", "g", "s", "t"), [("x", "x")]
+    flag = lambda a, b: r.reconcile_measures(a, b, pair, labels).first()["match_flag"]
+    tiny = spark.range(100_000).selectExpr("0.0000004D AS x")
+    assert flag(tiny, tiny.union(tiny)) == "N" and flag(tiny, tiny.repartition(7)) == "Y"
+    huge = spark.range(3).selectExpr("1e300D AS x")
+    assert flag(huge, huge) == "Y" and flag(huge, huge.limit(2)) == "N"
+    longs = spark.range(3).selectExpr("9000000000000000000L AS x")
+    assert flag(longs, longs.limit(2).union(spark.sql("SELECT 8999999999999999999L AS x"))) == "N" and flag(longs, longs) == "Y"
+
+
 def test_observed_counts(spark):
     df, seen = r.observe_counts(spark.range(17), "seventeen")
     df.collect()
