@@ -135,10 +135,14 @@ def freshness(t: Tables):
 def file_freshness(t: Tables):
     day = t.lineitem.agg(F.max(F.to_date("_metadata.file_modification_time"))).scalar()
     fresh = s.file_freshness(t.lineitem, F.lit("lineitem"), day)
-    late = s.late_groups(fresh, "prefix").withColumn("late", F.lit(True))
-    return fresh.join(late, "prefix", "left").select(
-        "prefix", F.col("newest_key").contains("lineitem").alias("is_there"), F.coalesce("late", F.lit(False)).alias("late")
-    )
+    return fresh.select("prefix", F.col("newest_key").contains("lineitem").alias("is_there"), (~F.col("is_current")).alias("late"))
+
+
+@plan("s10_late_groups", """
+SELECT event_type FROM events GROUP BY event_type HAVING max(ts)::DATE < (SELECT max(ts)::DATE FROM events WHERE event_type = 'click') + 1""")
+def late_groups(t: Tables):
+    day = F.date_add(t.events.where("event_type = 'click'").agg(F.max(F.to_date("ts"))).scalar(), 1)
+    return s.late_groups(s.freshness(t.events, "event_type", "ts", "event_id", day), "event_type")
 
 
 # ---- sinks
