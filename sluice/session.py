@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,22 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows that a Python worker gets at a time while long texts are read.
+TEXT_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """Jobs that run inside hand fewer rows at a time to Python workers, which keeps these small."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder, so a lost executor does not recompute the lineage."""
     sc = df.sparkSession.sparkContext
