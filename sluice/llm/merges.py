@@ -45,6 +45,7 @@ class Merges:
         keys = np.array([(self.vocab[a] << 32) + self.vocab[b] for a, b in pairs], np.uint64)
         self._merged = np.array([self.vocab[a + b] for a, b in pairs], np.int32)
         self._none = len(pairs)
+        self.spec["model"] = None  # as large as the tables made of it
         self._build(keys)
 
     def _build(self, keys: np.ndarray) -> None:

@@ -16,43 +16,46 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.merges import Merges
-from sluice.session import durable
+from sluice.session import durable, small_batches
 
 SEQUENCE = 2048
 END_ID = 1
 # Cached words; a worker clears them beyond this number.
 CACHE = 1 << 19
-# Words that are looked at together.
-TOGETHER = 1 << 18
+# Bytes of text that are taken apart together, unless one text is longer.
+TOGETHER = 1 << 22
 # Pieces of one length that one task ranks, on average.
 SLICE = 2048
 
 # The pattern of the vocabulary file, plain texts, and what it comes to on them in lower case.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = "[\t\n\r -~¡-©«-¬®-±´-´¶-¸»-»¿-ÿ‐-‧‰-⁞€]*"
+NOT_PLAIN = "[^\t\n\r -~¡-©«-¬®-±´¶-¸»¿-ÿ‐-‧‰-⁞€]"
+RUN = "[^a-zß-öø-ÿ0-9\\s][.,]"
 PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\s]+"
 
-_LAST = object()
 
-PIECES = "array<struct<start:long,length:int,ids_crc32:long,ids:binary>>"
+PIECES = "start long, length int, ids_crc32 long, ids binary, doc_tokens long"
 
 
 class WordIds:
     """The ids of texts, word by word, for vocabularies that drop white space: no token reaches over it.
 
-    Texts of plain letters, digits and punctuation are cut as the vocabulary file says; new
-    words are merged in batches and cached. Any other text, and one that may hold a special
-    string, is encoded by the library.
+    Texts of plain letters, digits and punctuation are split by Arrow, and every different
+    word of a part is looked up once; new words are cut as the vocabulary file says, merged
+    in batches and cached. Any other text, and one that may hold a special string, is
+    encoded by the library.
     """
 
     def __init__(self, path: str):
@@ -61,49 +64,63 @@ class WordIds:
         steps = self._merges.spec["pre_tokenizer"]["pretokenizers"]
         if steps[0]["pattern"]["Regex"] != PATTERN or steps[1]["type"] != "ByteLevel" or steps[1]["add_prefix_space"]:
             raise ValueError("a file for lower-cased words without white space is needed")
-        self._words: dict[str, bytes] = {}
-        self._plain, self._cut = re.compile(PLAIN), re.compile(PLAIN_WORDS)
-        # A full stop or comma that ends more than a letter or digit belongs to what is before it.
-        self._run = re.compile(r"[^a-zß-öø-ÿ0-9\s][.,]")
-
-    def _split(self, text: str) -> list[str]:
-        """A plain text in lower case at white space, a single full stop or comma at a word's end apart."""
-        if self._run.search(text):
-            return text.split()
-        return text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ").split()
-
-    def _learn(self, texts: Iterable[list[str]]) -> None:
+        self._words: dict[str, bytes] = {"": b""}
+        self._cut = re.compile(PLAIN_WORDS)
+
+    def _learn(self, words: list[str]) -> None:
         if len(self._words) > CACHE:
-            self._words = {}
-        new = list(set(filterfalse(self._words.__contains__, chain.from_iterable(texts))))
+            self._words = {"": b""}
+        new = list(filterfalse(self._words.__contains__, words))
         pieces = list(map(self._cut.findall, new))
         whole = [w for w, p in zip(new, pieces) if len(p) == 1]
         self._words.update(zip(whole, self._merges.encode([w.encode() for w in whole])))
-        rest = set(chain.from_iterable(p for p in pieces if len(p) > 1)).difference(self._words)
+        rest = list(set(chain.from_iterable(p for p in pieces if len(p) > 1)).difference(self._words))
         self._words.update(zip(rest, self._merges.encode([w.encode() for w in rest])))
         get = self._words.__getitem__
         self._words.update((w, b"".join(map(get, p))) for w, p in zip(new, pieces) if len(p) > 1)
 
-    def of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def _plain_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts one after the other, and where each text's begin and end."""
+        lower = pc.utf8_lower(texts)
+        # A single full stop or comma at a word's end is a word; one after other punctuation belongs to that.
+        apart = lower
+        for mark, spaced in ((", ", " , "), (". ", " . "), (".\n", " . ")):
+            apart = pc.replace_substring(apart, mark, spaced)
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(lower, RUN), lower, apart))
+        coded = split.flatten().dictionary_encode()
+        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._learn(words)
+        parts = [self._words[w] for w in words]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts, all_ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(parts), "<u4")
+        taken = sizes[index]
+        ends = np.concatenate(([0], np.cumsum(taken)))
+        ids = all_ids[np.repeat(starts[index] - ends[:-1], taken) + np.arange(ends[-1])]
+        return ids, ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+    def of(self, texts: pa.Array) -> list[bytes]:
         """Little-endian ids of each text; none for a null text."""
-        waiting: list[list[str] | bytes] = []
-        together = 0
-        for text in chain(texts, [_LAST]):
-            if text is _LAST or together > TOGETHER:
-                self._learn(w for w in waiting if isinstance(w, list))
-                get = self._words.__getitem__
-                yield from (b"".join(map(get, w)) if isinstance(w, list) else w for w in waiting)
-                waiting, together = [], 0
-            if text is _LAST:
-                return
-            if not text:
-                waiting.append(b"")
-            elif self._plain.fullmatch(text) and "<|" not in text:
-                waiting.append(self._split(text.lower()))
-                together += len(waiting[-1])
-            else:
-                ids = self._library.encode(text, add_special_tokens=False).ids
-                waiting.append(np.array(ids, "<u4").tobytes())
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.or_(pc.match_substring_regex(texts, NOT_PLAIN), pc.match_substring(texts, "<|")).to_numpy(zero_copy_only=False)
+        out = [b""] * len(texts)
+        for i in np.flatnonzero(odd):
+            out[i] = np.array(self._library.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            ids, ends = self._plain_ids(texts.take(pa.array(plain)))
+            for k, i in enumerate(plain.tolist()):
+                out[i] = ids[ends[k] : ends[k + 1]].tobytes()
+        return out
+
+
+def parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of ``TOGETHER`` bytes at most, or of one text."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first, before = 0, 0
+    while first < len(total):
+        last = max(first + 1, int(np.searchsorted(total, before + TOGETHER, side="right")))
+        yield first, last
+        first, before = last, int(total[last - 1])
 
 
 @lru_cache(maxsize=2)
@@ -180,22 +197,25 @@ def pack(
     """
     tail = np.array([end_id], "<u4").tobytes()
 
-    @F.pandas_udf(PIECES)
-    def pieces(texts: pd.Series) -> pd.Series:
-        out = []
-        for ids in word_ids(path).of(texts):
-            ids += tail
-            out.append([
-                {"start": s, "length": n, "ids_crc32": c, "ids": ids[4 * s : 4 * (s + n)] if with_ids else None}
-                for s, n, c in cut(ids, sequence)
-            ])
-        return pd.Series(out, dtype=object)
-
-    cuts = docs.select(F.col(id_col).alias("id"), pieces(F.col(text_col)).alias("p")).select(
-        "id", F.explode("p").alias("p"),
-        F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("doc_tokens"),
-    )
-    cuts = durable(cuts.select("id", "p.*", "doc_tokens").drop(*[] if with_ids else ["ids"]))
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in parts(batch.column(1)):
+                at, rows = [], []
+                for i, ids in enumerate(word_ids(path).of(batch.column(1).slice(first, last - first)), first):
+                    ids += tail
+                    for s, n, crc in cut(ids, sequence):
+                        at.append(i)
+                        rows.append((s, n, crc, ids[4 * s : 4 * (s + n)] if with_ids else None, len(ids) // 4))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at)), *columns], ["id", "start", "length", "ids_crc32", "ids", "doc_tokens"]
+                )
+
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    cuts = source.mapInArrow(pieces, f"id {source.dtypes[0][1]}, {PIECES}")
+    with small_batches(docs.sparkSession):
+        cuts = durable(cuts.drop(*[] if with_ids else ["ids"]))
     counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         counts = {1: 0}
