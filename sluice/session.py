@@ -50,6 +50,12 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder below the shared one that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 # Rows that a Python worker gets at a time while long texts are read.
 TEXT_ROWS = 1000
 
