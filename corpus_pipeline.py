@@ -11,7 +11,7 @@ from sluice.llm.mixing import mixed
 from sluice.llm.packing import pack
 from sluice.llm.paragraphs import paragraph_groups, without_repeats
 from sluice.llm.simhash import simhash_near_dedup
-from sluice.session import scratch_path
+from sluice.session import discard, scratch_path
 from sluice.sources.files import read_files
 
 # Documents go whose language is unknown or whose best score is lower than this.
@@ -64,10 +64,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written to the shared folder and read again by the next."""
-    docs = read_files(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over ``documents``; each is written to the shared folder and read again by the next.
+
+    What a stage has written is removed when the next one is written; the last one's result stays.
+    """
+    docs, before = read_files(spark, f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs
