@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,16 +58,14 @@ def discard(spark: SparkSession, path: str) -> None:
 TEXT_ROWS = 1000
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
-    """Jobs that run inside hand fewer rows at a time to Python workers, which keeps these small."""
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers at most ``TEXT_ROWS`` rows at a time, which keeps them small when texts are long.
+
+    A setting of the session: functions of texts return plans that run later.
+    """
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    if not 0 < int(spark.conf.get(setting)) <= TEXT_ROWS:
+        spark.conf.set(setting, str(TEXT_ROWS))
 
 
 def durable(df: DataFrame) -> DataFrame:
