@@ -11,7 +11,7 @@ from sluice.llm.mixing import mixed
 from sluice.llm.packing import pack
 from sluice.llm.paragraphs import paragraph_groups, without_repeats
 from sluice.llm.simhash import simhash_near_dedup
-from sluice.session import discard, scratch_path
+from sluice.session import discard, scratch_path, small_batches
 from sluice.sources.files import read_files
 
 # Documents go whose language is unknown or whose best score is lower than this.
@@ -29,6 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
+    small_batches(spark)
     judged = docs.withColumn("_lang", predicted(F.col("text"), model))
     return judged.where((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= MIN_SCORE)).drop("_lang")
 

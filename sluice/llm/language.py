@@ -12,6 +12,7 @@ and a batch of stretches is scored by one matrix product.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +21,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.workers import give_back
+from sluice.session import small_batches
+
 UNKNOWN = "und"
 # n-grams are hashed to this many columns.
 BITS = 14
@@ -179,15 +183,17 @@ def predicted(text: Column, model: LanguageModel) -> Column:
     """``lang_pred`` and ``score`` (0 to 1) of each text; ``und`` and 0 for a null text or one without letters."""
 
     @F.pandas_udf("lang_pred string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        known = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
-        names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-        if known and model.languages:
-            found = model.scores([texts.iloc[i] for i in known])
-            best = found.argmax(axis=1)
-            names[known] = np.array(model.languages, object)[best]
-            scores[known] = np.clip(found[np.arange(len(known)), best], 0.0, 1.0)
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            known = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
+            names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            if known and model.languages:
+                found = model.scores([texts.iloc[i] for i in known])
+                best = found.argmax(axis=1)
+                names[known] = np.array(model.languages, object)[best]
+                scores[known] = np.clip(found[np.arange(len(known)), best], 0.0, 1.0)
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
+        give_back()
 
     return run(text)
 
@@ -201,5 +207,6 @@ def identify_language(
     that sorts first. Repeated rows stay, an empty table gives no rows, and nothing is
     shuffled: the model is a matrix of fixed size that travels with the function.
     """
+    small_batches(docs.sparkSession)
     out = docs.select(F.col(id_col).alias("id"), predicted(F.col(text_col), model).alias("p"))
     return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "p.lang_pred", "p.score")

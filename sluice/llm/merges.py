@@ -8,6 +8,8 @@ together, as rows of a matrix, and words that are done leave the batch.
 from __future__ import annotations
 
 import json
+import os
+from functools import cached_property
 
 import numpy as np
 
@@ -29,9 +31,7 @@ class Merges:
     """The merge table of a byte-level vocabulary file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self._path = path
         with open(path, encoding="utf-8") as f:
             self.spec = json.load(f)
         model = self.spec["model"]
@@ -48,6 +48,14 @@ class Merges:
         self.spec["model"] = None  # as large as the tables made of it
         self._build(keys)
 
+    @cached_property
+    def library(self):
+        """The library's tokenizer of the same file; many tasks never need it."""
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(self._path)
+
     def _build(self, keys: np.ndarray) -> None:
         """A hash table with open addressing: pair of ids to rank."""
         bits = max(4, int(len(keys) * 3).bit_length())

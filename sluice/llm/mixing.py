@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import durable
+from sluice.llm.workers import give_back
+from sluice.session import durable, small_batches
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -229,14 +230,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     )
 
     @F.pandas_udf("array<string>")
-    def texts(text: pd.Series, how: pd.DataFrame) -> pd.Series:
-        def parts() -> Iterator[list[str]]:
+    def texts(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.Series]:
+        for text, how in batches:
+            out = []
             for t, h in zip(text, how.itertuples(index=False)):
                 spans = taken_spans(h.start, h.size_, h.line, h.blocks, h.base, list(h.marks))
-                yield [cut_words(t, s, h.size_) for s in spans]
-
-        return pd.Series(list(parts()), dtype=object)
+                out.append([cut_words(t, s, h.size_) for s in spans])
+            yield pd.Series(out, dtype=object)
+        give_back()
 
     how_col = F.struct(*[F.col(f"_how.{c}").alias("size_" if c == "size" else c) for c in ("start", "size", "line", "blocks", "base", "marks")])
+    small_batches(docs.sparkSession)
     taken = both.withColumn("_text", F.explode(texts(F.col(text_col), how_col)))
     return taken.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -12,7 +12,6 @@ task, and look their place up by rank.
 from __future__ import annotations
 
 import heapq
-import os
 import re
 import zlib
 from collections import defaultdict
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.merges import Merges
+from sluice.llm.workers import give_back
 from sluice.session import durable, small_batches
 
 SEQUENCE = 2048
@@ -60,16 +60,18 @@ class WordIds:
 
     def __init__(self, path: str):
         self._merges = Merges(path)
-        self._library = self._merges.library
         steps = self._merges.spec["pre_tokenizer"]["pretokenizers"]
         if steps[0]["pattern"]["Regex"] != PATTERN or steps[1]["type"] != "ByteLevel" or steps[1]["add_prefix_space"]:
             raise ValueError("a file for lower-cased words without white space is needed")
         self._words: dict[str, bytes] = {"": b""}
         self._cut = re.compile(PLAIN_WORDS)
 
+    def forget(self) -> None:
+        self._words = {"": b""}
+
     def _learn(self, words: list[str]) -> None:
         if len(self._words) > CACHE:
-            self._words = {"": b""}
+            self.forget()
         new = list(filterfalse(self._words.__contains__, words))
         pieces = list(map(self._cut.findall, new))
         whole = [w for w, p in zip(new, pieces) if len(p) == 1]
@@ -104,7 +106,7 @@ class WordIds:
         odd = pc.or_(pc.match_substring_regex(texts, NOT_PLAIN), pc.match_substring(texts, "<|")).to_numpy(zero_copy_only=False)
         out = [b""] * len(texts)
         for i in np.flatnonzero(odd):
-            out[i] = np.array(self._library.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
+            out[i] = np.array(self._merges.library.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
         plain = np.flatnonzero(~odd)
         if len(plain):
             ids, ends = self._plain_ids(texts.take(pa.array(plain)))
@@ -125,7 +127,6 @@ def parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(path)
 
 
@@ -211,11 +212,13 @@ def pack(
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at)), *columns], ["id", "start", "length", "ids_crc32", "ids", "doc_tokens"]
                 )
+        word_ids(path).forget()
+        give_back()
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cuts = source.mapInArrow(pieces, f"id {source.dtypes[0][1]}, {PIECES}")
-    with small_batches(docs.sparkSession):
-        cuts = durable(cuts.drop(*[] if with_ids else ["ids"]))
+    small_batches(docs.sparkSession)
+    cuts = durable(cuts.drop(*[] if with_ids else ["ids"]))
     counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         counts = {1: 0}

@@ -25,11 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.components import components
-from sluice.session import durable
+from sluice.llm.workers import give_back
+from sluice.session import durable, small_batches
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.995
+RECALL = 0.99
 BAND_ROWS = 3
 # Shorter paragraphs are never removed: headings, greetings, common sentences.
 MIN_WORDS = 25
@@ -132,6 +133,7 @@ def _scan(min_words: int, bands: int):
                     rows, waiting = [], 0
             if rows:
                 yield flush(rows, ids)
+        give_back()
 
     return run
 
@@ -140,14 +142,16 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(digest, shingles)`` for paragraphs ``(digest, id, start, end)``; texts travel once, by document."""
 
     @F.pandas_udf("array<long>")
-    def run(digests: pd.Series, parts: pd.Series) -> pd.Series:
-        out = []
-        for digest, part in zip(digests, parts):
-            words = (part or "").encode().lower().split()
-            # Rows of one id may hold different texts; only the one that has the paragraph counts.
-            same = xxhash.xxh3_128_digest(b" ".join(words)) == bytes(digest)
-            out.append(np.unique(shingle_hashes([words])[0]).view(np.int64) if same else None)
-        return pd.Series(out, dtype=object)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for digests, parts in batches:
+            out = []
+            for digest, part in zip(digests, parts):
+                words = (part or "").encode().lower().split()
+                # Rows of one id may hold different texts; only the one that has the paragraph counts.
+                same = xxhash.xxh3_128_digest(b" ".join(words)) == bytes(digest)
+                out.append(np.unique(shingle_hashes([words])[0]).view(np.int64) if same else None)
+            yield pd.Series(out, dtype=object)
+        give_back()
 
     part = F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start"))
     parts = docs.join(wanted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"))
@@ -238,6 +242,7 @@ def paragraph_groups(
     """
     bands = tuned_bands(similarity, recall)
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     found = durable(texts.mapInArrow(_scan(min_words, bands), f"id {texts.dtypes[0][1]}, {FOUND}"))
     distinct = found.groupBy("digest").agg(F.min(F.struct("id", "start", "end", "bands")).alias("at"))
     keyed = distinct.select("digest", F.explode("at.bands").alias("key"))
@@ -294,18 +299,21 @@ def without_repeats(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id",
     )
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for text, drop in zip(texts, spans):
-            if drop is not None and text is not None:
-                kept, at = [], 0
-                for span in drop:
-                    kept.append(text[at : span["start"]])
-                    at = span["end"] + (text[span["end"] : span["end"] + 1] == "\n")
-                text = "".join(kept) + text[at:]
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, spans in batches:
+            out = []
+            for text, drop in zip(texts, spans):
+                if drop is not None and text is not None:
+                    kept, at = [], 0
+                    for span in drop:
+                        kept.append(text[at : span["start"]])
+                        at = span["end"] + (text[span["end"] : span["end"] + 1] == "\n")
+                    text = "".join(kept) + text[at:]
+                out.append(text)
+            yield pd.Series(out, dtype=object)
+        give_back()
+
+    small_batches(docs.sparkSession)
     both = docs.join(spans, F.col(id_col) == F.col("_id"), "left")
     return both.select(*[
         (F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(cut(F.col(f"`{c}`"), "_spans")) if c == text_col else F.col(f"`{c}`")).alias(c)

@@ -23,21 +23,25 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.components import components
-from sluice.session import durable
+from sluice.llm.workers import give_back
+from sluice.session import durable, small_batches
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 # Points that one group of the shuffle holds, on average: 2.5 MB.
 POINTS_PER_GROUP = 1 << 18
+# Groups whose points one task emits, on average.
+GROUPS_PER_TASK = 16
 # Fingerprints whose balls are formed at a time.
-CHUNK = 4096
+CHUNK = 1024
 
 
 def fingerprint_bytes(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> bytes:
@@ -62,8 +66,10 @@ def fingerprints(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """The fingerprint of each text as a signed long."""
 
     @F.pandas_udf("long")
-    def run(texts):
-        return texts.map(lambda t: int.from_bytes(fingerprint_bytes(t, words), "big", signed=True))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([int.from_bytes(fingerprint_bytes(t, words), "big", signed=True) for t in texts], dtype="int64")
+        give_back()
 
     return run(text)
 
@@ -105,6 +111,7 @@ def _emit(bits: int, groups: int):
                     "points": pa.array([point[s:e].tobytes() for s, e in zip(first, ends)], pa.binary()),
                     "codes": pa.array([code[s:e].tobytes() for s, e in zip(first, ends)], pa.binary()),
                 })
+        give_back()
 
     return points
 
@@ -142,6 +149,8 @@ def fingerprint_links(fps: DataFrame, rows: int, bits: int = MAX_BITS) -> DataFr
     """
     masks, _, inner = ball_masks(bits)
     groups = max(1, min(rows * (len(masks) + inner) // 2 // POINTS_PER_GROUP, 2**31 - 1))
+    # Fingerprints are small and their balls are not: adaptive execution would leave them in a few tasks.
+    fps = fps.repartition(max(1, groups // GROUPS_PER_TASK))
     spread = fps.mapInArrow(_emit(bits, groups), "group int, points binary, codes binary")
     return spread.groupBy("group").applyInArrow(_meet(bits), "a long, b long").distinct()
 
@@ -158,6 +167,7 @@ def simhash_near_dedup(
     null only where no id in the component is known. A repeated row is returned as often
     as it is there; other columns are not read; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     marked = durable(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")))
     distinct = marked.groupBy("fp").agg(F.min("id").alias("first"))
     found = components(fingerprint_links(distinct.select("fp"), marked.count(), bits))

@@ -11,7 +11,7 @@ library itself, so counts equal the library's on every text.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, filterfalse
 
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.merges import Merges
+from sluice.llm.workers import give_back
+from sluice.session import small_batches
 
 # Cached counts of pre-tokens that are not whole tokens.
 CACHE = 1 << 18
@@ -39,7 +41,7 @@ class TokenCounter:
 
     def __init__(self, path: str):
         self._merges = Merges(path)
-        self.library, spec = self._merges.library, self._merges.spec
+        spec = self._merges.spec
         level = spec["pre_tokenizer"] or {}
         if level.get("type") != "ByteLevel" or level.get("add_prefix_space") or spec["normalizer"]:
             raise ValueError("a byte-level file without normalizer or prefix space is needed")
@@ -91,7 +93,7 @@ class TokenCounter:
             if not text:
                 continue
             if not self._plain.fullmatch(text):
-                out[i] = len(self.library.encode(text, add_special_tokens=False).ids)
+                out[i] = len(self._merges.library.encode(text, add_special_tokens=False).ids)
                 continue
             parts = self._split.split(text) if self._split else [text]
             out[i] = len(parts) - 1
@@ -116,8 +118,10 @@ def token_counts(text: Column, path: str) -> Column:
     """Tokens of each text; a null text counts as empty."""
 
     @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(counter(path).counts(texts), dtype="int64")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(counter(path).counts(texts), dtype="int64")
+        give_back()
 
     return run(text)
 
@@ -131,6 +135,7 @@ def count_tokens(
     strings inside a text count as the library counts them by default: one token each.
     Null texts count as empty, repeated rows stay, no row is moved between tasks.
     """
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     counted = docs.select(
         F.col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), token_counts(text, path).alias("n_tokens")
