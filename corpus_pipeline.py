@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from sluice.llm.language import UNKNOWN, predicted, train
 from sluice.llm.mixing import mixed
 from sluice.llm.packing import pack
-from sluice.llm.paragraphs import paragraph_groups, without_repeats
+from sluice.llm.paragraphs import without_repeats
+from sluice.llm.passages import repeats
 from sluice.llm.simhash import simhash_near_dedup
 from sluice.session import discard, scratch_path, small_batches
 from sluice.sources.files import read_files
@@ -45,7 +46,7 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each repeated passage only where it comes first."""
-    return without_repeats(docs, paragraph_groups(docs))
+    return without_repeats(docs, repeats(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

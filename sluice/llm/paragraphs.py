@@ -293,9 +293,13 @@ def paragraph_groups(
 
 
 def without_repeats(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the paragraphs that ``groups`` does not keep, each with its line end."""
+    """The documents without what ``groups`` does not keep, whole lines with their line ends.
+
+    Rows of ``groups`` with a ``text_hash`` hold for documents of that text only.
+    """
+    mark = F.col("text_hash") if "text_hash" in groups.columns else F.lit(None).cast("long")
     spans = groups.where(~F.col("kept")).groupBy(F.col(id_col).alias("_id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans")
+        F.array_sort(F.collect_list(F.struct("start", "end", mark.alias("mark")))).alias("_all")
     )
 
     @F.pandas_udf("string")
@@ -307,14 +311,17 @@ def without_repeats(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id",
                     kept, at = [], 0
                     for span in drop:
                         kept.append(text[at : span["start"]])
-                        at = span["end"] + (text[span["end"] : span["end"] + 1] == "\n")
+                        whole = text[max(0, span["start"] - 1) : span["start"]] in ("", "\n")
+                        at = span["end"] + (whole and text[span["end"] : span["end"] + 1] == "\n")
                     text = "".join(kept) + text[at:]
                 out.append(text)
             yield pd.Series(out, dtype=object)
         give_back()
 
     small_batches(docs.sparkSession)
-    both = docs.join(spans, F.col(id_col) == F.col("_id"), "left")
+    both = docs.join(spans, F.col(id_col) == F.col("_id"), "left").withColumn(
+        "_spans", F.filter("_all", lambda s: s["mark"].isNull() | (s["mark"] == F.xxhash64(text_col)))
+    )
     return both.select(*[
         (F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(cut(F.col(f"`{c}`"), "_spans")) if c == text_col else F.col(f"`{c}`")).alias(c)
         for c in docs.columns

@@ -14,7 +14,7 @@ from sluice.llm.chat import format_chats
 from sluice.llm.language import identify_language, train
 from sluice.llm.mixing import mix_plan
 from sluice.llm.packing import pack
-from sluice.llm.paragraphs import paragraph_groups
+from sluice.llm.passages import repeats
 from sluice.llm.range_join import near_duplicates
 from sluice.llm.simhash import simhash_near_dedup
 from sluice.llm.token_count import count_tokens
@@ -81,7 +81,7 @@ def op3(turns: DataFrame) -> DataFrame:
 
 @query("op4_substring_dedup", "documents")
 def op4(docs: DataFrame) -> DataFrame:
-    return paragraph_groups(docs)
+    return repeats(docs).drop("text_hash")
 
 
 @query("op5_embedding_near_dedup", "embeddings", """

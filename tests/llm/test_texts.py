@@ -17,6 +17,7 @@ from sluice.llm.merges import Merges
 from sluice.llm.mixing import mix_plan, mixed, sainte_lague, targets
 from sluice.llm.packing import pack, pack_histogram
 from sluice.llm.paragraphs import paragraph_groups, without_repeats
+from sluice.llm.passages import repeats
 from sluice.llm.simhash import simhash_near_dedup
 from sluice.llm.token_count import count_tokens
 
@@ -151,6 +152,49 @@ def test_passages_are_cut(spark):
     assert paragraph_groups(without_repeats(df, groups)).count() == 0
 
 
+def planted(seed, count=24):
+    """Documents of their own words with one passage of 50 to 70 words in the middle of longer lines, or over a line end."""
+    rng = random.Random(seed)
+    own = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    out = []
+    for i in range(0, count, 2):
+        passage = own(rng.randint(50, 70))
+        for n in (i, i + 1):
+            words = [*own(rng.randint(30, 90)), *passage, *own(rng.randint(30, 90))]
+            text = " ".join(words)
+            if n % 4 > 1:  # the line ends inside the passage
+                text = text.replace(f" {passage[20 + n]} ", f" {passage[20 + n]}\n", 1)
+            out.append((n, text, passage))
+    return out
+
+
+def test_passages_within_longer_lines_and_over_line_ends(spark):
+    docs = planted(8)
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    found = repeats(df)
+    rows = {(r.doc_id, r.kept): (r.n_words, r.first_id) for r in found.collect()}
+    assert rows == {(n, n % 2 == 0): (len(p), n // 2 * 2) for n, _, p in docs}
+    cut = {r.doc_id: r.text.split() for r in without_repeats(df, found).collect()}
+    for n, text, passage in docs:
+        assert cut[n] == (text.split() if n % 2 == 0 else [w for w in text.split() if w not in passage])
+    assert repeats(df.limit(0)).count() == 0
+
+
+def test_passages_leave_no_repeated_window(spark):
+    docs = [d for d in passage_docs() if d[0] is not None] + [(900, "x " * 60), (901, "y " * 260)]
+    docs += [(500, "other words " + docs[0][1].replace("\n", " "))]  # one id, another text
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = Counter()
+    texts = {(r.doc_id, r.text) for r in without_repeats(df, repeats(df)).collect()}
+    for i, text in texts:
+        words = (text or "").lower().split()
+        if i in (900, 901):
+            assert len(words) == {900: 60, 901: 50}[i]
+        else:
+            left.update({tuple(words[k : k + 50]) for k in range(len(words) - 49)})
+    assert left and max(left.values()) == 1
+
+
 def test_bands_are_tuned():
     for similarity in (0.5, 0.8, 0.9):
         bands = paragraphs.tuned_bands(similarity, 0.99)
