@@ -180,6 +180,18 @@ def test_passages_within_longer_lines_and_over_line_ends(spark):
     assert repeats(df.limit(0)).count() == 0
 
 
+def test_passages_of_short_lines(spark):
+    rng = random.Random(9)
+    own = lambda n: " ".join(f"u{rng.randrange(10**9)}" for _ in range(n))
+    verse = own(60).split()
+    wrapped = lambda k: "\n".join(" ".join(verse[i : i + k]) for i in range(0, 60, k))
+    docs = [(i, f"{own(40)}\n{wrapped(k)}\n{own(i)}") for i, k in ((1, 12), (2, 12), (3, 7), (4, 24))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    cut = {r.doc_id: r.text.split() for r in without_repeats(df, repeats(df)).collect()}
+    for i, text in docs:
+        assert cut[i] == [w for w in text.split() if i == 1 or w not in verse]
+
+
 def test_passages_leave_no_repeated_window(spark):
     docs = [d for d in passage_docs() if d[0] is not None] + [(900, "x " * 60), (901, "y " * 260)]
     docs += [(500, "other words " + docs[0][1].replace("\n", " "))]  # one id, another text
