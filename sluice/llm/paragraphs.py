@@ -30,7 +30,7 @@ from sluice.session import durable, small_batches
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.99
+RECALL = 0.995
 BAND_ROWS = 3
 # Shorter paragraphs are never removed: headings, greetings, common sentences.
 MIN_WORDS = 25
