@@ -1,15 +1,15 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The targets of all sources are divided into a fixed number of equal-token blocks, dealt
-to the sources by the highest quotients (target / 1, / 3, / 5, ...). A source's documents
-are spread over shards by a seeded hash and laid end to end there; each shard's line of
-words is cut into equal blocks, and the source's blocks are apportioned to its shards in
-the same way. A quota above a shard's blocks takes all of them again; the rest is the
-blocks with the smallest seeded hash.
-
-Only sums per source and per shard reach the driver. Their number depends on the number
-of sources and on ``SHARDS``, not on the number of documents, and a large source gets
-shards in proportion to its size.
+The targets of all sources are divided into equal-token blocks, dealt to the sources by the
+highest quotients (target / 1, / 3, / 5, ...). A source that gets few has its target divided
+into finer blocks, so its words come as near to its target whatever the number of sources. A
+source's documents are spread over shards by a seeded hash and laid end to end there; each
+shard's line of words is cut into equal blocks, as many as its share of the source's words. A
+target above a source's size takes all of it again; the rest is the blocks with the smallest
+seeded hash.
+
+Only sums per source reach the driver; each source's blocks are planned by a task. A large
+source gets shards in proportion to its size, and no plan grows with the number of documents.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from sluice.session import durable, small_batches
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-# Blocks that all targets together are divided into.
+# Blocks that all targets together are divided into, and the least that one target has.
 SEATS = 16384
+LEAST_SEATS = 512
 # Shards of all sources together; a source has at least one.
 SHARDS = 1024
 SEED = 42
@@ -84,37 +85,50 @@ def sainte_lague(votes: Sequence[float], seats: int, caps: Sequence[int] | None
     return out
 
 
-def _shard_plan(lines: list[tuple[int, int, int]], goals: list[float], seed: int) -> list[tuple]:
-    """Per shard ``(sid, shard, line, blocks, base, marks, before)`` from ``(sid, shard, line)``, line in words.
+def _source_plan(sid: int, lines: list[tuple[int, int]], goal: float, seats: int, seed: int) -> list[tuple]:
+    """Per shard of a source ``(sid, shard, line, blocks, base, marks, before)`` from ``(shard, line)``, line in words.
 
-    ``marks[j]`` is 1 if block j is taken once more than ``base`` times, ``before[j]`` the
-    words of such blocks ahead of block j; both have one entry more than there are blocks.
+    The goal is cut into ``seats`` blocks. ``marks[j]`` is 1 if block j is taken once more than
+    ``base`` times, ``before[j]`` the words of such blocks ahead of block j; both have one entry
+    more than there are blocks. Blocks are marked by least hash while they bring the words
+    taken nearer to the goal, so all shards together are off by half a block at most.
     """
-    block = sum(goals) / SEATS
-    if block <= 0:
-        return [(sid, shard, line, 1, 0, [0, 0], [0, 0]) for sid, shard, line in lines]
-    quotas, out = sainte_lague(goals, SEATS), []
-    by_source: dict[int, list[tuple[int, int]]] = {}
-    for sid, shard, line in sorted(lines):
-        by_source.setdefault(sid, []).append((shard, line))
-    for sid, shards in by_source.items():
-        words = [line for _, line in shards]
-        blocks = [max(1, n) for n in sainte_lague(words, max(1, round(sum(words) / block)))]
-        if goals[sid] >= MOST * sum(words):
-            dealt = [MOST * n for n in blocks]
-        else:
-            dealt = sainte_lague(blocks, quotas[sid], [MOST * n for n in blocks])
-        for (shard, line), n, quota in zip(shards, blocks, dealt):
-            base, more = divmod(quota, n)
-            ranked = sorted(range(n), key=lambda j: (xxhash.xxh64_intdigest(f"{sid} {shard} {j}", seed), j))
-            chosen, marks, before = set(ranked[:more]), [], [0]
-            for j in range(n):
-                marks.append(int(j in chosen))
-                before.append(before[-1] + marks[j] * ((j + 1) * line // n - j * line // n))
-            out.append((sid, shard, line, n, base, [*marks, 0], before))
+    lines = sorted(lines)
+    words = [line for _, line in lines]
+    size = sum(words)
+    if goal <= 0 or size <= 0 or goal >= MOST * size:
+        base = MOST if goal > 0 and size > 0 else 0
+        return [(sid, shard, line, 1, base, [0, 0], [0, 0]) for shard, line in lines]
+    blocks = [min(max(1, n), max(1, w)) for n, w in zip(sainte_lague(words, max(1, round(size * seats / goal))), words)]
+    base, out, seen, taken = int(goal // size), [], 0, 0
+    for (shard, line), n in zip(lines, blocks):
+        seen += line
+        want, marks, before = (goal - base * size) * seen / size, [0] * (n + 1), [0]
+        width = lambda j: (j + 1) * line // n - j * line // n  # noqa: B023, E731
+        for j in sorted(range(n), key=lambda j: (xxhash.xxh64_intdigest(f"{sid} {shard} {j}", seed), j)):  # noqa: B023
+            if taken + width(j) / 2 > want:
+                break
+            marks[j] = 1
+            taken += width(j)
+        for j in range(n):
+            before.append(before[-1] + marks[j] * width(j))
+        out.append((sid, shard, line, n, base, marks, before))
     return out
 
 
+def _shard_plan(lines: DataFrame, seed: int) -> DataFrame:
+    """The plans of all sources, each made by one task, from ``(sid, shard, line, target, seats)``."""
+    names = ["sid", "shard", "line", "blocks", "base", "marks", "before"]
+
+    def plan(rows: pd.DataFrame) -> pd.DataFrame:
+        sid, goal, seats = int(rows.sid.iloc[0]), float(rows.target.iloc[0]), int(rows.seats.iloc[0])
+        pairs = list(zip(rows.shard.tolist(), rows.line.tolist()))
+        return pd.DataFrame(_source_plan(sid, pairs, goal, seats, seed), columns=names)
+
+    kinds = "sid int, shard int, line long, blocks long, base long, marks array<long>, before array<long>"
+    return lines.groupBy("sid").applyInPandas(plan, kinds)
+
+
 def _extra_words(place: str):
     """Words of once more taken blocks before ``place`` on the shard's line."""
     j = F.expr(f"int(least(({place} + 1) * blocks - 1, blocks * line) div greatest(line, 1))")
@@ -155,24 +169,24 @@ def mix_plan(
     sizes = [sums[s] for s in names]
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share)
     shards = [max(1, -(-SHARDS * n // max(1, sum(sizes)))) for n in sizes]
+    quotas = sainte_lague(goals, SEATS) if any(goals) else [0] * len(names)
     listed = spark.createDataFrame(
-        [(i, s, sizes[i], goals[i], shards[i]) for i, s in enumerate(names)],
-        "sid int, name string, source_size long, target double, shards int",
+        [(i, s, sizes[i], goals[i], shards[i], max(LEAST_SEATS, q)) for (i, s), q in zip(enumerate(names), quotas)],
+        "sid int, name string, source_size long, target double, shards int, seats long",
     )
     placed = base.join(F.broadcast(listed), F.col("source").eqNullSafe(F.col("name"))).withColumn(
         "shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("shards")).cast("int")
     )
-    lines = placed.groupBy("sid", "shard").agg(F.sum("size").alias("line")).collect()
-    plan = spark.createDataFrame(
-        _shard_plan([tuple(r) for r in lines], goals, seed),
-        "sid int, shard int, line long, blocks long, base long, marks array<long>, before array<long>",
+    lines = placed.groupBy("sid", "shard").agg(
+        F.sum("size").alias("line"), F.first("target").alias("target"), F.first("seats").alias("seats")
     )
+    plan = durable(_shard_plan(lines, seed))
     order = Window.partitionBy("sid", "shard").orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "mark", "size")
     rows = placed.withColumns({
         "end": F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         "copy": F.row_number().over(Window.partitionBy("sid", "shard", "id").orderBy("mark", "size")),
     }).withColumn("start", F.col("end") - F.col("size"))
-    rows = rows.join(F.broadcast(plan), ["sid", "shard"])
+    rows = rows.join(plan, ["sid", "shard"])
     taken = F.col("base") * F.col("size") + _extra_words("end") - _extra_words("start")
     return rows.select(
         F.col("id").alias(id_col), "copy", F.col("source").alias("mix_source"), "size", "source_size", "target",

@@ -348,6 +348,15 @@ def test_mix(spark, odd_docs):
     assert mix_plan(odd_docs.where("text is null")).first().taken == 0
 
 
+def test_mix_of_thousands_of_sources(spark):
+    rng = random.Random(6)
+    docs = [(3 * i + k, "w " * rng.randint(100, 200), f"site{i:04}") for i in range(3000) for k in range(3)]
+    plan = mix_plan(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    got = plan.groupBy("mix_source").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(got) == 3000
+    assert all(abs(r["sum(taken)"] / r["max(target)"] - 1) <= 0.01 for r in got)
+
+
 # Languages
 
 
