@@ -213,6 +213,10 @@ def test_bands_are_tuned():
         assert 1 - (1 - similarity**3) ** bands >= 0.99 > 1 - (1 - similarity**3) ** (bands - 1)
 
 
+def test_default_bands_reach_the_recall():
+    assert 1 - (1 - paragraphs.SIMILARITY**paragraphs.BAND_ROWS) ** paragraphs.tuned_bands() >= 0.995
+
+
 # Tokens
 
 
