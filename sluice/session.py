@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +76,35 @@ def durable(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it has ended, not when the driver happens to collect garbage.
+
+    It holds for frames that are made inside. A frame that is run again shuffles again, so what
+    several queries need is written down first.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+class Steps:
+    """Intermediate frames, each written to the shared folder and removed when nothing needs it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        self.paths[name] = scratch_path(self.spark, name)
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            discard(self.spark, self.paths.pop(name))
