@@ -15,131 +15,35 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.components import components
+from sluice.llm.names import spare
+from sluice.llm.scan import BAND_ROWS, scanned, shingle_hashes, texts_of
 from sluice.llm.workers import give_back
-from sluice.session import durable, small_batches
+from sluice.session import Steps, freed_shuffles, small_batches
 
-SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.995
-BAND_ROWS = 3
 # Shorter paragraphs are never removed: headings, greetings, common sentences.
 MIN_WORDS = 25
-# Shingles that are hashed at a time.
-CHUNK = 1 << 15
 # Paragraphs of one bucket that a task compares with as many others.
 BLOCK = 512
 
-FOUND = "paragraph int, start int, end int, words int, digest binary, bands array<long>"
-MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
 
 def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
     """How many bands of ``rows`` hashes let a pair at ``similarity`` collide with probability ``recall``."""
     return int(np.ceil(np.log(1 - recall) / np.log(1 - similarity**rows)))
 
 
-def shingle_hashes(paragraphs: list[list[bytes]], size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per run of ``size`` words within each paragraph, and where each paragraph's begin.
-
-    A paragraph of fewer words has one, of all its words together.
-    """
-    filled = [p + [b""] * (size - len(p)) if len(p) < size else p for p in paragraphs]
-    sizes = np.array([len(p) for p in filled])
-    words = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(filled)), np.uint64, int(sizes.sum()))
-    runs = words[: len(words) - size + 1].copy()
-    for i in range(1, size):
-        runs *= MIX
-        runs ^= runs >> np.uint64(29)
-        runs += words[i : len(words) - size + 1 + i]
-    ends = np.cumsum(sizes)
-    inside = np.ones(len(words), bool)
-    for i in range(1, size):
-        inside[ends - i] = False
-    starts = np.cumsum(sizes - size + 1) - (sizes - size + 1)
-    return runs[inside[: len(runs)]], starts
-
-
-def _signature_seeds(count: int) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(b"minhash %d" % i) | 1 for i in range(count)], np.uint64)
-
-
-def _mixed(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    x = hashes[:, None] * seeds[None, :]
-    x ^= x >> np.uint64(32)
-    x *= SPREAD
-    return x
-
-
-def band_keys(hashes: np.ndarray, starts: np.ndarray, bands: int) -> np.ndarray:
-    """One signed key per paragraph and band of the MinHash signature; shingles are expanded in chunks."""
-    seeds = _signature_seeds(bands * BAND_ROWS)
-    least = np.full((len(starts), len(seeds)), np.uint64(2**64 - 1))
-    for at in range(0, len(hashes), CHUNK):
-        part = hashes[at : at + CHUNK]
-        first = int(np.searchsorted(starts, at, side="right")) - 1
-        last = int(np.searchsorted(starts, at + len(part), side="left"))
-        cuts = np.maximum(starts[first:last] - at, 0)
-        least[first:last] = np.minimum(least[first:last], np.minimum.reduceat(_mixed(part, seeds), cuts, axis=0))
-    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * MIX, (len(starts), 1))
-    for i in range(BAND_ROWS):
-        keys = (keys ^ least[:, i::BAND_ROWS]) * SPREAD
-        keys ^= keys >> np.uint64(31)
-    return keys.view(np.int64)
-
-
-def paragraphs_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, list[bytes]]]:
-    """``(number, start, end, words)`` of each long enough line, in characters; words lower-cased in A-Z."""
-    out, at = [], 0
-    for number, line in enumerate((text or "").split("\n")):
-        words = line.encode().lower().split()
-        if len(words) >= max(1, min_words):
-            out.append((number, at, at + len(line), words))
-        at += len(line) + 1
-    return out
-
-
-def _scan(min_words: int, bands: int):
-    def flush(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
-        keys = band_keys(*shingle_hashes([r[4] for r in rows]), bands)
-        offsets = np.arange(len(rows) + 1, dtype=np.int32) * bands
-        columns = {
-            "id": ids.take(pa.array([r[0] for r in rows])),
-            **{c: pa.array([r[i] for r in rows], pa.int32()) for c, i in (("paragraph", 1), ("start", 2), ("end", 3))},
-            "words": pa.array([len(r[4]) for r in rows], pa.int32()),
-            "digest": pa.array([xxhash.xxh3_128_digest(b" ".join(r[4])) for r in rows], pa.binary()),
-            "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-        }
-        return pa.record_batch(columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, rows, waiting = batch.column(0), [], 0
-            for i, text in enumerate(batch.column(1)):
-                for found in paragraphs_of(text.as_py(), min_words):
-                    rows.append((i, *found))
-                    waiting += len(found[3])
-                if waiting > CHUNK:
-                    yield flush(rows, ids)
-                    rows, waiting = [], 0
-            if rows:
-                yield flush(rows, ids)
-        give_back()
-
-    return run
-
-
-def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(digest, shingles)`` for paragraphs ``(digest, id, start, end)``; texts travel once, by document."""
+def _shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(digest, shingles)`` for paragraphs ``(digest, id, mark, start, end)``; texts travel once, by document."""
 
     @F.pandas_udf("array<long>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -147,16 +51,16 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out = []
             for digest, part in zip(digests, parts):
                 words = (part or "").encode().lower().split()
-                # Rows of one id may hold different texts; only the one that has the paragraph counts.
+                # Texts of one id and one hash would be a collision; only the one that has the paragraph counts.
                 same = xxhash.xxh3_128_digest(b" ".join(words)) == bytes(digest)
                 out.append(np.unique(shingle_hashes([words])[0]).view(np.int64) if same else None)
             yield pd.Series(out, dtype=object)
         give_back()
 
     part = F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start"))
-    parts = docs.join(wanted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"))
-    sets = parts.select("digest", run("digest", part).alias("shingles")).where("shingles is not null")
-    return sets.dropDuplicates(["digest"])
+    parts = texts.join(wanted, ["id", "mark"])
+    # A document that is there twice has its paragraphs twice.
+    return parts.select("digest", run("digest", part).alias("shingles")).where("shingles is not null").dropDuplicates(["digest"])
 
 
 def _linked_pairs(sets: list[np.ndarray], classes: np.ndarray, side: np.ndarray, own: bool, similarity: float) -> list[tuple[int, int]]:
@@ -204,7 +108,7 @@ def _block_links(similarity: float):
     return links
 
 
-def _rest_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _rest_links(steps: Steps, members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links between the classes of ``(key, digest, class)``, all members of a bucket compared in blocks."""
     sized = members.groupBy("key").agg((F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
     dealt = members.join(sized, "key").withColumn("own_block", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
@@ -214,92 +118,116 @@ def _rest_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
         (F.col("own_block") <= F.col("other")).alias("side"),
     )
     # Most tasks are a few rows, so many go together; the largest are two blocks.
-    placed = durable(placed)
+    placed = steps.keep("placed", placed)
     groups = max(1, placed.count() // (2 * BLOCK))
     grouped = placed.join(sets, "digest").withColumn("group", F.pmod(F.xxhash64("key", "x", "y"), F.lit(groups)))
     return grouped.groupBy("group").applyInArrow(_block_links(similarity), "a binary, b binary")
 
 
-def paragraph_groups(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_words: int = MIN_WORDS,
-    similarity: float = SIMILARITY,
-    recall: float = RECALL,
-) -> DataFrame:
-    """One row per paragraph that has a near copy, the first of each group included.
-
-    Columns: id, ``paragraph`` (number of the line, from 0), ``start``, ``end`` (characters
-    of the text, end excluded), ``n_words``, ``first_id`` and ``first_paragraph`` (of the
-    group's first member by id and number), ``kept`` (whether it is that first member).
-
-    Lines under ``min_words`` words take no part, so null and empty texts give no rows.
-    A document whose id is null takes no part. Repeated rows hold the same paragraphs twice
-    under one name: those copies are not told apart, and count as one. An empty table gives
-    no rows. Pairs whose shingle sets reach ``similarity`` are found with at least the
-    probability ``recall`` each, equal paragraphs always.
-    """
-    bands = tuned_bands(similarity, recall)
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    small_batches(docs.sparkSession)
-    found = durable(texts.mapInArrow(_scan(min_words, bands), f"id {texts.dtypes[0][1]}, {FOUND}"))
-    distinct = found.groupBy("digest").agg(F.min(F.struct("id", "start", "end", "bands")).alias("at"))
-    keyed = distinct.select("digest", F.explode("at.bands").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = durable(keyed.join(sizes, "key"))
+def groups_of(steps: Steps, texts: DataFrame, scan: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``paragraph_groups`` of texts that are scanned already; the caller drops the step ``groups``, if it wants to."""
+    found = scan.select("id", "mark", F.explode("lines").alias("line")).select("id", "mark", "line.*")
+    name = F.struct("id", "mark", "paragraph")
+    distinct = steps.keep("lines", found.groupBy("digest").agg(
+        F.min(F.struct("id", "mark", "paragraph", "start", "end", "bands")).alias("at"), F.max(name).alias("last")
+    ).select("digest", "at.*", (F.struct("at.id", "at.mark", "at.paragraph") != F.col("last")).alias("copied")))
+    keyed = distinct.select("digest", F.explode("bands").alias("key"))
+    sizes = steps.keep("keys", keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = steps.keep("members", keyed.join(sizes, "key"))
+    copied = steps.keep("copied", distinct.where("copied").select("digest"))
 
     # The leader of a bucket collides with the most paragraphs over all its bands.
     degree = members.groupBy("digest").agg(F.sum("n").alias("degree"))
-    ranked = members.join(degree, "digest").select("key", "digest", F.struct("degree", "digest").alias("rank"))
+    wanted = steps.keep("wanted", distinct.join(degree, "digest").select("digest", "id", "mark", "start", "end", "degree"))
+    steps.drop("lines", "keys")
+    ranked = members.join(wanted.select("digest", "degree"), "digest").select("key", "digest", F.struct("degree", "digest").alias("rank"))
     leaders = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select("key", F.col("rank.digest").alias("leader"))
-    led = members.join(leaders, "key").where("digest <> leader").select("key", "digest", "leader")
+    led = steps.keep("led", members.join(leaders, "key").where("digest <> leader").select("key", "digest", "leader"))
+    steps.drop("members")
     pairs = led.select("digest", "leader").distinct()
 
-    wanted = distinct.join(degree.select("digest"), "digest", "left_semi").select("digest", "at.id", "at.start", "at.end")
-    sets = durable(_shingle_sets(texts, wanted))
+    sets = steps.keep("sets", _shingle_sets(texts, wanted))
+    steps.drop("wanted")
     right = sets.select(F.col("digest").alias("leader"), F.col("shingles").alias("leading"))
     common = F.size(F.array_intersect("shingles", "leading"))
     union = F.size("shingles") + F.size("leading") - common
-    starred = durable(
-        pairs.join(sets, "digest").join(right, "leader").where(common >= F.lit(similarity) * union - 1e-9)
-        .select(F.col("digest").alias("a"), F.col("leader").alias("b"))
-    )
+    starred = steps.keep("starred", pairs.join(sets, "digest").join(right, "leader").where(
+        common >= F.lit(similarity) * union - 1e-9
+    ).select(F.col("digest").alias("a"), F.col("leader").alias("b")))
 
     first = components(starred)
     # With its leader every member has been compared; the others are compared with each other now.
-    classed = led.join(first, F.col("digest") == F.col("node"), "left").select(
+    classed = steps.keep("classed", led.join(first, F.col("digest") == F.col("node"), "left").select(
         "key", "digest", F.coalesce("component", "digest").alias("class")
-    )
+    ))
+    steps.drop("led")
     open_keys = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    rest = _rest_links(classed.join(open_keys.select("key"), "key", "left_semi"), sets, similarity)
+    rest = _rest_links(steps, classed.join(open_keys.select("key"), "key", "left_semi"), sets, similarity)
+    rest = steps.keep("rest", rest)
+    steps.drop("placed", "classed", "sets")
     linked = components(starred.union(rest)).select(F.col("node").alias("digest"), "component")
 
     # Most paragraphs are alone; only digests in a group are joined back to their places.
-    name = F.struct("id", "paragraph")
-    copied = found.groupBy("digest").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
-    nodes = linked.select("digest").union(linked.select("component")).union(copied.select("digest")).distinct()
-    grouped = nodes.join(linked, "digest", "left").select(
-        F.col("digest").alias("_digest"), F.coalesce("component", "digest").alias("class")
-    )
-    places = found.join(grouped, F.col("digest") == F.col("_digest")).select("id", "paragraph", "start", "end", "words", "class")
-    firsts = places.groupBy("class").agg(F.min(F.struct("id", "paragraph")).alias("first"))
-    named = places.distinct().join(firsts, "class")
-    return named.select(
+    nodes = linked.select("digest").union(linked.select("component")).union(copied).distinct()
+    grouped = steps.keep("grouped", nodes.join(linked, "digest", "left").select("digest", F.coalesce("component", "digest").alias("class")))
+    places = steps.keep("places", found.join(grouped, "digest").select("id", "mark", "paragraph", "start", "end", "words", "class").distinct())
+    firsts = places.groupBy("class").agg(F.min(name).alias("first"))
+    out = steps.keep("groups", places.join(firsts, "class").select(
+        "id", "mark", "paragraph", "start", "end", "words", F.col("first.id").alias("first_id"),
+        F.col("first.paragraph").alias("first_paragraph"), (name == F.col("first")).alias("kept"),
+    ))
+    steps.drop("copied", "starred", "rest", "grouped", "places")
+    return out
+
+
+def named_groups(groups: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``groups_of`` under their public names."""
+    return groups.select(
         F.col("id").alias(id_col), "paragraph", "start", "end", F.col("words").alias("n_words"),
-        F.col("first.id").alias("first_id"), F.col("first.paragraph").alias("first_paragraph"),
-        (F.struct("id", "paragraph") == F.col("first")).alias("kept"),
+        "first_id", "first_paragraph", "kept", F.col("mark").alias("text_hash"),
     )
 
 
+def paragraph_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One row per paragraph that has a near copy, the first of each group included.
+
+    Columns: id, ``paragraph`` (number of the line, from 0), ``start``, ``end`` (characters
+    of the text, end excluded), ``n_words``, ``first_id`` and ``first_paragraph`` (of the
+    group's first member by id, hash of the text and number), ``kept`` (whether it is that first
+    member), ``text_hash`` (``xxhash64`` of the text, which tells rows of one id apart).
+
+    Lines under ``min_words`` words take no part, so null and empty texts give no rows.
+    A document whose id is null takes no part. Repeated rows hold the same paragraphs twice
+    under one name: those copies are not told apart, and count as one. Different texts of one
+    id are different documents. An empty table gives no rows. Pairs whose shingle sets reach
+    ``similarity`` are found with at least the probability ``recall`` each, equal paragraphs always.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    with freed_shuffles(spark):
+        steps, texts = Steps(spark), texts_of(docs, id_col, text_col)
+        scan = steps.keep("scan", scanned(texts, min_words, tuned_bands(similarity, recall), anchors=False))
+        groups = groups_of(steps, texts, scan, similarity)
+        steps.drop("scan")
+    return named_groups(groups, id_col)
+
+
 def without_repeats(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without what ``groups`` does not keep, whole lines with their line ends.
 
-    Rows of ``groups`` with a ``text_hash`` hold for documents of that text only.
+    A row of ``groups`` holds for documents of its id and of the text that has its ``text_hash``.
+    Rows without an id stay as they are; all columns of ``docs`` keep their names.
     """
-    mark = F.col("text_hash") if "text_hash" in groups.columns else F.lit(None).cast("long")
-    spans = groups.where(~F.col("kept")).groupBy(F.col(id_col).alias("_id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", mark.alias("mark")))).alias("_all")
+    its_id, its_mark, its_spans = (spare(docs, n) for n in ("id_of_spans", "mark_of_spans", "spans"))
+    spans = groups.where(~F.col("kept")).groupBy(F.col(id_col).alias(its_id), F.col("text_hash").alias(its_mark)).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias(its_spans)
     )
 
     @F.pandas_udf("string")
@@ -319,10 +247,9 @@ def without_repeats(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id",
         give_back()
 
     small_batches(docs.sparkSession)
-    both = docs.join(spans, F.col(id_col) == F.col("_id"), "left").withColumn(
-        "_spans", F.filter("_all", lambda s: s["mark"].isNull() | (s["mark"] == F.xxhash64(text_col)))
-    )
+    text = F.col(f"`{text_col}`")
+    both = docs.join(spans, (docs[f"`{id_col}`"] == F.col(its_id)) & (F.xxhash64(docs[f"`{text_col}`"]) == F.col(its_mark)), "left")
     return both.select(*[
-        (F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(cut(F.col(f"`{c}`"), "_spans")) if c == text_col else F.col(f"`{c}`")).alias(c)
+        (F.when(F.col(its_spans).isNull(), text).otherwise(cut(text, its_spans)) if c == text_col else F.col(f"`{c}`")).alias(c)
         for c in docs.columns
     ])

@@ -1,10 +1,10 @@
 """Passages of 50 words and more that repeat anywhere: within lines, over line ends, in short lines.
 
-1. One pass over the texts names anchors: of each run of 25 overlapping stretches of 26 words the one
+1. The scan of the texts names anchors: of each run of 25 overlapping stretches of 26 words the one
    with the least hash. The words alone set them, so equal passages of 50 words share an anchor wherever
    they stand, whatever is around them and however their lines are wrapped.
-2. In documents with an anchor that is there twice, the windows of 50 words around such anchors get
-   a digest of 128 bits each; windows that touch a line that is removed anyway do not count.
+2. Anchors that touch a line that is removed anyway go: no window that counts holds one. Where an anchor
+   is there twice among the others, the windows of 50 words around it get a digest of 128 bits each.
 3. A window whose digest stands at an earlier place repeats. Windows that overlap or meet are one passage.
 
 No pairs are formed: every step counts, or joins places with the first one of their digest.
@@ -17,56 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.paragraphs import CHUNK, MIX, SPREAD, paragraph_groups
+from sluice.llm.paragraphs import MIN_WORDS, groups_of, named_groups, tuned_bands
+from sluice.llm.scan import BASES, CHUNK, GRAM_WORDS, PASSAGE_WORDS, hashed, run_hashes, scanned, texts_of
 from sluice.llm.workers import give_back
-from sluice.session import discard, durable, plain_unions, scratch_path, small_batches
+from sluice.session import Steps, freed_shuffles, plain_unions, small_batches
 
-# Words of the shortest passage, and of the stretches that anchors are chosen from.
-PASSAGE_WORDS = 50
-GRAM_WORDS = 26
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 # White space as bytes.split() sees it.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
-ANCHORS = "mark long, at int, gram long"
 WINDOWS = "mark long, at int, line int, start int, end int, high long, low long"
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash per word, lower-cased in A-Z."""
-    words = text.encode().lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
-def run_hashes(words: np.ndarray, size: int, base: int) -> np.ndarray:
-    """A hash per run of ``size`` words, from differences of one running sum."""
-    powers = np.full(len(words), np.uint64(base))
-    powers[:1] = 1
-    back = np.full(max(0, len(words) - size + 1), np.uint64(pow(base, -1, 1 << 64)))
-    back[:1] = 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(powers))])
-    out = (sums[size:] - sums[:-size]) * np.cumprod(back) if len(words) >= size else back
-    for shift in (32, 29):
-        out ^= out >> np.uint64(shift)
-        out *= SPREAD if shift == 32 else MIX
-    return out ^ (out >> np.uint64(32))
-
-
-def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors; every run of ``PASSAGE_WORDS`` words holds one."""
-    grams = run_hashes(words, GRAM_WORDS, BASES[0])
-    width = PASSAGE_WORDS - GRAM_WORDS + 1
-    if len(grams) < width:
-        return np.zeros(0, np.int64), grams[:0]
-    least = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1)
-    places = np.unique(least + np.arange(len(least)))
-    return places, grams[places]
-
-
 def _batch(ids: pa.Array, rows: list[tuple], kinds: tuple) -> pa.RecordBatch:
     """Rows ``(row of the id, mark, *arrays of one length)`` as a batch."""
     sizes = [len(r[2]) for r in rows]
@@ -79,7 +43,7 @@ def _batch(ids: pa.Array, rows: list[tuple], kinds: tuple) -> pa.RecordBatch:
 
 
 def _rows(found, kinds: tuple):
-    """A function for mapInArrow: ``found`` gives each row's arrays from its values after id and mark."""
+    """A function for mapInArrow: ``found`` gives each row's arrays from its values after the id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,18 +63,33 @@ def _rows(found, kinds: tuple):
     return run
 
 
-def _anchor_rows(mark: int, text: str) -> tuple:
-    return anchors_of(word_hashes(text))
+def _anchors_outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Place and hash of the anchors of ``(id, mark, anchors, dropped lines)`` that touch none of these lines."""
+    for batch in batches:
+        lists = batch.column(2)
+        ends = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        flat = lists.flatten()
+        at, low, high, gram = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+        keep = np.ones(len(at), bool)
+        for i, dropped in enumerate(batch.column(3)):
+            if dropped.is_valid:
+                lines = np.sort(dropped.values.to_numpy())
+                part = slice(ends[i], ends[i + 1])
+                keep[part] = np.searchsorted(lines, low[part]) == np.searchsorted(lines, high[part], side="right")
+        row = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends))[keep])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(row), batch.column(1).take(row), pa.array(at[keep]), pa.array(gram[keep])], ["id", "mark", "at", "gram"]
+        )
 
 
 def window_rows(mark: int, text: str, anchors: list, drops: list | None) -> tuple:
     """Place, line, start, end (in characters) and digest of the windows that hold one of the ``anchors`` and none of the ``drops``."""
-    words = word_hashes(text)
+    words = hashed(text.encode().lower().split())
     spans = np.array([m.span() for m in WORD.finditer(text)], np.int64).reshape(-1, 2)
     count = max(0, len(words) - PASSAGE_WORDS + 1)
     # Windows from ``first`` up to ``last`` hold the anchor.
     near = np.zeros(count + 1, np.int64)
-    mine = np.unique(np.array([a["at"] for a in anchors if a["mark"] == mark], np.int64))
+    mine = np.unique(np.array(anchors, np.int64))
     np.add.at(near, np.maximum(mine - (PASSAGE_WORDS - GRAM_WORDS), 0), 1)
     np.add.at(near, np.minimum(mine + 1, count), -1)
     gone = np.zeros(len(words) + 1, np.int64)
@@ -126,43 +105,33 @@ def window_rows(mark: int, text: str, anchors: list, drops: list | None) -> tupl
     return at, np.searchsorted(breaks, starts), starts, ends, high, low
 
 
-def repeated_passages(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def passages_of(steps: Steps, texts: DataFrame, scan: DataFrame, groups: DataFrame) -> DataFrame:
     """One row per passage of ``PASSAGE_WORDS`` words and more that stands at several places.
 
-    ``groups`` are the lines of ``paragraph_groups``; what it does not keep takes no part. The columns
-    are those of ``groups`` and ``text_hash`` (``xxhash64`` of the text): ``paragraph`` is the line that the
-    passage begins in, ``first_id`` and ``first_paragraph`` where its first window stands first by id,
-    ``text_hash`` and place. Passages that are kept may overlap others that are not.
+    ``groups`` are the lines of ``groups_of``; what it does not keep takes no part. The columns are those of
+    ``groups``: ``paragraph`` is the line that the passage begins in, ``first_id`` and ``first_paragraph``
+    where its first window stands first by id, hash of the text and place. Passages that are kept may
+    overlap others that are not.
 
     Words are equal if they are but for A-Z; white space does not matter. Every equal run of
     ``PASSAGE_WORDS`` words is found. A copy that overlaps its first occurrence, as in a text of one
     word, does not count. Rows of one id and text count once; a document whose id is null takes no part.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    plain_unions(spark)
-    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
-    )
-    kind, paths = texts.dtypes[0][1], [scratch_path(spark, n) for n in ("anchors", "windows")]
-
-    def kept_in(path: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    kinds = (("at", pa.int32()), ("gram", pa.int64()))
-    anchors = kept_in(paths[0], texts.mapInArrow(_rows(_anchor_rows, kinds), f"id {kind}, {ANCHORS}"))
-    # Repeated rows may name an anchor twice, which costs some windows that then find no other place.
+    kind = texts.dtypes[0][1]
+    drops = steps.keep("drops", groups.where(~F.col("kept")).groupBy("id", "mark").agg(
+        F.collect_list("paragraph").alias("lines"), F.collect_list(F.struct("start", "end")).alias("drops")
+    ))
+    listed = scan.where(F.size("anchors") > 0).select("id", "mark", "anchors").join(drops.select("id", "mark", "lines"), ["id", "mark"], "left")
+    anchors = steps.keep("anchors", listed.mapInArrow(_anchors_outside, f"id {kind}, mark long, at int, gram long"))
+    # Repeated rows name an anchor twice, which costs some windows that then find no other place.
     shared = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    where = anchors.join(shared, "gram").groupBy("id").agg(F.collect_set(F.struct("mark", "at")).alias("anchors"))
-    drops = groups.where(~F.col("kept")).groupBy(F.col(id_col).alias("id")).agg(
-        F.collect_list(F.struct("start", "end")).alias("drops")
-    )
-    near = where.join(drops, "id", "left").withColumnRenamed("id", "_id")
-    held = texts.join(near, F.col("id") == F.col("_id")).select("id", "mark", "text", "anchors", "drops")
+    where = steps.keep("where", anchors.join(shared, "gram").groupBy("id", "mark").agg(F.collect_set("at").alias("anchors")))
+    steps.drop("anchors")
+    near = where.join(drops.select("id", "mark", "drops"), ["id", "mark"], "left")
+    held = texts.join(near, ["id", "mark"]).select("id", "mark", "text", "anchors", "drops")
     kinds = (*((c, pa.int32()) for c in ("at", "line", "start", "end")), ("high", pa.int64()), ("low", pa.int64()))
-    windows = kept_in(paths[1], held.mapInArrow(_rows(window_rows, kinds), f"id {kind}, {WINDOWS}"))
-    discard(spark, paths[0])
+    windows = steps.keep("windows", held.mapInArrow(_rows(window_rows, kinds), f"id {kind}, {WINDOWS}"))
+    steps.drop("where", "drops")
 
     place = F.struct("id", "mark", "at", "line")
     firsts = windows.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
@@ -173,19 +142,27 @@ def repeated_passages(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id"
     order = Window.partitionBy("id", "mark", "kept").orderBy("at")
     begins = F.coalesce(F.col("at") > F.lag("at").over(order) + PASSAGE_WORDS, F.lit(True)).cast("int")
     numbered = there.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    passages = numbered.groupBy("id", "mark", "kept", "run").agg(
+    found = numbered.groupBy("id", "mark", "kept", "run").agg(
         F.min("line").alias("paragraph"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("at") - F.min("at") + PASSAGE_WORDS).alias("n_words"), F.min_by("first", "at").alias("first"),
+        (F.max("at") - F.min("at") + PASSAGE_WORDS).alias("words"), F.min_by("first", "at").alias("first"),
     )
-    out = durable(passages.select(
-        F.col("id").alias(id_col), "paragraph", "start", "end", "n_words", F.col("first.id").alias("first_id"),
-        F.col("first.line").alias("first_paragraph"), "kept", F.col("mark").alias("text_hash"),
+    out = steps.keep("passages", found.select(
+        "id", "mark", "paragraph", "start", "end", "words", F.col("first.id").alias("first_id"),
+        F.col("first.line").alias("first_paragraph"), "kept",
     ))
-    discard(spark, paths[1])
+    steps.drop("windows")
     return out
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The lines of ``paragraph_groups`` (``text_hash`` null) and the passages of ``repeated_passages`` in what they leave."""
-    groups = durable(paragraph_groups(docs, id_col, text_col))
-    return groups.unionByName(repeated_passages(docs, groups, id_col, text_col), allowMissingColumns=True)
+    """The lines of ``paragraph_groups`` and, in what they leave, the passages of ``passages_of``; one pass over the texts finds both."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    plain_unions(spark)
+    with freed_shuffles(spark):
+        steps, texts = Steps(spark), texts_of(docs, id_col, text_col)
+        scan = steps.keep("scan", scanned(texts, MIN_WORDS, tuned_bands()))
+        groups = groups_of(steps, texts, scan)
+        passages = passages_of(steps, texts, scan, groups)
+        steps.drop("scan")
+    return named_groups(groups.unionByName(passages), id_col)
