@@ -139,7 +139,10 @@ def cut(ids: bytes, sequence: int = SEQUENCE) -> list[tuple[int, int, int]]:
 
 
 def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns ``(lengths, how many packs)``: longest lengths first, each to the shortest packs it fits."""
+    """Patterns ``(lengths, how many packs)``: longest lengths first, each to the shortest packs it fits.
+
+    Where none fits, the pieces of one length open packs that hold as many of them as fit.
+    """
     packs: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     used_heap: list[int] = []
     for length in sorted(counts, reverse=True):
@@ -153,12 +156,16 @@ def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tup
                 if n > left:
                     packs[used].append((lengths, n - left))
                     n = left
+                each = 1
             else:
-                used, lengths, n = 0, (), left
-            left -= n
-            if not packs[used + length]:
-                heapq.heappush(used_heap, used + length)
-            packs[used + length].append(((*lengths, length), n))
+                # Full packs of this length, then one with the rest.
+                each = min(left, sequence // length)
+                used, lengths, n = 0, (), left // each
+            left -= n * each
+            used += length * each
+            if not packs[used]:
+                heapq.heappush(used_heap, used)
+            packs[used].append(((*lengths, *[length] * each), n))
     return [p for used in sorted(packs, reverse=True) for p in packs[used]]
 
 
@@ -234,9 +241,15 @@ def pack(
     sliced = cuts.join(F.broadcast(dealt), "length").withColumn(
         "slice", F.pmod(F.xxhash64("id", "start", "ids_crc32"), "slices")
     )
-    before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sliced.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n")).select(
-        "length", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    # Slices of one length are added up in runs of as many slices, and the runs before.
+    sized = sliced.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n")).withColumn("run", F.floor(F.col("slice") / SLICE))
+    inside = Window.partitionBy("length", "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("length").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = sized.groupBy("length", "run").agg(F.sum("n").alias("n")).select(
+        "length", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")
+    )
+    firsts = sized.withColumn("near", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(runs, ["length", "run"]).select(
+        "length", "slice", (F.col("near") + F.col("ahead")).alias("first")
     )
     order = Window.partitionBy("length", "slice").orderBy("id", "start", "ids_crc32", "doc_tokens")
     ranked = sliced.withColumn("rank", F.row_number().over(order) - 1).join(firsts, ["length", "slice"])
