@@ -1,15 +1,19 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 The targets of all sources are divided into equal-token blocks, dealt to the sources by the
-highest quotients (target / 1, / 3, / 5, ...). A source that gets few has its target divided
-into finer blocks, so its words come as near to its target whatever the number of sources. A
-source's documents are spread over shards by a seeded hash and laid end to end there; each
-shard's line of words is cut into equal blocks, as many as its share of the source's words. A
-target above a source's size takes all of it again; the rest is the blocks with the smallest
-seeded hash.
-
-Only sums per source reach the driver; each source's blocks are planned by a task. A large
-source gets shards in proportion to its size, and no plan grows with the number of documents.
+highest quotients (target / 1, / 3, / 5, ...): with a block's words as the divisor, a source
+gets its target over the block's words, rounded. A small source has blocks a power of two
+finer, so its words come as near to its target whatever the number of sources.
+
+A source's documents are spread over shards by a seeded hash and laid end to end there. Its
+quota counts as whole passes over all of it and the rest; the source's blocks and the rest of
+the quota are dealt to its shards by the same rule, from the words of each. A shard's line of
+words is cut into as many equal blocks as it got, and as many as its quota says are taken, those
+with the least seeded hash.
+
+Sources, targets and quotas are columns of frames; the driver gets sums over all sources. A task
+deals the quota of a source that has several shards, a row for each of them. Shards follow the
+words and documents, so no task grows with the corpus.
 """
 
 from __future__ import annotations
@@ -17,22 +21,26 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.llm.names import spare
 from sluice.llm.workers import give_back
-from sluice.session import durable, small_batches
+from sluice.operators.ranks import running
+from sluice.session import durable, plain_unions, small_batches, staged
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-# Blocks that all targets together are divided into, and the least that one target has.
+# Blocks that all targets together are divided into at least, and the least that one target has.
 SEATS = 16384
 LEAST_SEATS = 512
-# Shards of all sources together; a source has at least one.
-SHARDS = 1024
+# Words of a block at most, so that there are more of them as the corpus grows.
+BLOCK_WORDS = 1 << 20
+# Blocks of a shard at most, and documents of a shard as far as it keeps as many blocks as the last figure.
+SHARD_BLOCKS, SHARD_DOCS, FEW_BLOCKS = 1024, 1 << 16, 8
 SEED = 42
 # A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,55 +93,81 @@ def sainte_lague(votes: Sequence[float], seats: int, caps: Sequence[int] | None
     return out
 
 
-def _source_plan(sid: int, lines: list[tuple[int, int]], goal: float, seats: int, seed: int) -> list[tuple]:
-    """Per shard of a source ``(sid, shard, line, blocks, base, marks, before)`` from ``(shard, line)``, line in words.
-
-    The goal is cut into ``seats`` blocks. ``marks[j]`` is 1 if block j is taken once more than
-    ``base`` times, ``before[j]`` the words of such blocks ahead of block j; both have one entry
-    more than there are blocks. Blocks are marked by least hash while they bring the words
-    taken nearer to the goal, so all shards together are off by half a block at most.
-    """
-    lines = sorted(lines)
-    words = [line for _, line in lines]
-    size = sum(words)
-    if goal <= 0 or size <= 0 or goal >= MOST * size:
-        base = MOST if goal > 0 and size > 0 else 0
-        return [(sid, shard, line, 1, base, [0, 0], [0, 0]) for shard, line in lines]
-    blocks = [min(max(1, n), max(1, w)) for n, w in zip(sainte_lague(words, max(1, round(size * seats / goal))), words)]
-    base, out, seen, taken = int(goal // size), [], 0, 0
-    for (shard, line), n in zip(lines, blocks):
-        seen += line
-        want, marks, before = (goal - base * size) * seen / size, [0] * (n + 1), [0]
-        width = lambda j: (j + 1) * line // n - j * line // n  # noqa: B023, E731
-        for j in sorted(range(n), key=lambda j: (xxhash.xxh64_intdigest(f"{sid} {shard} {j}", seed), j)):  # noqa: B023
-            if taken + width(j) / 2 > want:
-                break
-            marks[j] = 1
-            taken += width(j)
-        for j in range(n):
-            before.append(before[-1] + marks[j] * width(j))
-        out.append((sid, shard, line, n, base, marks, before))
-    return out
-
-
-def _shard_plan(lines: DataFrame, seed: int) -> DataFrame:
-    """The plans of all sources, each made by one task, from ``(sid, shard, line, target, seats)``."""
-    names = ["sid", "shard", "line", "blocks", "base", "marks", "before"]
+def _quota_plan(rows: pd.DataFrame) -> pd.DataFrame:
+    """The blocks of one source and the rest of its quota, dealt to its shards."""
+    rows = rows.sort_values("shard")
+    words = rows.line.tolist()
+    blocks = [max(1, b) for b in sainte_lague(words, int(rows.blocks.iloc[0]), words)]
+    return rows.assign(blocks=blocks, seats=sainte_lague(words, int(rows.seats.iloc[0]), blocks))
+
+
+def marked_blocks(sid: int, shard: int, line: int, blocks: int, seats: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks of a line are taken once more, and the words of such blocks ahead of each; one entry more than blocks."""
+    key = (sid * 0x9E3779B97F4A7C15 + shard * 0xC2B2AE3D27D4EB4F + seed * 0xD6E8FEB86659FD93) & (2**64 - 1)
+    x = np.arange(1, blocks + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    marks, ends = np.zeros(blocks + 1, np.int64), np.zeros(blocks + 1, np.int64)
+    marks[np.lexsort((np.arange(blocks), x))[:seats]] = 1
+    for j in range(1, blocks + 1):
+        ends[j] = j * line // blocks
+    return marks, np.concatenate([[0], np.cumsum(marks[:-1] * np.diff(ends))])
+
+
+def _with_marks(lines: DataFrame, seed: int) -> DataFrame:
+    @F.pandas_udf("marks array<long>, before array<long>")
+    def marked(sid: pd.Series, shard: pd.Series, line: pd.Series, blocks: pd.Series, seats: pd.Series) -> pd.DataFrame:
+        rows = [marked_blocks(*map(int, r), seed) for r in zip(sid, shard, line, blocks, seats)]
+        return pd.DataFrame({"marks": [m for m, _ in rows], "before": [b for _, b in rows]})
+
+    return lines.withColumn("of", marked("sid", "shard", "line", "blocks", "seats")).select(
+        "sid", "shard", "line", "blocks", F.col("passes").alias("base"), "of.marks", "of.before"
+    )
 
-    def plan(rows: pd.DataFrame) -> pd.DataFrame:
-        sid, goal, seats = int(rows.sid.iloc[0]), float(rows.target.iloc[0]), int(rows.seats.iloc[0])
-        pairs = list(zip(rows.shard.tolist(), rows.line.tolist()))
-        return pd.DataFrame(_source_plan(sid, pairs, goal, seats, seed), columns=names)
 
-    kinds = "sid int, shard int, line long, blocks long, base long, marks array<long>, before array<long>"
-    return lines.groupBy("sid").applyInPandas(plan, kinds)
+def _targets(sources: DataFrame, share: float, most: float) -> DataFrame:
+    """``targets`` on a frame ``(source, source_size, weight)``, with the same rounds; a round is one sum over the sources."""
+    capped = F.col("source_size") * F.lit(float(most))
+    words, weights = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.sum("weight")).first()
+    unit, full = (share * words / weights if weights else 0.0), -1
+    while True:
+        above = capped < F.col("weight") * F.lit(unit)
+        held, open_, number = sources.agg(
+            F.coalesce(F.sum(F.when(above, capped)), F.lit(0.0)), F.sum(F.when(~above, F.col("weight"))), F.count_if(above)
+        ).first()
+        if number == full or not open_:
+            return sources.withColumn("target", F.when(above, capped).otherwise(F.col("weight") * F.lit(unit)) if open_ else capped)
+        unit, full = (share * words - held) / open_, number
+
+
+def _sources(base: DataFrame, weights: Sequence[float], share: float) -> DataFrame:
+    """A row per source: number, words, target, blocks, passes over all of it, seats beyond them, and shards."""
+    sums = staged(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")), "sources")
+    listed = running(sums, [F.col("source").asc_nulls_last()]).withColumn("sid", (F.col("rank") - 1).cast("long"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("sid") % len(weights) + 1).cast("int"))
+    goals = staged(_targets(staged(listed.select("sid", "source", "source_size", "docs", weight.alias("weight")), "weights"), share, MOST), "targets")
+    total = goals.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    block = max(1.0, min(total / SEATS, float(BLOCK_WORDS)))
+    finer = F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.try_divide(F.lit(LEAST_SEATS * block), F.col("target"))))))
+    width = F.greatest(F.lit(1.0), F.lit(block) / finer)
+    filled = (F.col("source_size") > 0) & (F.col("target") > 0)
+    blocks = F.when(filled, F.least(F.col("source_size"), F.ceil(F.col("source_size") / width))).otherwise(1)
+    shards = F.greatest(
+        F.lit(1), F.ceil(F.col("blocks") / SHARD_BLOCKS),
+        F.least(F.ceil(F.col("docs") / SHARD_DOCS), F.floor(F.col("blocks") / FEW_BLOCKS)),
+    )
+    quota = F.when(filled, F.floor(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size")) + 0.5)).otherwise(0)
+    return goals.withColumn("blocks", blocks.cast("long")).withColumn("quota", quota.cast("long")).select(
+        "sid", F.col("source").alias("name"), "source_size", "target", "blocks", shards.cast("int").alias("shards"),
+        F.expr("quota div blocks").alias("passes"), F.expr("quota % blocks").alias("seats"),
+    )
 
 
 def _extra_words(place: str):
     """Words of once more taken blocks before ``place`` on the shard's line."""
-    j = F.expr(f"int(least(({place} + 1) * blocks - 1, blocks * line) div greatest(line, 1))")
-    mark, before = F.get("marks", j), F.get("before", j)
-    return before + mark * (F.col(place) - F.floor(j * F.col("line") / F.col("blocks")))
+    block = f"(least(({place} + 1) * blocks - 1, blocks * line) div greatest(line, 1))"
+    return F.expr(f"get(before, int({block})) + get(marks, int({block})) * ({place} - ({block} * line) div blocks)")
 
 
 def mix_plan(
@@ -147,51 +181,49 @@ def mix_plan(
 ) -> DataFrame:
     """One row per document: what the mix takes of it.
 
-    Columns: id, ``copy`` (1 unless the id is there more than once), ``size`` (words;
-    0 for a null text), ``source_size``, ``target`` of its source, ``taken`` (words taken,
-    repeats counted, at most twice the size), ``start`` (place on the shard's line) and the
-    shard's ``line``, ``blocks``, ``base``, ``marks``, ``before``.
+    Columns: id, ``mix_source``, ``mark`` (``xxhash64`` of the text), ``copy`` (counts rows of one source,
+    id and text from 1; 0 for documents without a word), ``size`` (words; 0 for a null text), ``source_size``,
+    ``target`` of its source, ``taken`` (words taken, repeats counted, at most twice the size), ``start``
+    (place on the shard's line) and the shard's ``line``, ``blocks``, ``base``, ``marks``, ``before``.
 
     Sources are ordered by code point, null last as a source of its own, and get the
     weights in turn. Reruns agree: every choice depends on ids, texts and the seed alone.
     Repeated rows are documents of their own. An empty table gives no rows, a source
     without words gets nothing.
     """
-    spark = docs.sparkSession
-    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    base = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"),
-        F.xxhash64(text_col).alias("mark"),
-    )
-    base = durable(base)
-    sums = {r["source"]: r["n"] for r in base.groupBy("source").agg(F.sum("size").alias("n")).collect()}
-    names = sorted((s for s in sums if s is not None)) + [None] * (None in sums)
-    sizes = [sums[s] for s in names]
-    goals = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share)
-    shards = [max(1, -(-SHARDS * n // max(1, sum(sizes)))) for n in sizes]
-    quotas = sainte_lague(goals, SEATS) if any(goals) else [0] * len(names)
-    listed = spark.createDataFrame(
-        [(i, s, sizes[i], goals[i], shards[i], max(LEAST_SEATS, q)) for (i, s), q in zip(enumerate(names), quotas)],
-        "sid int, name string, source_size long, target double, shards int, seats long",
-    )
-    placed = base.join(F.broadcast(listed), F.col("source").eqNullSafe(F.col("name"))).withColumn(
-        "shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("shards")).cast("int")
-    )
-    lines = placed.groupBy("sid", "shard").agg(
-        F.sum("size").alias("line"), F.first("target").alias("target"), F.first("seats").alias("seats")
-    )
-    plan = durable(_shard_plan(lines, seed))
-    order = Window.partitionBy("sid", "shard").orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "mark", "size")
+    plain_unions(docs.sparkSession)
+    text = F.col(f"`{text_col}`")
+    words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    base = durable(docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), words.alias("size"), F.xxhash64(text).alias("mark"),
+    ))
+    listed = _sources(base, weights, share)
+    shard = F.pmod(F.xxhash64("id", "mark", F.lit(seed)), F.col("shards")).cast("int")
+    named = base.join(listed, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    placed = named.where("size > 0").withColumn("shard", shard)
+    lines = durable(placed.groupBy("sid", "shard").agg(
+        F.sum("size").alias("line"), *[F.first(c).alias(c) for c in ("shards", "blocks", "passes", "seats")]
+    ))
+    several = lines.where("shards > 1").groupBy("sid").applyInPandas(_quota_plan, lines.schema)
+    plan = durable(_with_marks(lines.where("shards = 1").unionByName(several), seed))
+    order = Window.partitionBy("sid", "shard").orderBy(F.xxhash64("id", "mark", F.lit(seed + 1)), "id", "mark", "size")
     rows = placed.withColumns({
         "end": F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "copy": F.row_number().over(Window.partitionBy("sid", "shard", "id").orderBy("mark", "size")),
+        "copy": F.row_number().over(Window.partitionBy("sid", "shard", "id", "mark").orderBy("size")),
     }).withColumn("start", F.col("end") - F.col("size"))
-    rows = rows.join(plan, ["sid", "shard"])
+    rows = rows.join(plan.withColumnRenamed("blocks", "cuts"), ["sid", "shard"]).drop("blocks").withColumnRenamed("cuts", "blocks")
     taken = F.col("base") * F.col("size") + _extra_words("end") - _extra_words("start")
-    return rows.select(
-        F.col("id").alias(id_col), "copy", F.col("source").alias("mix_source"), "size", "source_size", "target",
+    columns = ["source_size", "target"]
+    out = rows.select(
+        F.col("id").alias(id_col), "mark", "copy", F.col("source").alias("mix_source"), "size", *columns,
         taken.cast("long").alias("taken"), "start", "line", "blocks", "base", "marks", "before",
     )
+    none, nothing = F.lit(0).cast("long"), F.array().cast("array<long>")
+    empty = named.where("size = 0").select(
+        F.col("id").alias(id_col), "mark", F.lit(0).alias("copy"), F.col("source").alias("mix_source"), "size", *columns,
+        *[none.alias(c) for c in ("taken", "start", "line", "blocks", "base")], nothing.alias("marks"), nothing.alias("before"),
+    )
+    return out.unionByName(empty)
 
 
 def taken_spans(start: int, size: int, line: int, blocks: int, base: int, marks: Sequence[int]) -> list[tuple[int, int]]:
@@ -227,33 +259,34 @@ def cut_words(text: str, span: tuple[int, int], size: int) -> str:
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The documents of the mix: a row for each time that a document or a part of it is taken.
 
-    The result has the columns of ``docs``; only the text is cut.
+    The result has the columns of ``docs``, whatever their names; only the text is cut.
     """
-    plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how).where("taken > 0")
-    plan = plan.select(
-        F.col(id_col).alias("_id"), F.col("mix_source").alias("_src"), F.col("copy").alias("_n"),
-        F.struct("start", "size", "line", "blocks", "base", "marks").alias("_how"),
-    )
-    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0))
-    numbered = docs.withColumn(
-        "_copy", F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.xxhash64(text_col), words))
-    )
-    both = numbered.join(
-        plan,
-        F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_src")) & (F.col("_copy") == F.col("_n")),
-    )
+
+    @F.pandas_udf("array<struct<first: int, last: int>>")
+    def spans(start: pd.Series, size: pd.Series, line: pd.Series, blocks: pd.Series, base: pd.Series, marks: pd.Series) -> pd.Series:
+        rows = zip(start, size, line, blocks, base, marks)
+        return pd.Series([[{"first": a, "last": b} for a, b in taken_spans(*map(int, r[:5]), r[5])] for r in rows], dtype=object)
 
     @F.pandas_udf("array<string>")
-    def texts(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.Series]:
-        for text, how in batches:
-            out = []
-            for t, h in zip(text, how.itertuples(index=False)):
-                spans = taken_spans(h.start, h.size_, h.line, h.blocks, h.base, list(h.marks))
-                out.append([cut_words(t, s, h.size_) for s in spans])
-            yield pd.Series(out, dtype=object)
+    def texts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for text, size, spans in batches:
+            yield pd.Series([[cut_words(t, (s["first"], s["last"]), n) for s in p] for t, n, p in zip(text, size, spans)], dtype=object)
         give_back()
 
-    how_col = F.struct(*[F.col(f"_how.{c}").alias("size_" if c == "size" else c) for c in ("start", "size", "line", "blocks", "base", "marks")])
+    id_, source, text = (F.col(f"`{c}`") for c in (id_col, source_col, text_col))
+    # The blocks of a shard stay with the plan; what travels to the texts is the spans of each document.
+    plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how).where("taken > 0").select(
+        F.col(id_col).alias("plan_id"), "mix_source", "mark", "copy", "size",
+        spans("start", "size", "line", "blocks", "base", "marks").alias("spans"),
+    )
+    names = {c: spare(docs, c) for c in (*plan.columns, "number", "cut")}
+    plan = plan.select(*[F.col(c).alias(names[c]) for c in plan.columns])
+    number = F.row_number().over(Window.partitionBy(id_, source, F.xxhash64(text)).orderBy(F.length(text)))
+    both = docs.withColumn(names["number"], number).join(
+        plan,
+        id_.eqNullSafe(F.col(names["plan_id"])) & source.eqNullSafe(F.col(names["mix_source"]))
+        & (F.xxhash64(text) == F.col(names["mark"])) & (F.col(names["number"]) == F.col(names["copy"])),
+    )
     small_batches(docs.sparkSession)
-    taken = both.withColumn("_text", F.explode(texts(F.col(text_col), how_col)))
-    return taken.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    taken = both.withColumn(names["cut"], F.explode(texts(text, names["size"], names["spans"])))
+    return taken.select(*[F.col(names["cut"]).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
