@@ -134,8 +134,9 @@ def passages_of(steps: Steps, texts: DataFrame, scan: DataFrame, groups: DataFra
     steps.drop("where", "drops")
 
     place = F.struct("id", "mark", "at", "line")
-    firsts = windows.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    there = windows.join(firsts.drop("last"), ["high", "low"]).withColumn("kept", place == F.col("first")).where(
+    # Written down, so that the join is one that adaptive execution can split where a digest is very frequent.
+    firsts = steps.keep("firsts", windows.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last"))
+    there = windows.join(firsts, ["high", "low"]).withColumn("kept", place == F.col("first")).where(
         (F.col("kept") | (F.col("id") != F.col("first.id")) | (F.col("mark") != F.col("first.mark")))
         | (F.col("at") >= F.col("first.at") + PASSAGE_WORDS)
     )
@@ -150,7 +151,7 @@ def passages_of(steps: Steps, texts: DataFrame, scan: DataFrame, groups: DataFra
         "id", "mark", "paragraph", "start", "end", "words", F.col("first.id").alias("first_id"),
         F.col("first.line").alias("first_paragraph"), "kept",
     ))
-    steps.drop("windows")
+    steps.drop("windows", "firsts")
     return out
 
 

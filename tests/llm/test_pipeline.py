@@ -1,5 +1,8 @@
+import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from sluice.llm.simhash import simhash_near_dedup
 
@@ -56,3 +59,36 @@ def test_empty_table(spark):
         assert out.count() == 0, name
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def own(seed, count):
+    rng = random.Random(seed)
+    return " ".join(f"q{rng.randrange(10**9)}" for _ in range(count))
+
+
+def test_one_id_with_several_texts(spark):
+    """Different texts of one id are different documents in every stage."""
+    a, b, line = own(1, 200), own(2, 200), own(3, 40)
+    docs = spark.createDataFrame([(1, a), (1, b), (1, b), (2, f"{own(4, 80)}\n{line}\n{own(5, 90)}"), (3, f"{own(6, 100)}\n{line}"), (3, own(7, 200)), (None, a), (None, own(8, 60))], "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in stage("simhash_near_dedup")(spark, docs, "").collect())
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    assert kept == Counter(texts - {(None, a)})
+    cut = {(r.doc_id, len(r.text.split())) for r in stage("substring_dedup")(spark, docs.where("doc_id > 1"), "").collect()}
+    assert cut == {(2, 210), (3, 100), (3, 200)}
+
+
+def test_columns_that_clash_with_helpers(spark):
+    names = ["key", "kept", "row", "judged", "id", "mark", "spans", "id_of_spans", "mark_of_spans", "copy", "number", "cut", "size", "taken", "mix_source", "_id", "_key", "_lang", "_copy", "plan_id", "target", "blocks", "name", "sid", "shard"]
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    docs = source.withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    for name, run in corpus_pipeline.STAGES[:-1]:
+        out = run(spark, docs, "")
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == i for r in rows for i, n in enumerate(names)), name
+        assert Counter(r.text for r in rows) == Counter(r.text for r in run(spark, source, "").collect()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
