@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.language import UNKNOWN, predicted, train
 from sluice.llm.mixing import mixed
+from sluice.llm.names import spare
 from sluice.llm.packing import pack
 from sluice.llm.paragraphs import without_repeats
 from sluice.llm.passages import repeats
@@ -31,17 +32,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     small_batches(spark)
-    judged = docs.withColumn("_lang", predicted(F.col("text"), model))
-    return judged.where((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= MIN_SCORE)).drop("_lang")
+    lang = spare(docs, "judged")
+    judged = docs.withColumn(lang, predicted(F.col("text"), model))
+    return judged.where((F.col(f"{lang}.lang_pred") != UNKNOWN) & (F.col(f"{lang}.score") >= MIN_SCORE)).drop(lang)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the smallest id. Without an id, equal texts are one document."""
-    unnamed = -F.xxhash64("text").bitwiseAND(F.lit((1 << 63) - 1)) - 1
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), unnamed))
-    found = simhash_near_dedup(keyed, "_key")
-    kept = found.where(F.col("_key") == F.col("component_id")).select(F.col("_key").alias("_kept")).distinct()
-    return keyed.join(kept, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).drop("_key")
+    """One document of each group: the one with the smallest id, and the least text hash among several.
+
+    Rows of one id with different texts are different documents. Rows of one id and text are one,
+    also where the id is null; the row that stays is the least by a hash of its other columns. Ids
+    come before null.
+    """
+    key, kept, row = (spare(docs, n) for n in ("key", "kept", "row"))
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")))
+    found = simhash_near_dedup(keyed, key)
+    first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(kept)).distinct()
+    others = [F.col(f"`{c}`") for c, kind in docs.dtypes if c != "text" and "map<" not in kind and kind != "variant"]
+    numbered = keyed.withColumn(row, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*others)))).where(F.col(row) == 1)
+    return numbered.join(first, F.col(key) == F.col(kept), "left_semi").drop(key, row)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
