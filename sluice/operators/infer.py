@@ -28,6 +28,8 @@ INTEGER = r"^(-?[1-9][0-9]*|0)$"
 DOUBLE = r"^-?\d+\.\d+$"
 # Shortest text tried as a date, and the share of it that must be digits (fixed values).
 MIN_DATE_LENGTH, MIN_DIGIT_SHARE = 8, 0.6
+# Integers of so many digits fit 64 bits whatever the digits are.
+SURE_DIGITS = 18
 # Candidate delimiters in order of preference: name -> expression (fixed values).
 DELIMITERS = {"comma": ",", "pipe": r"\|", "tab": r"\t", "tabs": r"\t+", "spaces": " +"}
 
@@ -53,31 +55,50 @@ def _parsed(t: Column, pattern: str) -> Column:
     return F.when(t.rlike(shape), _iso_text(t, pattern).try_cast(kind))
 
 
-def classify(c: Column) -> Column:
-    """Class of a cell: '', a date or time pattern, bigint, double or string."""
-    t = F.trim(c)
-    digits = F.length(t) - F.length(F.translate(t, "0123456789", ""))
+# What is left of a date or time without its digits (fixed values; a month name is any three letters).
+RESTS = {"--": ("yyyy-MM-dd", "dd-MM-yyyy"), "//": ("yyyy/MM/dd", "dd/MM/yyyy", "MM/dd/yyyy"), "": ("yyyyMMdd",),
+         "--T::": ("yyyy-MM-ddTHH:mm:ss",), "-- ::": ("yyyy-MM-dd HH:mm:ss",)}
+MONTH_REST = "ddMMMyyyy:HH:mm:ss"
+
+
+def _class_of(t: Column, rest: Column) -> Column:
+    """Class of trimmed text, given what is left of it without its digits.
+
+    That rest is the shape of the cell: it settles which few patterns are matched and parsed at all,
+    and for most cells that none is.
+    """
+    digits = F.length(t) - F.length(rest)
     # Longer integers, such as some ids, have no number type that keeps them.
-    whole = t.rlike(INTEGER) & t.try_cast("bigint").isNotNull()
-    number = F.when(whole, "bigint").when(t.rlike(DOUBLE), "double").otherwise("string")
-    checks = [(p, _parsed(t, p).isNotNull()) for p in (*DATES, *TIMES)]
-    (first, test), *others = checks
-    dated = F.when(test, first)
-    for pattern, test in others:
-        dated = dated.when(test, pattern)
+    whole = t.rlike(INTEGER) & ((digits <= SURE_DIGITS) | t.try_cast("bigint").isNotNull())
+    number = F.when(rest.isin("", "-"), F.when(whole, "bigint").otherwise("string")).when(
+        rest.isin(".", "-.") & t.rlike(DOUBLE), "double").otherwise("string")
+    dated = None
+    for shape, patterns in RESTS.items():
+        found = F.when(_parsed(t, patterns[0]).isNotNull(), patterns[0])
+        for p in patterns[1:]:
+            found = found.when(_parsed(t, p).isNotNull(), p)
+        dated = F.when(rest == shape, found) if dated is None else dated.when(rest == shape, found)
+    dated = dated.when((F.length(rest) == 6) & rest.endswith(":::"), F.when(_parsed(t, MONTH_REST).isNotNull(), MONTH_REST))
     looks_dated = (F.length(t) >= MIN_DATE_LENGTH) & (digits > F.length(t) * MIN_DIGIT_SHARE)
-    return (
-        F.when(F.coalesce(t, F.lit("")) == "", "")
-        .when(looks_dated, dated.otherwise(number))
-        .otherwise(number)
-    )
+    return F.when(F.coalesce(t, F.lit("")) == "", "").otherwise(F.coalesce(F.when(looks_dated, dated), number))
+
+
+def _rest(t: Column) -> Column:
+    return F.translate(t, "0123456789", "")
+
+
+def classify(c: Column) -> Column:
+    """Class of a cell: '', a date or time pattern, bigint, double or string."""
+    return _class_of(F.trim(c), _rest(F.trim(c)))
 
 
 def class_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows (column, class, n): at most a dozen per column, counted in one scan."""
     cols = list(columns or df.columns)
-    cells = df.selectExpr(*[f"string(`{c}`) AS `{c}`" for c in cols]).unpivot([], cols, "column", "cell")
-    return cells.groupBy("column", classify(F.col("cell")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    cells = df.selectExpr(*[f"trim(string(`{c}`)) AS `{c}`" for c in cols]).unpivot([], cols, "column", "cell")
+    # The rest is made once per cell and used by all that follows.
+    cells = cells.withColumn("rest", _rest(F.col("cell")))
+    return cells.groupBy("column", _class_of(F.col("cell"), F.col("rest")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

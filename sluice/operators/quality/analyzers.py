@@ -1,12 +1,14 @@
 """Data-quality analyzers: many metrics of one frame, few passes over it.
 
 All metrics that plain aggregates can give share one ``agg`` over one scan. Metrics
-about value frequencies share one ``groupBy`` per set of columns. The result is one
-lazy frame with a row per metric.
+about value frequencies share another: one aggregation over grouping sets counts the values
+of every set of columns that a metric asks for, and one more turns the counts into all the
+metrics. The result is one lazy frame with a row per metric.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,8 +33,10 @@ class Metric:
 
     ``scalar`` is an aggregate over the rows, as SQL text or a Column. ``grouped`` is
     SQL text of an aggregate over the frequency table of ``columns``, whose ``_n`` holds
-    the counts (null groups included). ``frame`` computes the single value from the
-    frequency table in its own way. Exactly one of the three is set.
+    the counts (null groups included); ``_n@0`` are the counts of the first of the columns
+    alone, and ``_w@0`` counts the rows of its values that have all the columns. ``frame``
+    computes the single value from the frequency table in its own way. Exactly one of the
+    three is set.
     """
 
     name: str
@@ -86,14 +90,14 @@ def size() -> Metric:
 
 
 def completeness(column: str) -> Metric:
-    return _scalar("Completeness", column, f"count({quote(column)}) / count(1)")
+    return _scalar("Completeness", column, f"try_divide(count({quote(column)}), count(1))")
 
 
 def compliance(instance: str, predicate: str | Column) -> Metric:
     """Share of the rows where the predicate is true; unknown counts as false."""
     if isinstance(predicate, str):
-        return _scalar("Compliance", instance, f"count_if({predicate}) / count(1)")
-    return Metric("Compliance", "Column", (instance,), scalar=F.count_if(predicate) / F.count(F.lit(1)))
+        return _scalar("Compliance", instance, f"try_divide(count_if({predicate}), count(1))")
+    return Metric("Compliance", "Column", (instance,), scalar=F.try_divide(F.count_if(predicate), F.count(F.lit(1))))
 
 
 def approx_count_distinct(column: str) -> Metric:
@@ -154,7 +158,7 @@ def value_class(expression: str) -> str:
 def data_type(column: str) -> list[Metric]:
     """One ratio per type class."""
     kind = value_class(quote(column))
-    return [_scalar(f"DataType.{k}", column, f"count_if({kind} = '{k}') / count(1)") for k in CLASSES]
+    return [_scalar(f"DataType.{k}", column, f"try_divide(count_if({kind} = '{k}'), count(1))") for k in CLASSES]
 
 
 def type_share(column: str, kinds: Sequence[str], of_filled: bool = True) -> Metric:
@@ -167,7 +171,7 @@ def type_share(column: str, kinds: Sequence[str], of_filled: bool = True) -> Met
 
 def _present(cols: Sequence[str]) -> str:
     """Groups that count as values: at least one column is not null."""
-    return "(" + " OR ".join(f"{quote(c)} IS NOT NULL" for c in cols) + ")"
+    return "(_n IS NOT NULL AND (" + " OR ".join(f"{quote(c)} IS NOT NULL" for c in cols) + "))"
 
 
 def _frequency(name: str, columns: str | Sequence[str], value: str) -> Metric:
@@ -212,12 +216,14 @@ def entropy(column: str, base: float | None = None) -> Metric:
 
 def number_of_bins(column: str) -> Metric:
     """Histogram bins: distinct values, the nulls being one of them."""
-    return _frequency("Histogram.bins", column, "count(1)")
+    return _frequency("Histogram.bins", column, "count(_n)")
 
 
 def bin_value(column: str, value: str, what: str = "ratio") -> Metric:
     """Count (``abs``) or ratio of one histogram bin."""
-    hit = f"coalesce(string({quote(column)}), '{NULL_BIN}') = {text_literal(value)}"
+    # Underscores are written as escapes, so that the value cannot be taken for the name of a count.
+    literal = text_literal(value).replace("_", "\\u005f")
+    hit = f"coalesce(string({quote(column)}), '{NULL_BIN}') = {literal}"
     n = f"sum(if({hit}, _n, 0))"
     return _frequency(f"Histogram.{what}.{value}", column, n if what == "abs" else f"try_divide({n}, sum(_n))")
 
@@ -225,26 +231,24 @@ def bin_value(column: str, value: str, what: str = "ratio") -> Metric:
 def mutual_information(a: str, b: str) -> Metric:
     """sum p(x,y) ln(p(x,y) / p(x)p(y)) over pairs without nulls.
 
-    The logarithm is split, so the marginals are two more aggregates of the joint
-    frequency table and nothing is joined back to it.
+    The logarithm is split, so the marginals are sums over the counts of each column alone
+    and nothing is joined.
     """
     pair = f"({quote(a)} IS NOT NULL AND {quote(b)} IS NOT NULL)"
+    sides = " ".join(f"- sum(_w@{i} * ln(_n@{i}))" for i in (0, 1))
+    value = f"(sum(if({pair}, _n * ln(_n), 0D)) + sum(if({pair}, _n, 0)) * ln(sum(_n)) {sides}) / sum(_n)"
+    return Metric("MutualInformation", "Multicolumn", (a, b), grouped=value)
 
-    def compute(joint: DataFrame) -> DataFrame:
-        own = joint.selectExpr(
-            f"sum(if({pair}, _n * ln(_n), 0D)) AS s", f"sum(if({pair}, _n, 0)) AS w", "sum(_n) AS n"
-        )
 
-        def side(col: str) -> DataFrame:
-            marginal = joint.groupBy(quote(col)).agg(
-                F.expr("sum(_n) AS m"), F.expr(f"sum(if({pair}, _n, 0)) AS w")
-            )
-            return marginal.where(f"{quote(col)} IS NOT NULL").selectExpr("-sum(w * ln(m)) AS s", "0L AS w", "0L AS n")
+def contained(column: str, allowed: DataFrame, label: str) -> Metric:
+    """Share of rows whose value is null or in the first column of ``allowed``; each different value is looked up once."""
+    listed = allowed.select(F.col(f"`{allowed.columns[0]}`").cast("string").alias("_allowed")).where("_allowed IS NOT NULL").distinct()
 
-        parts = own.unionByName(side(a)).unionByName(side(b))
-        return parts.selectExpr("(sum(s) + sum(w) * ln(sum(n))) / sum(n) AS value")
+    def compute(freq: DataFrame) -> DataFrame:
+        found = freq.join(listed, F.col(f"`{column}`").cast("string") == F.col("_allowed"), "left")
+        return found.selectExpr(f"try_divide(sum(if({quote(column)} IS NULL OR _allowed IS NOT NULL, _n, 0)), sum(_n)) AS value")
 
-    return Metric("MutualInformation", "Multicolumn", (a, b), frame=compute)
+    return Metric(f"Compliance.{label}", "Column", (column,), frame=compute)
 
 
 def histogram(df: DataFrame, column: str) -> DataFrame:
@@ -277,6 +281,64 @@ def _rows(df: DataFrame, named: Sequence[tuple[int, Column | str]]) -> DataFrame
     return one.selectExpr(f"stack({len(named)}, {cells}) AS (id, value)")
 
 
+# Columns of one aggregation over grouping sets; Spark numbers the sets in 64 bits.
+MOST_GROUPED = 60
+
+
+def _passes(wanted: Sequence[tuple[int, Metric]]) -> list[list[tuple[int, Metric]]]:
+    """Metrics of one pass each, so that a pass groups by ``MOST_GROUPED`` columns at most, or by those of one metric."""
+    out: list[list[tuple[int, Metric]]] = []
+    columns: set[str] = set()
+    for i, m in wanted:
+        if not out or len(columns | set(m.columns)) > MOST_GROUPED:
+            out.append([])
+            columns = set()
+        out[-1].append((i, m))
+        columns |= set(m.columns)
+    return out
+
+
+def _frequency_rows(df: DataFrame, wanted: Sequence[tuple[int, Metric]], rows: str | None = None) -> DataFrame:
+    """All ``grouped`` metrics from one scan: the counts of every set of columns, then one aggregate over them.
+
+    ``rows`` names a column that tells how many rows a row of ``df`` stands for.
+    """
+    columns = list(dict.fromkeys(c for _, m in wanted for c in m.columns))
+    place = {c: i for i, c in enumerate(columns)}
+
+    def number(cols: Sequence[str]) -> int:
+        """As ``grouping_id`` has it: a bit for each column that is not in the set, the first one highest."""
+        return sum(1 << (len(columns) - 1 - i) for c, i in place.items() if c not in cols)
+
+    counts = {"_n": "count(1)" if rows is None else f"sum({rows})"}
+    cells: dict[str, str] = {}
+
+    def cell(count: str, cols: Sequence[str]) -> str:
+        name = f"{count}_{number(cols)}"
+        cells[name] = f"if(_set = {number(cols)}, {count}, NULL) AS {name}"
+        return name
+
+    sets: dict[int, tuple[str, ...]] = {}
+    named: list[tuple[int, Column | str]] = []
+    for i, m in wanted:
+        sets.setdefault(number(m.columns), m.columns)
+        own, w = cell("_n", m.columns), "_w" + "_".join(str(place[c]) for c in m.columns)
+
+        def side(found: re.Match) -> str:
+            column = m.columns[int(found[2])]  # noqa: B023
+            sets.setdefault(number([column]), (column,))
+            if found[1] == "w":
+                all_there = " AND ".join(f"{quote(c)} IS NOT NULL" for c in m.columns)  # noqa: B023
+                counts[w] = f"count_if({all_there})" if rows is None else f"sum(if({all_there}, {rows}, 0L))"
+            return cell("_n" if found[1] == "n" else w, [column])  # noqa: B023
+
+        text = re.sub(r"\b_(n|w)@(\d+)", side, m.grouped)
+        named.append((i, re.sub(r"\b_n\b", own, text)))
+    grouped = df.groupingSets([[F.col(quote(c)) for c in cols] for cols in sets.values()], *[F.col(quote(c)) for c in columns])
+    freq = grouped.agg(F.grouping_id().alias("_set"), *[F.expr(f"{value} AS {name}") for name, value in counts.items()])
+    return _rows(freq.selectExpr(*map(quote, columns), *cells.values()), named)
+
+
 def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     """Rows (id, value), ``id`` being the position in ``metrics``."""
     plain_unions(df.sparkSession)
@@ -284,30 +346,27 @@ def measure(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     scalars = [(i, m.scalar) for i, m in enumerate(metrics) if m.scalar is not None]
     if scalars:
         parts.append(_rows(df, scalars))
-    sets: dict[tuple[str, ...], list[int]] = {}
-    for i, m in enumerate(metrics):
-        if m.scalar is None:
-            sets.setdefault(m.columns, []).append(i)
-    for columns, ids in sets.items():
-        freq = frequencies(df, columns)
-        grouped = [(i, metrics[i].grouped) for i in ids if metrics[i].grouped is not None]
-        if grouped:
-            parts.append(_rows(freq, grouped))
-        parts += [
-            metrics[i].frame(freq).selectExpr(f"{i} AS id", "double(value) AS value")
-            for i in ids
-            if metrics[i].frame is not None
-        ]
+    grouped = [(i, m) for i, m in enumerate(metrics) if m.grouped is not None]
+    parts += [_frequency_rows(df, wanted) for wanted in _passes(grouped)]
+    parts += [
+        m.frame(frequencies(df, m.columns)).selectExpr(f"{i} AS id", "double(value) AS value")
+        for i, m in enumerate(metrics) if m.frame is not None
+    ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def labelled(values: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """Rows (id, value) as (entity, instance, name, value)."""
+    label = lambda texts: f"element_at(array({', '.join(map(text_literal, texts))}), id + 1)"
+    return values.selectExpr(
+        f"{label([m.entity for m in metrics])} AS entity",
+        f"{label([m.instance for m in metrics])} AS instance",
+        f"{label([m.name for m in metrics])} AS name",
+        "value",
+    )
+
+
 def analyze(df: DataFrame, metrics: Sequence[Metric | list[Metric]]) -> DataFrame:
     """Rows (entity, instance, name, value), one per metric."""
     flat = _flatten(metrics)
-    label = lambda values: f"element_at(array({', '.join(map(text_literal, values))}), id + 1)"
-    return measure(df, flat).selectExpr(
-        f"{label([m.entity for m in flat])} AS entity",
-        f"{label([m.instance for m in flat])} AS instance",
-        f"{label([m.name for m in flat])} AS name",
-        "value",
-    )
+    return labelled(measure(df, flat), flat)

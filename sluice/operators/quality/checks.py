@@ -166,8 +166,11 @@ class Check:
     def is_greater_than_or_equal_to(self, a: str, b: str, holds: Assertion = is_one) -> Check:
         return self._share(f"{a} >= {b}", f"{A.quote(a)} >= {A.quote(b)}", holds)
 
-    def is_contained_in(self, column: str, values: Sequence, holds: Assertion = is_one) -> Check:
+    def is_contained_in(self, column: str, values: Sequence | DataFrame, holds: Assertion = is_one) -> Check:
+        """Values or null; a frame (its first column) for more values than an expression should hold."""
         c = F.col(column)
+        if isinstance(values, DataFrame):
+            return self._add("Compliance", A.contained(column, values, f"{column} in {values.columns[0]}"), holds)
         label = f"{column} in {','.join(map(str, values))}"
         return self._share(label, c.isNull() | c.isin(list(values)), holds)
 
@@ -232,7 +235,7 @@ def verify(df: DataFrame, checks: Sequence[Check], timestamp: Column | None = No
     for _, k in listed:
         # Equal names do not make equal metrics: what is computed has to be the same.
         own = k.metric.scalar if isinstance(k.metric.scalar, str) else id(k.metric.scalar)
-        key = (k.metric.name, k.metric.columns, own, k.metric.grouped)
+        key = (k.metric.name, k.metric.columns, own, k.metric.grouped, k.metric.name.startswith("Compliance.") and id(k.metric.frame))
         if key not in position:
             position[key] = len(metrics)
             metrics.append(k.metric)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as A
 from sluice.operators.quality.profile import profile_columns, value_counts
-from sluice.session import plain_unions
+from sluice.operators.ranks import running
+from sluice.session import plain_unions, staged
 
 # Defaults published with the method (Schelter et al., VLDB 2018, and its open-source code).
 Z = 1.96
@@ -18,8 +19,9 @@ MIN_COMPLETENESS = 0.2
 MAX_UNIQUE_CATEGORICAL = 0.1
 MAX_UNIQUE_FRACTIONAL = 0.4
 COVERAGE = 0.9
-# A value range of more values is suggested with their number instead of the values themselves.
-MOST_LISTED = 10_000
+# Values that a suggestion writes out. It refers to a longer range as ``values(column, rule)``, whose rows
+# ``suggested_values`` gives; which rules apply does not depend on it.
+WRITTEN_OUT = 10_000
 
 RULES = (
     "CompleteIfComplete",
@@ -75,72 +77,90 @@ def _profile_rules() -> dict[str, str]:
 
 def _category_rules() -> dict[str, str]:
     low = _bound("covered", "rows")
+
+    def listed(rule: str, number: str, held: str, more: str, tail: str) -> tuple[str, str]:
+        """Constraint and code; a range that is not written out is named."""
+        constraint = f"format_string('\\'%s\\' has value range %s', column, coalesce({held}, concat('of ', {number}, ' values')))"
+        code = f"format_string('.is_contained_in(\"%s\", %s%s)%s', column, coalesce(concat('[', {held}, ']'), concat('values(\"', column, '\", \"{rule}\")')), {tail}, if({held} IS NULL, concat('  # ', {number}, ' values'), ''))"
+        return f"concat({constraint}, {more})", code
+
     return {
         "CategoricalRange": _rule(
             "CategoricalRange", f"once <= {MAX_UNIQUE_CATEGORICAL}",
-            "format_string('\\'%s\\' has value range %s', column, all_values)",
-            "format_string('.is_contained_in(\"%s\", [%s])', column, all_values)",
+            *listed("CategoricalRange", "all_number", "all_values", "''", "''"),
         ),
         "FractionalCategoricalRange": _rule(
             "FractionalCategoricalRange", f"once <= {MAX_UNIQUE_FRACTIONAL} AND covered < 1",
-            f"format_string('\\'%s\\' has value range %s for at least %s of the rows', column, top_values, {low})",
-            f"format_string('.is_contained_in(\"%s\", [%s], lambda x: x >= %s)', column, top_values, {low})",
+            *listed(
+                "FractionalCategoricalRange", "top_number", "top_values",
+                f"format_string(' for at least %s of the rows', {low})", f"format_string(', lambda x: x >= %s', {low})",
+            ),
         ),
     }
 
 
-# Values in order of frequency, quoted and joined; ``{}`` is the list of (n, value) structs.
-_LISTED = (
-    "array_join(transform(array_sort({}, (a, b) -> CASE WHEN a.n <> b.n THEN if(a.n > b.n, -1, 1) "
-    "WHEN a.value < b.value THEN -1 WHEN a.value > b.value THEN 1 ELSE 0 END), "
-    "s -> '\\'' || s.value || '\\''), ', ')"
-)
+# Values in order of frequency, quoted and joined; ``{}`` is the list of (rank, value) structs.
+_LISTED = "array_join(transform(array_sort({}), s -> '\\'' || s.value || '\\''), ', ')"
 
 
-def _categories(df: DataFrame, columns: Sequence[str], most: int) -> DataFrame:
-    """Per text column whose values mostly repeat: share of values seen once, value lists, coverage.
+def _ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The values of text columns that mostly repeat, by falling frequency: rank, count, and whether they are needed to cover the column.
 
-    Columns are chosen by exact figures of their value counts. Only the values of chosen
-    columns with at most ``most`` values are ranked and listed; of others the number of
-    values stands in the place of the list, and all of them count as covering the column.
-    Columns whose values are all numbers or all booleans are left out.
+    Columns whose values are all numbers or all booleans are left out. Value counts, ranks and shares are
+    exact for any number of values; no task ranks a whole column.
     """
-    counts = value_counts(df, columns)
+    counts = staged(value_counts(df, columns), "values")
     there = f"value <> {A.text_literal(A.NULL_BIN)}"
     kind = f"if({there}, {A.value_class('value')}, NULL)"
     columns_ = counts.selectExpr("column_name", "n", f"{there} AS there", f"{kind} AS kind").groupBy("column_name").agg(
-        F.expr("sum(n) AS rows"), F.expr("sum(if(there, n, 0)) AS filled"), F.expr("count_if(there) AS values"),
-        F.expr("count_if(there AND n = 1) / nullif(count_if(there), 0) AS once"),
+        F.expr("sum(n) AS rows"), F.expr("count_if(there AND n = 1) / nullif(count_if(there), 0) AS once"),
         F.expr("bool_or(kind = 'string') OR (bool_or(kind = 'boolean') AND bool_or(kind <> 'boolean')) AS is_text"),
     ).where(f"is_text AND once <= {max(MAX_UNIQUE_CATEGORICAL, MAX_UNIQUE_FRACTIONAL)}")
-    ranked = counts.where(there).join(columns_.where(F.col("values") <= most), "column_name").selectExpr(
-        "column_name", "value", "n", "rows", "once",
-        "coalesce(sum(n) OVER (PARTITION BY column_name ORDER BY n DESC, value "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
+    chosen = counts.where(there).join(columns_.select("column_name", "rows", "once"), "column_name")
+    ranked = running(chosen, [F.desc("n"), F.asc("value")], ["column_name"], "n")
+    return ranked.selectExpr("column_name AS column", "value", "n", "rows", "once", "rank", f"before < rows * {COVERAGE} AS top")
+
+
+def _categories(df: DataFrame, columns: Sequence[str], most: int) -> DataFrame:
+    """Per text column whose values mostly repeat: share of values seen once, coverage, and value lists of up to ``most`` values."""
+    pair = "named_struct('rank', rank, 'value', value)"
+    return _ranked_values(df, columns).groupBy("column").agg(
+        F.expr("max(once) AS once"), F.expr("max(rows) AS rows"), F.expr("sum(if(top, n, 0)) / max(rows) AS covered"),
+        F.expr("count(1) AS all_number"), F.expr("count_if(top) AS top_number"),
+        F.expr(f"collect_list(if(rank <= {most}, {pair}, NULL)) AS all_list"),
+        F.expr(f"collect_list(if(rank <= {most} AND top, {pair}, NULL)) AS top_list"),
+    ).selectExpr(
+        "*", f"if(all_number <= {most}, {_LISTED.format('all_list')}, NULL) AS all_values",
+        f"if(top_number <= {most}, {_LISTED.format('top_list')}, NULL) AS top_values",
     )
-    top = f"before < rows * {COVERAGE}"
-    pair = "named_struct('n', n, 'value', value)"
-    listed = ranked.groupBy(F.col("column_name").alias("column")).agg(
-        F.expr("max(once) AS once"),
-        F.expr(_LISTED.format(f"collect_list({pair})") + " AS all_values"),
-        F.expr(_LISTED.format(f"collect_list(if({top}, {pair}, NULL))") + " AS top_values"),
-        F.expr(f"sum(if({top}, n, 0)) / max(rows) AS covered"),
-        F.expr("max(rows) AS rows"),
+
+
+def suggested_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The value ranges that ``suggest`` suggests, as rows (column, rule, rank, value, n), however many there are."""
+    plain_unions(df.sparkSession)
+    text = [c for c, t in df.dtypes if t == "string" and (columns is None or c in columns)]
+    if not text:
+        return df.sparkSession.createDataFrame([], "column string, rule string, rank bigint, value string, n bigint")
+    ranked = _ranked_values(df, text)
+    covered = ranked.groupBy("column").agg(F.expr("sum(if(top, n, 0)) < max(rows) AS short")).withColumnRenamed("column", "_column")
+    rules = (
+        f"filter(array(if(once <= {MAX_UNIQUE_CATEGORICAL}, 'CategoricalRange', NULL), "
+        f"if(once <= {MAX_UNIQUE_FRACTIONAL} AND short AND top, 'FractionalCategoricalRange', NULL)), r -> r IS NOT NULL)"
     )
-    counted = columns_.where(F.col("values") > most).selectExpr(
-        "column_name AS column", "once", "format_string('%d values', values) AS all_values",
-        "format_string('%d values', values) AS top_values", "filled / rows AS covered", "rows",
+    return ranked.join(covered, F.col("column") == F.col("_column")).selectExpr(
+        "column", f"explode({rules}) AS rule", "rank", "value", "n"
     )
-    return listed.unionByName(counted)
 
 
 def suggest(
-    df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str] | None = None, most_listed: int = MOST_LISTED
+    df: DataFrame, rules: Sequence[str] = RULES, columns: Sequence[str] | None = None, most_listed: int = WRITTEN_OUT
 ) -> DataFrame:
     """Rows (column, rule, constraint, code) for every rule that applies.
 
     The profile is computed once for all rules that read it, the value counts once for
-    the other two.
+    the other two; these are written to the shared folder while the plan is built. A range of
+    more than ``most_listed`` values is not written out: its code calls ``values(column, rule)``,
+    for which the rows of ``suggested_values`` are to be given.
     """
     plain_unions(df.sparkSession)
     parts: list[DataFrame] = []

@@ -225,17 +225,27 @@ def effective_lookup(
     several covering intervals the latest start wins. ``years_of`` is a frame with the
     same years that is cheaper to read than ``df``.
     """
-    base = df if years_of is None else years_of
-    int_year = lambda d: d.withColumn("_year", text.to_int(F.col(year).cast("string")))
-    valid = F.when(F.col("_year").between(*CALENDAR), F.col("_year"))
-    years = int_year(base).agg(F.array_sort(F.collect_set(valid)).alias("years"))
+    years = years_in(df if years_of is None else years_of, year)
     periods = validity_periods(ref, ref_key, valid_from, valid_to, value, years)
-    joined = spread_join(int_year(df), periods, [(key, "_key"), ("_year", "_year")])
-    pf = text.to_int(F.col(period_from).cast("string"))
-    pt = text.to_int(F.col(period_to).cast("string"))
-    joined = joined.withColumns({"_pf": pf, "_pt": pt})
-    covering = F.filter("_periods", lambda p: (p["cf"] <= F.col("_pf")) & (p["ct"] >= F.col("_pt")))
-    return joined.withColumn(out, F.get(covering, F.lit(0))["v"]).drop("_year", "_periods", "_pf", "_pt")
+    joined = spread_join(df.withColumn("_year", _int(year)), periods, [(key, "_key"), ("_year", "_year")])
+    found = _covering(F.col("_periods"), period_from, period_to)
+    return joined.withColumn(out, found).drop("_year", "_periods")
+
+
+def _int(column: str) -> Column:
+    return text.to_int(F.col(column).cast("string"))
+
+
+def years_in(df: DataFrame, year: str) -> DataFrame:
+    """One row: the distinct calendar years of a column."""
+    return df.select(_int(year).alias("_year")).agg(
+        F.array_sort(F.collect_set(F.when(F.col("_year").between(*CALENDAR), F.col("_year")))).alias("years")
+    )
+
+
+def _covering(periods: Column, period_from: str, period_to: str) -> Column:
+    """The value of the first of ``periods`` that covers the row's periods."""
+    return F.get(F.filter(periods, lambda p: (p["cf"] <= _int(period_from)) & (p["ct"] >= _int(period_to))), F.lit(0))["v"]
 
 
 @dataclass
@@ -268,25 +278,36 @@ def derive_cascade(
 ) -> DataFrame:
     """Fill ``out``: the given value, else the first rule that yields one, else a message.
 
-    Rows outside ``applies`` pass unchanged. Every reference side is reduced to one
-    row per key first, so each input row comes out exactly once.
+    Rows outside ``applies`` pass unchanged. The reference sides of all rules with one key
+    column are unioned with the number of their rule and reduced to one row per key, so the
+    input is joined once per key column and each of its rows comes out exactly once. The
+    years of the data are taken once per year column.
     """
     applies = F.lit(True) if applies is None else F.coalesce(applies, F.lit(False))
-    found = []
-    res = df.withColumn("_applies", applies)
+    plain_unions(df.sparkSession)
+    by_key: dict[str, list[int]] = {}
     for i, rule in enumerate(rules):
-        name = f"_v{i}"
-        if rule.year is not None:
-            res = effective_lookup(
-                res, rule.ref, rule.key, rule.ref_key, rule.year, rule.period_from, rule.period_to,
-                rule.value, name, years_of=df,
-            )
-        else:
-            value = F.nullif(F.trim(rule.value), F.lit(""))
-            pick = F.max(value) if rule.order_by is None else F.max_by(value, F.col(rule.order_by))
-            side = rule.ref.where(value.isNotNull()).groupBy(rule.ref_key).agg(pick.alias(name))
-            res = spread_join(res, side, [(rule.key, rule.ref_key)])
-        found.append(F.when(F.coalesce(rule.when, F.lit(False)), F.nullif(F.trim(F.col(name)), F.lit(""))))
+        by_key.setdefault(rule.key, []).append(i)
+    years = {y: years_in(df, y) for y in {r.year for r in rules if r.year is not None}}
+    res = df.withColumn("_applies", applies)
+    values: dict[int, Column] = {}
+    for key, numbers in by_key.items():
+        sides, cells = None, []
+        for i in numbers:
+            rule = rules[i]
+            side = _rule_side(rule, years.get(rule.year)).withColumn("_rule", F.lit(i))
+            sides = side if sides is None else sides.unionByName(side, allowMissingColumns=True)
+            own = F.col("_rule") == i
+            if rule.year is None:
+                cells.append(F.max(F.when(own, F.col("_v"))).alias(f"_v{i}"))
+                values[i] = F.col(f"_v{i}")
+            else:
+                cells.append(F.map_from_entries(F.collect_list(F.when(own, F.struct("_year", "_periods")))).alias(f"_v{i}"))
+                values[i] = _covering(F.try_element_at(F.col(f"_v{i}"), _int(rule.year)), rule.period_from, rule.period_to)
+        res = spread_join(res, sides.groupBy("_key").agg(*cells), [(key, "_key")])
+    found = [
+        F.when(F.coalesce(rule.when, F.lit(False)), F.nullif(F.trim(values[i]), F.lit(""))) for i, rule in enumerate(rules)
+    ]
     given = F.nullif(F.trim(F.col(out)), F.lit(""))
     res = res.withColumn("_found", F.coalesce(given, *found))
     res = add_error(res, F.col("_applies") & F.col("_found").isNull(), message, errors)
@@ -294,6 +315,32 @@ def derive_cascade(
     return res.drop("_applies", "_found", *[f"_v{i}" for i in range(len(rules))])
 
 
+def _rule_side(rule: Rule, years: DataFrame | None) -> DataFrame:
+    """What a rule looks up: ``_key`` with ``_v``, or with ``_year`` and ``_periods``."""
+    if rule.year is not None:
+        return validity_periods(rule.ref, rule.ref_key, "valid_from", "valid_to", rule.value, years)
+    value = F.nullif(F.trim(rule.value), F.lit(""))
+    pick = F.max(value) if rule.order_by is None else F.max_by(value, F.col(rule.order_by))
+    return rule.ref.where(value.isNotNull()).groupBy(F.col(rule.ref_key).alias("_key")).agg(pick.alias("_v"))
+
+
+def route_columns(df: DataFrame, col: str, branches: Mapping[object, Mapping[str, Column]]) -> DataFrame:
+    """Branches that only set columns: the values of a branch where ``col`` has its value, from one scan.
+
+    A column that a branch does not set keeps its value there, or is null if it is new; so it is in rows that
+    belong to no branch.
+    """
+    names = dict.fromkeys(name for columns in branches.values() for name in columns)
+    out = {}
+    for name in names:
+        chosen = F.col(f"`{name}`") if name in df.columns else F.lit(None)
+        for value, columns in branches.items():
+            if name in columns:
+                chosen = F.when(F.col(f"`{col}`") == F.lit(value), columns[name]).otherwise(chosen)
+        out[name] = chosen
+    return df.withColumns(out)
+
+
 def route(
     df: DataFrame,
     col: str,
@@ -301,7 +348,8 @@ def route(
 ) -> DataFrame:
     """Rows with ``col`` = value go through that branch's function, all others (and nulls) pass.
 
-    For branches with different plans; where a condition column does, prefer ``when``.
+    For branches with different plans, each of which scans the input; branches that only set columns go through
+    ``route_columns``.
     """
     rest = ~F.col(col).isin(list(branches)) | F.col(col).isNull()
     plain_unions(df.sparkSession)

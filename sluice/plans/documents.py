@@ -12,6 +12,7 @@ from sluice.operators import infer as inf
 from sluice.operators import ml
 from sluice.operators.quality.checks import Check
 from sluice.plans.registry import Tables, plan
+from sluice.sinks.keyed import KeyedTable
 from sluice.streaming import incremental as inc
 
 # ---- JSON
@@ -238,6 +239,21 @@ def incremental_upsert(t: Tables):
     return t.spark.table(name)
 
 
+@plan("i02_keyed_upsert", """
+SELECT user_id, event_id, event_type FROM events WHERE event_type <> 'error'
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
+def keyed_upsert(t: Tables):
+    """As before, into a keyed table; the second delivery comes in three batches' worth of files."""
+    incoming, checkpoint = t.scratch("incoming"), t.scratch("stream")
+    kind = F.col("event_type")
+    df = t.events.select("user_id", "event_id", F.when(kind != "error", kind).alias("event_type"))
+    table = KeyedTable.create(t.spark, t.scratch("current"), df.limit(0), ["user_id"], "event_id", cells=8)
+    for part in (df.where("event_type = 'click'"), df.where("event_type IS NULL OR event_type <> 'click'")):
+        part.write.mode("append").parquet(incoming)
+        inc.merge_new(t.spark, incoming, df.schema, table, checkpoint, ["event_type"])
+    return table.read()
+
+
 @plan("i03_quality_log", """
 SELECT 'batch' AS "check", 'Warning' AS check_level, 'Size(*)' AS "constraint", 'Success' AS constraint_status, count(*)::DOUBLE AS value FROM events
 UNION ALL SELECT 'batch', 'Warning', 'Completeness(event_type)', 'Success', 1.0""")
@@ -294,15 +310,16 @@ def _vectors(t: Tables):
     return t.embeddings.withColumn("target", (F.col("label") % 2).cast("double"))
 
 
-LEARNED = "SELECT count(*) AS scored, true AS learned FROM embeddings"
+LEARNED = "SELECT vec_id, (label % 2)::DOUBLE AS target, true AS valid, true AS learned FROM embeddings"
 
 
 def _learned(t: Tables, scored):
-    """How many rows were scored, and whether the predictions are as good as the most frequent class at least."""
-    pairs = scored.join(_vectors(t).select("vec_id", F.col("target").alias("_truth")), "vec_id")
-    right = F.avg((F.col("prediction") == F.col("_truth")).cast("int"))
-    usual = F.greatest(F.avg("_truth"), 1 - F.avg("_truth"))
-    return pairs.agg(F.count(F.lit(1)).alias("scored"), (right >= usual).alias("learned"))
+    """Every scored row with its class, whether the prediction is a class, and whether all of them are as good as the most frequent class at least."""
+    pairs = scored.join(_vectors(t).select("vec_id", "target"), "vec_id")
+    right = F.avg((F.col("prediction") == F.col("target")).cast("int"))
+    usual = F.greatest(F.avg("target"), 1 - F.avg("target"))
+    learned = pairs.agg((right >= usual).alias("learned")).scalar()
+    return pairs.select("vec_id", "target", F.col("prediction").isin(0.0, 1.0).alias("valid"), learned.alias("learned"))
 
 
 @plan("m05_logistic_regression", LEARNED)
@@ -331,6 +348,24 @@ def hyper_parameter_search(t: Tables):
     return _learned(t, ml.score(_vectors(t), found.model, "embedding", ["vec_id"]))
 
 
+@plan("m07_trials")
+def trials(t: Tables):
+    """Each trial's score, and which is the best."""
+    data = ml.assemble(_vectors(t), "embedding")
+    found = ml.tune(
+        data, RandomForestClassifier(labelCol="target", seed=3), {"numTrees": ("integer", 3, 8)},
+        MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"), n=3, parallelism=2, seed=3, key="vec_id",
+    )
+    rows = [(i, float(score), score == max(found.scores)) for i, score in enumerate(found.scores)]
+    return t.spark.createDataFrame(rows, "trial int, accuracy double, best boolean")
+
+
+@plan("m08_scored_rows")
+def scored_rows(t: Tables):
+    model = ml.fit_logistic(_vectors(t), "embedding", "target", max_iter=10)
+    return ml.score(_vectors(t), model, "embedding", ["vec_id"])
+
+
 @plan("m08_batch_scoring", LEARNED)
 def batch_scoring(t: Tables):
     model = ml.fit_logistic(_vectors(t), "embedding", "target", max_iter=10)

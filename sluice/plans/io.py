@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sluice.operators import sql as q
 from sluice.operators.joins import inner
 from sluice.plans.registry import Tables, plan
 from sluice.sinks import tables as k
+from sluice.sinks.keyed import KeyedTable
 from sluice.sinks import upsert as u
 from sluice.sources import files as s
 from sluice.types import EmptyInput, Quarantined
@@ -84,6 +87,29 @@ def prefixes_in_one_scan(t: Tables):
     return df.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
 
 
+@plan("s03_discovered_folders", """
+SELECT 'flat' AS listing, CASE WHEN c_acctbal < 0 THEN 'debt2024' ELSE 'credit' END AS frame, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer GROUP BY 2
+UNION ALL SELECT 'nested', CASE WHEN c_mktsegment = 'BUILDING' THEN 'by_house' ELSE 'by_rest' END, count(*), round(sum(c_acctbal), 2) FROM customer GROUP BY 2
+UNION ALL SELECT 'nested', 'late', count(*), round(sum(s_acctbal), 2) FROM supplier""")
+def discovered_folders(t: Tables):
+    """No names are given; the folder ``late`` arrives after the first listing, and one below ``by`` has partitions."""
+    flat, tree = t.scratch("flat"), t.scratch("tree")
+    t.customer.where("c_acctbal < 0").write.parquet(f"{flat}/debt-2024")
+    t.customer.where("NOT c_acctbal < 0").write.parquet(f"{flat}/credit")
+    building = F.col("c_mktsegment") == "BUILDING"
+    t.customer.where(building).write.partitionBy("c_nationkey").parquet(f"{tree}/by/house")
+    t.customer.where(~building).write.parquet(f"{tree}/by/rest")
+    s.discover(t.spark, tree, nested=True)
+    t.supplier.withColumnRenamed("s_acctbal", "c_acctbal").write.parquet(f"{tree}/late")
+    out = []
+    for listing, frames in (("flat", s.discover(t.spark, flat, view="customers")), ("nested", s.discover(t.spark, tree, nested=True))):
+        out += [
+            df.agg(F.lit(listing).alias("listing"), F.lit(name).alias("frame"), F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+            for name, df in frames.items()
+        ]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @plan("s04_empty_guard", """
 SELECT 'orders' AS input, false AS stopped, count(*) AS n FROM orders
 UNION ALL SELECT 'negative orders' AS input, true AS stopped, count(*) AS n FROM orders WHERE o_totalprice < 0""")
@@ -224,6 +250,25 @@ def quarantine(t: Tables):
     )
 
 
+@plan("k06_write_audit_publish", """
+SELECT 'rejected' AS place, l_returnflag, count(*) AS n, sum(CASE WHEN l_tax = 0 THEN 1 ELSE 0 END)::BIGINT AS with_error FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT 'published', l_returnflag, count(*), 0 FROM lineitem WHERE l_tax <> 0 GROUP BY l_returnflag""")
+def write_audit_publish(t: Tables):
+    """All rows with some errors among them are exported; the good ones alone are published, over an older folder."""
+    target, rejects = t.scratch("published"), t.scratch("rejected")
+    df = t.lineitem.withColumn("system_error_message", F.when(F.col("l_tax") == 0, "l_tax is mandatory").otherwise(""))
+    k.write_audited(df.where("l_tax <> 0 AND l_linenumber = 1"), "system_error_message", "l_returnflag", target, rejects)
+    try:
+        k.write_audited(df, "system_error_message", "l_returnflag", target, rejects, "overwrite")
+    except Quarantined as err:
+        back = t.spark.read.schema(df.drop("l_returnflag").schema).csv(err.path, header=True, sep=";")
+    good = k.write_audited(df.where("l_tax <> 0"), "system_error_message", "l_returnflag", target, rejects, "overwrite")
+    rejected = back.groupBy(F.lit("rejected").alias("place"), "l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count("system_error_message").alias("with_error"))
+    return rejected.unionByName(
+        good.groupBy(F.lit("published").alias("place"), "l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("with_error"))
+    )
+
+
 @plan("k06_gate_without_errors", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def gate_without_errors(t: Tables):
     df = t.supplier.withColumn("system_error_message", F.lit(""))
@@ -251,6 +296,74 @@ def upsert(t: Tables):
     return u.upsert(base, _customer_changes(t), ["c_custkey"], "version")
 
 
+def _order_table(t: Tables) -> KeyedTable:
+    """Orders in a keyed table; then the last hundredth of the keys changes, and as many new keys arrive behind them."""
+    rows = t.orders.selectExpr("o_orderkey", "o_custkey", "o_orderstatus", "round(o_totalprice, 2) AS total", "1 AS version")
+    table = KeyedTable.create(t.spark, t.scratch("orders"), rows, ["o_orderkey"], "version", cells=16)
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    tail = rows.where(F.col("o_orderkey") > last - last // 100)
+    table.upsert(tail.withColumns({"o_orderstatus": F.lit("X"), "version": F.lit(2)}).unionByName(
+        tail.withColumns({"o_orderkey": F.col("o_orderkey") + last, "version": F.lit(2)})
+    ))
+    return table
+
+
+TAIL = "(SELECT max(o_orderkey) - max(o_orderkey) // 100 FROM orders)"
+CHANGED_ORDERS = f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey > {TAIL} THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+  round(o_totalprice, 2) AS total, CASE WHEN o_orderkey > {TAIL} THEN 2 ELSE 1 END AS version FROM orders
+UNION ALL SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders), o_custkey, o_orderstatus, round(o_totalprice, 2), 2 FROM orders WHERE o_orderkey > {TAIL}"""
+
+
+@plan("k07_keyed_upsert", CHANGED_ORDERS)
+def keyed_upsert(t: Tables):
+    return _order_table(t).read()
+
+
+@plan("k07_rewritten_files", f"""
+SELECT true AS few_rewritten, 0 AS rows_lost, count(*) AS n FROM ({CHANGED_ORDERS})""")
+def rewritten_files(t: Tables):
+    """A change of the last hundredth leaves at least three quarters of the files as they are."""
+    table = _order_table(t)
+    before, after = ({f["path"]: f["rows"] for f in table.manifest(v)["files"]} for v in (0, 1))
+    rows = table.read().agg(F.count(F.lit(1)).alias("n"))
+    kept = sum(p in after for p in before)
+    return rows.select(F.lit(kept >= 0.75 * len(before)).alias("few_rewritten"), (F.lit(sum(after.values())) - F.col("n")).cast("int").alias("rows_lost"), "n")
+
+
+@plan("k08_keyed_insert", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS total, 1 AS version, 0 AS files_gone FROM orders
+UNION ALL SELECT o_orderkey + 1 + (SELECT max(o_orderkey) FROM orders), o_custkey, 'new', round(o_totalprice, 2), 3, 0 FROM orders""")
+def keyed_insert(t: Tables):
+    """Every order arrives again, under its key and under a new one; files are only added."""
+    rows = t.orders.selectExpr("o_orderkey", "o_custkey", "o_orderstatus", "round(o_totalprice, 2) AS total", "1 AS version")
+    table = KeyedTable.create(t.spark, t.scratch("orders"), rows, ["o_orderkey"], "version", cells=16)
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    again = rows.withColumns({"o_orderstatus": F.lit("new"), "version": F.lit(3)})
+    table.insert(again.unionByName(again.withColumn("o_orderkey", F.col("o_orderkey") + last + 1)))
+    after = {f["path"] for f in table.manifest()["files"]}
+    gone = sum(f["path"] not in after for f in table.manifest(0)["files"])
+    return table.read().withColumn("files_gone", F.lit(gone))
+
+
+@plan("k09_version_by_number", "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS total, 1 AS version FROM orders")
+def version_by_number(t: Tables):
+    return _order_table(t).read(0)
+
+
+@plan("k09_version_difference", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, total, version, CASE WHEN o_orderkey > (SELECT max(o_orderkey) FROM orders) THEN 'insert' ELSE 'update' END AS change
+FROM ({CHANGED_ORDERS}) WHERE version = 2""")
+def version_difference(t: Tables):
+    return _order_table(t).changes(0, 1).withColumnRenamed("_change", "change")
+
+
+@plan("k09_all_versions", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, total, version, version - 1 AS since FROM ({CHANGED_ORDERS})
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2), 1, 0 FROM orders WHERE o_orderkey > {TAIL}""")
+def all_versions(t: Tables):
+    return _order_table(t).history().withColumnRenamed("_since", "since")
+
+
 NULL_KEYS = "SELECT nullif(c_nationkey, 3) AS nation, c_mktsegment AS segment, max(c_custkey) AS newest FROM customer GROUP BY ALL"
 
 

@@ -9,7 +9,9 @@ from sluice.operators.quality import analyzers as a
 from sluice.operators.quality import checks as x
 from sluice.operators.quality import profile as pr
 from sluice.operators.quality import suggest as g
+from sluice.operators.quality.states import MetricStore
 from sluice.plans.registry import Tables, plan
+from sluice.session import staged
 
 # Line items with gaps and some values as text, as SQL and as a frame.
 MIXED = """
@@ -104,12 +106,33 @@ def _is_near(value, exact, share: float):
 
 
 def _ranks_near(got, df, column: str, ranks: dict[str, float], off: float = 0.02):
-    """Rows (name, exact, is_near): whether each value lies between exact quantiles a little to either side."""
-    points = [p for q in ranks.values() for p in (max(0.0, q - off), q, min(1.0, q + off))]
-    exact = df.agg(F.percentile(column, F.array(*[F.lit(p) for p in points]))).scalar()
-    place = (F.array_position(F.array(*[F.lit(n) for n in ranks]), F.col("name")).cast("int") - 1) * 3
-    at = lambda i: F.get(exact, place + i)
-    return got.select("name", F.round(at(1), 4).alias("exact"), F.col("value").between(at(0), at(2)).alias("is_near"))
+    """Rows (name, n, is_near): whether the share of rows below and up to each value is near its rank, among ``n`` filled rows.
+
+    The values are few; every row is placed among them, and only the numbers of rows per place are added up.
+    """
+    listed = got.agg(F.array_sort(F.collect_list(F.struct("value", "name")))).scalar()
+    x, last = F.col(f"`{column}`"), len(ranks)
+    value = lambda i: F.get("listed", F.lit(i))["value"]
+
+    def place_of(before, low: int, high: int):
+        """How many of the values from ``low`` to ``high`` are not ahead of x, found by halves."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(before(value(middle)), place_of(before, low, middle)).otherwise(place_of(before, middle + 1, high))
+
+    below, upto = place_of(lambda v: x < v, 0, last), place_of(lambda v: x <= v, 0, last)
+    places = df.where(x.isNotNull()).select(x, listed.alias("listed")).select(below.alias("p"), upto.alias("q"))
+    placed = places.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.agg(F.collect_list(F.struct("p", "q", "n"))).scalar()
+    held = lambda side: F.aggregate(
+        F.filter("counts", lambda c: c[side] <= F.col("place")), F.lit(0).cast("long"), lambda total, c: total + c["n"])
+    rank = F.element_at(F.create_map(*[F.lit(v) for pair in ranks.items() for v in pair]), F.col("name"))
+    n = F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + c["n"])
+    near = (held("p") <= (rank + off) * n) & (held("q") >= (rank - off) * n)
+    known = got.withColumns({"listed": listed, "counts": counts})
+    known = known.withColumn("place", F.array_position(F.transform("listed", lambda v: v["name"]), F.col("name")) - 1)
+    return known.select("name", n.alias("n"), near.alias("is_near"))
 
 
 @plan("a04_approx_count_distinct", " UNION ALL ".join(
@@ -127,13 +150,18 @@ QUANTILES = (0.1, 0.5, 0.9)
 
 
 @plan("a06_approx_quantile", " UNION ALL ".join(
-    f"SELECT 'ApproxQuantile-{q}' AS name, round(quantile_cont(l_extendedprice, {q}), 4) AS exact, true AS is_near FROM {MIXED}" for q in QUANTILES))
+    f"SELECT 'ApproxQuantile-{q}' AS name, count(l_extendedprice) AS n, true AS is_near FROM {MIXED}" for q in QUANTILES))
 def approx_quantile(t: Tables):
     df = _mixed(t)
     got = a.analyze(df, [a.approx_quantile("l_extendedprice", q) for q in QUANTILES])
     return _ranks_near(got.select("name", "value"), df, "l_extendedprice", {f"ApproxQuantile-{q}": q for q in QUANTILES})
 
 
+@plan("a06_quantile_values")
+def quantile_values(t: Tables):
+    return a.analyze(_mixed(t), [a.approx_quantile("l_extendedprice", q) for q in QUANTILES])
+
+
 @plan("a08_data_type", " UNION ALL ".join(
     f"SELECT 'Column' AS entity, 'txt' AS instance, 'DataType.{k}' AS name, "
     f"round((SELECT avg((k = '{k}')::INT) FROM (SELECT {_class_sql('txt')} AS k FROM {MIXED})), 6) AS value"
@@ -155,6 +183,15 @@ def analysis_run(t: Tables):
     return a.analyze(_mixed(t), [metric() for *_, metric, _ in ANALYZERS.values()]).withColumn("value", F.round("value", 6))
 
 
+@plan("a22_states_of_batches", " UNION ALL ".join(_metric_sql(e, i, n, v) for e, i, n, _, v in ANALYZERS.values()))
+def states_of_batches(t: Tables):
+    """As before, from the states of four batches, none of which is read again; the last one is empty."""
+    store = MetricStore(t.spark, t.scratch("states"), [metric() for *_, metric, _ in ANALYZERS.values()])
+    for batch in range(4):
+        store.add(_mixed(t).where(F.col("l_orderkey") % 3 == batch), batch)
+    return store.read().withColumn("value", F.round("value", 6))
+
+
 # ---- checks
 
 IN_ROWS = "avg(coalesce(({})::INT, 0))"
@@ -345,19 +382,24 @@ def column_profile_full(t: Tables):
 
 
 @plan("p02_percentiles", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, 100 AS percentiles, true AS is_near FROM (SELECT count({c}) AS n FROM (SELECT *, l_quantity::INT::VARCHAR AS num FROM {MIXED})) WHERE n > 0"
+    f"SELECT '{c}' AS column_name, 100 AS percentiles, count({c}) AS n, true AS is_near FROM (SELECT *, l_quantity::INT::VARCHAR AS num FROM {MIXED})"
     for c in ("qty", "l_extendedprice", "num")))
 def percentiles(t: Tables):
     out, df = None, _profiled(t)
-    got = pr.percentile_table(df, ["qty", "l_extendedprice", "num"])
+    got = staged(pr.percentile_table(df, ["qty", "l_extendedprice", "num"]), "percentiles")
     for c in ("qty", "l_extendedprice", "num"):
         own = got.where(F.col("column_name") == c).select(F.col("value_float").cast("int").cast("string").alias("name"), F.col("count_col").alias("value"))
         near = _ranks_near(own, df.withColumn(c, F.col(c).cast("double")), c, {str(i): i / 100 for i in range(1, 101)})
-        one = near.agg(F.lit(c).alias("column_name"), F.count(F.lit(1)).cast("int").alias("percentiles"), F.bool_and("is_near").alias("is_near"))
+        one = near.agg(F.lit(c).alias("column_name"), F.count(F.lit(1)).cast("int").alias("percentiles"), F.max("n").alias("n"), F.bool_and("is_near").alias("is_near"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
+@plan("p02_percentile_rows")
+def percentile_rows(t: Tables):
+    return pr.percentile_table(_profiled(t), ["qty", "l_extendedprice", "num"])
+
+
 @plan("p03_histograms", f"""
 SELECT 'flag' AS column_name, 'category' AS metric_type, coalesce(flag, 'NullValue') AS value_str, NULL::DOUBLE AS value_float,
   count(*)::DOUBLE AS count_col, round(count(*) / (SELECT count(*) FROM lineitem), 8) AS ratio FROM {MIXED} GROUP BY flag
@@ -373,11 +415,11 @@ def histograms(t: Tables):
 
 
 @plan("p04_mergeable_sketches", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{q}' AS name, round(quantile_cont({c}, {q}), 4) AS exact, true AS is_near FROM lineitem"
+    f"SELECT '{c}' AS column_name, '{q}' AS name, count({c}) AS n, true AS is_near FROM lineitem"
     for c in ("l_quantity", "l_extendedprice") for q in (0.25, 0.5, 0.75)))
 def mergeable_sketches(t: Tables):
     sketches = pr.sketch(t.lineitem, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"])
-    got = pr.merge_sketches(sketches, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75])
+    got = staged(pr.merge_sketches(sketches, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75]), "quantiles")
     out = None
     for c in ("l_quantity", "l_extendedprice"):
         own = got.where(F.col("column_name") == c).select(F.col("quantile").cast("string").alias("name"), "value")
@@ -386,6 +428,12 @@ def mergeable_sketches(t: Tables):
     return out
 
 
+@plan("p04_sketch_rows")
+def sketch_rows(t: Tables):
+    sketches = pr.sketch(t.lineitem, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"])
+    return pr.merge_sketches(sketches, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75])
+
+
 G_SOURCE = """(SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, o_orderstatus AS status,
  CASE WHEN o_orderkey = 3 THEN 'odd' WHEN o_orderpriority = '1-URGENT' THEN 'rush' ELSE 'calm' END AS pace, year(o_orderdate)::VARCHAR AS y FROM orders)"""
 
@@ -416,7 +464,12 @@ COMPLETE_SQL = "SELECT c AS \"column\", 'CompleteIfComplete' AS rule, '''' || c
 RETAIN_SQL = f"""SELECT 'priority' AS "column", 'RetainCompleteness' AS rule, 'completeness of ''priority'' is at least ' || b AS "constraint",
  '.has_completeness("priority", lambda x: x >= ' || b || ')' AS code
 FROM (SELECT printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / n)) * 100) / 100) AS b FROM (SELECT count(priority) / count(*) AS p, count(*) AS n FROM {G_SOURCE}))"""
-TYPE_SQL = "SELECT 'y' AS \"column\", 'RetainType' AS rule, '''y'' has type Integral' AS \"constraint\", '.has_data_type(\"y\", \"integer\")' AS code FROM (SELECT count(*) FROM orders)"
+TYPE_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", 'RetainType' AS rule, '''{c}'' has type ' || kind AS \"constraint\", '.has_data_type(\"{c}\", \"' || code || '\")' AS code "
+    f"FROM (SELECT CASE WHEN bool_and(regexp_matches({c}, '^[-+]? ?[0-9]+$')) THEN 'Integral' WHEN bool_and(regexp_matches({c}, '^[-+]? ?([0-9]+|[0-9]+\\.[0-9]*|\\.[0-9]+)$')) THEN 'Fractional' "
+    f"WHEN bool_and({c} IN ('true', 'false')) THEN 'Boolean' END AS kind, CASE kind WHEN 'Integral' THEN 'integer' ELSE lower(kind) END AS code FROM {G_SOURCE}) WHERE kind IS NOT NULL"
+    for c in ("priority", "status", "pace", "y")
+)
 NONNEG_SQL = "SELECT c AS \"column\", 'NonNegativeNumbers' AS rule, '''' || c || ''' has no negative values' AS \"constraint\", '.is_non_negative(\"' || c || '\")' AS code FROM (" + SHARES + ") WHERE numeric = 1 AND low >= 0"
 RANGE_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", 'CategoricalRange' AS rule, '''{c}'' has value range ' || l AS \"constraint\", '.is_contained_in(\"{c}\", [' || l || '])' AS code FROM (SELECT {_list_sql(c)} AS l)"
@@ -448,6 +501,20 @@ for _id, (_rule, _sql) in SUGGESTIONS.items():
     plan(_id, _sql)(_suggest(_rule))
 
 
+def _values_sql(c: str) -> str:
+    counts = f"(SELECT {c} AS v, count(*) AS n, (SELECT count(*) FROM orders) AS t FROM {G_SOURCE} WHERE {c} IS NOT NULL GROUP BY 1)"
+    ranked = f"""(SELECT v, n, t, row_number() OVER (ORDER BY n DESC, v) AS rank, avg((n = 1)::INT) OVER () AS once,
+      coalesce(sum(n) OVER (ORDER BY n DESC, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 0.9 * t AS top FROM {counts})"""
+    named = f"(SELECT *, sum(CASE WHEN top THEN n ELSE 0 END) OVER () < t AS short FROM {ranked})"
+    return f"""SELECT '{c}' AS "column", rule, rank, v AS value, n FROM {named}, (VALUES ('CategoricalRange'), ('FractionalCategoricalRange')) r(rule)
+WHERE CASE WHEN rule = 'CategoricalRange' THEN once <= 0.1 ELSE once <= 0.4 AND short AND top END"""
+
+
+@plan("g08_suggested_values", " UNION ALL ".join(_values_sql(c) for c in ("priority", "status", "pace")))
+def suggested_values(t: Tables):
+    return g.suggested_values(_suggest_source(t))
+
+
 @plan("g07_suggestion_run", " UNION ALL ".join(f"SELECT * FROM ({s})" for _, s in SUGGESTIONS.values()))
 def suggestion_run(t: Tables):
     return g.suggest(_suggest_source(t))

@@ -193,6 +193,39 @@ def derive_owner(t: Tables):
     return _out(out, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "centre")
 
 
+# A window per user from each error, as many hours long as its value says.
+ALARMS = "(SELECT user_id, event_id AS alarm, ts AS since, ts + CAST(floor(value) AS INT) * INTERVAL 1 HOUR AS until FROM events WHERE event_type = 'error')"
+
+
+def _alarms(t: Tables):
+    return t.events.where("event_type = 'error'").selectExpr(
+        "user_id AS who", "event_id AS alarm", "ts AS since", "timestamp_micros(unix_micros(CAST(ts AS timestamp)) + bigint(floor(value)) * 3600000000) AS until"
+    ).withColumns({c: F.col(c).cast(t.events.schema["ts"].dataType) for c in ("since", "until")})
+
+
+@plan("j06_time_windows", f"""
+SELECT event_id, alarm FROM events e JOIN {ALARMS} a ON e.user_id = a.user_id AND e.ts BETWEEN a.since AND a.until""")
+def time_windows(t: Tables):
+    out = j.interval_join(t.events, _alarms(t), [("user_id", "who")], ("ts", "ts"), ("since", "until"))
+    return out.select("event_id", "alarm")
+
+
+@plan("j06_overlapping_intervals", f"""
+SELECT a.alarm, b.alarm AS other FROM {ALARMS} a JOIN {ALARMS} b ON a.user_id = b.user_id AND a.since <= b.until AND b.since <= a.until AND a.alarm < b.alarm""")
+def overlapping_intervals(t: Tables):
+    a = _alarms(t)
+    b = a.selectExpr("who", "alarm AS other", "since AS other_since", "until AS other_until")
+    return j.interval_join(a, b, ["who"], ("since", "until"), ("other_since", "other_until")).where("alarm < other").select("alarm", "other")
+
+
+@plan("v09_valid_at_time", f"""
+SELECT event_id, alarm FROM (SELECT e.event_id, a.alarm, row_number() OVER (PARTITION BY e.event_id ORDER BY a.since DESC NULLS LAST, a.alarm DESC) AS nr
+  FROM events e LEFT JOIN {ALARMS} a ON e.user_id = a.user_id AND e.ts BETWEEN a.since AND a.until) WHERE nr = 1""")
+def valid_at_time(t: Tables):
+    out = j.value_at(t.events, _alarms(t), "user_id", "ts", "who", "since", "until", "alarm", "alarm")
+    return out.select("event_id", "alarm")
+
+
 @plan("v12_route_by_category", """
 SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'F' THEN o_orderpriority END AS note FROM orders""")
 def route(t: Tables):
@@ -204,6 +237,15 @@ def route(t: Tables):
     return out.select("o_orderkey", "o_orderstatus", "note")
 
 
+@plan("v12_route_columns", """
+SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'F' THEN o_orderpriority END AS note,
+  CASE o_orderstatus WHEN 'F' THEN 0.0 ELSE round(o_totalprice, 2) END AS open FROM orders""")
+def route_columns(t: Tables):
+    df = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.round("o_totalprice", 2).alias("open"))
+    out = v.route_columns(df, "o_orderstatus", {"P": {"note": F.lit("pending")}, "F": {"note": F.col("o_orderpriority"), "open": F.lit(0.0)}})
+    return out.select("o_orderkey", "note", "open")
+
+
 # ---- joins and set operations
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import plain_unions, staged
@@ -115,6 +116,44 @@ def quarantine(df: DataFrame, error_col: str, file_col: str, path: str, sep: str
     raise Quarantined(path)
 
 
+def write_audited(
+    df: DataFrame, error_col: str, file_col: str, target: str, rejects: str, mode: str = "errorifexists", sep: str = ";"
+) -> DataFrame:
+    """Write, audit, publish: the rows go to a hidden folder once and are counted on the way.
+
+    Without errors the folder becomes ``target`` and is returned, read without the error column (whose
+    empty values stay in the files). If any row has an error, the written rows are exported as ``quarantine``
+    does, the folder is removed and Quarantined raised. The input is read once; a failure before the end
+    leaves at most a hidden folder that no reader sees. ``mode``: errorifexists, or overwrite, which moves
+    the old folder away first and removes it last.
+    """
+    spark = df.sparkSession
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    place = paths(target.rstrip("/"))
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"unsupported mode {mode}")
+    if store.exists(place) and mode != "overwrite":
+        raise FileExistsError(target)
+    mark = uuid.uuid4().hex
+    hidden = paths(place.getParent(), f"_audit-{place.getName()}-{mark}")
+    seen = Observation(f"audit-{mark}")
+    bad = F.coalesce(F.col(f"`{error_col}`"), F.lit("")) != ""
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("errors")).write.parquet(hidden.toString())
+    if seen.get["errors"]:
+        written = spark.read.schema(df.schema).parquet(hidden.toString())
+        write_csv(written.hint("rebalance", file_col), rejects, sep=sep, partition_by=[file_col])
+        store.delete(hidden, True)
+        raise Quarantined(rejects)
+    old = paths(place.getParent(), f"_old-{place.getName()}-{mark}")
+    replaced = store.exists(place) and store.rename(place, old)
+    if not store.rename(hidden, place):
+        raise OSError(f"{hidden} cannot be published as {target}")
+    if replaced:
+        store.delete(old, True)
+    return spark.read.schema(df.drop(error_col).schema).parquet(target)
+
+
 def point_table_at(spark: SparkSession, table: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)

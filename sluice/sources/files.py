@@ -42,6 +42,48 @@ def read_many(
     return {frame_name(k): read_files(spark, p, fmt, schema, **options) for k, p in paths.items()}
 
 
+def folders_below(spark: SparkSession, parent: str, nested: bool = False) -> dict[str, list[str]]:
+    """The folders right below ``parent`` by their cleaned name, as the file system lists them; hidden ones do not count.
+
+    With ``nested``, folders that hold further ones are opened instead, and names join the cleaned names on the way
+    with ``_``; folders of partition values (``column=value``) belong to the folder that they are in. Folders whose
+    names differ in other characters only share a name. A listing has one entry per folder and file.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[str]] = {}
+
+    def walk(path, names: list[str]) -> None:
+        inner = [
+            s.getPath() for s in store.listStatus(path)
+            if s.isDirectory() and not s.getPath().getName().startswith(("_", ".")) and "=" not in s.getPath().getName()
+        ]
+        for child in inner if nested or not names else []:
+            walk(child, [*names, frame_name(child.getName())])
+        if names and not (nested and inner):
+            found.setdefault("_".join(names), []).append(path.toString())
+
+    walk(place, [])
+    return dict(sorted(found.items()))
+
+
+def discover(
+    spark: SparkSession, parent: str, fmt: str = "parquet", schema=None, nested: bool = False, view: str | None = None, **options
+) -> dict[str, DataFrame]:
+    """One frame per folder below ``parent`` (see ``folders_below``): folders that arrive later appear by themselves.
+
+    ``view`` also registers each as the temporary view ``<view>_<name>``. Without any folder there are no frames.
+    """
+    frames = {
+        name: read_files(spark, paths, fmt, schema, **options)
+        for name, paths in folders_below(spark, parent, nested).items()
+    }
+    if view is not None:
+        for name, df in frames.items():
+            df.createOrReplaceTempView(f"{view}_{name}")
+    return frames
+
+
 def read_prefixes(spark: SparkSession, parent: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """All folders below ``parent`` as one scan, however deep their files lie.
 

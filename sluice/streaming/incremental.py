@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.clean import split_blank
 from sluice.operators.quality.checks import Check, verify
+from sluice.sinks.keyed import KeyedTable
 from sluice.sinks.tables import point_table_at
 from sluice.sinks.upsert import upsert
 
@@ -97,6 +98,22 @@ def upsert_new(
         spark.catalog.refreshTable(table)
 
 
+def merge_new(
+    spark: SparkSession, path: str, schema, table: KeyedTable, checkpoint: str,
+    not_blank: Sequence[str] = (), fmt: str = "parquet", **options,
+) -> None:
+    """Drop rows with blank required columns, merge the rest into a keyed table.
+
+    A batch rewrites only the files that may hold its keys. A repeated batch finds its number
+    in the table and stops.
+    """
+
+    def merge(df: DataFrame, batch: int) -> None:
+        KeyedTable(df.sparkSession, table.root).upsert(split_blank(df, not_blank).good, batch)
+
+    run_available(new_files(spark, path, schema, fmt, **options), checkpoint, merge)
+
+
 def log_quality(
     spark: SparkSession, path: str, schema, checks: Sequence[Check], log: str, checkpoint: str,
     fmt: str = "parquet", **options,

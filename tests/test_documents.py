@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -39,13 +41,51 @@ def test_flatten_lists_and_scopes(spark):
     assert out.count() == len(got)
 
 
-def test_conflicting_types_stay_text(spark):
+def test_conflicting_types_have_columns_of_their_own(spark):
     df = spark.createDataFrame([('{"a": 1}',), ('{"a": {"b": 2}}',), ('{"a": "t"}',)], "doc string")
-    assert set(rows(fl.flatten_json(df, "doc"))) == {("1",), ("t",), ('{"b":2}',)}
+    out = fl.flatten_json(df, "doc")
+    assert out.columns == ["root_a", "a_b"] and set(rows(out)) == {("1", None), ("t", None), (None, "2")}
+    assert "parse_json" not in out._jdf.queryExecution().executedPlan().toString().lower()
     want = [("/root/a", "bigint"), ("/root/a", "object"), ("/root/a", "string"), ("/root/a/b", "bigint")]
     assert rows(fl.json_paths(df, "doc")) == sorted(want, key=repr)
 
 
+def test_conflicts_within_conflicts_and_lists(spark):
+    """Against a plain walk over the parsed documents: objects, lists and scalars in one place, at several levels."""
+    docs = [
+        '{"k": 1, "x": [1, {"y": 2}, {"y": {"z": 3, "it\'s": [4, {"q": 5}]}}, [6, [7]]]}', '{"k": 2, "x": {"y": "t"}}', '{"k": 3, "x": null}',
+        '{"k": 4, "x": {"y": [{"z": "u"}, 8, {}]}}', '{"k": 5, "x": "s"}', '{"k": {"deep": 1}, "x": []}', '[{"k": 9}, 10]', "11",
+    ]
+    out = fl.flatten_json(spark.createDataFrame([(d,) for d in docs], "doc string"), "doc", naming="generic")
+
+    def text(v):
+        return {True: "true", False: "false"}.get(v, str(v)) if isinstance(v, bool) else str(v)
+
+    def walk(v, name, around):
+        """The rows of a value: of its lists' elements, and its own unless it is a list."""
+        scalars, lists = {}, []
+
+        def apart(v, name):
+            if isinstance(v, dict):
+                for k, inner in v.items():
+                    apart(inner, k)
+            elif isinstance(v, list):
+                lists.append((name, v))
+            elif v is not None:
+                scalars[name] = text(v)
+
+        apart(v, name)
+        own = {**around, **scalars}
+        for list_name, items in lists:
+            for item in items:
+                yield from walk(item, list_name, own)
+        yield own
+
+    want = {tuple(sorted(r.items())) for d in docs for r in walk(json.loads(d), "root", {}) if r}
+    got = {tuple(sorted((k, v) for k, v in r.asDict().items() if v is not None)) for r in out.collect()}
+    assert got == want
+
+
 def test_paths_through_lists(spark):
     docs = ['{"l": [{"x": [[1, {"y": null}]]}, 2]}', "{}", "no", None, '[{"z": true}]']
     df = spark.createDataFrame([(d,) for d in docs], "doc string")

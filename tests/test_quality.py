@@ -2,13 +2,15 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import CRATES
+from conftest import CRATES, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluice.operators.quality import analyzers as a
 from sluice.operators.quality import checks as x
 from sluice.operators.quality import profile as pr
 from sluice.operators.quality import suggest as g
+from sluice.operators.ranks import running
 
 
 def figures():
@@ -152,6 +154,58 @@ def test_long_value_ranges_are_counted(spark):
     assert "100 values" in got["many"] and "'w0', 'w1', 'w2'" in got["few"]
 
 
+def brute_ranges(values, coverage=0.9):
+    """The values by rank, and how many of them cover the column."""
+    counts = Counter(v for v in values if v is not None)
+    ranked = sorted(counts, key=lambda v: (-counts[v], v))
+    before, top = 0, 0
+    for v in ranked:
+        if before >= coverage * len(values):
+            break
+        top, before = top + 1, before + counts[v]
+    return ranked, counts, top
+
+
+@pytest.mark.parametrize("wide", [12_000, 200_000])
+def test_ranges_of_any_width(spark, wide):
+    """Frequencies that fall, many ties, nulls: the same rules and values as for narrow columns."""
+    df = spark.range(wide * 3).selectExpr(
+        f"concat('v', if(id < {wide} * 2, id % {wide}, pow(id % 997, 2) % {wide})) AS w", "if(id % 50 = 0, NULL, concat('n', id % 7)) AS narrow", "id"
+    )
+    values = {c: [r[0] for r in df.select(c).collect()] for c in ("w", "narrow")}
+    found = {(r["column"], r["rule"]): r["code"] for r in g.suggest(df, ["CategoricalRange", "FractionalCategoricalRange"]).collect()}
+    ranges = {}
+    for r in g.suggested_values(df).collect():
+        ranges.setdefault((r["column"], r["rule"]), {})[r["rank"]] = (r["value"], r["n"])
+    for c, column in values.items():
+        ranked, counts, top = brute_ranges(column)
+        whole, part = ((c, rule) for rule in ("CategoricalRange", "FractionalCategoricalRange"))
+        assert ranges[whole] == {i + 1: (v, counts[v]) for i, v in enumerate(ranked)}
+        assert ranges[part] == {i + 1: (v, counts[v]) for i, v in enumerate(ranked[:top])}
+        assert (whole in found) and (part in found)
+    assert f"# {wide} values" in found["w", "CategoricalRange"] and "'n0'" in found["narrow", "CategoricalRange"]
+    listed = g.suggested_values(df)
+    check = x.Check("error", "wide")
+    for (c, rule), code in found.items():
+        eval("check" + code, {"check": check, "values": lambda c, rule: listed.where(f"column = '{c}' AND rule = '{rule}'").select("value")})
+    failing = x.Check("error", "too few").is_contained_in("w", listed.where("rank <= 10 AND column = 'w'").select("value"), lambda x: x >= 0.5)
+    assert [r["constraint_status"] for r in x.verify(df, [check]).collect()] == ["Success"] * 4
+    assert [r["constraint_status"] for r in x.verify(df, [failing]).collect()] == ["Failure"]
+
+
+def test_running_ranks(spark):
+    """Against a plain window, with groups of very different sizes, null keys, ties and negative values."""
+    df = spark.range(5000).selectExpr("if(id < 4000, 'a', if(id < 4900, NULL, string(id % 3))) AS k", "id % 13 AS o", "id", "id % 7 - 3 AS v")
+    got = running(df, [F.desc("o"), "id"], ["k"], "v")
+    order = Window.partitionBy("k").orderBy(F.desc("o"), "id")
+    want = df.withColumn("rank", F.row_number().over(order)).withColumn(
+        "before", F.coalesce(F.sum("v").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    assert rows(got) == rows(want)
+    everything = running(df, ["o", "id"]).collect()
+    assert sorted(r["rank"] for r in everything) == list(range(1, 5001)) and all(r["before"] == r["rank"] - 1 for r in everything)
+    assert running(df.limit(0), ["id"]).count() == 0
+
+
 def test_suggested_code_runs_and_holds(spark):
     """Each suggested check is run on the data it was made from."""
     df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").selectExpr(
