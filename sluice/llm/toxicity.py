@@ -33,11 +33,17 @@ WINDOW = 128
 # Bytes of the dictionaries: ordinary text, toxic text at first, toxic text when trained on its own windows.
 ORDINARY, TOXIC, PURE = 1 << 18, 1 << 14, 1 << 13
 ROUNDS = 2
-QUANTILE = 0.995
+# Bytes of the pieces that dictionaries are put together from: words with their surroundings, or about a word each.
+PIECE, PURE_PIECE = 24, 12
+QUANTILE = 0.99
+# Share of windows that a document may have in common with those before it in the sample.
+COPIED = 0.25
 # Quantiles of ordinary windows that set the thresholds.
 MARKS = (0.95, 0.99, 0.999)
-# The bound of the training sample: documents per label and use (dictionaries, calibration), and windows per document.
+# The bound of the training sample: documents per label, and windows per document.
 SAMPLE, SAMPLE_WINDOWS = 2048, 64
+# Parts that the sample is cut into for calibration.
+FOLDS = 4
 SETTINGS = zstandard.ZstdCompressionParameters.from_level(
     9, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
 )
@@ -66,10 +72,10 @@ def windows(text: str) -> list[bytes]:
     return out
 
 
-def dictionary(samples: list[bytes], size: int) -> bytes:
+def dictionary(samples: list[bytes], size: int, piece: int = PIECE) -> bytes:
     """The text of a dictionary trained on samples; of too few samples, what there is of them."""
     try:
-        trained = zstandard.train_dictionary(size, samples, k=24, d=6).as_bytes()
+        trained = zstandard.train_dictionary(size, samples, k=piece, d=6).as_bytes()
     except zstandard.ZstdError:
         return b" ".join(samples)[:size]
     # The tables before the text hold statistics of these samples, which would weigh more than the words.
@@ -141,32 +147,29 @@ def _regression(found: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tup
 
 
 def _distinct(docs: list[list[bytes]]) -> list[list[bytes]]:
-    """Each window where it comes first, so that copies of a document do not outweigh words that many hold."""
+    """The windows of each document, without those of near copies.
+
+    Passages that several documents share would outweigh the words that many of them hold: a window counts
+    where it comes first, and a document that has more than ``COPIED`` of its windows from others not at all.
+    """
     seen: set[bytes] = set()
     out = []
     for doc in docs:
         mine = [w for w in dict.fromkeys(doc) if w not in seen]
-        seen.update(mine)
-        if mine:
+        if len(mine) >= (1 - COPIED) * len(doc):
             out.append(mine)
+        seen.update(mine)
     return out
 
 
-def fit(sample: list[tuple[list[bytes], int, int]], counts: dict[tuple[int, int], int]) -> ToxicityModel:
-    """A model from ``(windows, toxic, use)``; use 0 trains the dictionaries, use 1 calibrates.
-
-    ``counts`` are the numbers of labelled documents by toxic and use, for the true share of toxic ones.
-    """
-    labelled = sum(counts.values())
-    share = sum(n for (toxic, _), n in counts.items() if toxic) / max(1, labelled)
-    part = {k: [w for w, *key in sample if tuple(key) == k] for k in ((0, 0), (1, 0), (0, 1), (1, 1))}
-    if not all(part.values()):
-        return ToxicityModel(share)
-    toxic = list(chain.from_iterable(_distinct(part[1, 0])))
+def _dictionaries(plain_docs: list[list[bytes]], toxic_docs: list[list[bytes]], share: float) -> ToxicityModel:
+    """Dictionaries and thresholds, without a calibration."""
+    toxic = list(chain.from_iterable(_distinct(toxic_docs)))
     # Half of the ordinary documents train, the others tell how far ordinary windows go.
-    plain, fresh = (list(chain.from_iterable(_distinct(part[0, 0][i::2]))) for i in (0, 1))
+    plain, fresh = (list(chain.from_iterable(_distinct(plain_docs[i::2]))) for i in (0, 1))
     known = set(plain)
-    fresh = [w for w in fresh if w not in known] or plain
+    fresh = [w for w in fresh if w not in known] or plain or [b""]
+    toxic = toxic or [b""]
     ordinary = dictionary(plain, ORDINARY)
     base = compressor(ordinary)
     plain_fresh, plain_toxic = lengths(base, fresh), lengths(base, toxic)
@@ -177,14 +180,29 @@ def fit(sample: list[tuple[list[bytes], int, int]], counts: dict[tuple[int, int]
         pure = [w for w, s in zip(toxic, plain_toxic - lengths(both, toxic)) if s > bar]
         if not pure:
             break
-        text = dictionary(pure, PURE)
+        text = dictionary(pure, PURE, PURE_PIECE)
     saved = plain_fresh - lengths(compressor(text + ordinary), fresh)
-    model = ToxicityModel(share, ordinary, text, np.quantile(saved, MARKS))
-    held = part[0, 1] + part[1, 1]
-    found = features(_saved(model)(list(chain.from_iterable(held))), np.array([len(w) for w in held]), model.marks)
-    label = np.repeat([0.0, 1.0], [len(part[0, 1]), len(part[1, 1])])
-    weight = np.repeat([counts[t, 1] / len(part[t, 1]) for t in (0, 1)], [len(part[t, 1]) for t in (0, 1)])
-    return ToxicityModel(share, ordinary, text, model.marks, *_regression(found, label, weight / weight.mean()))
+    return ToxicityModel(share, ordinary, text, np.quantile(saved, MARKS))
+
+
+def fit(sample: list[tuple[list[bytes], int]], counts: dict[int, int]) -> ToxicityModel:
+    """A model from ``(windows, toxic)``; ``counts`` are the numbers of labelled documents, for the true share of toxic ones."""
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    docs = [[w for w, toxic in sample if toxic == t] for t in (0, 1)]
+    if min(map(len, docs)) < 2:
+        return ToxicityModel(share)
+    rows, label = [], []
+    folds = min(FOLDS, *map(len, docs))
+    for fold in range(folds):
+        held, taught = ([[w for i, w in enumerate(d) if (i % folds == fold) == own] for d in docs] for own in (True, False))
+        part = _dictionaries(*taught, share)
+        parts = held[0] + held[1]
+        rows.append(features(_saved(part)(list(chain.from_iterable(parts))), np.array([len(w) for w in parts]), part.marks))
+        label += [0.0] * len(held[0]) + [1.0] * len(held[1])
+    label = np.array(label)
+    weight = np.where(label == 1, counts[1] / len(docs[1]), counts[0] / len(docs[0]))
+    whole = _dictionaries(*docs, share)
+    return ToxicityModel(share, whole.ordinary, whole.toxic, whole.marks, *_regression(np.concatenate(rows), label, weight / weight.mean()))
 
 
 def _held_out(doc_id: Column) -> Column:
@@ -194,7 +212,7 @@ def _held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic") -> ToxicityModel:
     """Learn from labelled documents whose ``crc32(doc_id as text) mod 5`` is not 0.
 
-    At most ``SAMPLE`` documents per label and use, by a hash of the id, and ``SAMPLE_WINDOWS`` windows of
+    At most ``SAMPLE`` documents per label, by a hash of the id, and ``SAMPLE_WINDOWS`` windows of
     each, spread over its whole text, reach the driver. Labels other than 0 and 1 and ids without a label,
     or with both, teach nothing; of an id with several texts the least in order is taken; where a label has no documents, every score is the share of toxic labels.
     """
@@ -205,17 +223,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ).groupBy("id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
     known = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).where("id IS NOT NULL")
     # Which documents are in the sample is settled before texts are read.
-    order = F.xxhash64(F.col("id").cast("string"), F.lit("toxicity"))
-    use = (F.pmod(order, F.lit(3)) == 0).cast("int")
-    listed = known.select("id").distinct().join(judged, "id").withColumn("use", use).withColumn("order", F.hash(order))
-    counts = {(r["toxic"], r["use"]): r["count"] for r in listed.groupBy("toxic", "use").count().collect()}
-    bound = {k: -(2**31) + min(2**32 - 1, int(2**32 * 1.2 * SAMPLE / n)) for k, n in counts.items()}
-    chosen = None
-    for (t, u), most in bound.items():
-        one = (F.col("toxic") == t) & (F.col("use") == u) & (F.col("order") <= most)
-        chosen = one if chosen is None else chosen | one
-    if chosen is None:
-        return ToxicityModel(0.0)
+    order = F.hash(F.xxhash64(F.col("id").cast("string"), F.lit("toxicity")))
+    listed = known.select("id").distinct().join(judged, "id").withColumn("order", order)
+    counts = {r["toxic"]: r["count"] for r in listed.groupBy("toxic").count().collect()}
+    chosen = F.lit(False)
+    for label, n in counts.items():
+        bound = -(2**31) + min(2**32 - 1, int(2**32 * 1.2 * SAMPLE / n))
+        chosen = chosen | ((F.col("toxic") == label) & (F.col("order") <= bound))
 
     @F.pandas_udf("array<binary>")
     def spread_windows(texts: pd.Series) -> pd.Series:
@@ -226,16 +240,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             out.append([parts[i] for i in at])
         return pd.Series(out, dtype=object)
 
-    # Some 1.2 * SAMPLE ids per label and use, whatever the number of documents.
+    # Some 1.2 * SAMPLE ids per label, whatever the number of documents.
     picked = known.join(F.broadcast(listed.where(chosen)), "id").withColumn("windows", spread_windows("text"))
-    rows = picked.groupBy(F.col("id").cast("string").alias("id"), "order", "toxic", "use").agg(F.min("windows").alias("windows")).collect()
-    taken: dict[tuple[int, int], int] = {}
-    sample = []
+    rows = picked.groupBy(F.col("id").cast("string").alias("id"), "order", "toxic").agg(F.min("windows").alias("windows")).collect()
+    taken, sample = {0: 0, 1: 0}, []
     for r in sorted(rows, key=lambda r: (r["order"], r["id"])):
-        key = (r["toxic"], r["use"])
-        taken[key] = taken.get(key, 0) + 1
-        if taken[key] <= SAMPLE:
-            sample.append(([bytes(w) for w in r["windows"]], *key))
+        taken[r["toxic"]] += 1
+        if taken[r["toxic"]] <= SAMPLE:
+            sample.append(([bytes(w) for w in r["windows"]], r["toxic"]))
     return fit(sample, counts)
 
 
