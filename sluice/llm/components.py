@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from sluice.session import durable, plain_unions
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# From so many edges on, smallest neighbours are written down before they are joined. The join has two plain
+# inputs then, and adaptive execution deals the edges of a node that has very many to several tasks.
+MANY_EDGES = 1 << 20
+
+
+def _lowest(edges: DataFrame, count: int) -> DataFrame:
+    """``(a, m)``: the smallest neighbour of each node."""
+    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    return durable(low) if count >= MANY_EDGES else low
+
+
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
+    low = _lowest(both, count).select("a", F.least("m", "a").alias("m"))
     return both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, count: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are tied to its smallest neighbour."""
-    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    low = _lowest(edges, count)
     tied = edges.join(low, "a").where(F.col("b") > F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(low.select("a", F.col("m").alias("b"))).distinct()
 
@@ -39,4 +50,4 @@ def components(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == mark or now[0] == 0:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        mark, e = now, durable(_small_star(_large_star(e)))
+        mark, e = now, durable(_small_star(_large_star(e, now[0]), now[0]))

@@ -117,17 +117,17 @@ def _compare(cosine: float):
 
 def _pivots(distinct: DataFrame) -> dict[tuple, np.ndarray]:
     """At most about ``PIVOTS`` vectors with the smallest hashes, per label in proportion to its vectors."""
-    counts = distinct.groupBy("grp", "width").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL).collect()
-    total = sum(r["n"] for r in counts)
+    large = distinct.groupBy("grp", "width").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL)
+    total = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not total:
         return {}
     share = min(1.0 / CELL, PIVOTS / total)
     limit = F.lit(-(2.0**63)) + F.lit(share) * F.lit(2.0**64)
-    drawn = distinct.where(F.xxhash64("vector") <= limit).select("grp", "width", "vector").collect()
-    large, out = {(r["grp"], r["width"]) for r in counts}, {}
-    for r in drawn:
-        if (r["grp"], r["width"]) in large:
-            out.setdefault((r["grp"], r["width"]), []).append(r["vector"])
+    # Labels without cells of their own are left out before anything is drawn.
+    drawn = distinct.join(large.select("grp", "width"), ["grp", "width"], "left_semi").where(F.xxhash64("vector") <= limit)
+    out: dict[tuple, list] = {}
+    for r in drawn.select("grp", "width", "vector").collect():
+        out.setdefault((r["grp"], r["width"]), []).append(r["vector"])
     return {k: _units(np.array(sorted(v), np.float64)) for k, v in out.items() if len(v) > 1}
 
 

@@ -237,9 +237,10 @@ def test_toxicity_without_labels(spark):
 
 
 def test_few_labels_make_a_model():
-    sample = [([b"plain words"], 0, 0), ([b"nasty words"], 1, 0), ([b"other words"], 0, 1), ([b"nasty things"], 1, 1)]
-    model = fit(sample, {(0, 0): 1, (1, 0): 1, (0, 1): 1, (1, 1): 1})
+    sample = [([b"plain words"], 0), ([b"nasty words"], 1), ([b"other words"], 0), ([b"nasty things"], 1)]
+    model = fit(sample, {0: 2, 1: 2})
     assert model.weights is not None and np.isfinite(model.weights).all()
+    assert fit(sample[:3], {0: 2, 1: 1}).weights is None
 
 
 def test_windows_hold_all_words():
