@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -28,7 +29,9 @@ from sluice.session import discard, plain_unions, scratch_path, small_batches
 MIN_DOCS = 30
 TOP_TERMS = 50
 # Bytes of the first level's prefixes; each level doubles them.
-FIRST_LEVEL = 4
+FIRST_LEVEL = 8
+# Bytes of texts that are counted together; a longer text is counted on its own.
+TOGETHER = 1 << 22
 # The bitmap has at most so many bits, and so many for each surviving prefix as far as that allows.
 MOST_BITS, BITS_EACH = 1 << 26, 16
 # Bits of one row of Spark's bitmap functions.
@@ -36,7 +39,7 @@ BITMAP_ROW = 32768
 # A task of the pair sums compares two blocks of so many sources over so many terms.
 SOURCES, TERMS = 64, 2048
 
-LEVEL = "lang string, source string, term binary, whole boolean, mark long, docs long, n long"
+LEVEL = "lang string, source string, term binary, docs long, n long"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -81,6 +84,10 @@ def prefix_marks(keys: np.ndarray, langs: np.ndarray) -> np.ndarray:
     return out
 
 
+def lang_hashes(langs: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(v.encode()) for v in langs], np.uint64)
+
+
 def _same(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of numbers: one place of each different row, and the number of each row among them."""
     number = np.zeros(len(keys), np.int64)
@@ -91,8 +98,16 @@ def _same(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, number
 
 
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    columns = [pa.concat_arrays([b.column(i) for b in batches]) for i in range(batches[0].num_columns)]
+    return pa.RecordBatch.from_arrays(columns, batches[0].schema.names)
+
+
 def _level(width: int, last: int, bits: np.ndarray | None):
-    """Counts of one batch of ``(lang, source, text)`` for prefixes of ``width`` bytes that extend survivors of ``last`` bytes."""
+    """Counts over ``(lang, source, text)`` for prefixes of ``width`` bytes that extend survivors of ``last`` bytes.
+
+    Complete terms are counted by source, prefixes of longer ones with a null source.
+    """
 
     def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(2)
@@ -101,13 +116,12 @@ def _level(width: int, last: int, bits: np.ndarray | None):
         data = np.frombuffer(held, np.uint8)[borders[0] : borders[-1]] if held is not None else np.zeros(0, np.uint8)
         starts, sizes, doc = terms_in(data, borders - borders[0])
         langs, sources = (batch.column(i).dictionary_encode() for i in (0, 1))
-        lang_hash = np.array([xxhash.xxh3_64_intdigest(v.encode()) for v in langs.dictionary.to_pylist()], np.uint64)
         lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (langs, sources))
         if last:
             # Shorter terms were complete at the last level.
             long = sizes >= last
             starts, sizes, doc = starts[long], sizes[long], doc[long]
-            before = prefix_marks(prefixes(data, starts, np.minimum(sizes, last), last), lang_hash[lang[doc]])
+            before = prefix_marks(prefixes(data, starts, np.minimum(sizes, last), last), lang_hashes(langs.dictionary.to_pylist())[lang[doc]])
             before &= np.uint64(len(bits) * 8 - 1)
             alive = bits[before >> np.uint64(3)] >> (before & np.uint64(7)).astype(np.uint8) & 1 == 1
             starts, sizes, doc = starts[alive], sizes[alive], doc[alive]
@@ -126,27 +140,41 @@ def _level(width: int, last: int, bits: np.ndarray | None):
         lang, source = group // (len(sources.dictionary) + 1), group % (len(sources.dictionary) + 1) - 1
         keys = keys[place[number]]
         lengths = np.minimum(sizes[place[number]], width)
-        flat = keys.view(np.uint8).reshape(len(keys), -1)
+        flat = keys.view(np.uint8).reshape(len(keys), 8 * keys.shape[1])
         term = flat[np.arange(flat.shape[1]) < lengths[:, None]]
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         return pa.RecordBatch.from_arrays([
             langs.dictionary.take(pa.array(lang)),
             sources.dictionary.take(pa.array(source, mask=source < 0)),
             pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets), pa.py_buffer(term.tobytes())]),
-            pa.array(whole[number]), pa.array(prefix_marks(keys, lang_hash[lang]).view(np.int64)),
             pa.array(docs.astype(np.int64)), pa.array(n),
-        ], ["lang", "source", "term", "whole", "mark", "docs", "n"])
+        ], ["lang", "source", "term", "docs", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
         for batch in batches:
-            yield counted(batch)
+            waiting.append(batch)
+            size += batch.nbytes
+            if size >= TOGETHER:
+                yield counted(_joined(waiting))
+                waiting, size = [], 0
+        if waiting:
+            yield counted(_joined(waiting))
         give_back()
 
     return run
 
 
-def _bitmap(marks: DataFrame, count: int) -> np.ndarray:
-    """The bitmap of ``mark``: ``MOST_BITS`` at most, so at most 8 MB reach the driver."""
+def _bitmap(survivors: DataFrame, count: int, width: int) -> np.ndarray:
+    """The bitmap of ``(lang, term)``, prefixes of ``width`` bytes: ``MOST_BITS`` at most, so at most 8 MB reach the driver."""
+
+    @F.pandas_udf("long")
+    def mark(lang: pd.Series, term: pd.Series) -> pd.Series:
+        codes, langs = pd.factorize(lang)
+        keys = np.frombuffer(b"".join(bytes(t).ljust(-(-width // 8) * 8, b"\0") for t in term), np.uint64).reshape(len(term), -1)
+        return pd.Series(prefix_marks(keys, lang_hashes(list(langs))[codes]).view(np.int64))
+
+    marks = survivors.select(mark("lang", "term").alias("mark"))
     size = BITMAP_ROW
     while size < min(MOST_BITS, BITS_EACH * count):
         size *= 2
@@ -173,18 +201,19 @@ def kept_terms(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     while True:
         path, kept = scratch_path(spark, f"prefixes-{width}"), scratch_path(spark, f"terms-{width}")
         counts = texts.select("lang", "source", "text").mapInArrow(_level(width, last, bits), LEVEL)
-        counts.groupBy("lang", "source", "term", "whole", "mark").agg(
+        counts.groupBy("lang", "source", "term").agg(
             F.sum("docs").alias("docs"), F.sum("n").alias("n")
         ).write.parquet(path)
         level = spark.read.parquet(path)
-        whole, open_ = level.where("whole"), level.where(~F.col("whole")).where(F.col("docs") >= min_docs)
+        # Only complete terms have a source.
+        whole, open_ = level.where("source IS NOT NULL"), level.where((F.col("docs") >= min_docs) & F.col("source").isNull())
         enough = whole.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
         whole.join(enough.select("lang", "term"), ["lang", "term"]).select(
             "lang", "source", F.col("term").cast("string").alias("term"), "n"
         ).write.parquet(kept)
         found.append(kept)
         survivors = open_.count()
-        bits = _bitmap(open_, survivors) if survivors else None
+        bits = _bitmap(open_, survivors, width) if survivors else None
         discard(spark, path)
         if not survivors:
             return spark.read.parquet(*found)
