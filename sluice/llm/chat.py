@@ -8,8 +8,9 @@ end. Each turn is then rendered as its piece of the repaired sequence.
 
 Costs of a stretch of turns are a small matrix (state before, state after), and matrices of
 consecutive stretches combine by (min, +) products. So a conversation may lie in any number
-of partitions: only the matrices of conversations cut by a partition border, at most two
-per partition, reach the driver, which picks the states at the borders.
+of parts, which are runs of ``PART`` turns of the sorted table: only the matrices of a part's
+first and last conversation reach the driver, which picks the states at the borders, and no
+task holds more than one part.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ FINAL = (ASSISTANT,)
 MERGE, INSERT, RELABEL = 1, 2, 3
 BIG = 1 << 40
 
+# Turns of a part: no conversation is repaired beyond it in one go. Rows that are handed on together.
+PART, BATCH = 1 << 16, 4096
+
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
@@ -141,26 +145,43 @@ def _runs(keys: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
 
 
-def _whole(batches: Iterator[pa.RecordBatch], columns: list[str]) -> pa.Table | None:
-    got = [b.select(columns) for b in batches if b.num_rows]
-    return pa.Table.from_batches(got) if got else None
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, bool, bool]]:
+    """Runs of equal parts and conversations, batch by batch; whether a part begins there, and whether a conversation does."""
+    last = None
+    for batch in batches:
+        keys = list(zip(batch.column("part").to_pylist(), batch.column("conv").to_pylist()))
+        for a, b in _runs(keys):
+            new_part = last is None or last[0] != keys[a][0]
+            yield batch, a, b, new_part, new_part or last[1] != keys[a][1]
+            last = keys[a]
+
+
+NAMES = (*ROLES.values(), None)
 
 
 def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first and the last conversation of a partition with their turns and cost matrices."""
-    table = _whole(batches, ["part", "conv", "role"])
-    if table is None:
-        return
-    keys, roles = table.column("conv").to_pylist(), table.column("role").to_pylist()
-    runs = _runs(keys)
-    kept = runs[:1] + runs[-1:] * (len(runs) > 1)
-    yield pa.record_batch({
-        "part": pa.array([table.column("part")[0].as_py()] * len(kept), pa.int32()),
-        "conv": table.column("conv").combine_chunks().take(pa.array([a for a, _ in kept])),
-        "turns": pa.array([b - a for a, b in kept], pa.int64()),
-        "only": pa.array([len(runs) == 1] * len(kept), pa.bool_()),
-        "costs": pa.array([stretch_costs([known_role(r) for r in roles[a:b]]).ravel().tolist() for a, b in kept], pa.list_(pa.int64())),
-    })
+    """The first and the last conversation of each part with their turns and cost matrices."""
+    kept: list[list] = []
+
+    def ready() -> pa.RecordBatch:
+        ends = kept[:1] + kept[-1:] * (len(kept) > 1)
+        return pa.record_batch({
+            "part": pa.array([p for p, _, _ in ends], pa.int64()),
+            "conv": pa.concat_arrays([c for _, c, _ in ends]),
+            "turns": pa.array([len(r) for *_, r in ends], pa.int64()),
+            "costs": pa.array([stretch_costs([NAMES[r] for r in roles]).ravel().tolist() for *_, roles in ends], pa.list_(pa.int64())),
+        })
+
+    for batch, a, b, new_part, new_conv in _stretches(batches):
+        if new_part and kept:
+            yield ready()
+            kept = []
+        if new_conv:
+            # Between the first and the last conversation nothing is kept.
+            kept = [*kept[:1], [batch.column("part")[a].as_py(), batch.column("conv").slice(a, 1), bytearray()]]
+        kept[-1][2].extend(NAMES.index(known_role(r)) for r in batch.column("role").slice(a, b - a).to_pylist())
+    if kept:
+        yield ready()
 
 
 @dataclass(frozen=True)
@@ -172,21 +193,24 @@ class Place:
     end: int | None = None
     first: bool = True
     last: bool = True
+    conv: object = None
 
 
 def _join_stretches(rows: list) -> dict[tuple[int, bool], Place]:
     """The place of each stretch of a cut conversation, by partition and whether it is the partition's first."""
     stretches: list[list[tuple[int, bool, int, np.ndarray]]] = []
-    last_conv, seen = object(), set()
+    last_conv, seen, convs = object(), set(), {}
     for r in sorted(rows, key=lambda r: r["part"]):
         is_first = r["part"] not in seen
         seen.add(r["part"])
         item = (r["part"], is_first, r["turns"], np.array(r["costs"]).reshape(4, 4))
+        # ``conv`` tells a partition's last conversation from those before it.
         if is_first and stretches and r["conv"] == last_conv:
             stretches[-1].append(item)
         else:
             stretches.append([item])
         last_conv = r["conv"]
+        convs[r["part"], is_first] = r["conv"]
     out = {}
     for chain in stretches:
         if len(chain) < 2:
@@ -205,58 +229,72 @@ def _join_stretches(rows: list) -> dict[tuple[int, bool], Place]:
         before = 0
         for i, (part, is_first, turns, _) in enumerate(chain):
             last = i == len(chain) - 1
-            out[part, is_first] = Place(before, ends[i], None if last else ends[i + 1], i == 0, last)
+            out[part, is_first] = Place(before, ends[i], None if last else ends[i + 1], i == 0, last, convs[part, is_first])
             before += turns
     return out
 
 
+class _Stretch:
+    """The turns of one conversation that lie in one part."""
+
+    def __init__(self, conv, place: Place):
+        self.conv, self.place = conv, place
+        self.turns, self.roles, self.texts = [], [], []
+
+    def rendered(self) -> list[tuple]:
+        state, rank, rows = self.place.start, self.place.before, []
+
+        def begin(role: int) -> str:
+            return (CLOSE + "\n") * (state != START) + OPEN + ROLES[role] + "\n"
+
+        _, taken = repair([known_role(r) for r in self.roles], self.place.start, self.place.end)
+        for move, turn, text in zip(taken, self.turns, self.texts):
+            if move.empty is not None:
+                rows.append((self.conv, 2 * rank, None, ROLES[move.empty], "insert", begin(move.empty)))
+                state = move.empty
+            lead = "\n" if move.action.endswith("merge") else begin(move.after)
+            rows.append((self.conv, 2 * rank + 1, turn, ROLES[move.after], move.action, lead + _clean(text)))
+            state, rank = move.after, rank + 1
+        if self.place.last:
+            for i, empty in enumerate(closing(state)[1]):
+                rows.append((self.conv, 2 * rank + i, None, ROLES[empty], "insert", CLOSE + "\n" + OPEN + ROLES[empty] + "\n"))
+            *rest, piece = rows[-1]
+            rows[-1] = (*rest, piece + CLOSE + "\n")
+        return rows
+
+
 def _render(places: dict[tuple[int, bool], Place]):
+    """Renders the turns batch by batch; what stays in memory is one conversation of one part."""
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _whole(batches, ["part", "conv", "turn", "role", "text"])
-        if table is None:
-            return
-        part = table.column("part")[0].as_py()
-        conv, turn = table.column("conv").combine_chunks(), table.column("turn").combine_chunks()
-        roles, texts = table.column("role").to_pylist(), table.column("text").to_pylist()
-        at, position, turns, names, actions, rendered = [], [], [], [], [], []
-
-        def add(i: int, place: int, turn_at: int | None, role: int, action: str, piece: str) -> None:
-            at.append(i)
-            position.append(place)
-            turns.append(turn_at)
-            names.append(ROLES[role])
-            actions.append(action)
-            rendered.append(piece)
-
-        def begin(role: int, before: bool) -> str:
-            return (CLOSE + "\n") * before + OPEN + ROLES[role] + "\n"
-
-        for number, (a, b) in enumerate(_runs(conv.to_pylist())):
-            border = number == 0 or b == table.num_rows
-            place = places.get((part, number == 0), Place()) if border else Place()
-            _, taken = repair([known_role(r) for r in roles[a:b]], place.start, place.end)
-            state = place.start
-            for i, move in enumerate(taken):
-                rank = place.before + i
-                if move.empty is not None:
-                    add(a + i, 2 * rank, None, move.empty, "insert", begin(move.empty, state != START))
-                    state = move.empty
-                merged = move.action.endswith("merge")
-                lead = "\n" if merged else begin(move.after, state != START)
-                add(a + i, 2 * rank + 1, a + i, move.after, move.action, lead + _clean(texts[a + i]))
-                state = move.after
-            if place.last:
-                for i, empty in enumerate(closing(state)[1]):
-                    add(b - 1, 2 * (place.before + b - a) + i, None, empty, "insert", begin(empty, True))
-                rendered[-1] += CLOSE + "\n"
-        yield pa.record_batch({
-            "conv": conv.take(pa.array(at)),
-            "position": pa.array(position, pa.int64()),
-            "turn": turn.take(pa.array(turns, pa.int64())),
-            "role": pa.array(names, pa.string()),
-            "action": pa.array(actions, pa.string()),
-            "rendered": pa.array(rendered, pa.string()),
-        })
+        rows: list[tuple] = []
+        stretch, kinds = None, None
+
+        def ready() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["conv", "position", "turn", "role", "action", "rendered"]
+            )
+            rows.clear()
+            return out
+
+        for batch, a, b, new_part, new_conv in _stretches(batches):
+            if kinds is None:
+                conv_kind, turn_kind = (batch.schema.field(n).type for n in ("conv", "turn"))
+                kinds = (conv_kind, pa.int64(), turn_kind, pa.string(), pa.string(), pa.string())
+            if new_conv:
+                if stretch is not None:
+                    rows += stretch.rendered()
+                if len(rows) >= BATCH:
+                    yield ready()
+                part, conv = batch.column("part")[a].as_py(), batch.column("conv")[a].as_py()
+                place = places.get((part, new_part), Place())
+                # Of a part's later conversations only the last one may go on in the next part.
+                stretch = _Stretch(conv, place if new_part or place.conv == conv else Place())
+            for held, column in ((stretch.turns, "turn"), (stretch.roles, "role"), (stretch.texts, "text")):
+                held += batch.column(column).slice(a, b - a).to_pylist()
+        if stretch is not None:
+            rows += stretch.rendered()
+            yield ready()
 
     return pieces
 
@@ -283,12 +321,14 @@ def format_chats(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
         F.col(text_col).cast("string").alias("text"),
     )
-    # The last key lets a partition border fall between equal rows.
+    # The last key lets a partition border fall between equal rows. Within a partition, parts follow the place of a row.
     keys = ["conv", "turn", "role", "text", "tie"]
     dealt = named.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    dealt = durable(dealt.withColumn("part", F.spark_partition_id()).drop("tie"))
+    place = F.monotonically_increasing_id()
+    inside = F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / PART).cast("long")
+    dealt = durable(dealt.withColumn("part", F.shiftleft(F.shiftright(place, 33), 33) + inside).drop("tie"))
     cut = dealt.select("part", "conv", "role").mapInArrow(
-        _borders, f"part int, conv {kinds[conv_col]}, turns long, only boolean, costs array<long>"
+        _borders, f"part long, conv {kinds[conv_col]}, turns long, costs array<long>"
     ).collect()
     pieces = dealt.mapInArrow(
         _render(_join_stretches(cut)),

@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import pytest
 
@@ -112,3 +113,30 @@ def test_conversation_cut_by_partitions(spark):
         assert sum(price[r[4]] for r in big) == cost
         assert sum(r[2] is not None for r in big) == 370
     assert [r[:2] + r[5:] for r in results[0] if r[0] != 1000] == [r[:2] + r[5:] for r in results[2] if r[0] != 1000]
+
+
+@pytest.mark.parametrize("part", [1, 3, 16])
+def test_parts_within_a_partition_change_nothing(spark, monkeypatch, part):
+    rng = random.Random(part)
+    turns = []
+    for conv in [*range(30), None]:
+        for i in range(rng.choice([1, 2, 5, 40, 120])):
+            turns.append((conv, i, rng.choice(["user", "assistant", "user", "assistant", "system", "bot", None]), f"t{conv}-{i}"))
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    price = {"keep": 0, "insert": INSERT, "merge": MERGE, "relabel": RELABEL, "relabel+merge": RELABEL + MERGE}
+
+    def outcome():
+        got = format_chats(df).collect()
+        costs, count = {}, {}
+        for r in got:
+            costs[r.conv_id] = costs.get(r.conv_id, 0) + price[r.action]
+            count[r.conv_id] = count.get(r.conv_id, 0) + (r.turn is not None)
+        texts = rendered(got)
+        assert all(t.count(OPEN) == t.count(CLOSE) and t.endswith(CLOSE + "\n") for t in texts.values())
+        assert len({(r.conv_id, r.position) for r in got}) == len(got)
+        return costs, count
+
+    whole = outcome()
+    monkeypatch.setattr(chat, "PART", part)
+    assert outcome() == whole
+    assert whole[0] == {c: repair([chat.known_role(r) for k, _, r, _ in turns if k == c])[0] for c in whole[0]}
