@@ -108,10 +108,9 @@ def marked_blocks(sid: int, shard: int, line: int, blocks: int, seats: int, seed
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     x ^= x >> np.uint64(31)
-    marks, ends = np.zeros(blocks + 1, np.int64), np.zeros(blocks + 1, np.int64)
+    marks = np.zeros(blocks + 1, np.int64)
     marks[np.lexsort((np.arange(blocks), x))[:seats]] = 1
-    for j in range(1, blocks + 1):
-        ends[j] = j * line // blocks
+    ends = np.arange(blocks + 1) * line // blocks
     return marks, np.concatenate([[0], np.cumsum(marks[:-1] * np.diff(ends))])
 
 

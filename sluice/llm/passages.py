@@ -124,9 +124,9 @@ def passages_of(steps: Steps, texts: DataFrame, scan: DataFrame, groups: DataFra
     listed = scan.where(F.size("anchors") > 0).select("id", "mark", "anchors").join(drops.select("id", "mark", "lines"), ["id", "mark"], "left")
     anchors = steps.keep("anchors", listed.mapInArrow(_anchors_outside, f"id {kind}, mark long, at int, gram long"))
     # Repeated rows name an anchor twice, which costs some windows that then find no other place.
-    shared = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    shared = steps.keep("shared", anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
     where = steps.keep("where", anchors.join(shared, "gram").groupBy("id", "mark").agg(F.collect_set("at").alias("anchors")))
-    steps.drop("anchors")
+    steps.drop("anchors", "shared")
     near = where.join(drops.select("id", "mark", "drops"), ["id", "mark"], "left")
     held = texts.join(near, ["id", "mark"]).select("id", "mark", "text", "anchors", "drops")
     kinds = (*((c, pa.int32()) for c in ("at", "line", "start", "end")), ("high", pa.int64()), ("low", pa.int64()))
