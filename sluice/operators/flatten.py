@@ -160,15 +160,17 @@ def json_paths(df: DataFrame, col: str) -> DataFrame:
     level = df.select(F.lit(ROOT).alias("path"), F.try_parse_json(F.col(col)).alias("v")).where("v IS NOT NULL")
     found = None
     while True:
+        # Only objects and lists go on to the next level; of the scalars the distinct paths are all that is kept.
+        level = durable(level)
+        if level.isEmpty():
+            empty = spark.createDataFrame([], "path string, type string")
+            return (empty if found is None else found).distinct()
         inside = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
         named = F.when(F.col("key").isNotNull(), F.concat_ws("/", "path", "key")).otherwise(F.col("path"))
-        children = inside.select(named.alias("path"), F.col("key").isNotNull().alias("own"), F.col("value").alias("v"))
-        children = durable(children.withColumn("type", kind))
+        children = inside.select(named.alias("path"), F.col("key").isNotNull().alias("own"), F.col("value").alias("v")).withColumn("type", kind)
         here = children.where("own").select("path", "type").distinct()
         found = here if found is None else found.union(here)
         level = children.where("type IN ('object', 'array')").select("path", "v")
-        if level.isEmpty():
-            return found.distinct()
 
 
 def _as(kind: str, v: Column) -> Column:

@@ -10,7 +10,9 @@ from sluice.operators import flatten as fl
 from sluice.operators import geo
 from sluice.operators import infer as inf
 from sluice.operators import ml
+from sluice.operators.quality import analyzers as a
 from sluice.operators.quality.checks import Check
+from sluice.operators.quality.states import MetricStore
 from sluice.plans.registry import Tables, plan
 from sluice.sinks.keyed import KeyedTable
 from sluice.streaming import incremental as inc
@@ -266,6 +268,23 @@ def quality_log(t: Tables):
     return t.spark.read.parquet(log).select("check", "check_level", "constraint", "constraint_status", "value")
 
 
+@plan("i03_metrics_of_all_batches", """
+SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, count(*)::DOUBLE AS value FROM events
+UNION ALL SELECT 'Column', 'value', 'Mean', round(avg(value), 6) FROM events
+UNION ALL SELECT 'Column', 'value', 'StandardDeviation', round(stddev_pop(value), 6) FROM events
+UNION ALL SELECT 'Column', 'user_id', 'CountDistinct', count(DISTINCT user_id)::DOUBLE FROM events
+UNION ALL SELECT 'Column', 'event_type', 'Uniqueness', (SELECT count(*) FILTER (WHERE n = 1) FROM (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1)) / count(*)::DOUBLE FROM events""")
+def metrics_of_all_batches(t: Tables):
+    """Events arrive in three deliveries; each is measured once, and none is read again."""
+    incoming, checkpoint = t.scratch("incoming"), t.scratch("stream")
+    metrics = [a.size(), a.mean("value"), a.standard_deviation("value"), a.count_distinct("user_id"), a.uniqueness("event_type")]
+    store = MetricStore(t.spark, t.scratch("states"), metrics)
+    for part in range(3):
+        t.events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(incoming)
+        inc.measure_new(t.spark, incoming, t.events.schema, store, checkpoint)
+    return store.read().withColumn("value", F.round("value", 6))
+
+
 # ---- ML data jobs
 
 

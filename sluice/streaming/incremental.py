@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.clean import split_blank
 from sluice.operators.quality.checks import Check, verify
+from sluice.operators.quality.states import MetricStore
 from sluice.sinks.keyed import KeyedTable
 from sluice.sinks.tables import point_table_at
 from sluice.sinks.upsert import upsert
@@ -124,3 +125,8 @@ def log_quality(
         _append_batch(verify(df, checks, F.current_timestamp()), batch, log)
 
     run_available(new_files(spark, path, schema, fmt, **options), checkpoint, run)
+
+
+def measure_new(spark: SparkSession, path: str, schema, store: MetricStore, checkpoint: str, fmt: str = "parquet", **options) -> None:
+    """Keep the metric states of every batch of new files; ``store.read()`` gives the metrics of all of them."""
+    run_available(new_files(spark, path, schema, fmt, **options), checkpoint, store.add)
