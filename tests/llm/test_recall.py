@@ -37,7 +37,7 @@ def test_lines_and_passages_of_a_whole_table(spark):
     for r in rows:
         reported[r.doc_id, r.paragraph].add((r.first_id, r.first_paragraph))
     linked = sum(any(reported[p] & reported[q] for p in places[a] for q in places[b]) for a, b in similar)
-    assert len(similar) > 100 and linked >= 0.995 * len(similar)
+    assert len(similar) >= 40 and linked >= 0.995 * len(similar)
     assert sum(p in reported for p in alike) >= 0.995 * len(alike)
 
     # Passages: in what is left no run of 50 words stands twice, but for one that overlaps itself.
