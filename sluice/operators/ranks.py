@@ -42,3 +42,26 @@ def running(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = ()
     return here.join(ahead, same).select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col("rank") + F.col("_rows")).alias("rank"), (F.col("before") + F.col("_sum")).alias("before")
     )
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles of all filled rows (column_name, share, value), interpolated between the two rows they lie between.
+
+    The rows are first counted by value, so that only different values are laid out in order. A column without
+    filled rows gives no rows. NaN comes last.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
+    filled = df.select(F.explode(pairs).alias("pair")).select("pair.*").where(F.col("value").isNotNull())
+    counts = filled.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = running(counts, ["value"], ["column_name"], "n")
+    ends = placed.groupBy("column_name").agg((F.max(F.col("before") + F.col("n")) - 1).alias("last"))
+    place = F.col("share") * F.col("last")
+    low, high = F.floor(place), F.ceil(place)
+    held = lambda i: (F.col("before") <= i) & (i < F.col("before") + F.col("n"))
+    wanted = placed.join(F.broadcast(ends), "column_name").withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+    found = wanted.where(held(low) | held(high)).groupBy("column_name", "share").agg(
+        F.max(F.when(held(low), F.col("value"))).alias("low"), F.max(F.when(held(high), F.col("value"))).alias("high"),
+        F.max(place - low).alias("part"),
+    )
+    between = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    return found.select("column_name", "share", F.when(F.col("part") == 0, F.col("low")).otherwise(between).alias("value"))

@@ -10,6 +10,7 @@ from sluice.operators.quality import checks as x
 from sluice.operators.quality import profile as pr
 from sluice.operators.quality import suggest as g
 from sluice.operators.quality.states import MetricStore
+from sluice.operators.ranks import quantiles
 from sluice.plans.registry import Tables, plan
 from sluice.session import staged
 
@@ -415,7 +416,7 @@ def histograms(t: Tables):
 
 
 @plan("p04_mergeable_sketches", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{q}' AS name, count({c}) AS n, true AS is_near FROM lineitem"
+    f"SELECT '{c}' AS column_name, '{q}' AS name, count({c}) AS n, round(quantile_cont({c}, {q}), 4) AS exact, true AS is_near FROM lineitem"
     for c in ("l_quantity", "l_extendedprice") for q in (0.25, 0.5, 0.75)))
 def mergeable_sketches(t: Tables):
     sketches = pr.sketch(t.lineitem, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"])
@@ -425,7 +426,9 @@ def mergeable_sketches(t: Tables):
         own = got.where(F.col("column_name") == c).select(F.col("quantile").cast("string").alias("name"), "value")
         near = _ranks_near(own, t.lineitem, c, {str(q): q for q in (0.25, 0.5, 0.75)}).withColumn("column_name", F.lit(c))
         out = near if out is None else out.unionByName(near)
-    return out
+    exact = quantiles(t.lineitem, ["l_quantity", "l_extendedprice"], [0.25, 0.5, 0.75]).select(
+        "column_name", F.col("share").cast("string").alias("name"), F.round("value", 4).alias("exact"))
+    return out.join(F.broadcast(exact), ["column_name", "name"], "left").select("column_name", "name", "n", "exact", "is_near")
 
 
 @plan("p04_sketch_rows")

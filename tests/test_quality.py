@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import CRATES, rows
 from pyspark.sql import Window
@@ -10,7 +11,8 @@ from sluice.operators.quality import analyzers as a
 from sluice.operators.quality import checks as x
 from sluice.operators.quality import profile as pr
 from sluice.operators.quality import suggest as g
-from sluice.operators.ranks import running
+from sluice.operators.ranks import quantiles, running
+from sluice.plans import PLANS, SQL, Tables
 
 
 def figures():
@@ -206,6 +208,35 @@ def test_running_ranks(spark):
     assert running(df.limit(0), ["id"]).count() == 0
 
 
+def test_exact_quantiles(spark):
+    """Against the sorted values: heavy ties, gaps, negative values, a column without values."""
+    values = [None if i % 11 == 0 else (7.25 if i % 3 == 0 else -i * i / 8) for i in range(3000)]
+    df = spark.createDataFrame([(v, i % 5, None) for i, v in enumerate(values)], "a double, `b.c` int, d double").repartition(7)
+    shares = [0, 0.1, 0.25, 0.5, 0.9, 1]
+    got = {(r["column_name"], r["share"]): r["value"] for r in quantiles(df, ["a", "b.c", "d"], shares).collect()}
+    want = {}
+    for name, column in (("a", sorted(v for v in values if v is not None)), ("b.c", sorted(i % 5 for i in range(3000)))):
+        for s in shares:
+            at = s * (len(column) - 1)
+            low, high = column[math.floor(at)], column[math.ceil(at)]
+            want[name, float(s)] = pytest.approx(low + (high - low) * (at - math.floor(at)), abs=1e-9)
+    assert got == want
+
+
+def test_quantile_queries_return_the_exact_values(spark, tmp_path):
+    """p04 returns the exact quantiles beside the judgement of the sketched ones, also for tables without values."""
+    kinds = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    items = [(i, i % 7, None if i % 4 == 0 else i % 50 + 1.0, None if i % 9 == 0 else round(i * 1.37, 2), 0.0, 0.0, "ARN"[i % 3], "OF"[i % 2]) for i in range(1, 2001)]
+    for name, rows_ in (("full", items), ("empty", [])):
+        spark.createDataFrame(rows_, kinds).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+    exact = lambda i, q: round(float(np.quantile([r[i] for r in items if r[i] is not None], q)), 4)
+    run = lambda plan, folder: {tuple(r[:-3]): (r["n"], r["exact"], r["is_near"]) for r in plan(Tables(spark, f"{tmp_path}/{folder}")).collect()}
+    n = {i: sum(r[i] is not None for r in items) for i in (2, 3)}
+    p04 = {(c, str(q)): (n[i], pytest.approx(exact(i, q), abs=1e-4), True) for c, i in (("l_quantity", 2), ("l_extendedprice", 3)) for q in (0.25, 0.5, 0.75)}
+    assert run(PLANS["p04_mergeable_sketches"], "full") == p04
+    assert "quantile_cont" in SQL["p04_mergeable_sketches"]
+
+
 def test_suggested_code_runs_and_holds(spark):
     """Each suggested check is run on the data it was made from."""
     df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").selectExpr(
