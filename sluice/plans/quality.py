@@ -151,11 +151,15 @@ QUANTILES = (0.1, 0.5, 0.9)
 
 
 @plan("a06_approx_quantile", " UNION ALL ".join(
-    f"SELECT 'ApproxQuantile-{q}' AS name, count(l_extendedprice) AS n, true AS is_near FROM {MIXED}" for q in QUANTILES))
+    f"SELECT 'ApproxQuantile-{q}' AS name, count(l_extendedprice) AS n, round(quantile_cont(l_extendedprice, {q}), 4) AS exact, true AS is_near FROM {MIXED}"
+    for q in QUANTILES))
 def approx_quantile(t: Tables):
     df = _mixed(t)
     got = a.analyze(df, [a.approx_quantile("l_extendedprice", q) for q in QUANTILES])
-    return _ranks_near(got.select("name", "value"), df, "l_extendedprice", {f"ApproxQuantile-{q}": q for q in QUANTILES})
+    near = _ranks_near(got.select("name", "value"), df, "l_extendedprice", {f"ApproxQuantile-{q}": q for q in QUANTILES})
+    exact = quantiles(df, ["l_extendedprice"], QUANTILES).select(
+        F.concat(F.lit("ApproxQuantile-"), F.col("share").cast("string")).alias("name"), F.round("value", 4).alias("exact"))
+    return near.join(F.broadcast(exact), "name", "left").select("name", "n", "exact", "is_near")
 
 
 @plan("a06_quantile_values")

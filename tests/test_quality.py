@@ -224,7 +224,7 @@ def test_exact_quantiles(spark):
 
 
 def test_quantile_queries_return_the_exact_values(spark, tmp_path):
-    """p04 returns the exact quantiles beside the judgement of the sketched ones, also for tables without values."""
+    """a06 and p04 return the exact quantiles beside the judgement of the sketched ones, also for tables without values."""
     kinds = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
     items = [(i, i % 7, None if i % 4 == 0 else i % 50 + 1.0, None if i % 9 == 0 else round(i * 1.37, 2), 0.0, 0.0, "ARN"[i % 3], "OF"[i % 2]) for i in range(1, 2001)]
     for name, rows_ in (("full", items), ("empty", [])):
@@ -232,9 +232,12 @@ def test_quantile_queries_return_the_exact_values(spark, tmp_path):
     exact = lambda i, q: round(float(np.quantile([r[i] for r in items if r[i] is not None], q)), 4)
     run = lambda plan, folder: {tuple(r[:-3]): (r["n"], r["exact"], r["is_near"]) for r in plan(Tables(spark, f"{tmp_path}/{folder}")).collect()}
     n = {i: sum(r[i] is not None for r in items) for i in (2, 3)}
+    a06 = {(f"ApproxQuantile-{q}",): (n[3], pytest.approx(exact(3, q), abs=1e-4), True) for q in (0.1, 0.5, 0.9)}
     p04 = {(c, str(q)): (n[i], pytest.approx(exact(i, q), abs=1e-4), True) for c, i in (("l_quantity", 2), ("l_extendedprice", 3)) for q in (0.25, 0.5, 0.75)}
-    assert run(PLANS["p04_mergeable_sketches"], "full") == p04
-    assert "quantile_cont" in SQL["p04_mergeable_sketches"]
+    assert run(PLANS["a06_approx_quantile"], "full") == a06 and run(PLANS["p04_mergeable_sketches"], "full") == p04
+    assert set(run(PLANS["a06_approx_quantile"], "empty").values()) == {(0, None, True)}
+    for name in ("a06_approx_quantile", "p04_mergeable_sketches"):
+        assert "quantile_cont" in SQL[name]
 
 
 def test_suggested_code_runs_and_holds(spark):
