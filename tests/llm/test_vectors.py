@@ -47,6 +47,39 @@ def test_neighbours_against_brute_force(spark, monkeypatch, block):
     assert hits / total >= 0.9
 
 
+def test_bitmaps_count_collisions(monkeypatch):
+    """The rows in enough windows, against a plain count, for numbers of rows that fill no whole word."""
+    monkeypatch.setattr(ann, "THRESHOLD", 3)
+    rng = np.random.default_rng(5)
+    for n, size in ((1, 1), (130, 7), (700, 64)):
+        order = np.argsort(rng.random((6, n)), axis=1)
+        slabs = -(-n // size)
+        low, high = np.sort(rng.integers(0, slabs + 1, (2, 6, 9)), axis=0)
+        found = ann._collided(ann._bitmaps(order, size), low, high)
+        place = np.argsort(order, axis=1) // size
+        want = ((place[:, None] >= low[..., None]) & (place[:, None] < high[..., None])).sum(axis=0) >= 3
+        assert (np.unpackbits(found.view(np.uint8), axis=1, count=n) == want).all()
+
+
+def test_a_bound_ends_a_block_after_one_round(monkeypatch):
+    """With the k-th best score of another block, windows open once, and only rows that reach it come back."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 32))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    ids, rounds, collided = np.arange(4000), [], ann._collided
+    monkeypatch.setattr(ann, "_collided", lambda *args: rounds.append(args[1].shape[1]) or collided(*args))
+    home, block, asked = x[:2000], x[2000:], x[:100]
+    q, r, score = ann.search(home, ids[:2000], asked, ids[:100])
+    bounds = np.array([score[q == i].min() for i in range(100)])
+    assert sum(rounds) > 300
+    rounds.clear()
+    q, r, score = ann.search(block, ids[2000:], asked, ids[:100], bounds=bounds)
+    assert sum(rounds) == 100
+    assert (score >= bounds[q] - 1e-9).all()
+    reach = np.minimum((asked @ block.T >= bounds[:, None]).sum(axis=1), 20).sum()
+    assert 0.97 * reach <= len(score) <= reach
+
+
 def test_neighbours_of_little(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (7, [2.0, 0.0]), (5, [2.0, 0.0]), (3, [1.0])], "vec_id long, embedding array<float>")
     got = [tuple(r) for r in nearest(df, df.where("vec_id % 20 = 0")).orderBy("rank").collect()]
